@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from wordlens.functions.arrays import percent, with_term_profile
+from wordlens.functions.arrays import percent, positions_of, with_term_profile
 from wordlens.session import cut_lineage
 from wordlens.sources.corpus import Corpus
 
@@ -69,36 +69,36 @@ def term_counts(corpus: Corpus, level: int = 0) -> DataFrame:
     return profile_rows(corpus, level).select(*corpus.keys, "term", "tf")
 
 
-def vocabulary_index(corpus: Corpus, level: int = 0) -> DataFrame:
-    """A5: ``(term, idx)``, 0-based dense index in code-point order.
-
-    Distinct terms are range-partitioned and sorted (no single-partition
-    window); ``monotonically_increasing_id`` gives each term its partition
-    and in-partition row number, the sorted frame is checkpointed so both
-    reads see the same partitioning, and a prefix sum over the per-partition
-    counts (one row per partition: a bounded, broadcastable table) turns
-    them into global indexes.
+def global_index(df: DataFrame, order: Sequence[Column], name: str = "idx") -> DataFrame:
+    """Add a 0-based dense row index in ``order`` without a single-partition window.
+
+    The frame is range-partitioned and sorted on ``order``;
+    ``monotonically_increasing_id`` gives each row its partition and
+    in-partition row number.  The sorted frame is checkpointed (reliable
+    storage) so every later read sees the same partitioning, and a prefix
+    sum over the per-partition counts -- one row per partition, a table
+    bounded by the partition count -- turns them into global indexes.
     """
-    terms = profile_rows(corpus, level).select("term").distinct()
     ranked = cut_lineage(
-        terms.repartitionByRange("term").sortWithinPartitions("term")
+        df.repartitionByRange(*order).sortWithinPartitions(*order)
         .withColumn("_mid", F.monotonically_increasing_id())
-        .select("term", F.shiftright("_mid", 33).alias("_part"),
-                (F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))).alias("_row"))
+        .withColumn("_part", F.shiftright("_mid", 33))
+        .withColumn("_row", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
+        .drop("_mid")
     )
+    from pyspark.sql import Window
     sizes = ranked.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = sizes.select(
-        "_part",
-        (F.sum("_n").over(_prefix_window()) - F.col("_n")).alias("_off"),
-    )
-    return ranked.join(F.broadcast(offsets), "_part").select(
-        "term", (F.col("_off") + F.col("_row")).cast("long").alias("idx"))
+    prefix = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    offsets = sizes.select("_part", (F.sum("_n").over(prefix) - F.col("_n")).alias("_off"))
+    return (ranked.join(F.broadcast(offsets), "_part")  # one row per partition
+            .withColumn(name, (F.col("_off") + F.col("_row")).cast("long"))
+            .drop("_part", "_row", "_off"))
 
 
-def _prefix_window():
-    from pyspark.sql import Window
-    # one row per range partition: bounded by spark.sql.shuffle.partitions
-    return Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+def vocabulary_index(corpus: Corpus, level: int = 0) -> DataFrame:
+    """A5: ``(term, idx)``, 0-based dense index in code-point order (see :func:`global_index`)."""
+    terms = profile_rows(corpus, level).select("term").distinct()
+    return global_index(terms, [F.col("term").asc()], "idx").select("term", "idx")
 
 
 def word_occurrence(corpus: Corpus, word: str, level: int = 0) -> DataFrame:
@@ -193,16 +193,17 @@ def select_all_with_count(stats: DataFrame, option: str, threshold: float) -> Da
     return filter_by_binary_count_quote(stats, option, ">=", threshold)
 
 
-def main_element(corpus: Corpus, level: int = 0, tolerance: int = 0) -> DataFrame:
-    """Words found in (almost) every sentence exactly once, EOS excluded.
+def main_element(corpus: Corpus, level: int = 0, share: float = 1.0) -> DataFrame:
+    """Words found in (nearly) every sentence and never twice in one, EOS excluded.
 
-    ``binary >= n_sentences - tolerance`` and ``count == binary``.
+    ``binary >= share * n_sentences`` and ``count == binary``; ``share=1``
+    is the reference's "binary equals the number of sentences".
     """
     stats = keyword_stats(corpus, level)
     n = corpus.n_sentences()
     return (
         stats
-        .where((F.col("binary") >= n - tolerance)
+        .where((F.col("binary") >= n * F.lit(float(share)))
                & (F.col("count") == F.col("binary"))
                & (F.col("term") != F.lit("EOS")))
         .select("term", "binary", "count", "quote")
@@ -217,15 +218,19 @@ def sort_keywords(corpus: Corpus, field: str = "binary", descending: bool = True
     """Words ordered by a statistic; ties keep first appearance in the corpus.
 
     Python's sort is stable also with ``reverse=True``, so ties stay in
-    first-appearance order in both directions.  With ``k`` this is a top-k
+    first-appearance order in both directions.  Without ``k`` every word
+    gets its 1-based ``sort_rank`` (distributed range sort, see
+    :func:`global_index`); with ``k`` this is a top-k
     (``TakeOrderedAndProject``).
     """
     if field not in STAT_FIELDS:
         raise ValueError(f"field must be one of {STAT_FIELDS}")
     stats = keyword_stats(corpus, level, with_first_seen=True)
     order = [F.col(field).desc() if descending else F.col(field).asc(), F.col("first_seen").asc()]
-    out = stats.orderBy(*order)
-    return out.limit(k) if k is not None else out
+    if k is not None:
+        return stats.orderBy(*order).limit(k)
+    ranked = global_index(stats, order, "sort_rank")
+    return ranked.withColumn("sort_rank", F.col("sort_rank") + 1)
 
 
 def keyword_report(corpus: Corpus, percent_limit: float, level: int = 0) -> DataFrame:
@@ -265,12 +270,13 @@ def keyword_drilldown(corpus: Corpus, report: DataFrame, rank: int | None = None
     if (rank is None) == (word is None):
         raise ValueError("give exactly one of rank or word")
     pick = report.where(F.col("rank") == rank) if rank is not None else report.where(F.col("term") == word)
-    # rank and term are unique in a report: a one-row scalar subquery each
-    w = pick.select("term").scalar()
-    r = pick.select("rank").scalar()
+    # the picked report row is one bounded value brought to the driver, as when
+    # a user picks a line of the printed report; the positions stay distributed
+    row = pick.select("rank", "term").first()
+    if row is None:
+        return corpus.df.select(F.lit(None).cast("int").alias("rank"), F.lit(None).cast("string").alias("term"),
+                                *corpus.keys, F.array().cast("array<int>").alias("positions")).limit(0)
     arr = corpus.level_array(level)
     return corpus.df.select(
-        r.alias("rank"), w.alias("term"), *corpus.keys,
-        F.filter(F.transform(arr, lambda x, i: F.when(x == w, i).otherwise(-1)),
-                 lambda q: q >= 0).alias("positions"),
-    ).where(F.col("term").isNotNull())
+        F.lit(row["rank"]).cast("int").alias("rank"), F.lit(row["term"]).alias("term"), *corpus.keys,
+        positions_of(arr, row["term"]).alias("positions"))
