@@ -97,7 +97,8 @@ def slot_values(centred: DataFrame, keys: Sequence[str], levels: Sequence[int])
     """
     parts = [
         centred.select(F.lit(lv).alias("level"), *keys,
-                       F.posexplode(f"l{lv}").alias("rel_pos", "value"))
+                       F.posexplode_outer(f"l{lv}").alias("rel_pos", "value"))
+        .where(F.col("rel_pos").isNotNull())
         for lv in levels
     ]
     out = parts[0]

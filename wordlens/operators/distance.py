@@ -47,16 +47,19 @@ def distance(corpus: Corpus, words: Sequence[str], level: int = 0,
                     .otherwise(acc)).alias("_C"),
         F.transform("_P", lambda p: F.size(p) > 0).alias("_present"),
     )
-    i_rows = staged.select(*corpus.keys, "_F", "_C", F.posexplode("_F").alias("i", "_Fi"))
-    ij_rows = i_rows.select(*corpus.keys, "_C", "i", F.element_at("_Fi", 1).alias("_first"),
-                            F.posexplode("_F").alias("j", "_Fj"))
+    # outer generators + null filters (no inferred filters re-running the arrays)
+    i_rows = (staged.select(*corpus.keys, "_F", "_C", F.posexplode_outer("_F").alias("i", "_Fi"))
+              .where(F.col("i").isNotNull()))
+    ij_rows = (i_rows.select(*corpus.keys, "_C", "i", F.element_at("_Fi", 1).alias("_first"),
+                             F.posexplode_outer("_F").alias("j", "_Fj"))
+               .where(F.col("j").isNotNull()))
     out = ij_rows.select(
         *corpus.keys,
         F.col("i").cast("int").alias("i"), wl[F.col("i")].alias("term_i"),
         F.col("j").cast("int").alias("j"), wl[F.col("j")].alias("term_j"),
         F.col("_C"), F.col("_first"), F.col("_Fj"),
-        F.posexplode("_Fj").alias("k", "_pj"),
-    ).select(
+        F.posexplode_outer("_Fj").alias("k", "_pj"),
+    ).where(F.col("k").isNotNull()).select(
         *corpus.keys, "i", "term_i", "j", "term_j", F.col("k").cast("int").alias("k"),
         (F.col("_first") - F.col("_pj")).cast("int").alias("distance"),
         (F.col("_C") / F.size("_Fj")).cast("decimal(38,0)").alias("multiplicity"),

@@ -30,7 +30,10 @@ def profile_rows(corpus: Corpus, level: int = 0, extra: Sequence[str] = ()) -> D
     base = corpus.df.select(*corpus.keys, "n_tokens", *extra, corpus.level_array(level).alias("_lv"))
     return (
         with_term_profile(base, "_lv")
-        .select(*corpus.keys, "n_tokens", *extra, F.explode("_prof").alias("_p"))
+        # outer form + null filter: a plain explode makes Spark infer a size
+        # filter that re-evaluates the whole profile below the generator
+        .select(*corpus.keys, "n_tokens", *extra, F.explode_outer("_prof").alias("_p"))
+        .where(F.col("_p").isNotNull())
         .select(*corpus.keys, "n_tokens", *extra,
                 F.col("_p.term").alias("term"),
                 F.col("_p.fp").cast("int").alias("fp"),

@@ -47,7 +47,8 @@ def wordlist_abs(corpus: Corpus, words: Sequence[str], level: int = 0) -> DataFr
         w.alias("term"),
         F.filter(F.transform("_t", lambda x, i: F.when(x == w, i).otherwise(-1)),
                  lambda q: q >= 0).alias("positions")))
-    return (t.select(*corpus.keys, "n_tokens", F.posexplode(per_word).alias("word_no", "_w"))
+    return (t.select(*corpus.keys, "n_tokens", F.posexplode_outer(per_word).alias("word_no", "_w"))
+            .where(F.col("word_no").isNotNull())
             .select(F.col("word_no").cast("int").alias("word_no"), F.col("_w.term").alias("term"),
                     *corpus.keys, "n_tokens", F.col("_w.positions").alias("positions")))
 
@@ -65,4 +66,5 @@ def show_positions(corpus: Corpus, word: str, level: int = 0) -> DataFrame:
 
 def explode_positions(df: DataFrame, keys: Sequence[str], col: str = "positions") -> DataFrame:
     """Flat ``(…keys, hit_no, position)`` rows of a positions column."""
-    return df.select(*keys, F.posexplode(col).alias("hit_no", "position"))
+    return (df.select(*keys, F.posexplode_outer(col).alias("hit_no", "position"))
+            .where(F.col("hit_no").isNotNull()))

@@ -46,7 +46,8 @@ def axes_moved_counts(corpus: Corpus, levels: Sequence[int] = (0,)) -> DataFrame
     for lv in levels:
         arr = corpus.level_array(lv)
         base = corpus.df.select("n_tokens", arr.alias("_a"))
-        real = (base.select(F.posexplode("_a").alias("pos", "value"))
+        real = (base.select(F.posexplode_outer("_a").alias("pos", "value"))
+                .where(F.col("pos").isNotNull())
                 .groupBy("pos", "value").agg(F.count(F.lit(1)).alias("n")))
         longest = corpus.df.agg(F.max("n_tokens")).scalar()
         hist = (base.where(F.col("n_tokens") > 0)
@@ -79,7 +80,8 @@ def axes_moved(corpus: Corpus, levels: Sequence[int] = (0,)) -> DataFrame:
     for lv in levels:
         padded = corpus.df.select(*corpus.keys, trim_pad(corpus.level_array(lv), longest).alias("_a"))
         parts.append(padded.select(F.lit(lv).alias("level"), *corpus.keys,
-                                   F.posexplode("_a").alias("pos", "value")))
+                                   F.posexplode_outer("_a").alias("pos", "value"))
+                     .where(F.col("pos").isNotNull()))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -187,7 +187,8 @@ def q_wordlist_abs(spark, sf_dir):
 
 def q_wordlist_pct(spark, sf_dir):
     d = positions.wordlist_pct(documents_corpus(spark, sf_dir), P.WORDS)
-    return d.select("word_no", *KEYS, F.posexplode("positions").alias("hit_no", "pct")).select(
+    return d.select("word_no", *KEYS, F.posexplode_outer("positions").alias("hit_no", "pct")).where(
+        F.col("hit_no").isNotNull()).select(
         "word_no", *KEYS, F.col("hit_no").cast("int").alias("hit_no"), _r6("pct").alias("pct"))
 
 
@@ -269,7 +270,8 @@ def q_ragged_transpose(spark, sf_dir):
     from wordlens.functions.tokenise import regex_tokens
     m = docs.select("doc_id", F.transform(F.split("text", "\n", -1), lambda ln: regex_tokens(ln)).alias("m"))
     t = reshape.ragged_transpose(m, "m", F.lit("_"))
-    return t.select("doc_id", F.posexplode("m").alias("col", "cells")).select(
+    return t.select("doc_id", F.posexplode_outer("m").alias("col", "cells")).where(
+        F.col("col").isNotNull()).select(
         "doc_id", F.col("col").cast("int").alias("col"), F.array_join("cells", " ").alias("cells"))
 
 

@@ -106,7 +106,9 @@ def parse_analyser_output(df: DataFrame, col: str = "analysis",
         raise ValueError(f"mode must be one of {MODES}")
     keys = list(keys)
     lines = F.split(_strip(F.col(col)), "\n", -1)
-    parsed = df.select(*keys, parse_lines(lines).alias("_lines"))
+    # parse inside a generator: "_lines" becomes an attribute, so the filters
+    # below cannot be pushed under it and re-run the parser
+    parsed = df.select(*keys, F.inline_outer(F.array(F.struct(parse_lines(lines).alias("_lines")))))
     parsed = parsed.withColumn("_bad", F.exists("_lines", lambda e: e["reason"].isNotNull()))
     if mode == "failfast":
         parsed = parsed.withColumn("_bad", F.when(

@@ -82,7 +82,8 @@ class Corpus:
         default carries all 30 (``f00`` .. ``f29``).
         """
         levels = list(range(N_LEVELS)) if levels is None else list(levels)
-        exploded = self.df.select(*self.keys, "n_tokens", F.posexplode("_tok").alias("pos", "_e"))
+        exploded = (self.df.select(*self.keys, "n_tokens", F.posexplode_outer("_tok").alias("pos", "_e"))
+                    .where(F.col("pos").isNotNull()))
         is_eos = F.col("pos") == F.col("n_tokens") - 1
         return exploded.select(
             *self.keys,
@@ -138,15 +139,16 @@ def build_corpus(
     tokenizer = tokenizer or RegexTokenizer()
     split = SPLITTERS[splitter]
     df = spread_input(df)
-    pieces = df.select(*doc_keys, F.posexplode(split(F.col(text_col))).alias("sent_no", "text"))
-    tok = tokenizer.prepare(F.col("text"))
-    sent = pieces.select(
-        *doc_keys,
-        F.col("sent_no").cast("int").alias("sent_no"),
-        *(["text"] if keep_text else []),
-        tok.alias("_tok"),
-    ).withColumn("n_tokens", F.size("_tok").cast("int"))
-    sent = sent.where(F.col("n_tokens") > 1)
+    # Tokenise inside the sentence generator: its outputs are attributes, so
+    # no later filter can be pushed below it and re-run the tokeniser
+    # (outer form: Spark infers no size filter for it).
+    pieces = F.transform(split(F.col(text_col)), lambda line, i: F.struct(
+        i.cast("int").alias("sent_no"),
+        *([line.alias("text")] if keep_text else []),
+        tokenizer.prepare(line).alias("_tok"),
+    ))
+    sent = df.select(*doc_keys, F.inline_outer(pieces))
+    sent = sent.withColumn("n_tokens", F.size("_tok").cast("int")).where(F.col("n_tokens") > 1)
     return Corpus(sent, (*doc_keys, "sent_no"), tokenizer)
 
 
