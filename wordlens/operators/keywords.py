@@ -123,27 +123,60 @@ def keyword_stats(corpus: Corpus, level: int = 0, with_first_seen: bool = False)
     ``quote = binary / count``; ``pos_index`` is the mean first position over
     the sentences containing the term, ``pct_index`` the same in percent.
     """
-    prof = profile_rows(corpus, level)
+    return _stats(profile_rows(corpus, level), corpus, [], with_first_seen)
+
+
+def _stats(prof: DataFrame, corpus: Corpus, group: list[str], with_first_seen: bool,
+           keep_n0: bool = False) -> DataFrame:
     aggs = [
         F.count(F.lit(1)).alias("binary"),
         F.sum("tf").alias("count"),
         F.sum("fp").alias("_sfp"),
         F.sum(percent(F.col("fp"), F.col("n_tokens"))).alias("_spct"),
+        # every sentence has exactly one term at position 0: summing this over
+        # the terms counts the sentences without another pass over the corpus
+        F.count(F.when(F.col("fp") == 0, F.lit(1))).alias("_n0"),
     ]
     if with_first_seen:
         aggs.append(F.min(appearance_key(corpus, F.col("fp"))).alias("first_seen"))
-    stats = prof.groupBy("term").agg(*aggs)
+    stats = prof.groupBy(*group, "term").agg(*aggs)
     cols = [
-        "term", "binary", "count",
+        *group, "term", "binary", "count",
         (F.col("binary") / F.col("count")).alias("quote"),
         (F.col("_sfp") / F.col("binary")).alias("pos_index"),
         (F.col("_spct") / F.col("binary")).alias("pct_index"),
     ]
     if with_first_seen:
         cols.append("first_seen")
+    if keep_n0:
+        cols.append("_n0")
     return stats.select(*cols)
 
 
+def keyword_stats_levels(corpus: Corpus, levels: Sequence[int]) -> DataFrame:
+    """A8 for several levels in one pass: ``level, term, binary, count, ...``.
+
+    The per-level profiles of a sentence are concatenated before the single
+    explode, so the corpus (and any parsing behind it) is read once.
+    """
+    base = corpus.df.select(*corpus.keys, "n_tokens",
+                            *[corpus.level_array(lv).alias(f"_lv{lv}") for lv in levels])
+    for lv in levels:
+        base = with_term_profile(base, f"_lv{lv}", f"_prof{lv}")
+    def tag(lv: int):
+        # a one-argument lambda: transform passes the index to a second parameter
+        return lambda x: F.struct(F.lit(lv).alias("level"), x["term"].alias("term"),
+                                  x["fp"].alias("fp"), x["tf"].alias("tf"))
+
+    tagged = F.concat(*[F.transform(f"_prof{lv}", tag(lv)) for lv in levels])
+    prof = (base.select(*corpus.keys, "n_tokens", F.explode_outer(tagged).alias("_p"))
+            .where(F.col("_p").isNotNull())
+            .select(*corpus.keys, "n_tokens", F.col("_p.level").alias("level"), F.col("_p.term").alias("term"),
+                    F.col("_p.fp").cast("int").alias("fp"), F.col("_p.tf").cast("long").alias("tf"))
+            .where(F.col("term").isNotNull()))
+    return _stats(prof, corpus, ["level"], False)
+
+
 def binary_count_quote(corpus: Corpus, word: str, level: int = 0) -> DataFrame:
     """Statistics of one word; an unknown word gives no row.
 
@@ -245,12 +278,15 @@ def keyword_report(corpus: Corpus, percent_limit: float, level: int = 0) -> Data
     pos_index, pct_index``.
 
     Plan: one aggregation builds all statistics (partial aggregation
-    map-side); the filter leaves at most ``avg_sentence_length * 100 / p``
+    map-side) and is checkpointed; the filter leaves at most ``avg_sentence_length * 100 / p``
     terms (Σ binary over terms <= number of tokens), so the final ordering
     and ``row_number`` run over a small, bounded frame.
     """
-    stats = keyword_stats(corpus, level, with_first_seen=True)
-    n = corpus.n_sentences()
+    # One pass over the corpus: the statistics (one row per term) are written
+    # to the reliable checkpoint folder, and the sentence count is summed from
+    # that small table instead of profiling the corpus a second time.
+    stats = cut_lineage(_stats(profile_rows(corpus, level), corpus, [], True, keep_n0=True))
+    n = F.lit(stats.agg(F.coalesce(F.sum("_n0"), F.lit(0))).first()[0])
     p = float(percent_limit)
     kept = stats.where((F.col("quote") >= F.lit(p / 100.0))
                        & (F.col("binary") > n * F.lit(p) / F.lit(100.0)))

@@ -308,10 +308,10 @@ def derived_analyser_output(spark, sf_dir) -> DataFrame:
 def q_annotated_stats(spark, sf_dir):
     corpus, _rejects = annotated.parse_analyser_output(derived_analyser_output(spark, sf_dir))
     assert isinstance(corpus.tokenizer, AnnotatedTokenizer)
-    stats = keywords.keyword_stats(corpus, 1)
-    lvl2 = keywords.keyword_stats(corpus, 2).select(
-        F.concat(F.lit("f02:"), F.col("term")).alias("term"), "binary", "count")
-    return stats.select("term", "binary", "count").unionByName(lvl2)
+    stats = keywords.keyword_stats_levels(corpus, [1, 2])
+    return stats.select(
+        F.when(F.col("level") == 2, F.concat(F.lit("f02:"), F.col("term"))).otherwise(F.col("term")).alias("term"),
+        "binary", "count")
 
 
 def q_annotated_rejects(spark, sf_dir):
