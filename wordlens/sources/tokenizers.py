@@ -81,6 +81,17 @@ class RegexTokenizer(TokenizerStrategy):
         return F.when(is_eos, F.lit(EOS)).otherwise(F.lit(None).cast("string"))
 
 
+@dataclass(frozen=True)
+class PresegmentedTokenizer(RegexTokenizer):
+    """Text that is already segmented: tokens are separated by whitespace.
+
+    Level 0 is the token, level 1 its class (as for :class:`RegexTokenizer`).
+    """
+
+    def prepare(self, text: Column) -> Column:
+        return with_eos(F.filter(F.split(text, r"(?U)\s+", -1), lambda s: s != ""))
+
+
 @dataclass(frozen=True)
 class AnnotatedTokenizer(TokenizerStrategy):
     """Tokens that already carry 30 analyser fields (``array<array<string>>``).
@@ -113,4 +124,5 @@ LANGUAGES: dict[str, TokenizerStrategy] = {
     "es": RegexTokenizer(),
 }
 
-__all__ = ["AnnotatedTokenizer", "LANGUAGES", "LEVEL_NAMES", "RegexTokenizer", "TokenizerStrategy"]
+__all__ = ["AnnotatedTokenizer", "LANGUAGES", "LEVEL_NAMES", "PresegmentedTokenizer", "RegexTokenizer",
+           "TokenizerStrategy"]
