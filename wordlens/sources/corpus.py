@@ -115,6 +115,8 @@ def spread_input(df: DataFrame) -> DataFrame:
     arrives in many splits and is left alone, so no shuffle is added at
     scale.
     """
+    if df.isStreaming:
+        return df
     slots = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < slots:
         return df.repartition(slots)
