@@ -74,8 +74,10 @@ def with_term_profile(df: DataFrame, arr: Column | str, out: str = "_prof") -> D
     keeps the optimizer from inlining it.
     """
     z, s = "_wl_sorted", "_wl_starts"
+    # sort_array orders the (value, position) structs natively (no comparator
+    # lambda); NULL values sort first and still form one run
     staged = df.withColumn(
-        z, F.array_sort(F.transform(_c(arr), lambda x, i: F.struct(x.alias("t"), i.alias("p")))))
+        z, F.sort_array(F.transform(_c(arr), lambda x, i: F.struct(x.alias("t"), i.alias("p")))))
     # cur/prev pairs; the extra last pair (cur NULL) is a sentinel closing the last run
     pairs = F.zip_with(F.col(z), F.array_prepend(F.col(z), F.lit(None)),
                        lambda c, q: F.struct(c.alias("c"), q.alias("q")))
