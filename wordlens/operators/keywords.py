@@ -42,6 +42,41 @@ def profile_rows(corpus: Corpus, level: int = 0, extra: Sequence[str] = ()) -> D
     )
 
 
+#: sentences up to this length find first occurrences by a direct scan
+#: (``array_position``, at most this many steps per token); longer ones use
+#: the sort-based profile, so no sentence costs more than O(n log n) steps
+#: beyond this bound
+DIRECT_SCAN_MAX = 512
+
+
+def stat_rows(corpus: Corpus, level: int = 0) -> DataFrame:
+    """Rows feeding the keyword statistics: keys, ``n_tokens``, ``term, first, tf, pos``.
+
+    Each row adds ``tf`` occurrences of ``term`` at ``pos``; ``first`` marks
+    the term's first occurrence in its sentence (``pos`` is then its first
+    position).  Short sentences yield one row per token, with the first
+    occurrence found by ``array_position``; long sentences yield one row per
+    distinct term from the sort-based profile, so no sentence costs more
+    than O(n log n) beyond the direct-scan bound.  Narrow, single generator.
+    """
+    lv = corpus.level_array(level)
+    base = corpus.df.select(*corpus.keys, "n_tokens", lv.alias("_lv"))
+    short = F.col("n_tokens") <= DIRECT_SCAN_MAX
+    base = base.withColumn("_long", F.when(short, F.array().cast("array<string>")).otherwise(F.col("_lv")))
+    base = with_term_profile(base, "_long", "_prof")
+    direct = F.transform("_lv", lambda x, i: F.struct(
+        x.alias("term"), (F.array_position("_lv", x) == i + 1).alias("first"),
+        F.lit(1).cast("long").alias("tf"), i.alias("pos")))
+    sorted_runs = F.transform("_prof", lambda e: F.struct(
+        e["term"].alias("term"), F.lit(True).alias("first"),
+        e["tf"].cast("long").alias("tf"), e["fp"].alias("pos")))
+    items = F.when(short, direct).otherwise(sorted_runs)
+    return (base.select(*corpus.keys, "n_tokens", F.explode_outer(items).alias("_r"))
+            .where(F.col("_r").isNotNull() & F.col("_r.term").isNotNull())
+            .select(*corpus.keys, "n_tokens", F.col("_r.term").alias("term"), F.col("_r.first").alias("first"),
+                    F.col("_r.tf").alias("tf"), F.col("_r.pos").cast("int").alias("pos")))
+
+
 def _packable(corpus: Corpus) -> bool:
     if len(corpus.keys) != 2:
         return False
@@ -123,23 +158,34 @@ def keyword_stats(corpus: Corpus, level: int = 0, with_first_seen: bool = False)
     ``quote = binary / count``; ``pos_index`` is the mean first position over
     the sentences containing the term, ``pct_index`` the same in percent.
     """
-    return _stats(profile_rows(corpus, level), corpus, [], with_first_seen)
+    return _stats(stat_rows(corpus, level), corpus, [], with_first_seen)
 
 
-def _stats(prof: DataFrame, corpus: Corpus, group: list[str], with_first_seen: bool,
+def _stats(rows: DataFrame, corpus: Corpus, group: list[str], with_first_seen: bool,
            keep_n0: bool = False) -> DataFrame:
+    """Aggregate :func:`stat_rows`-shaped rows (``term, first, tf, pos``) per term.
+
+    Profile rows (``term, fp, tf``) are accepted too: every row is then a first
+    occurrence at ``fp``.
+    """
+    if "first" not in rows.columns:
+        rows = rows.select(*[c for c in rows.columns if c != "fp"], F.lit(True).alias("first"),
+                           F.col("fp").alias("pos"))
+    first = F.col("first")
+    fp = F.when(first, F.col("pos"))
     aggs = [
-        F.count(F.lit(1)).alias("binary"),
+        F.count(F.when(first, F.lit(1))).alias("binary"),
         F.sum("tf").alias("count"),
-        F.sum("fp").alias("_sfp"),
-        F.sum(percent(F.col("fp"), F.col("n_tokens"))).alias("_spct"),
+        F.sum(fp).alias("_sfp"),
+        F.sum(F.when(first, percent(F.col("pos"), F.col("n_tokens")))).alias("_spct"),
         # every sentence has exactly one term at position 0: summing this over
         # the terms counts the sentences without another pass over the corpus
-        F.count(F.when(F.col("fp") == 0, F.lit(1))).alias("_n0"),
+        F.count(F.when(F.col("pos") == 0, F.lit(1))).alias("_n0"),
     ]
     if with_first_seen:
-        aggs.append(F.min(appearance_key(corpus, F.col("fp"))).alias("first_seen"))
-    stats = prof.groupBy(*group, "term").agg(*aggs)
+        # the earliest row of a term is its first occurrence
+        aggs.append(F.min(appearance_key(corpus, F.col("pos"))).alias("first_seen"))
+    stats = rows.groupBy(*group, "term").agg(*aggs)
     cols = [
         *group, "term", "binary", "count",
         (F.col("binary") / F.col("count")).alias("quote"),
@@ -285,7 +331,7 @@ def keyword_report(corpus: Corpus, percent_limit: float, level: int = 0) -> Data
     # One pass over the corpus: the statistics (one row per term) are written
     # to the reliable checkpoint folder, and the sentence count is summed from
     # that small table instead of profiling the corpus a second time.
-    stats = cut_lineage(_stats(profile_rows(corpus, level), corpus, [], True, keep_n0=True))
+    stats = cut_lineage(_stats(stat_rows(corpus, level), corpus, [], True, keep_n0=True))
     n = F.lit(stats.agg(F.coalesce(F.sum("_n0"), F.lit(0))).first()[0])
     p = float(percent_limit)
     kept = stats.where((F.col("quote") >= F.lit(p / 100.0))
