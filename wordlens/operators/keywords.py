@@ -49,32 +49,44 @@ def profile_rows(corpus: Corpus, level: int = 0, extra: Sequence[str] = ()) -> D
 DIRECT_SCAN_MAX = 512
 
 
-def stat_rows(corpus: Corpus, level: int = 0) -> DataFrame:
-    """Rows feeding the keyword statistics: keys, ``n_tokens``, ``term, first, tf, pos``.
+def stat_rows(corpus: Corpus, level: int | Sequence[int] = 0) -> DataFrame:
+    """Rows feeding the keyword statistics: keys, ``n_tokens``, [``level``,] ``term, first, tf, pos``.
 
     Each row adds ``tf`` occurrences of ``term`` at ``pos``; ``first`` marks
     the term's first occurrence in its sentence (``pos`` is then its first
     position).  Short sentences yield one row per token, with the first
     occurrence found by ``array_position``; long sentences yield one row per
     distinct term from the sort-based profile, so no sentence costs more
-    than O(n log n) beyond the direct-scan bound.  Narrow, single generator.
+    than O(n log n) beyond the direct-scan bound.  With a list of levels the
+    rows of all levels come out of the same single generator (one read of
+    the corpus) and carry a ``level`` column.  Narrow.
     """
-    lv = corpus.level_array(level)
-    base = corpus.df.select(*corpus.keys, "n_tokens", lv.alias("_lv"))
+    levels = [level] if isinstance(level, int) else list(level)
+    base = corpus.df.select(*corpus.keys, "n_tokens", *[corpus.level_array(lv).alias(f"_lv{lv}") for lv in levels])
     short = F.col("n_tokens") <= DIRECT_SCAN_MAX
-    base = base.withColumn("_long", F.when(short, F.array().cast("array<string>")).otherwise(F.col("_lv")))
-    base = with_term_profile(base, "_long", "_prof")
-    direct = F.transform("_lv", lambda x, i: F.struct(
-        x.alias("term"), (F.array_position("_lv", x) == i + 1).alias("first"),
-        F.lit(1).cast("long").alias("tf"), i.alias("pos")))
-    sorted_runs = F.transform("_prof", lambda e: F.struct(
-        e["term"].alias("term"), F.lit(True).alias("first"),
-        e["tf"].cast("long").alias("tf"), e["fp"].alias("pos")))
-    items = F.when(short, direct).otherwise(sorted_runs)
-    return (base.select(*corpus.keys, "n_tokens", F.explode_outer(items).alias("_r"))
-            .where(F.col("_r").isNotNull() & F.col("_r.term").isNotNull())
-            .select(*corpus.keys, "n_tokens", F.col("_r.term").alias("term"), F.col("_r.first").alias("first"),
-                    F.col("_r.tf").alias("tf"), F.col("_r.pos").cast("int").alias("pos")))
+    for lv in levels:
+        base = base.withColumn(f"_long{lv}", F.when(short, F.array().cast("array<string>"))
+                               .otherwise(F.col(f"_lv{lv}")))
+        base = with_term_profile(base, f"_long{lv}", f"_prof{lv}").drop(f"_long{lv}")
+
+    def direct(lv: int) -> Column:
+        arr = f"_lv{lv}"
+        return F.transform(arr, lambda x, i: F.struct(
+            F.lit(lv).alias("level"), x.alias("term"), (F.array_position(arr, x) == i + 1).alias("first"),
+            F.lit(1).cast("long").alias("tf"), i.alias("pos")))
+
+    def runs(lv: int) -> Column:
+        return F.transform(f"_prof{lv}", lambda e: F.struct(
+            F.lit(lv).alias("level"), e["term"].alias("term"), F.lit(True).alias("first"),
+            e["tf"].cast("long").alias("tf"), e["fp"].alias("pos")))
+
+    items = F.when(short, F.concat(*[direct(lv) for lv in levels])).otherwise(F.concat(*[runs(lv) for lv in levels]))
+    out = (base.select(*corpus.keys, "n_tokens", F.explode_outer(items).alias("_r"))
+           .where(F.col("_r").isNotNull() & F.col("_r.term").isNotNull())
+           .select(*corpus.keys, "n_tokens", F.col("_r.level").alias("level"), F.col("_r.term").alias("term"),
+                   F.col("_r.first").alias("first"), F.col("_r.tf").alias("tf"),
+                   F.col("_r.pos").cast("int").alias("pos")))
+    return out.drop("level") if isinstance(level, int) else out
 
 
 def _packable(corpus: Corpus) -> bool:
@@ -202,25 +214,10 @@ def _stats(rows: DataFrame, corpus: Corpus, group: list[str], with_first_seen: b
 def keyword_stats_levels(corpus: Corpus, levels: Sequence[int]) -> DataFrame:
     """A8 for several levels in one pass: ``level, term, binary, count, ...``.
 
-    The per-level profiles of a sentence are concatenated before the single
-    explode, so the corpus (and any parsing behind it) is read once.
+    The rows of all levels come out of one generator (see :func:`stat_rows`),
+    so the corpus (and any parsing behind it) is read once.
     """
-    base = corpus.df.select(*corpus.keys, "n_tokens",
-                            *[corpus.level_array(lv).alias(f"_lv{lv}") for lv in levels])
-    for lv in levels:
-        base = with_term_profile(base, f"_lv{lv}", f"_prof{lv}")
-    def tag(lv: int):
-        # a one-argument lambda: transform passes the index to a second parameter
-        return lambda x: F.struct(F.lit(lv).alias("level"), x["term"].alias("term"),
-                                  x["fp"].alias("fp"), x["tf"].alias("tf"))
-
-    tagged = F.concat(*[F.transform(f"_prof{lv}", tag(lv)) for lv in levels])
-    prof = (base.select(*corpus.keys, "n_tokens", F.explode_outer(tagged).alias("_p"))
-            .where(F.col("_p").isNotNull())
-            .select(*corpus.keys, "n_tokens", F.col("_p.level").alias("level"), F.col("_p.term").alias("term"),
-                    F.col("_p.fp").cast("int").alias("fp"), F.col("_p.tf").cast("long").alias("tf"))
-            .where(F.col("term").isNotNull()))
-    return _stats(prof, corpus, ["level"], False)
+    return _stats(stat_rows(corpus, list(levels)), corpus, ["level"], False)
 
 
 def binary_count_quote(corpus: Corpus, word: str, level: int = 0) -> DataFrame:

@@ -54,43 +54,50 @@ def quote_aware_split(features: Column) -> Column:
     """
     segs = F.split(features, '"', -1)
     protected = F.array_join(F.transform(segs, lambda s, i: F.when(
-        i % 2 == 1, F.regexp_replace(s, ",", PLACEHOLDER)).otherwise(s)), '"')
-    fast = F.transform(F.split(protected, ",", -1), lambda f: F.regexp_replace(f, PLACEHOLDER, ","))
+        i % 2 == 1, F.replace(s, F.lit(","), F.lit(PLACEHOLDER))).otherwise(s)), '"')
+    fast = F.transform(F.split(protected, ",", -1), lambda f: F.when(
+        F.instr(f, PLACEHOLDER) > 0, F.replace(f, F.lit(PLACEHOLDER), F.lit(","))).otherwise(f))
     return F.when(F.instr(features, PLACEHOLDER) > 0, F.split(features, QUOTE_AWARE_COMMA, -1)).otherwise(fast)
 
 MODES = ("quarantine", "failfast")
 
 
+#: characters Python's str.strip() removes in analyser output (ASCII whitespace)
+STRIP_CHARS = " \t\n\r\x0b\x0c"
+
+
 def _strip(s: Column) -> Column:
-    return F.regexp_replace(s, r"^\s+|\s+$", "")
+    return F.btrim(s, F.lit(STRIP_CHARS))
+
+
+def _count(s: Column, ch: str) -> Column:
+    return F.length(s) - F.length(F.replace(s, F.lit(ch), F.lit("")))
 
 
 def parse_lines(lines: Column) -> Column:
     """Analyser lines -> ``array<struct<raw_line, fields array<string>, reason string>>``.
 
-    Staged as a chain of ``transform`` calls: each stage reads only fields of
-    its own lambda variable, so no sub-expression (in particular the
-    quote-aware split) is evaluated more than once per line.
+    Three chained ``transform`` stages; each reads only fields of its own
+    lambda variable, so nothing (in particular the quote-aware split) is
+    evaluated more than once per line.  Whether a line needs the quote
+    repair is decided from its comma count, before any array is built.
     """
     s1 = F.transform(lines, lambda ln: F.struct(ln.alias("raw_line"), F.split(ln, "\t", -1).alias("tab")))
 
     def stage2(e):
-        tab = e["tab"]
+        tab, line = e["tab"], e["raw_line"]
         two = F.size(tab) == 2
-        raw = F.when(two, F.concat(F.array(F.get(tab, 0)), F.split(F.get(tab, 1), ",", -1))).otherwise(tab)
-        n_quotes = F.length(e["raw_line"]) - F.length(F.regexp_replace(e["raw_line"], '"', ""))
-        return F.struct(e["raw_line"].alias("raw_line"), tab.alias("tab"), two.alias("two"),
-                        raw.alias("raw"), (n_quotes % 2 == 1).alias("odd"))
+        surface, feats = F.get(tab, 0), F.get(tab, 1)
+        n_raw = F.when(two, _count(feats, ",") + 2).otherwise(F.size(tab))
+        fixed = (
+            F.when(~two, tab)
+            .when(n_raw == N_LEVELS, F.concat(F.array(surface), F.split(feats, ",", -1)))
+            .otherwise(F.concat(F.array(surface), quote_aware_split(feats)))
+        )
+        unclosed = (n_raw != N_LEVELS) & (_count(line, '"') % 2 == 1)
+        return F.struct(line.alias("raw_line"), fixed.alias("fixed"), unclosed.alias("unclosed"))
 
     def stage3(e):
-        quoted = F.when(e["two"], F.concat(F.array(F.get(e["tab"], 0)),
-                                           quote_aware_split(F.get(e["tab"], 1)))).otherwise(e["tab"])
-        needs_repair = F.size(e["raw"]) != N_LEVELS
-        return F.struct(e["raw_line"].alias("raw_line"),
-                        F.when(needs_repair, quoted).otherwise(e["raw"]).alias("fixed"),
-                        (needs_repair & e["odd"]).alias("unclosed"))
-
-    def stage4(e):
         fixed = e["fixed"]
         short = (F.size(fixed) == SHORT_TOKEN_SIZE) & (
             F.get(fixed, 2).isin(*PAD_IF_FIELD_2) | F.get(fixed, 1).isin(*PAD_IF_FIELD_1))
@@ -99,15 +106,13 @@ def parse_lines(lines: Column) -> Column:
             .when(F.get(fixed, 0) == F.lit(EOS), F.array_repeat(F.lit(EOS), N_LEVELS))
             .when(short, F.concat(fixed, F.array_repeat(F.lit(""), N_LEVELS - SHORT_TOKEN_SIZE)))
         )
-        return F.struct(e["raw_line"].alias("raw_line"), normal.alias("normal"), e["unclosed"].alias("unclosed"))
-
-    def stage5(e):
+        known = (F.size(fixed) == N_LEVELS) | (F.get(fixed, 0) == F.lit(EOS)) | short
         reason = (F.when(e["unclosed"], F.lit("unclosed_quote"))
-                  .when(e["normal"].isNull(), F.lit("unknown_type")))
+                  .when(~known, F.lit("unknown_type")))
         return F.struct(e["raw_line"].alias("raw_line"),
-                        F.when(~e["unclosed"], e["normal"]).alias("fields"), reason.alias("reason"))
+                        F.when(~e["unclosed"], normal).alias("fields"), reason.alias("reason"))
 
-    return F.transform(F.transform(F.transform(F.transform(s1, stage2), stage3), stage4), stage5)
+    return F.transform(F.transform(s1, stage2), stage3)
 
 
 def parse_analyser_output(df: DataFrame, col: str = "analysis",
