@@ -75,7 +75,7 @@ def test_centre_word_and_slots(nine):
     rows = _centre_rows(cw)
     assert [len(s) for s in rows] == [16, 11, 17, 18, 18, 21, 28, 22, 15]
     assert all(s[0] == "ばかり" and s[1] in ("で", "か") for s in rows)
-    freq = align.slot_frequency(cw, list(nine.keys), [0], nine.n_sentences())
+    freq = align.slot_frequency(cw, list(nine.keys), [0])
     got = {}
     for r in freq.collect():
         got.setdefault(r.rel_pos, {})[r.value] = r.n

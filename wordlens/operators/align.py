@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordlens.functions.arrays import first_position
+from wordlens.session import cut_lineage
 from wordlens.sources.corpus import Corpus
 
 
@@ -89,22 +90,36 @@ def recentred_corpus(corpus: Corpus, word: str, level: int = 0) -> Corpus:
     return corpus.with_df(df)
 
 
+def _slot_items(lv: int) -> Column:
+    return F.transform(f"l{lv}", lambda x, i: F.struct(
+        F.lit(lv).alias("level"), i.alias("rel_pos"), x.alias("value")))
+
+
+def _slot_rows(centred: DataFrame, keys: Sequence[str], levels: Sequence[int],
+               markers: bool = False) -> DataFrame:
+    """One generator over all levels (one read of ``centred``).
+
+    With ``markers`` every sentence also yields one row per level with
+    ``rel_pos = -1``: counting them gives the number of sentences in the
+    same aggregation.
+    """
+    items = [_slot_items(lv) for lv in levels]
+    if markers:
+        items.append(F.array(*[F.struct(F.lit(lv).alias("level"), F.lit(-1).alias("rel_pos"),
+                                         F.lit(None).cast("string").alias("value")) for lv in levels]))
+    return (centred.select(*keys, F.explode_outer(F.concat(*items)).alias("_s"))
+            .where(F.col("_s").isNotNull())
+            .select(F.col("_s.level").alias("level"), F.col("_s.rel_pos").cast("int").alias("rel_pos"),
+                    *keys, F.col("_s.value").alias("value")))
+
+
 def slot_values(centred: DataFrame, keys: Sequence[str], levels: Sequence[int]) -> DataFrame:
     """W8 (long form): ``level, rel_pos``, keys, ``value`` for every aligned token.
 
     Input: sentence-form arrays ``l<level>`` (e.g. from W6).  Missing
     slots are simply absent rows (the reference fills them with ``None``).
     """
-    parts = [
-        centred.select(F.lit(lv).alias("level"), *keys,
-                       F.posexplode_outer(f"l{lv}").alias("rel_pos", "value"))
-        .where(F.col("rel_pos").isNotNull())
-        for lv in levels
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("level", F.col("rel_pos").cast("int").alias("rel_pos"), *keys, "value")
+    return _slot_rows(centred, keys, levels)
 
 
 def element_counts(df: DataFrame, col: str, out: str = "n") -> DataFrame:
@@ -112,20 +127,30 @@ def element_counts(df: DataFrame, col: str, out: str = "n") -> DataFrame:
     return df.groupBy(col).agg(F.count(F.lit(1)).alias(out))
 
 
-def slot_frequency(centred: DataFrame, keys: Sequence[str], levels: Sequence[int],
-                   n_sentences: Column) -> DataFrame:
+def slot_frequency(centred: DataFrame, keys: Sequence[str], levels: Sequence[int]) -> DataFrame:
     """A10: per ``(level, rel_pos)`` the number of sentences per value.
 
     Includes the reference's ``None`` padding: each slot gets a NULL count of
     ``n_sentences - sentences reaching the slot`` (merged with genuine NULL
-    values), so every slot sums to ``n_sentences``.  Slots run up to the
-    longest aligned sentence.  Two aggregations over already-aggregated
-    counts after the first; padding is never materialised.
+    values), so every slot sums to the number of sentences of ``centred``
+    (all sentences, also those the word is missing from).  Slots run up to
+    the longest aligned sentence.
+
+    One pass: the slot rows and one marker row per sentence and level go
+    through a single aggregation, checkpointed; slot totals and sentence
+    counts are then read from that aggregated table and joined on
+    ``level``.  Padding is never materialised.
     """
-    rows = slot_values(centred, keys, levels)
-    counts = rows.groupBy("level", "rel_pos", "value").agg(F.count(F.lit(1)).alias("n"))
-    totals = counts.groupBy("level", "rel_pos").agg(F.sum("n").alias("_tot"))
-    pads = totals.select("level", "rel_pos", F.lit(None).cast("string").alias("value"),
-                         (n_sentences - F.col("_tot")).alias("n")).where(F.col("n") > 0)
-    return (counts.unionByName(pads)
+    # checkpointed: the three reads below would otherwise each get their own
+    # pushed-down filter and recompute the aggregation from the corpus
+    counts = cut_lineage(_slot_rows(centred, keys, levels, markers=True)
+                         .groupBy("level", "rel_pos", "value").agg(F.count(F.lit(1)).alias("n")))
+    n_sent = counts.where(F.col("rel_pos") == -1).select("level", F.col("n").alias("_ns"))
+    real = counts.where(F.col("rel_pos") >= 0)
+    totals = real.groupBy("level", "rel_pos").agg(F.sum("n").alias("_tot"))
+    pads = (totals.join(F.broadcast(n_sent), "level")  # one row per level
+            .select("level", "rel_pos", F.lit(None).cast("string").alias("value"),
+                    (F.col("_ns") - F.col("_tot")).alias("n"))
+            .where(F.col("n") > 0))
+    return (real.unionByName(pads)
             .groupBy("level", "rel_pos", "value").agg(F.sum("n").cast("long").alias("n")))

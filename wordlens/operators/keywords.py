@@ -278,8 +278,9 @@ def main_element(corpus: Corpus, level: int = 0, share: float = 1.0) -> DataFram
     ``binary >= share * n_sentences`` and ``count == binary``; ``share=1``
     is the reference's "binary equals the number of sentences".
     """
-    stats = keyword_stats(corpus, level)
-    n = corpus.n_sentences()
+    # one pass: statistics checkpointed, sentence count summed from them
+    stats = cut_lineage(_stats(stat_rows(corpus, level), corpus, [], False, keep_n0=True))
+    n = F.lit(stats.agg(F.coalesce(F.sum("_n0"), F.lit(0))).first()[0])
     return (
         stats
         .where((F.col("binary") >= n * F.lit(float(share)))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from wordlens.functions.arrays import ragged_transpose as _ragged_transpose
 from wordlens.functions.arrays import trim_pad
+from wordlens.session import cut_lineage
 from wordlens.sources.corpus import Corpus
 
 
@@ -38,35 +39,45 @@ def axes_moved_counts(corpus: Corpus, levels: Sequence[int] = (0,)) -> DataFrame
     last token and then reads, for each position and field, the values of
     all sentences.  Counts per ``(pos, level, value)``: the real tokens,
     plus for each sentence its last value once for every position past its
-    end.  The padding part is computed from the histogram of
-    ``(length, last value)`` with a running sum, one row per slot and
-    value -- bounded by the longest sentence, not by the corpus.
+    end.
+
+    One pass: token rows and one ``(length, last value)`` marker per
+    sentence and level come out of a single generator into one aggregation.
+    The padding is then derived from the marker histogram with a running
+    sum -- one row per slot and value, bounded by the longest sentence and
+    the distinct last values, not by the corpus.
     """
-    rows = []
-    for lv in levels:
-        arr = corpus.level_array(lv)
-        base = corpus.df.select("n_tokens", arr.alias("_a"))
-        real = (base.select(F.posexplode_outer("_a").alias("pos", "value"))
-                .where(F.col("pos").isNotNull())
-                .groupBy("pos", "value").agg(F.count(F.lit(1)).alias("n")))
-        longest = corpus.df.agg(F.max("n_tokens")).scalar()
-        hist = (base.where(F.col("n_tokens") > 0)
-                .groupBy(F.col("n_tokens").alias("len"), F.element_at("_a", -1).alias("value"))
-                .agg(F.count(F.lit(1)).alias("c")))
-        w = Window.partitionBy("value").orderBy("len")
-        steps = hist.select(
-            "value", "len",
-            F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("cum"),
-            F.coalesce(F.lead("len").over(w), longest).alias("next_len"))
-        pads = (steps.where(F.col("len") < F.col("next_len"))
-                .select("value", "cum", F.explode(F.sequence("len", F.col("next_len") - 1)).alias("pos"))
-                .select("pos", "value", F.col("cum").alias("n")))
-        both = (real.unionByName(pads).groupBy("pos", "value").agg(F.sum("n").cast("long").alias("n")))
-        rows.append(both.select(F.col("pos").cast("int").alias("pos"), F.lit(lv).alias("level"), "value", "n"))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    def tokens(lv: int) -> Column:
+        return F.transform(f"_a{lv}", lambda x, i: F.struct(
+            F.lit(False).alias("marker"), F.lit(lv).alias("level"), i.alias("pos"), x.alias("value")))
+
+    def marker(lv: int) -> Column:
+        return F.when(F.col("n_tokens") > 0, F.array(F.struct(
+            F.lit(True).alias("marker"), F.lit(lv).alias("level"), F.col("n_tokens").alias("pos"),
+            F.element_at(f"_a{lv}", -1).alias("value")))).otherwise(F.array())
+
+    base = corpus.df.select("n_tokens", *[corpus.level_array(lv).alias(f"_a{lv}") for lv in levels])
+    items = F.concat(*[tokens(lv) for lv in levels], *[marker(lv) for lv in levels])
+    # checkpointed: both reads below would otherwise recompute it from the corpus
+    counts = cut_lineage(
+        base.select(F.explode_outer(items).alias("_r")).where(F.col("_r").isNotNull())
+        .select("_r.marker", "_r.level", F.col("_r.pos").cast("int").alias("pos"), "_r.value")
+        .groupBy("marker", "level", "pos", "value").agg(F.count(F.lit(1)).alias("n")))
+    real = counts.where(~F.col("marker")).drop("marker")
+    hist = counts.where(F.col("marker")).select("level", F.col("pos").alias("len"), "value", F.col("n").alias("c"))
+    # the histogram has one row per (level, length, last value): bounded by the longest sentence
+    w = Window.partitionBy("level", "value").orderBy("len")
+    steps = hist.select(
+        "level", "value", "len",
+        F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("cum"),
+        F.lead("len").over(w).alias("_next"),
+        F.max("len").over(Window.partitionBy("level")).alias("_longest"))
+    pads = (steps.select("level", "value", "len", "cum", F.coalesce("_next", "_longest").alias("next_len"))
+            .where(F.col("len") < F.col("next_len"))
+            .select("level", "value", "cum", F.explode(F.sequence("len", F.col("next_len") - 1)).alias("pos"))
+            .select("level", "pos", "value", F.col("cum").alias("n")))
+    both = real.unionByName(pads).groupBy("pos", "level", "value").agg(F.sum("n").cast("long").alias("n"))
+    return both.select(F.col("pos").cast("int").alias("pos"), "level", "value", "n")
 
 
 def axes_moved(corpus: Corpus, levels: Sequence[int] = (0,)) -> DataFrame:

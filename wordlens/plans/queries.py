@@ -232,7 +232,7 @@ def q_slot_values(spark, sf_dir):
 def q_slot_frequency(spark, sf_dir):
     c = documents_corpus(spark, sf_dir)
     centred = align.centre_word(c, P.WORD, levels=[0, 1])
-    return align.slot_frequency(centred, KEYS, [0, 1], c.n_sentences())
+    return align.slot_frequency(centred, KEYS, [0, 1])
 
 
 def q_element_counts(spark, sf_dir):
