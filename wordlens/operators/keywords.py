@@ -69,24 +69,28 @@ def stat_rows(corpus: Corpus, level: int | Sequence[int] = 0) -> DataFrame:
                                .otherwise(F.col(f"_lv{lv}")))
         base = with_term_profile(base, f"_long{lv}", f"_prof{lv}").drop(f"_long{lv}")
 
+    multi = not isinstance(level, int)
+
+    def tag(lv: int) -> list[Column]:
+        return [F.lit(lv).alias("level")] if multi else []
+
     def direct(lv: int) -> Column:
         arr = f"_lv{lv}"
         return F.transform(arr, lambda x, i: F.struct(
-            F.lit(lv).alias("level"), x.alias("term"), (F.array_position(arr, x) == i + 1).alias("first"),
+            *tag(lv), x.alias("term"), (F.array_position(arr, x) == i + 1).alias("first"),
             F.lit(1).cast("long").alias("tf"), i.alias("pos")))
 
     def runs(lv: int) -> Column:
         return F.transform(f"_prof{lv}", lambda e: F.struct(
-            F.lit(lv).alias("level"), e["term"].alias("term"), F.lit(True).alias("first"),
+            *tag(lv), e["term"].alias("term"), F.lit(True).alias("first"),
             e["tf"].cast("long").alias("tf"), e["fp"].alias("pos")))
 
     items = F.when(short, F.concat(*[direct(lv) for lv in levels])).otherwise(F.concat(*[runs(lv) for lv in levels]))
-    out = (base.select(*corpus.keys, "n_tokens", F.explode_outer(items).alias("_r"))
-           .where(F.col("_r").isNotNull() & F.col("_r.term").isNotNull())
-           .select(*corpus.keys, "n_tokens", F.col("_r.level").alias("level"), F.col("_r.term").alias("term"),
-                   F.col("_r.first").alias("first"), F.col("_r.tf").alias("tf"),
-                   F.col("_r.pos").cast("int").alias("pos")))
-    return out.drop("level") if isinstance(level, int) else out
+    return (base.select(*corpus.keys, "n_tokens", F.explode_outer(items).alias("_r"))
+            .where(F.col("_r").isNotNull() & F.col("_r.term").isNotNull())
+            .select(*corpus.keys, "n_tokens", *([F.col("_r.level").alias("level")] if multi else []),
+                    F.col("_r.term").alias("term"), F.col("_r.first").alias("first"),
+                    F.col("_r.tf").alias("tf"), F.col("_r.pos").cast("int").alias("pos")))
 
 
 def _packable(corpus: Corpus) -> bool:
