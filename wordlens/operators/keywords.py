@@ -317,6 +317,10 @@ def sort_keywords(corpus: Corpus, field: str = "binary", descending: bool = True
     return ranked.withColumn("sort_rank", F.col("sort_rank") + 1)
 
 
+#: below this threshold (percent) the report is ranked with a distributed sort
+SMALL_REPORT_MIN_PERCENT = 1.0
+
+
 def keyword_report(corpus: Corpus, percent_limit: float, level: int = 0) -> DataFrame:
     """T2, the flagship keyword report.
 
@@ -338,12 +342,15 @@ def keyword_report(corpus: Corpus, percent_limit: float, level: int = 0) -> Data
     p = float(percent_limit)
     kept = stats.where((F.col("quote") >= F.lit(p / 100.0))
                        & (F.col("binary") > n * F.lit(p) / F.lit(100.0)))
+    order = [F.col("binary").desc(), F.col("first_seen").asc()]
+    cols = ["term", "binary", "count", "quote", "pos_index", "pct_index"]
+    if p < SMALL_REPORT_MIN_PERCENT:
+        # the filter no longer bounds the result usefully: rank it distributed
+        ranked = global_index(kept, order, "_idx")
+        return ranked.select((F.col("_idx") + 1).cast("int").alias("rank"), *cols)
+    # at most avg_sentence_length * 100 / p rows: one task ranks them
     from pyspark.sql import Window
-    w = Window.orderBy(F.col("binary").desc(), F.col("first_seen").asc())
-    return kept.select(
-        F.row_number().over(w).alias("rank"),
-        "term", "binary", "count", "quote", "pos_index", "pct_index",
-    )
+    return kept.select(F.row_number().over(Window.orderBy(*order)).alias("rank"), *cols)
 
 
 def keyword_drilldown(corpus: Corpus, report: DataFrame, rank: int | None = None,
