@@ -61,7 +61,9 @@ def stat_rows(corpus: Corpus, level: int | Sequence[int] = 0) -> DataFrame:
     rows of all levels come out of the same single generator (one read of
     the corpus) and carry a ``level`` column.  Narrow.
     """
-    levels = [level] if isinstance(level, int) else list(level)
+    if isinstance(level, int):
+        return _stat_rows_one_level(corpus, level)
+    levels = list(level)
     base = corpus.df.select(*corpus.keys, "n_tokens", *[corpus.level_array(lv).alias(f"_lv{lv}") for lv in levels])
     short = F.col("n_tokens") <= DIRECT_SCAN_MAX
     for lv in levels:
@@ -93,6 +95,37 @@ def stat_rows(corpus: Corpus, level: int | Sequence[int] = 0) -> DataFrame:
                     F.col("_r.tf").alias("tf"), F.col("_r.pos").cast("int").alias("pos")))
 
 
+def _stat_rows_one_level(corpus: Corpus, level: int) -> DataFrame:
+    """:func:`stat_rows` for one level: a plain ``posexplode`` of the tokens.
+
+    The first-occurrence test runs after the explode as a compiled
+    expression: short sentences carry their (bounded) token array and use
+    ``array_position``; long sentences carry a boolean array marking the
+    run starts of the sort-based profile (one byte per token, read with
+    ``get``), so no sentence pays quadratic string comparisons.
+    """
+    lv = corpus.level_array(level)
+    empty_s, empty_b = F.array().cast("array<string>"), F.array().cast("array<boolean>")
+    base = corpus.df.select(*corpus.keys, "n_tokens", lv.alias("_lv"))
+    short = F.col("n_tokens") <= DIRECT_SCAN_MAX
+    base = base.withColumn("_long", F.when(short, empty_s).otherwise(F.col("_lv")))
+    base = with_term_profile(base, "_long", "_prof")
+    base = base.withColumn("_starts", F.map_from_arrays(
+        F.transform("_prof", lambda e: e["fp"]), F.array_repeat(F.lit(True), F.size("_prof"))))
+    base = base.select(
+        *corpus.keys, "n_tokens", "_lv",
+        F.when(short, F.col("_lv")).otherwise(empty_s).alias("_lvs"),
+        F.when(short, empty_b).otherwise(F.transform(
+            "_lv", lambda x, i: F.coalesce(F.element_at(F.col("_starts"), i), F.lit(False)))).alias("_firsts"))
+    rows = (base.select(*corpus.keys, "n_tokens", "_lvs", "_firsts",
+                        F.posexplode_outer("_lv").alias("pos", "term"))
+            .where(F.col("pos").isNotNull() & F.col("term").isNotNull()))
+    first = (F.when(F.col("n_tokens") <= DIRECT_SCAN_MAX, F.array_position("_lvs", F.col("term")) == F.col("pos") + 1)
+             .otherwise(F.get(F.col("_firsts"), F.col("pos"))))
+    return rows.select(*corpus.keys, "n_tokens", "term", first.alias("first"),
+                       F.lit(1).cast("long").alias("tf"), F.col("pos").cast("int").alias("pos"))
+
+
 def _packable(corpus: Corpus) -> bool:
     if len(corpus.keys) != 2:
         return False
