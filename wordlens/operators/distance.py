@@ -44,8 +44,7 @@ def distance(corpus: Corpus, words: Sequence[str], level: int = 0,
         F.transform("_P", lambda p: F.when(F.size(p) > 0, p).otherwise(F.array(F.lit(ABSENT)))).alias("_F"),
         F.aggregate("_P", F.lit(1).cast("decimal(38,0)"),
                     lambda acc, p: F.when(F.size(p) > 0, F.try_multiply(acc, F.size(p).cast("decimal(38,0)")))
-                    .otherwise(acc)).alias("_C"),
-        F.transform("_P", lambda p: F.size(p) > 0).alias("_present"),
+                    .otherwise(acc)).alias("_C"),  # NULL if the product overflows decimal(38)
     )
     # outer generators + null filters (no inferred filters re-running the arrays)
     i_rows = (staged.select(*corpus.keys, "_F", "_C", F.posexplode_outer("_F").alias("i", "_Fi"))
