@@ -184,7 +184,7 @@ def global_index(df: DataFrame, order: Sequence[Column], name: str = "idx") -> D
 
 def vocabulary_index(corpus: Corpus, level: int = 0) -> DataFrame:
     """A5: ``(term, idx)``, 0-based dense index in code-point order (see :func:`global_index`)."""
-    terms = profile_rows(corpus, level).select("term").distinct()
+    terms = stat_rows(corpus, level).where(F.col("first")).select("term").distinct()
     return global_index(terms, [F.col("term").asc()], "idx").select("term", "idx")
 
 
