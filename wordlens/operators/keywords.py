@@ -95,7 +95,7 @@ def stat_rows(corpus: Corpus, level: int | Sequence[int] = 0) -> DataFrame:
                     F.col("_r.tf").alias("tf"), F.col("_r.pos").cast("int").alias("pos")))
 
 
-def _stat_rows_one_level(corpus: Corpus, level: int) -> DataFrame:
+def _stat_rows_one_level(corpus: Corpus, level: int, sentence_tf: bool = False) -> DataFrame:
     """:func:`stat_rows` for one level: a plain ``posexplode`` of the tokens.
 
     The first-occurrence test runs after the explode as a compiled
@@ -110,20 +110,28 @@ def _stat_rows_one_level(corpus: Corpus, level: int) -> DataFrame:
     short = F.col("n_tokens") <= DIRECT_SCAN_MAX
     base = base.withColumn("_long", F.when(short, empty_s).otherwise(F.col("_lv")))
     base = with_term_profile(base, "_long", "_prof")
+    # run starts of long sentences: first position -> occurrences in the sentence
     base = base.withColumn("_starts", F.map_from_arrays(
-        F.transform("_prof", lambda e: e["fp"]), F.array_repeat(F.lit(True), F.size("_prof"))))
+        F.transform("_prof", lambda e: e["fp"]), F.transform("_prof", lambda e: e["tf"])))
     base = base.select(
         *corpus.keys, "n_tokens", "_lv",
         F.when(short, F.col("_lv")).otherwise(empty_s).alias("_lvs"),
-        F.when(short, empty_b).otherwise(F.transform(
-            "_lv", lambda x, i: F.coalesce(F.element_at(F.col("_starts"), i), F.lit(False)))).alias("_firsts"))
-    rows = (base.select(*corpus.keys, "n_tokens", "_lvs", "_firsts",
+        F.when(short, F.array().cast("array<int>")).otherwise(F.transform(
+            "_lv", lambda x, i: F.coalesce(F.element_at(F.col("_starts"), i), F.lit(0)))).alias("_runs"))
+    rows = (base.select(*corpus.keys, "n_tokens", "_lvs", "_runs",
                         F.posexplode_outer("_lv").alias("pos", "term"))
             .where(F.col("pos").isNotNull() & F.col("term").isNotNull()))
-    first = (F.when(F.col("n_tokens") <= DIRECT_SCAN_MAX, F.array_position("_lvs", F.col("term")) == F.col("pos") + 1)
-             .otherwise(F.get(F.col("_firsts"), F.col("pos"))))
-    return rows.select(*corpus.keys, "n_tokens", "term", first.alias("first"),
-                       F.lit(1).cast("long").alias("tf"), F.col("pos").cast("int").alias("pos"))
+    is_short = F.col("n_tokens") <= DIRECT_SCAN_MAX
+    first = (F.when(is_short, F.array_position("_lvs", F.col("term")) == F.col("pos") + 1)
+             .otherwise(F.get(F.col("_runs"), F.col("pos")) > 0))
+    cols = [*corpus.keys, "n_tokens", "term", first.alias("first"),
+            F.lit(1).cast("long").alias("tf"), F.col("pos").cast("int").alias("pos")]
+    if sentence_tf:
+        # occurrences of the term in its sentence (meaningful on first-occurrence rows)
+        occ = (F.when(is_short, F.size("_lvs") - F.size(F.array_remove("_lvs", F.col("term"))))
+               .otherwise(F.get(F.col("_runs"), F.col("pos"))))
+        cols.append(occ.cast("long").alias("sentence_tf"))
+    return rows.select(*cols)
 
 
 def _packable(corpus: Corpus) -> bool:
@@ -152,8 +160,13 @@ def appearance_key(corpus: Corpus, pos: Column) -> Column:
 
 
 def term_counts(corpus: Corpus, level: int = 0) -> DataFrame:
-    """A4: sentence-term counts ``(keys, term, tf)``, EOS included. No shuffle."""
-    return profile_rows(corpus, level).select(*corpus.keys, "term", "tf")
+    """A4: sentence-term counts ``(keys, term, tf)``, EOS included. No shuffle.
+
+    One row per first occurrence; short sentences count with a compiled
+    ``array_remove``, long ones read the count of the sorted run.
+    """
+    rows = _stat_rows_one_level(corpus, level, sentence_tf=True).where(F.col("first"))
+    return rows.select(*corpus.keys, "term", F.col("sentence_tf").alias("tf"))
 
 
 def global_index(df: DataFrame, order: Sequence[Column], name: str = "idx") -> DataFrame:
