@@ -35,3 +35,13 @@ def test_no_cartesian_or_nested_loop(spark, name):
     p = plan(QUERIES[name](spark, SF))
     assert "CartesianProduct" not in p
     assert "BroadcastNestedLoopJoin" not in p
+
+
+def test_no_rebalance_for_many_partitions(spark):
+    from wordlens.sources.corpus import build_corpus
+    slots = spark.sparkContext.defaultParallelism
+    docs = spark.read.parquet(f"{SF}/documents.parquet").repartition(slots * 2)
+    p = plan(build_corpus(docs).df)
+    assert p.count("RoundRobinPartitioning(") == 1   # only the caller's own repartition
+    single = spark.read.parquet(f"{SF}/documents.parquet").coalesce(1)
+    assert "RoundRobinPartitioning(" in plan(build_corpus(single).df)
