@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordlens.llm import packing
+from wordlens.llm import packing, rans
+from wordlens.llm.common import scratch_path
 from wordlens.session import read_table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -20,8 +21,15 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces)
 
 
+def op10_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "rans")
+    rans.write(read_table(spark, sf_dir, "documents"), path, WORD_TOKENIZER)
+    return rans.read(spark, path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op10_token_binary": op10_token_binary,
 }
 
 ORACLE: dict[str, str] = {}
