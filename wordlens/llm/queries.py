@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordlens.llm import packing, rans
+from wordlens.llm import bpe, packing, rans
 from wordlens.llm.common import scratch_path
 from wordlens.session import read_table
 
@@ -21,6 +21,12 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces)
 
 
+def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.encode_decode(read_table(spark, sf_dir, "documents"), BYTE_TOKENIZER)
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def op10_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "rans")
     rans.write(read_table(spark, sf_dir, "documents"), path, WORD_TOKENIZER)
@@ -29,6 +35,7 @@ def op10_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op4_bpe_codec": op4_bpe_codec,
     "op10_token_binary": op10_token_binary,
 }
 

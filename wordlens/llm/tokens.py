@@ -55,16 +55,15 @@ class _Codes(dict):
         return code
 
 
-class ChunkEncoder:
-    """Encode texts with a white-space-dropping, lower-casing ``tokenizers`` file."""
+class PieceEncoder:
+    """Ids of texts whose pieces are encoded one by one; pieces seen before are looked
+    up (at most ``max_entries`` are kept; then it starts afresh).
 
-    def __init__(self, path: str, max_entries: int = 1_000_000):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
+    A subclass cuts a text (``chunks``) and gives the ids of new pieces (``new_ids``).
+    """
+
+    def __init__(self, max_entries: int = 1_000_000):
         self.max_entries = max_entries
-        self.tails: dict[str, list[int]] = {"": []}
         self._clear()
 
     def _clear(self) -> None:
@@ -74,8 +73,57 @@ class ChunkEncoder:
         self.start = np.zeros(0, np.int64)
         self.length = np.zeros(0, np.int64)
 
-    @staticmethod
-    def chunks(text: str) -> list[str]:
+    def chunks(self, text: str) -> list[str]:
+        raise NotImplementedError
+
+    def new_ids(self, pieces: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """(pieces in any order, number of ids of each, all ids)."""
+        raise NotImplementedError
+
+    def _learn(self) -> None:
+        pieces, lengths, flat = self.new_ids(self.codes.new)
+        self.codes.new = []
+        more = np.zeros(len(self.codes) - len(self.start), np.int64)
+        self.start, self.length = np.concatenate([self.start, more]), np.concatenate([self.length, more])
+        self._store(np.fromiter(map(self.codes.__getitem__, pieces), np.int64, len(pieces)), lengths, flat)
+
+    def _store(self, where: np.ndarray, lengths: np.ndarray, flat: np.ndarray) -> None:
+        while self.used + len(flat) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(len(self.flat), np.uint32)])
+        self.flat[self.used:self.used + len(flat)] = flat
+        self.start[where] = self.used + np.cumsum(lengths) - lengths
+        self.length[where] = lengths
+        self.used += len(flat)
+
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after the other, number of ids of each text)."""
+        if len(self.codes) > self.max_entries:
+            self._clear()
+        parts = [self.chunks(t) if t else [] for t in texts]
+        ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
+        total = int(ends[-1]) if len(ends) else 0
+        codes = np.fromiter(map(self.codes.__getitem__, chain.from_iterable(parts)), np.int64, total)
+        del parts
+        if self.codes.new:
+            self._learn()
+        lengths = self.length[codes]
+        ids = self.flat[ranges(self.start[codes], lengths)]
+        upto = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], ends]).astype(np.int64)]
+        return ids, np.diff(upto)
+
+
+class ChunkEncoder(PieceEncoder):
+    """Encode texts with a white-space-dropping, lower-casing ``tokenizers`` file."""
+
+    def __init__(self, path: str, max_entries: int = 1_000_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.library = Tokenizer.from_file(path)
+        self.library.no_truncation()
+        self.library.no_padding()
+        self.tails: dict[str, list[int]] = {"": []}
+        super().__init__(max_entries)
+
+    def chunks(self, text: str) -> list[str]:
         if any(c in text for c in _CONTROLS):
             return [c for c in _SPACE.split(text) if c]
         if "<|" not in text:  # lower-casing could make a special token of other letters
@@ -97,49 +145,19 @@ class ChunkEncoder:
             self.tails[marks] = self.library.encode(marks, add_special_tokens=False).ids
         return self.tails[marks]
 
-    def _learn(self) -> None:
-        """Ids of the new chunks.  Runs of lower-case Latin letters go to the library's
-        model directly; the punctuation after one is a piece of its own; the library encodes
-        all other chunks whole."""
-        codes, new = self.codes, self.codes.new
-        codes.new = []
+    def new_ids(self, pieces: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Runs of lower-case Latin letters go to the library's model directly; the
+        punctuation after one is a piece of its own; the library encodes the rest whole."""
         ids, odd = {}, []
-        for chunk in new:
+        for chunk in pieces:
             core = chunk.rstrip(punctuation)
             if core.isalpha() and core.islower() and (core.isascii() or _latin(core)):
                 ids[chunk] = self._word(core) + self._tail(chunk[len(core):])
             else:
                 odd.append(chunk)
         ids.update(zip(odd, (e.ids for e in self.library.encode_batch_fast(odd, add_special_tokens=False)), strict=True))
-        n = len(codes)
-        self.start, self.length = (np.concatenate([a, np.zeros(n - len(a), np.int64)]) for a in (self.start, self.length))
-        where = np.fromiter(map(codes.__getitem__, ids), np.int64, len(ids))
-        self._store(where, np.fromiter(map(len, ids.values()), np.int64, len(ids)),
-                    np.fromiter(chain.from_iterable(ids.values()), np.uint32))
-
-    def _store(self, where: np.ndarray, lengths: np.ndarray, flat: np.ndarray) -> None:
-        while self.used + len(flat) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros(len(self.flat), np.uint32)])
-        self.flat[self.used:self.used + len(flat)] = flat
-        self.start[where] = self.used + np.cumsum(lengths) - lengths
-        self.length[where] = lengths
-        self.used += len(flat)
-
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts one after the other, number of ids of each text)."""
-        if len(self.codes) > self.max_entries:
-            self._clear()
-        parts = [self.chunks(t) if t else [] for t in texts]
-        ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
-        total = int(ends[-1]) if len(ends) else 0
-        codes = np.fromiter(map(self.codes.__getitem__, chain.from_iterable(parts)), np.int64, total)
-        del parts
-        if self.codes.new:
-            self._learn()
-        lengths = self.length[codes]
-        ids = self.flat[ranges(self.start[codes], lengths)]
-        upto = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], ends]).astype(np.int64)]
-        return ids, np.diff(upto)
+        return (list(ids), np.fromiter(map(len, ids.values()), np.int64, len(ids)),
+                np.fromiter(chain.from_iterable(ids.values()), np.uint32))
 
 
 _ENCODERS: dict[str, ChunkEncoder] = {}
