@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordlens.llm import bpe, packing, rans
+from wordlens.llm import ann, bpe, packing, rans, warc
 from wordlens.llm.common import scratch_path
 from wordlens.session import read_table
 
@@ -27,6 +27,19 @@ def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op5_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write(read_table(spark, sf_dir, "pages"), path)
+    refers = F.nullif(warc.field("WARC-Refers-To"), F.lit(""))
+    return warc.records(spark, path).select(
+        "page_id", "payload_bytes", F.col("digest").alias("payload_digest"), warc.field("WARC-Type").alias("record_type"),
+        F.regexp_extract(refers, "^<urn:page:(.*)>$", 1).cast("long").alias("refers_to"))
+
+
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op10_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "rans")
     rans.write(read_table(spark, sf_dir, "documents"), path, WORD_TOKENIZER)
@@ -36,7 +49,31 @@ def op10_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op4_bpe_codec": op4_bpe_codec,
+    "op5_warc_archive": op5_warc_archive,
+    "op6_nearest_neighbours": op6_nearest_neighbours,
     "op10_token_binary": op10_token_binary,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_nearest_neighbours": """
+WITH v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+d AS (
+  SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_reduce(
+           list_transform(list_zip(q.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])), lambda a, b: a + b)) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM d)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10""",
+    "op5_warc_archive": """
+WITH p AS (
+  SELECT page_id, sha256(encode(coalesce(html, ''))) AS payload_digest,
+         octet_length(encode(coalesce(html, ''))) AS payload_bytes FROM pages),
+h AS (SELECT payload_digest, min(page_id) AS holder FROM p GROUP BY payload_digest)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN payload_bytes < 100 OR page_id = holder THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN payload_bytes < 100 OR page_id = holder THEN NULL ELSE holder END AS refers_to
+FROM p JOIN h USING (payload_digest)""",
+}
