@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordlens.llm import ann, bpe, packing, rans, warc
+from wordlens.llm import ann, bpe, packing, rans, simhash, warc
 from wordlens.llm.common import scratch_path
 from wordlens.session import read_table
 
@@ -40,6 +40,10 @@ def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), size=4, radius=4)
+
+
 def op10_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "rans")
     rans.write(read_table(spark, sf_dir, "documents"), path, WORD_TOKENIZER)
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe_codec": op4_bpe_codec,
     "op5_warc_archive": op5_warc_archive,
     "op6_nearest_neighbours": op6_nearest_neighbours,
+    "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op10_token_binary": op10_token_binary,
 }
 
