@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordlens.llm import ann, bpe, packing, rans, simhash, warc
+from wordlens.llm import ann, bpe, packing, rans, sharding, simhash, warc
 from wordlens.llm.common import scratch_path
 from wordlens.session import read_table
 
@@ -21,6 +21,15 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces)
 
 
+def op2_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce(F.col("text"), F.lit(""))
+    docs = read_table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), "lang", "source")
+    dimensions = [sharding.text_position(F.col("source")), sharding.text_position(F.col("lang")), F.log1p("size"), F.col("doc_id")]
+    return sharding.shard(docs, F.col("size"), dimensions, shards=16).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode_decode(read_table(spark, sf_dir, "documents"), BYTE_TOKENIZER)
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
@@ -52,6 +61,7 @@ def op10_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_kd_sharding": op2_kd_sharding,
     "op4_bpe_codec": op4_bpe_codec,
     "op5_warc_archive": op5_warc_archive,
     "op6_nearest_neighbours": op6_nearest_neighbours,
