@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordlens.llm import ann, bpe, packing, rans, sharding, simhash, warc
+from wordlens.llm import ann, bpe, packing, quality, rans, sharding, simhash, warc
 from wordlens.llm.common import scratch_path
 from wordlens.session import read_table
 
@@ -49,6 +49,10 @@ def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(read_table(spark, sf_dir, "documents")).drop("_rid", "removed")
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), size=4, radius=4)
 
@@ -65,11 +69,39 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe_codec": op4_bpe_codec,
     "op5_warc_archive": op5_warc_archive,
     "op6_nearest_neighbours": op6_nearest_neighbours,
+    "op7_quality_rules": op7_quality_rules,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op10_token_binary": op10_token_binary,
 }
 
 ORACLE: dict[str, str] = {
+    "op7_quality_rules": r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(source, '') AS host, coalesce(text, '') AS t FROM documents),
+w AS (SELECT rid, word, row_number() OVER (PARTITION BY rid ORDER BY i) AS i, word_len FROM (
+        SELECT rid, unnest(ws) AS word, length(unnest(ws)) AS word_len, generate_subscripts(ws, 1) AS i
+        FROM (SELECT rid, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d))),
+g AS (SELECT rid, i, word AS a, lead(word) OVER o AS b, lead(word, 2) OVER o AS c FROM w WINDOW o AS (PARTITION BY rid ORDER BY i)),
+r AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, a, b, c) AS n FROM g WHERE c IS NOT NULL) WHERE n > 1),
+rw AS (SELECT rid, count(DISTINCT p) AS n_repeat_words FROM (
+         SELECT rid, i AS p FROM r UNION ALL SELECT rid, i + 1 FROM r UNION ALL SELECT rid, i + 2 FROM r) GROUP BY rid),
+ww AS (SELECT rid, count(*) AS n_words, sum(word_len) AS word_chars FROM w GROUP BY rid),
+l AS (SELECT rid, host, t, unnest(string_split(t, chr(10))) AS line FROM d),
+ld AS (SELECT rid, count(*) - count(DISTINCT line) AS n_dup_lines FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY rid),
+n AS (SELECT rid, host, t, trim(regexp_replace(regexp_replace(lower(line), '[0-9]', '0', 'g'), '[\x20\x09\x0B-\x0D]+', ' ', 'g'), ' ') AS line
+      FROM l),
+f AS (SELECT host, line, count(DISTINCT t) AS n FROM n WHERE line <> '' GROUP BY host, line),
+h AS (SELECT host, count(DISTINCT t) AS documents FROM d GROUP BY host),
+often AS (SELECT f.host, f.line FROM f JOIN h USING (host) WHERE f.n > 20 AND f.n > CAST(0.1 AS DOUBLE) * h.documents),
+lost AS (SELECT rid, sum(len(string_split(line, ' '))) AS removed_words FROM n JOIN often USING (host, line) GROUP BY rid),
+s AS (SELECT d.rid, doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,
+        length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+        coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(removed_words, 0) AS removed_words
+      FROM d LEFT JOIN ww USING (rid) LEFT JOIN rw USING (rid) LEFT JOIN ld USING (rid) LEFT JOIN lost USING (rid))
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+       CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, CAST(removed_words AS BIGINT) AS removed_words,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND removed_words <= CAST(0.5 AS DOUBLE) * n_words AS kept
+FROM s""",
     "op6_nearest_neighbours": """
 WITH v AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
