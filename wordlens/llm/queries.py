@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordlens.llm import ann, bpe, packing, quality, rans, sharding, simhash, warc
+from wordlens.llm import ann, bpe, packing, quality, rans, secret_scan, sharding, simhash, warc
 from wordlens.llm.common import scratch_path
 from wordlens.session import read_table
 
@@ -30,6 +30,19 @@ def op2_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.secret_spans(read_table(spark, sf_dir, "documents"))
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def of(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"].isin("assign", "access", "hex"))
+    return found.select("doc_id", of("assign"), of("access"), of("hex"), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
 def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode_decode(read_table(spark, sf_dir, "documents"), BYTE_TOKENIZER)
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
@@ -66,6 +79,7 @@ def op10_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_kd_sharding": op2_kd_sharding,
+    "op3_secret_links": op3_secret_links,
     "op4_bpe_codec": op4_bpe_codec,
     "op5_warc_archive": op5_warc_archive,
     "op6_nearest_neighbours": op6_nearest_neighbours,
