@@ -20,7 +20,7 @@ MOST_PASSES = 60
 
 
 def _smallest(links: DataFrame) -> DataFrame:
-    return links.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+    return links.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
 
 
 def _both(edges: DataFrame) -> DataFrame:

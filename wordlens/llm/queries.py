@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordlens.llm import ann, bpe, packing, quality, rans, secret_scan, sharding, simhash, warc
+from wordlens.llm import ann, bpe, line_dedup, packing, quality, rans, secret_scan, sharding, simhash, warc
 from wordlens.llm.common import scratch_path
 from wordlens.session import read_table
 
@@ -70,6 +70,10 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), size=4, radius=4)
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_matches(read_table(spark, sf_dir, "documents"), threshold=0.8).drop("_rid")
+
+
 def op10_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "rans")
     rans.write(read_table(spark, sf_dir, "documents"), path, WORD_TOKENIZER)
@@ -85,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_nearest_neighbours": op6_nearest_neighbours,
     "op7_quality_rules": op7_quality_rules,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op9_line_dedup": op9_line_dedup,
     "op10_token_binary": op10_token_binary,
 }
 
