@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordlens.llm.common import ranges, scratch, ship, table, text_slices
+from wordlens.llm.common import ranges, scratch, ship, table, text_slices, with_row_id
 from wordlens.llm.components import components, local_roots
 
 SEED = 42
@@ -44,7 +44,7 @@ GAP = re.compile(rb"[\x20\x09-\x0d]+")
 # for a byte: its eight bits, each in an 8-bit lane of its own
 LANE_BITS = np.array([sum((v >> b & 1) << 8 * b for b in range(8)) for v in range(256)], np.uint64)
 
-PRINTS = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+PRINTS = pa.schema([("_rid", pa.int64()), ("doc_id", pa.int64()), ("fp", pa.int64())])
 
 
 def shingle_hashes(text: bytes, size: int) -> list[int]:
@@ -86,15 +86,15 @@ def fingerprints_of(texts: list[str | None], size: int = 4) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, size: int = 4) -> DataFrame:
-    """``doc_id`` and ``fp`` (64 bits as a signed integer) for every row."""
+    """``_rid``, ``doc_id`` and ``fp`` (64 bits as a signed integer) for every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
+            rows, ids, texts = batch.column(0), batch.column(1), batch.column(2).to_pylist()
             for a, b in text_slices(texts):
-                yield table(PRINTS, doc_id=ids.slice(a, b - a), fp=fingerprints_of(texts[a:b], size).view(np.int64))
+                yield table(PRINTS, _rid=rows.slice(a, b - a), doc_id=ids.slice(a, b - a), fp=fingerprints_of(texts[a:b], size).view(np.int64))
 
-    return ship(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
+    return ship(with_row_id(docs)).select("_rid", F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "_rid long, doc_id long, fp long")
 
 
 def close_pairs(a: np.ndarray, b: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -166,13 +166,30 @@ def links(distinct: DataFrame, radius: int, tile_rows: int = 16384) -> DataFrame
     return ship(flat).groupBy("p1", "p2", "q1", "q2").applyInPandas(compare, "a long, b long")
 
 
+def _members(docs: DataFrame, size: int, radius: int, tile_rows: int) -> tuple[DataFrame, DataFrame]:
+    """(``_rid``, ``doc_id``, ``fp`` of every row; ``_fp``, ``root`` of every fingerprint)."""
+    prints = scratch(fingerprints(docs, size), "prints")
+    distinct = scratch(prints.select("fp").distinct(), "distinct")
+    groups = scratch(components(links(distinct, radius, tile_rows)), "groups")
+    return prints, distinct.join(groups, F.col("fp") == F.col("node"), "left").select(F.col("fp").alias("_fp"), F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, size: int = 4, radius: int = 4, tile_rows: int = 16384) -> DataFrame:
     """``doc_id``, ``fingerprint`` and ``component_id`` for every row of ``docs``."""
-    prints = scratch(fingerprints(docs, size), "prints")
-    distinct = scratch(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    groups = scratch(components(links(distinct.select("fp"), radius, tile_rows)), "groups")
-    placed = distinct.join(groups, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    ids = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = placed.select("fp", "root").join(ids, "root").select(F.col("fp").alias("_fp"), "component_id")
+    prints, members = _members(docs, size, radius, tile_rows)
+    least = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    placed = members.join(least, F.col("_fp") == F.col("fp")).select("_fp", "root", "least")
+    ids = placed.groupBy(F.col("root").alias("_root")).agg(F.min("least").alias("component_id"))
+    of = placed.join(ids, F.col("root") == F.col("_root")).select("_fp", "component_id")
     return prints.join(of, F.col("fp") == F.col("_fp")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def first_of_groups(docs: DataFrame, size: int = 4, radius: int = 4, tile_rows: int = 16384) -> DataFrame:
+    """One row of each group of near-duplicates, all columns as they are: that with the
+    smallest ``doc_id`` (null ids last, then the first row)."""
+    prints, members = _members(docs, size, radius, tile_rows)
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_rid")
+    least = prints.groupBy("fp").agg(F.min(place).alias("least"))
+    kept = members.join(least, F.col("_fp") == F.col("fp")).groupBy("root").agg(F.min("least").alias("first")).select(F.col("first._rid").alias("_kept"))
+    return with_row_id(docs).join(kept, F.col("_rid") == F.col("_kept"), "left_semi").select(*docs.columns)
