@@ -71,12 +71,14 @@ def write(pages: DataFrame, path: str, min_revisit: int = 100) -> None:
      .select("page_id", "digest", "record_type", "refers_to", "content_length",
              header(F.col("record_type"), F.col("url"), F.col("page_id"), F.col("refers_to"), F.col("digest"), F.col("content_length"), F.col("payload_bytes")).alias("header"))
      .write.option("compression", "zstd").parquet(f"{path}/records"))
-    # the bytes, of the first holder; repeated rows are together after the join's shuffle
-    wanted = (spark.read.parquet(f"{path}/records").groupBy("digest").agg(F.min("page_id").alias("_holder"))
-              .withColumnRenamed("digest", "_address"))
-    kept = rows.select("page_id", "digest", "payload").join(
-        wanted, (F.col("digest") == F.col("_address")) & F.col("page_id").eqNullSafe(F.col("_holder")), "left_semi")
-    kept.dropDuplicates(["page_id", "digest"]).select("digest", "payload").write.option("compression", "zstd").parquet(f"{path}/payloads")
+    # the bytes, of the first holder; one key for the join and for leaving out repeated
+    # rows, so that payloads are shuffled once
+    def holding(page_id: Column) -> Column:
+        return F.concat_ws(":", "digest", page_id.cast("string")).alias("_key")
+
+    wanted = spark.read.parquet(f"{path}/records").groupBy("digest").agg(F.min("page_id").alias("_holder")).select(holding(F.col("_holder")))
+    kept = rows.select(holding(F.col("page_id")), "digest", "payload").join(wanted, "_key", "left_semi")
+    kept.dropDuplicates(["_key"]).select("digest", "payload").write.option("compression", "zstd").parquet(f"{path}/payloads")
 
 
 def stored_payloads(spark: SparkSession, path: str) -> DataFrame:
