@@ -6,16 +6,17 @@ row, line number), whether or not the earlier one stays.
 
 Jobs
 1. *Lines*: number, place and 64-bit content hash of every line with a word (narrow rows).
-2. *Rarity*: words that make up at least 1/``common`` of all words are counted (map-side
-   first) and sent to the tasks: by that share there are at most ``common`` of them.  All
-   other words are rarer; among themselves they are ordered by hash.
+2. *Rarity*: words that make up at least 1/``common`` of all words are counted and sent to
+   the tasks: by that share there are at most ``common`` of them.  All other words are
+   rarer; among themselves they are ordered by hash.
 3. *Postings*: each task cuts its new lines to their prefix (the rarest words; a match of
    ``t`` shares one of the first ``|x| - ceil(t |x|) + 1``) and sends (word, line, size,
    position, signature).  Postings meet by word, ordered by size; a task streams through
    them, holds only the sizes that the length filter still admits, and applies the length
    filter, the positional filter (words after the shared one bound the overlap) and a bound
-   from 32-bit signatures.  It returns star edges of candidate lines, not pairs.
-4. *Components* of candidates; only their lines' words are fetched (a semi-join by row).
+   from 128-bit signatures.  It returns star edges of candidate lines, not pairs.
+4. *Components* of candidates; only their lines' words are fetched: a sketch of 8 MB tells
+   the tasks which lines to send, and a join by hash leaves the wanted ones.
 5. *Verification*: the lines of a component are compared through an inverted index in
    numpy, in blocks of ``block_lines`` (each pair of blocks of a larger component is a
    group of its own).  All matches of a line are counted and its earliest one is kept.
@@ -46,9 +47,10 @@ from wordlens.llm.common import scratch, ship, table, text_slices, with_row_id
 from wordlens.llm.components import components, local_roots
 
 LINES = pa.schema([("_rid", pa.int64()), ("doc_id", pa.int64()), ("line", pa.int32()), ("h", pa.int64())])
-POSTINGS = pa.schema([("word", pa.int64()), ("h", pa.int64()), ("size", pa.int32()), ("pos", pa.int32()), ("sig", pa.int64())])
-WORDS = pa.schema([("comp", pa.int64()), ("h", pa.int64()), ("words", pa.list_(pa.int64()))])
-ALL_32, ALL_64 = (1 << 32) - 1, (1 << 64) - 1
+POSTINGS = pa.schema([("word", pa.int64()), ("h", pa.int64()), ("size", pa.int32()), ("pos", pa.int32()),
+                      ("sig", pa.int64()), ("sig2", pa.int64())])
+WORDS = pa.schema([("h", pa.int64()), ("words", pa.list_(pa.int64()))])
+ALL_64 = (1 << 64) - 1
 SEEN_LINES = 500_000       # hashes a task remembers so as to send a line's postings once
 
 
@@ -60,9 +62,13 @@ def content_hash(words: list[str]) -> int:
     return xxhash.xxh3_64_intdigest("\n".join(words)) - (1 << 63)
 
 
+def signed(numbers: list[int]) -> np.ndarray:
+    return np.array(numbers, np.uint64).view(np.int64)
+
+
 def word_hashes(words: list[str]) -> np.ndarray:
     """The set of a line's words as sorted 64-bit hashes."""
-    return np.unique(np.array([xxhash.xxh3_64_intdigest(w) for w in set(words)], np.uint64).view(np.int64))
+    return np.unique(signed([xxhash.xxh3_64_intdigest(w) for w in set(words)]))
 
 
 def least_overlap(a, b, threshold: float):
@@ -76,8 +82,8 @@ def prefix_length(size: int, threshold: float) -> int:
 
 # ---- 1: lines --------------------------------------------------------------------
 
-def _rows(docs: DataFrame, *more: str) -> DataFrame:
-    return with_row_id(docs).select("_rid", F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more)
+def _rows(docs: DataFrame) -> DataFrame:
+    return with_row_id(docs).select("_rid", F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
 def lines(docs: DataFrame) -> DataFrame:
@@ -99,34 +105,41 @@ def lines(docs: DataFrame) -> DataFrame:
 # ---- 2: rarity -------------------------------------------------------------------
 
 def common_words(docs: DataFrame, common: int) -> dict[str, int]:
-    """Counts of the words with a share of at least 1/common: at most ``common`` words."""
+    """Counts of the words with a share of at least 1/common: at most ``common`` words.
+
+    A task reports the words that have that share in what it read since its last report,
+    so counts lack less than 1/common of all words and the report of a task is bounded.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count: Counter[str] = Counter()
 
         def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(count.keys(), pa.string()), pa.array(count.values(), pa.int64())], ["word", "n"])
+            total = count.total()
+            often = {w: n for w, n in count.items() if n * common >= total}
             count.clear()
-            return out
+            # the row without a word has the number of words read
+            return pa.RecordBatch.from_arrays([pa.array([None, *often], pa.string()), pa.array([total, *often.values()], pa.int64())], ["word", "n"])
 
         for batch in batches:
             texts = batch.column(0).to_pylist()
             for a, b in text_slices(texts):
                 count.update(" ".join(t for t in texts[a:b] if t).lower().split())
-                if len(count) > 300_000:
+                if len(count) > 600_000:
                     yield flush()
         yield flush()
 
     counts = scratch(ship(docs).select(F.col("text").cast("string")).mapInArrow(run, "word string, n long")
                      .groupBy("word").agg(F.sum("n").alias("n")), "words")
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    return dict(counts.where(F.col("n") * common >= total).select("word", "n").toPandas().itertuples(index=False, name=None))
+    total = (counts.where(F.col("word").isNull()).first() or {"n": 0})["n"]
+    often = counts.where(F.col("word").isNotNull() & (F.col("n") * common >= total))
+    return dict(often.toPandas().itertuples(index=False, name=None))
 
 
 # ---- 3: postings and candidates --------------------------------------------------
 
 class _WordKeys(dict):
-    """word -> one number: its count if common (else 0), its 64-bit hash, and one of 32
+    """word -> one number: its count if common (else 0), its 64-bit hash, and one of 128
     signature bits; bounded.  Numbers order words by rarity, then hash."""
 
     def __init__(self, common: dict[str, int]):
@@ -137,7 +150,7 @@ class _WordKeys(dict):
         if len(self) > 500_000:
             self.clear()
         x = xxhash.xxh3_64_intdigest(word)
-        key = self[word] = (self.common.get(word, 0) << 96) | (x << 32) | (1 << (x & 31))
+        key = self[word] = (self.common.get(word, 0) << 192) | (x << 128) | (1 << (x & 127))
         return key
 
 
@@ -150,7 +163,7 @@ def postings(docs: DataFrame, common: dict[str, int], threshold: float) -> DataF
         for batch in batches:
             texts = batch.column(0).to_pylist()
             for a, b in text_slices(texts):
-                word, line_, size_, pos_, sig_ = [], [], [], [], []
+                word, line_, size_, pos_, sig_, sig2 = [], [], [], [], [], []
                 for text in texts[a:b]:
                     for line in (text or "").split("\n"):
                         words = line_words(line)
@@ -162,26 +175,29 @@ def postings(docs: DataFrame, common: dict[str, int], threshold: float) -> DataF
                         ordered = sorted(map(keys.__getitem__, set(words)))
                         size = len(ordered)
                         n = prefix_length(size, threshold)
-                        word += [(x >> 32) & ALL_64 for x in ordered[:n]]
+                        word += [(x >> 128) & ALL_64 for x in ordered[:n]]
                         line_ += [h] * n
                         size_ += [size] * n
                         pos_ += range(n)
                         # odd or even number of words with each signature bit
-                        sig_ += [reduce(xor, ordered) & ALL_32] * n
+                        sig = reduce(xor, ordered)
+                        sig_ += [sig & ALL_64] * n
+                        sig2 += [(sig >> 64) & ALL_64] * n
                 if word:
-                    yield table(POSTINGS, word=np.array(word, np.uint64).view(np.int64), h=line_, size=size_, pos=pos_, sig=sig_)
+                    yield table(POSTINGS, word=signed(word), h=line_, size=size_, pos=pos_, sig=signed(sig_), sig2=signed(sig2))
 
-    return ship(docs).select(F.col("text").cast("string")).mapInArrow(run, "word long, h long, size int, pos int, sig long")
+    return ship(docs).select(F.col("text").cast("string")).mapInArrow(run, "word long, h long, size int, pos int, sig long, sig2 long")
 
 
 def admitted(x: np.ndarray, y: np.ndarray, threshold: float) -> np.ndarray:
-    """Filters on posting rows (line, size, pos, sig) with one word, y not larger than x."""
+    """Filters on posting rows (line, size, pos, signature) with one word, y not larger than x."""
     size_x, size_y = x[..., 1], y[..., 1]
     need = least_overlap(size_x, size_y, threshold)
     ok = size_y >= threshold * size_x - 1e-9                                       # length
     ok &= np.minimum(size_x - x[..., 2], size_y - y[..., 2]) >= need                # position of the shared word
     # each differing signature bit comes from a word that is not shared
-    apart = np.bitwise_count(x[..., 3] ^ y[..., 3]).astype(np.int64)
+    apart = (np.bitwise_count((x[..., 3] ^ y[..., 3]).view(np.uint64)).astype(np.int64)
+             + np.bitwise_count((x[..., 4] ^ y[..., 4]).view(np.uint64)))
     return ok & (size_x + size_y - apart >= 2 * need) & (x[..., 0] != y[..., 0])
 
 
@@ -214,7 +230,7 @@ class Window:
 
     def __init__(self, threshold: float):
         self.threshold = threshold
-        self.rows = np.zeros((0, 4), np.int64)       # line, size, pos, sig
+        self.rows = np.zeros((0, 5), np.int64)       # line, size, pos, two halves of the signature
 
     def meet(self, new: np.ndarray, block: int = 512) -> tuple[np.ndarray, np.ndarray]:
         """Candidate pairs of the new rows with those held and with each other, as star edges."""
@@ -243,7 +259,7 @@ def candidates(posted: DataFrame, threshold: float, most: int = 64) -> DataFrame
         word, window = None, Window(threshold)
         for batch in batches:
             words = batch.column(0).to_numpy()
-            rows = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(1, 5)], axis=1)
+            rows = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(1, 6)], axis=1)
             starts = np.concatenate([[0], np.flatnonzero(np.diff(words)) + 1])
             sizes = np.diff(np.concatenate([starts, [len(words)]]))
             # words whose rows may go on in another batch, or have many rows, go through a window
@@ -264,23 +280,48 @@ def candidates(posted: DataFrame, threshold: float, most: int = 64) -> DataFrame
 
 # ---- 4 and 5: verification -------------------------------------------------------
 
+SKETCH_BITS = 26           # bits of the sketch: 8 MB, whatever the number of lines
+
+
+def sketch(lines_: DataFrame) -> np.ndarray:
+    """A bit for every hash ``h`` modulo 2**SKETCH_BITS: at most 2**SKETCH_BITS / 64 rows of
+    64 bits are gathered."""
+    place = F.col("h").bitwiseAND(F.lit((1 << SKETCH_BITS) - 1))
+    rows = lines_.select(F.shiftright(place, 6).alias("word"), F.expr("shiftleft(1L, cast(h & 63 as int))").alias("bit"))
+    found = rows.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
+    out = np.zeros(1 << (SKETCH_BITS - 6), np.int64)
+    out[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+    return out
+
+
 def fetch_words(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``comp``, ``h`` and the word hashes of wanted lines (``_row``, ``at``: struct of line, h, comp)."""
+    """The word hashes of every wanted line (``h`` and more columns).  A task sends the
+    lines that the sketch of wanted lines lets pass; the join leaves the wanted ones."""
+    bits = docs.sparkSession.sparkContext.broadcast(sketch(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
             texts = batch.column(0).to_pylist()
-            at = batch.column(1).to_pylist()
-            out = []
-            for text, places in zip(texts, at, strict=True):
-                own = text.split("\n")
-                out += [(p["comp"], p["h"], word_hashes(line_words(own[p["line"]]))) for p in places]
-            if out:
-                comp, h, words = zip(*out, strict=True)
-                yield table(WORDS, comp=comp, h=h, words=words)
+            for a, b in text_slices(texts):
+                split = [w for t in texts[a:b] if t for line in t.split("\n") if (w := line_words(line))]
+                hashes = np.fromiter(map(content_hash, split), np.int64, len(split))
+                place = hashes & ((1 << SKETCH_BITS) - 1)
+                passed = np.flatnonzero((bits.value[place >> 6] >> (place & 63)) & 1)
+                out = {}
+                for i in passed.tolist():
+                    h = int(hashes[i])
+                    if h not in seen:
+                        if len(seen) > SEEN_LINES:
+                            seen.clear()
+                        seen.add(h)
+                        out[h] = word_hashes(split[i])
+                if out:
+                    yield table(WORDS, h=list(out), words=list(out.values()))
 
-    rows = _rows(docs).join(wanted, F.col("_rid") == F.col("_row")).select("text", "at")
-    return ship(rows).mapInArrow(run, "comp long, h long, words array<long>")
+    some = ship(docs).select(F.col("text").cast("string")).mapInArrow(run, "h long, words array<long>")
+    # a line may come from many tasks: one row of it stays
+    return wanted.join(some.withColumnRenamed("h", "_h"), F.col("h") == F.col("_h")).drop("_h").dropDuplicates(["h"])
 
 
 def matches(a: list[np.ndarray], b: list[np.ndarray], threshold: float) -> Iterator[tuple[int, np.ndarray]]:
@@ -344,10 +385,8 @@ def line_matches(docs: DataFrame, threshold: float = 0.8, common: int = 100_000)
     classes = scratch(found.groupBy("h").agg(F.min(place).alias("first")), "classes")
     edges = candidates(postings(docs, common_words(docs, common), threshold), threshold)
     groups = scratch(components(edges), "candidates")
-    some = classes.join(groups, F.col("h") == F.col("node")).select("h", "first", F.col("root").alias("comp"))
-    wanted = some.groupBy(F.col("first.f2").alias("_row")).agg(
-        F.collect_list(F.struct(F.col("first.f3").alias("line"), "h", "comp")).alias("at"))  # lines of one document
-    sets = fetch_words(docs, wanted).join(some.select(F.col("h").alias("_h"), "first.*"), F.col("h") == F.col("_h")).drop("_h")
+    some = classes.join(groups, F.col("h") == F.col("node")).select("h", F.col("root").alias("comp"), "first.*")
+    sets = fetch_words(docs, some)
     linked = scratch(verified(scratch(sets, "sets"), threshold), "linked")
     both = classes.join(linked.withColumnRenamed("h", "_h"), F.col("h") == F.col("_h"), "left").select(
         F.col("h").alias("_h"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
