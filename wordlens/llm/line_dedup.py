@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordlens.llm.common import scratch, ship, table, text_slices, with_row_id
+from wordlens.llm.common import ranges, scratch, ship, table, text_slices, with_row_id
 from wordlens.llm.components import components, local_roots
 
 LINES = pa.schema([("_rid", pa.int64()), ("doc_id", pa.int64()), ("line", pa.int32()), ("h", pa.int64())])
@@ -54,12 +54,15 @@ ALL_64 = (1 << 64) - 1
 SEEN_LINES = 500_000       # hashes a task remembers so as to send a line's postings once
 
 
-def line_words(line: str) -> list[str]:
-    return line.lower().split()
+def plain_lines(text: str | None) -> Iterator[tuple[int, str]]:
+    """Number and text of every line with a word, lower case and without outer space."""
+    for n, line in enumerate(text.lower().split("\n") if text else ()):
+        if line := line.strip():
+            yield n, line
 
 
-def content_hash(words: list[str]) -> int:
-    return xxhash.xxh3_64_intdigest("\n".join(words)) - (1 << 63)
+def content_hash(line: str) -> int:
+    return xxhash.xxh3_64_intdigest(line) - (1 << 63)
 
 
 def signed(numbers: list[int]) -> np.ndarray:
@@ -93,8 +96,7 @@ def lines(docs: DataFrame) -> DataFrame:
         for batch in batches:
             rids, ids, texts = (c.to_pylist() for c in batch.columns)
             for a, b in text_slices(texts):
-                out = [(rids[i], ids[i], n, content_hash(w)) for i in range(a, b) if texts[i]
-                       for n, line in enumerate(texts[i].split("\n")) if (w := line_words(line))]
+                out = [(rids[i], ids[i], n, content_hash(line)) for i in range(a, b) for n, line in plain_lines(texts[i])]
                 if out:
                     r, d, n, h = zip(*out, strict=True)
                     yield table(LINES, _rid=r, doc_id=d, line=n, h=h)
@@ -165,14 +167,13 @@ def postings(docs: DataFrame, common: dict[str, int], threshold: float) -> DataF
             for a, b in text_slices(texts):
                 word, line_, size_, pos_, sig_, sig2 = [], [], [], [], [], []
                 for text in texts[a:b]:
-                    for line in (text or "").split("\n"):
-                        words = line_words(line)
-                        if not words or (h := content_hash(words)) in seen:
+                    for _, line in plain_lines(text):
+                        if (h := content_hash(line)) in seen:
                             continue
                         if len(seen) > SEEN_LINES:
                             seen.clear()
                         seen.add(h)
-                        ordered = sorted(map(keys.__getitem__, set(words)))
+                        ordered = sorted(map(keys.__getitem__, set(line.split())))
                         size = len(ordered)
                         n = prefix_length(size, threshold)
                         word += [(x >> 128) & ALL_64 for x in ordered[:n]]
@@ -189,16 +190,14 @@ def postings(docs: DataFrame, common: dict[str, int], threshold: float) -> DataF
     return ship(docs).select(F.col("text").cast("string")).mapInArrow(run, "word long, h long, size int, pos int, sig long, sig2 long")
 
 
-def admitted(x: np.ndarray, y: np.ndarray, threshold: float) -> np.ndarray:
-    """Filters on posting rows (line, size, pos, signature) with one word, y not larger than x."""
-    size_x, size_y = x[..., 1], y[..., 1]
-    need = least_overlap(size_x, size_y, threshold)
-    ok = size_y >= threshold * size_x - 1e-9                                       # length
-    ok &= np.minimum(size_x - x[..., 2], size_y - y[..., 2]) >= need                # position of the shared word
+def admitted(x: tuple, y: tuple, threshold: float) -> np.ndarray:
+    """Filters on posting columns (line, size, pos, signature halves) with one word; y is
+    not larger than x and passes the length filter."""
+    need = least_overlap(x[1], y[1], threshold)
+    ok = np.minimum(x[1] - x[2], y[1] - y[2]) >= need                # position of the shared word
     # each differing signature bit comes from a word that is not shared
-    apart = (np.bitwise_count((x[..., 3] ^ y[..., 3]).view(np.uint64)).astype(np.int64)
-             + np.bitwise_count((x[..., 4] ^ y[..., 4]).view(np.uint64)))
-    return ok & (size_x + size_y - apart >= 2 * need) & (x[..., 0] != y[..., 0])
+    apart = sum(np.bitwise_count((x[i] ^ y[i]).view(np.uint64)).astype(np.int64) for i in (3, 4))
+    return ok & (x[1] + y[1] - apart >= 2 * need) & (x[0] != y[0])
 
 
 def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -209,20 +208,23 @@ def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ids[moved], ids[root[moved]]
 
 
-def small_groups(words: np.ndarray, rows: np.ndarray, threshold: float, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Candidate pairs within groups of at most ``most`` rows, all groups at once: each
-    row is compared with the one ``d`` places before it, for every distance d."""
-    a, b = [], []
-    for d in range(1, most):
-        at = np.flatnonzero(words[d:] == words[:-d])
-        if not len(at):
-            break
-        x, y = rows[at + d], rows[at]
-        ok = admitted(x, y, threshold)
-        a.append(x[ok, 0])
-        b.append(y[ok, 0])
-    none = np.zeros(0, np.int64)
-    return np.concatenate([none, *a]), np.concatenate([none, *b])
+def small_groups(words: np.ndarray, rows: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Candidate pairs within groups of few rows, all groups at once: each row is compared
+    with the one ``d`` places before it, for every d until no row has one that is in its
+    group and long enough."""
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    columns = list(rows)
+    size = columns[1]
+    x = np.arange(len(words))
+    d = 1
+    while len(x):
+        x = x[x >= d]
+        x = x[(words[x] == words[x - d]) & (size[x - d] >= threshold * size[x] - 1e-9)]
+        ok = x[admitted([c[x] for c in columns], [c[x - d] for c in columns], threshold)]
+        a.append(columns[0][ok])
+        b.append(columns[0][ok - d])
+        d += 1
+    return np.concatenate(a), np.concatenate(b)
 
 
 class Window:
@@ -230,27 +232,33 @@ class Window:
 
     def __init__(self, threshold: float):
         self.threshold = threshold
-        self.rows = np.zeros((0, 5), np.int64)       # line, size, pos, two halves of the signature
+        self.rows = np.zeros((5, 0), np.int64)       # line, size, pos, two halves of the signature
 
     def meet(self, new: np.ndarray, block: int = 512) -> tuple[np.ndarray, np.ndarray]:
         """Candidate pairs of the new rows with those held and with each other, as star edges."""
-        held = self.rows[np.searchsorted(self.rows[:, 1], math.ceil(self.threshold * int(new[0, 1]) - 1e-9)):]
-        both = np.concatenate([held, new])
-        ids, inverse = np.unique(both[:, 0], return_inverse=True)
+        held = self.rows[:, self._fitting(self.rows[1], int(new[1, 0])):]
+        both = np.concatenate([held, new], axis=1)
+        ids, inverse = np.unique(both[0], return_inverse=True)
         root = np.arange(len(ids))
-        for s in range(len(held), len(both), block):
-            part = both[s:s + block]
-            lo = int(np.searchsorted(both[:, 1], math.ceil(self.threshold * int(part[0, 1]) - 1e-9)))
-            for o in range(lo, s + len(part), 4 * block):
-                other = both[o:min(o + 4 * block, s + len(part))]
-                x, y = np.nonzero(admitted(part[:, None], other[None], self.threshold))
+        first, end = held.shape[1], both.shape[1]
+        for s in range(first, end, block):
+            part = both[:, s:s + block, None]
+            size = part[1]
+            for o in range(self._fitting(both[1], int(size[0, 0])), s + len(size), 4 * block):
+                other = both[:, None, o:min(o + 4 * block, s + len(size))]
+                ok = (other[1] <= size) & (other[1] >= self.threshold * size - 1e-9)
+                x, y = np.nonzero(ok & admitted(part, other, self.threshold))
                 x, y = root[inverse[s + x]], root[inverse[o + y]]
                 if (x != y).any():
                     root = local_roots(x[x != y], y[x != y], len(ids))[root]
-        self.rows = both[np.searchsorted(both[:, 1], math.ceil(self.threshold * int(both[-1, 1]) - 1e-9)):]
+        self.rows = both[:, self._fitting(both[1], int(both[1, -1])):]
         moved = np.flatnonzero(root != np.arange(len(ids)))
         return ids[moved], ids[root[moved]]
 
+    def _fitting(self, sizes: np.ndarray, size: int) -> int:
+        """Where the sizes begin that a line of this size, or a larger one, may match."""
+        return int(np.searchsorted(sizes, math.ceil(self.threshold * size - 1e-9)))
+
 
 def candidates(posted: DataFrame, threshold: float, most: int = 64) -> DataFrame:
     """Star edges (``a``, ``b``) between the lines that pass the filters."""
@@ -259,18 +267,18 @@ def candidates(posted: DataFrame, threshold: float, most: int = 64) -> DataFrame
         word, window = None, Window(threshold)
         for batch in batches:
             words = batch.column(0).to_numpy()
-            rows = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(1, 6)], axis=1)
+            rows = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(1, 6)])
             starts = np.concatenate([[0], np.flatnonzero(np.diff(words)) + 1])
             sizes = np.diff(np.concatenate([starts, [len(words)]]))
             # words whose rows may go on in another batch, or have many rows, go through a window
             alone = sizes > most
             alone[[0, -1]] = True
             short = np.repeat(~alone & (sizes > 1), sizes)
-            pairs = [small_groups(words[short], rows[short], threshold, most)]
+            pairs = [small_groups(words[short], rows[:, short], threshold)]
             for s, n in zip(starts[alone].tolist(), sizes[alone].tolist(), strict=True):
                 if words[s] != word:
                     word, window = words[s], Window(threshold)
-                pairs.append(window.meet(rows[s:s + n]))
+                pairs.append(window.meet(rows[:, s:s + n]))
             a, b = stars(*(np.concatenate(x) for x in zip(*pairs, strict=True)))
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
@@ -304,7 +312,7 @@ def fetch_words(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         for batch in batches:
             texts = batch.column(0).to_pylist()
             for a, b in text_slices(texts):
-                split = [w for t in texts[a:b] if t for line in t.split("\n") if (w := line_words(line))]
+                split = [line for t in texts[a:b] for _, line in plain_lines(t)]
                 hashes = np.fromiter(map(content_hash, split), np.int64, len(split))
                 place = hashes & ((1 << SKETCH_BITS) - 1)
                 passed = np.flatnonzero((bits.value[place >> 6] >> (place & 63)) & 1)
@@ -315,7 +323,7 @@ def fetch_words(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                         if len(seen) > SEEN_LINES:
                             seen.clear()
                         seen.add(h)
-                        out[h] = word_hashes(split[i])
+                        out[h] = word_hashes(split[i].split())
                 if out:
                     yield table(WORDS, h=list(out), words=list(out.values()))
 
@@ -328,15 +336,20 @@ def matches(a: list[np.ndarray], b: list[np.ndarray], threshold: float) -> Itera
     """For every set of ``a`` the indexes in ``b`` of the sets that match it."""
     size = np.array([len(x) for x in b])
     vocabulary, inverse = np.unique(np.concatenate(b), return_inverse=True)
-    owner = np.repeat(np.arange(len(b)), size)
-    owner = owner[np.argsort(inverse, kind="stable")]
+    owner = np.repeat(np.arange(len(b)), size)[np.argsort(inverse, kind="stable")]
     upto = np.concatenate([[0], np.cumsum(np.bincount(inverse, minlength=len(vocabulary)))])
-    for i, words in enumerate(a):
-        at = np.searchsorted(vocabulary, words)
-        at = at[(at < len(vocabulary)) & (vocabulary[np.minimum(at, len(vocabulary) - 1)] == words)]
-        if len(at):
-            shared = np.bincount(np.concatenate([owner[upto[w]:upto[w + 1]] for w in at]), minlength=len(b))
-            yield i, np.flatnonzero((shared > 0) & (shared >= least_overlap(len(words), size, threshold)))
+    flat = np.concatenate(a)
+    at = np.minimum(np.searchsorted(vocabulary, flat), len(vocabulary) - 1)
+    there = vocabulary[at] == flat
+    # owners of every word of every set, set by set
+    starts, lengths = upto[at], np.where(there, upto[at + 1] - upto[at], 0)
+    ends = np.cumsum([len(x) for x in a])
+    begin = 0
+    for i, end in enumerate(ends.tolist()):
+        shared = np.bincount(owner[ranges(starts[begin:end], lengths[begin:end])], minlength=len(b))
+        some = np.flatnonzero(shared)
+        yield i, some[shared[some] >= least_overlap(end - begin, size[some], threshold)]
+        begin = end
 
 
 FIRST = ["f0", "f1", "f2", "f3"]     # no id, id, row, line: the order of lines
@@ -358,18 +371,20 @@ def verified(sets: DataFrame, threshold: float, block_lines: int = 4096) -> Data
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple] = []
         frame = frame.sort_values(FIRST, kind="stable")     # so that the first match found is the earliest
-        for _, rows in frame.groupby("comp", sort=False):
-            p, q = rows["p"].iloc[0], rows["q"].iloc[0]
-            left, right = rows[rows["own"] == p], rows[rows["own"] == q]
-            for x, y in [(left, right)] if p == q else [(left, right), (right, left)]:
-                if not len(x) or not len(y):
-                    continue
-                mine, hashes = x["h"].to_numpy(), y["h"].to_numpy()
-                first = list(y[FIRST].itertuples(index=False, name=None))
-                for i, found in matches(x["words"].tolist(), y["words"].tolist(), threshold):
-                    found = found[hashes[found] != mine[i]]
-                    if len(found):
-                        out.append((int(mine[i]), len(found), *first[found[0]]))
+        # the words of different components are told apart
+        mixed = (frame["comp"].to_numpy().view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
+        frame["words"] = [w ^ c for w, c in zip(frame["words"], mixed, strict=True)]
+        p, q = frame["p"].iloc[0], frame["q"].iloc[0]
+        left, right = frame[frame["own"] == p], frame[frame["own"] == q]
+        for x, y in [(left, right)] if p == q else [(left, right), (right, left)]:
+            if not len(x) or not len(y):
+                continue
+            mine, hashes = x["h"].to_numpy(), y["h"].to_numpy()
+            first = list(y[FIRST].itertuples(index=False, name=None))
+            for i, found in matches(x["words"].tolist(), y["words"].tolist(), threshold):
+                found = found[hashes[found] != mine[i]]
+                if len(found):
+                    out.append((int(mine[i]), len(found), *first[found[0]]))
         return pd.DataFrame(out, columns=["h", "links", *FIRST])
 
     each = ship(rows).groupBy("g", "large", "p", "q").applyInPandas(compare, "h long, links long, f0 boolean, f1 long, f2 long, f3 int")
@@ -378,7 +393,7 @@ def verified(sets: DataFrame, threshold: float, block_lines: int = 4096) -> Data
 
 def line_matches(docs: DataFrame, threshold: float = 0.8, common: int = 100_000) -> DataFrame:
     """One row per line with a word: ``doc_id``, ``line`` (from 0), ``class_id`` (the same
-    for lines with the same words in the same order), ``n_links`` (other classes that
+    for lines that are equal but for case and outer space), ``n_links`` (other classes that
     match), ``removed``; and ``_rid`` (see ``with_row_id``)."""
     found = scratch(lines(docs), "lines")
     place = F.struct(F.col("doc_id").isNull().alias("f0"), F.coalesce("doc_id", F.lit(0).cast("long")).alias("f1"), F.col("_rid").alias("f2"), F.col("line").alias("f3"))
