@@ -59,17 +59,13 @@ def local_roots(a, b, n: int):
     import numpy as np
 
     root = np.arange(n)
-    while len(a):
-        low = np.minimum(root[a], root[b])
-        np.minimum.at(root, a, low)
-        np.minimum.at(root, b, low)
+    while True:
+        x, y = root[a], root[b]
+        apart = x != y
+        if not apart.any():
+            return root
+        # only roots are hooked, the larger under the smaller, so that whole trees move
+        a, b = a[apart], b[apart]
+        np.minimum.at(root, np.maximum(x, y)[apart], np.minimum(x, y)[apart])
         while (root[root] != root).any():
             root = root[root]
-        apart = root[a] != root[b]
-        # hook the larger root under the smaller, so that whole trees join
-        x, y = root[a[apart]], root[b[apart]]
-        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
-        a, b = a[apart], b[apart]
-    while (root[root] != root).any():
-        root = root[root]
-    return root
