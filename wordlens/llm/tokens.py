@@ -62,7 +62,7 @@ class PieceEncoder:
     A subclass cuts a text (``chunks``) and gives the ids of new pieces (``new_ids``).
     """
 
-    def __init__(self, max_entries: int = 1_000_000):
+    def __init__(self, max_entries: int = 400_000):
         self.max_entries = max_entries
         self._clear()
 
@@ -115,7 +115,7 @@ class PieceEncoder:
 class ChunkEncoder(PieceEncoder):
     """Encode texts with a white-space-dropping, lower-casing ``tokenizers`` file."""
 
-    def __init__(self, path: str, max_entries: int = 1_000_000):
+    def __init__(self, path: str, max_entries: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
