@@ -194,7 +194,7 @@ def build_corpus_by_language(df: DataFrame, lang_col: str = "lang", text_col: st
 def wordlist_no_eos(corpus: Corpus, level: int = 0) -> DataFrame:
     """Per sentence the values of a level without EOS, in token order."""
     arr = corpus.level_array(level)
-    return corpus.df.select(*corpus.keys, F.slice(arr, 1, F.size(arr) - 1).alias("words"))
+    return corpus.df.select(*corpus.keys, F.slice(arr, 1, F.greatest(F.size(arr) - 1, F.lit(0))).alias("words"))
 
 
 def sentence_lengths(corpus: Corpus) -> DataFrame:
