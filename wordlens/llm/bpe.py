@@ -31,7 +31,7 @@ NEVER = np.int64(1 << 40)
 
 
 class ByteBPE(PieceEncoder):
-    def __init__(self, path: str, max_entries: int = 400_000):
+    def __init__(self, path: str, max_entries: int = 200_000):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         vocab: dict[str, int] = spec["model"]["vocab"]

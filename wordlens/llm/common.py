@@ -23,7 +23,7 @@ import wordlens
 from wordlens.session import checkpoint_dir
 
 #: Characters of text handled at once inside a task.
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 1_000_000
 
 
 def ship(df: DataFrame) -> DataFrame:
