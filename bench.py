@@ -13,7 +13,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from wordlens.plans.queries import QUERIES  # noqa: E402
+from wordlens.plans.queries import INPUT_PARTITIONS, QUERIES  # noqa: E402
 from wordlens.session import local_session  # noqa: E402
 
 HEADLINE = [
@@ -30,6 +30,12 @@ HEADLINE = [
     "distance",
     "axes_moved",
     "annotated_stats",
+    "padded_sentences",
+    "ragged_transpose_long",
+    "rotated_sentence",
+    "centre_suffix",
+    "centre_by_positions",
+    "keyword_drilldown",
 ]
 
 
@@ -37,6 +43,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = local_session(cpus, shuffle_partitions=2 * cpus, app="wordlens-bench")
+    spark.conf.set(INPUT_PARTITIONS, str(cpus))  # the tables are stored as one split each
     # warm-up of the JVM (JIT, expression codegen) on the smallest scale; not timed
     warm = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
     if os.path.isdir(warm):

@@ -1,8 +1,9 @@
 import pytest
 
-from wordlens.operators import keywords
+from wordlens.operators import keywords, project
 from wordlens.sources.analyser import analyse
 from wordlens.sources.annotated import lines_to_sentences, parse_analyser_output, to_analyser_format
+from wordlens.sources.corpus import wordlist_no_eos
 
 F29 = ",".join(f"x{i}" for i in range(1, 30))
 
@@ -23,24 +24,24 @@ def test_regular_eos_and_padding(spark):
     corpus, rejects = _parse(spark, text)
     tok = corpus.df.first()._tok
     assert rejects.count() == 0
-    assert len(tok) == 5 and all(len(t) == 30 for t in tok)
+    assert len(tok) == 5 and all(len(t) == 31 for t in tok)
     assert tok[0][0] == "煎茶" and tok[0][29] == "x29"
-    assert tok[1][:3] == ["２７３", "名詞", "数詞"] and tok[1][7:] == [""] * 23
-    assert tok[4] == ["EOS"] * 30
+    assert tok[1][:3] == ("２７３", "名詞", "数詞") and tok[1][7:30] == ("",) * 23
+    assert tok[4][:30] == ("EOS",) * 30 and [t.is_eos for t in tok] == [False] * 4 + [True]
 
 
 def test_quote_repair(spark):
     fields = [f"x{i}" for i in range(1, 29)] + ['"a,b"']
     corpus, rejects = _parse(spark, "s\t" + ",".join(fields) + "\nEOS")
     tok = corpus.df.first()._tok
-    assert rejects.count() == 0 and len(tok[0]) == 30 and tok[0][29] == '"a,b"'
+    assert rejects.count() == 0 and tok[0][29] == '"a,b"'
 
 
 def test_quote_with_thirty_pieces_not_repaired(spark):
     fields = [f"x{i}" for i in range(1, 28)] + ['"a', 'b"']
     corpus, _ = _parse(spark, "s\t" + ",".join(fields) + "\nEOS")
     tok = corpus.df.first()._tok
-    assert tok[0][28:] == ['"a', 'b"']
+    assert tok[0][28:30] == ('"a', 'b"')
 
 
 def test_rejects(spark):
@@ -49,11 +50,32 @@ def test_rejects(spark):
     corpus, rejects = _parse(spark, "\n".join(["ok\t" + F29, bad_quote, unknown, "EOS"]))
     assert corpus.df.count() == 0
     got = sorted((r.line_no, r.reason) for r in rejects.collect())
-    assert got == [(1, "unclosed_quote"), (2, "unknown_type")]
+    # every line of the sentence is there
+    assert got == [(0, "sentence_rejected"), (1, "unclosed_quote"), (2, "unknown_type"), (3, "sentence_rejected")]
     with pytest.raises(Exception):
         _parse(spark, unknown + "\nEOS", mode="failfast")[0].df.collect()
 
 
+def test_no_sentence_is_lost(spark):
+    rows = [(1, "a\t" + F29), (2, "EOS"), (3, ""), (4, None), (5, f"a\t{F29}\nEOS\nb\t{F29}"), (6, "EOS\t" + F29)]
+    df = spark.createDataFrame([(i, 0, t) for i, t in rows], "doc_id long, sent_no int, analysis string")
+    corpus, rejects = parse_analyser_output(df)
+    assert sorted(r.doc_id for r in corpus.df.collect()) == [1, 2, 5, 6]
+    assert sorted((r.doc_id, r.raw_line, r.reason) for r in rejects.collect()) == [
+        (3, "", "unknown_type"), (4, "", "unknown_type")]
+    # the end marker is a line of its own, wherever it stands; a word may read the same
+    words = {r.doc_id: r.words for r in wordlist_no_eos(corpus).collect()}
+    assert words == {1: ["a"], 2: [], 5: ["a", "b"], 6: ["EOS"]}
+    values = [(r.doc_id, r.value) for r in project.level_values(corpus).orderBy("doc_id", "pos").collect()]
+    assert values == [(1, "a"), (5, "a"), (5, "b"), (6, "EOS")]
+
+
+def test_control_character_in_a_quoted_field(spark):
+    fields = [f"x{i}" for i in range(1, 29)] + ['"a\u0001,b"']
+    corpus, _ = _parse(spark, "s\t" + ",".join(fields) + "\nEOS")
+    assert corpus.df.first()._tok[0][29] == '"a\u0001,b"'
+
+
 def test_round_trip_and_lines(nine, spark):
     analysed = to_analyser_format(nine)
     corpus, rejects = parse_analyser_output(analysed, keys=list(nine.keys))

@@ -1,7 +1,10 @@
+import pytest
 from pyspark.sql import functions as F
 
 from wordlens.functions.arrays import map_values, ragged_transpose
 from wordlens.operators import distance, reshape
+from wordlens.sources.corpus import build_corpus
+from wordlens.sources.tokenizers import PresegmentedTokenizer
 
 WORDS = ["ばかり", "なく", "で", "は", "、", "。"]
 SENT3 = [
@@ -32,7 +35,20 @@ def test_distance_combination_counts(nine):
     per = {r.doc_id: r.n for r in full.groupBy("doc_id").agg((F.count(F.lit(1)) / 36).alias("n")).collect()}
     assert [int(per[i]) for i in range(9)] == [1, 2, 2, 2, 6, 4, 6, 1, 8]
     compact = distance.distance(nine, WORDS)
-    assert compact.agg(F.sum("multiplicity")).first()[0] == 1152
+    product = F.aggregate("sizes", F.lit(1), lambda acc, n: acc * n)
+    assert compact.agg(F.sum((product / F.col("n_j")).cast("long"))).first()[0] == 1152
+
+
+def test_distance_long_word_list(spark):
+    """25 words, 40 hits each: the combinations exceed every number type, the rows do not."""
+    words = [f"w{i}" for i in range(25)]
+    df = spark.createDataFrame([(1, " ".join(words * 40))], "doc_id long, text string")
+    corpus = build_corpus(df, tokenizer=PresegmentedTokenizer())
+    rows = distance.distance(corpus, words).collect()
+    assert len(rows) == 25 * 25 * 40 and all(r.n_j == 40 and r.sizes == [40] * 25 for r in rows)
+    assert all(r.distance == r.i - (r.j + 25 * r.k) for r in rows)
+    with pytest.raises(Exception, match="too many combinations"):
+        distance.distance(corpus, words, expand=True).count()
 
 
 def test_distance_absent_word(nine):
@@ -72,8 +88,10 @@ def test_map_values_nested(spark):
 
 
 def test_padded_and_axes(nine):
-    padded = reshape.padded_sentences(nine).collect()
+    padded = reshape.padded_sentences(nine, width=47).collect()
     assert len(padded) == 9 and all(len(r.padded) == 47 and r.padded[-1] == "EOS" for r in padded)
+    runs = {r.doc_id: r for r in reshape.padded_sentences(nine).collect()}
+    assert all(runs[r.doc_id]["values"] + [runs[r.doc_id].pad_value] * runs[r.doc_id].pad_count == r.padded for r in padded)
     long = reshape.axes_moved(nine, levels=list(range(30)))
     assert long.count() == 47 * 30 * 9
     counts = reshape.axes_moved_counts(nine, [0, 1])

@@ -37,11 +37,30 @@ def test_no_cartesian_or_nested_loop(spark, name):
     assert "BroadcastNestedLoopJoin" not in p
 
 
-def test_no_rebalance_for_many_partitions(spark):
+def test_building_a_corpus_runs_no_job_and_adds_no_shuffle(spark):
     from wordlens.sources.corpus import build_corpus
-    slots = spark.sparkContext.defaultParallelism
-    docs = spark.read.parquet(f"{SF}/documents.parquet").repartition(slots * 2)
-    p = plan(build_corpus(docs).df)
-    assert p.count("RoundRobinPartitioning(") == 1   # only the caller's own repartition
-    single = spark.read.parquet(f"{SF}/documents.parquet").coalesce(1)
-    assert "RoundRobinPartitioning(" in plan(build_corpus(single).df)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").coalesce(1)
+    spark.sparkContext.setJobGroup("build", "build a corpus of an aggregated table")
+    corpus = build_corpus(docs.groupBy("doc_id").agg({"text": "max"}).withColumnRenamed("max(text)", "text"))
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("build")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not jobs and corpus.keys == ("doc_id", "sent_no")
+    assert "RoundRobinPartitioning(" not in plan(build_corpus(docs).df)
+    assert "RoundRobinPartitioning(4" in plan(build_corpus(docs, partitions=4).df)
+
+
+@pytest.mark.parametrize("name", ["sentences", "tokens", "centre_suffix", "rotated_sentence", "term_counts",
+                                  "distance", "element_counts", "keyword_stats", "wordlist_hits"])
+def test_one_scan(spark, name):
+    assert plan(QUERIES[name](spark, SF)).count("FileScan parquet") == 1
+
+
+def test_report_plan_before_its_checkpoint(spark):
+    from wordlens.operators import keywords
+    from wordlens.plans.queries import documents_corpus
+    corpus = documents_corpus(spark, SF)
+    p = plan(keywords._stats(keywords.stat_rows(corpus, 0, markers=True), corpus, [], True))
+    assert p.count("FileScan parquet") == 1 and p.count("Exchange hashpartitioning(") == 1
+    assert "SortAggregate" not in p and "Window" not in p and "Join" not in p
+    logical = keywords.stat_rows(corpus)._jdf.queryExecution().optimizedPlan().toString()
+    assert "map_from_arrays" not in logical and "array_position" not in logical

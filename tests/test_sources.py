@@ -1,8 +1,8 @@
 import os
 import tempfile
 
-from wordlens.operators import keywords
-from wordlens.sources.corpus import build_corpus, build_corpus_by_language, read_text_corpus
+from wordlens.operators import align, keywords
+from wordlens.sources.corpus import build_corpus, build_corpus_by_language, read_text_corpus, wordlist_no_eos
 from wordlens.sources.tokenizers import PresegmentedTokenizer, RegexTokenizer
 
 
@@ -23,9 +23,20 @@ def test_corpus_by_language(spark):
     df = spark.createDataFrame([(1, "en", "a b"), (2, "de", "c d e"), (3, "xx", "f")],
                                "doc_id long, lang string, text string")
     c = build_corpus_by_language(df)
-    assert sorted(r.doc_id for r in c.df.select("doc_id").collect()) == [1, 2]
-    custom = build_corpus_by_language(df, registry={"xx": PresegmentedTokenizer(), "en": PresegmentedTokenizer()})
-    assert sorted(r.doc_id for r in custom.df.select("doc_id").collect()) == [1, 3]
+    assert sorted(r.doc_id for r in c.df.select("doc_id").collect()) == [1, 2, 3]
+
+
+def test_corpus_by_language_keeps_every_row_and_strategy(spark):
+    df = spark.createDataFrame([(1, "en", "a-b c"), (2, "xx", "a-b c"), (3, None, "a-b c")],
+                               "doc_id long, lang string, text string")
+    c = build_corpus_by_language(df, registry={"xx": PresegmentedTokenizer()})
+    words = {r.doc_id: r.words for r in wordlist_no_eos(c).collect()}
+    assert words == {1: ["a", "-", "b", "c"], 2: ["a-b", "c"], 3: ["a", "-", "b", "c"]}
+    toks = {(r.doc_id, r.pos): r.info.f01 for r in c.tokens([0, 1]).collect()}
+    assert toks[(1, 1)] == "PUNCT" and toks[(2, 0)] == "WORD" and toks[(2, 2)] == "EOS"
+    assert keywords.keyword_stats(c, 1).where("term = 'EOS'").first().binary == 3
+    centred = align.centre_word(c, "c", levels=[0, 1]).collect()
+    assert all(r.l0 == ["c", "EOS"] and r.l1 == ["WORD", "EOS"] for r in centred)
 
 
 def test_conversation_keys_use_struct_first_seen(spark):

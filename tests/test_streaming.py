@@ -11,7 +11,7 @@ def test_stream_matches_batch(spark):
     docs.where("doc_id % 2 = 0").write.mode("overwrite").parquet(f"{src}/part=a")
     docs.where("doc_id % 2 = 1").write.mode("overwrite").parquet(f"{src}/part=b")
     ckpt = tempfile.mkdtemp(prefix="wl-stream-ckpt-")
-    q = start_keyword_stream(spark, f"{src}/*", docs.schema, "wl_stream_test", checkpoint=ckpt,
+    q = start_keyword_stream(spark, f"{src}/*", docs.schema, "wl_stream_test", sink="memory", output_mode="complete", checkpoint=ckpt,
                              available_now=True, max_files_per_trigger=1)
     q.awaitTermination(300)
     got = {(r.term, r.binary, r["count"]) for r in spark.sql("SELECT * FROM wl_stream_test").collect()}

@@ -65,18 +65,22 @@ def centre_at_position(corpus: Corpus, position: int, direction: int = 1,
                             *[_cut(corpus.level_array(lv), p, direction).alias(f"l{lv}") for lv in levels])
 
 
+def centre_at_word(corpus: Corpus, word: str, direction: int = 1, level: int = 0,
+                   levels: Sequence[int] = (0,)) -> DataFrame:
+    """W5 at the first position of ``word`` in the same corpus (narrow, no join)."""
+    staged = corpus.df.select(*corpus.keys, "n_tokens", "_tok", *corpus.tokenizer.needs,
+                              first_position(corpus.level_array(level), word).alias("_p"))
+    return staged.select(*corpus.keys, "n_tokens", *[
+        _cut(corpus.tokenizer.level_array(F.col("_tok"), lv), F.col("_p"), direction).alias(f"l{lv}") for lv in levels])
+
+
 def centre_word(corpus: Corpus, word: str, level: int = 0, levels: Sequence[int] | None = None) -> DataFrame:
     """Suffix of each sentence from the first occurrence of ``word``.
 
     ``level`` is where the word is searched (the reference always uses 0);
     ``levels`` are the levels returned (default: the search level).  Narrow.
     """
-    levels = [level] if levels is None else list(levels)
-    staged = corpus.df.select(*corpus.keys, "n_tokens", "_tok",
-                              first_position(corpus.level_array(level), word).alias("_p"))
-    arrs = [corpus.tokenizer.level_array(F.col("_tok"), lv) for lv in levels]
-    return staged.select(*corpus.keys, "n_tokens",
-                         *[_cut(a, F.col("_p"), 1).alias(f"l{lv}") for a, lv in zip(arrs, levels)])
+    return centre_at_word(corpus, word, 1, level, [level] if levels is None else levels)
 
 
 def recentred_corpus(corpus: Corpus, word: str, level: int = 0) -> Corpus:

@@ -6,10 +6,11 @@ when all are absent), the reference cycles every list to length ``C`` and
 defines ``D[i][j][c] = P_i[0] - P_j[c mod len(P_j)]``.
 
 The expanded form repeats each distinct value ``C / len(P_j)`` times.  The
-rows here are the exact compact form: one row per ``(i, j, k)`` with
-``k`` indexing ``P_j`` and ``multiplicity = C / len(P_j)``; the expanded
-rows are those rows repeated ``multiplicity`` times, so nothing is lost and
-the output never grows with ``C``.  Narrow: array expressions per sentence.
+rows here are the exact compact form: one row per ``(i, j, k)`` with ``k``
+indexing ``P_j``, its length ``n_j`` and the lengths ``sizes`` of all lists.
+``C`` is the product of ``sizes`` and may exceed any number type, so it is
+never computed here; the output does not grow with it.  Narrow: array
+expressions per sentence.
 """
 
 from __future__ import annotations
@@ -27,11 +28,11 @@ ABSENT = 1000
 
 def distance(corpus: Corpus, words: Sequence[str], level: int = 0,
              expand: bool = False) -> DataFrame:
-    """Keys, ``i, term_i, j, term_j, k, distance, multiplicity`` (compact).
+    """Keys, ``i, term_i, j, term_j, k, distance, n_j, sizes`` (compact).
 
-    With ``expand=True`` each compact row is repeated ``multiplicity``
-    times and ``k`` becomes the combination index ``c`` (0..C-1), i.e.
-    the reference's cube ``[i][j][c]``.
+    With ``expand=True`` each compact row is repeated and ``k`` becomes the
+    combination index ``c`` (0..C-1, long), i.e. the reference's cube
+    ``[i][j][c]``; a sentence whose ``C`` exceeds a long raises.
     """
     if not words:
         raise ValueError("empty word list")
@@ -41,32 +42,30 @@ def distance(corpus: Corpus, words: Sequence[str], level: int = 0,
         F.transform("_t", lambda x, i: F.when(x == w, i).otherwise(-1)), lambda q: q >= 0)).alias("_P"))
     staged = staged.select(
         *corpus.keys,
-        F.transform("_P", lambda p: F.when(F.size(p) > 0, p).otherwise(F.array(F.lit(ABSENT)))).alias("_F"),
-        F.aggregate("_P", F.lit(1).cast("decimal(38,0)"),
-                    lambda acc, p: F.when(F.size(p) > 0, F.try_multiply(acc, F.size(p).cast("decimal(38,0)")))
-                    .otherwise(acc)).alias("_C"),  # NULL if the product overflows decimal(38)
-    )
+        # an absent word has one entry, the sentinel: its length 1 leaves the product as it is
+        F.transform("_P", lambda p: F.when(F.size(p) > 0, p).otherwise(F.array(F.lit(ABSENT)))).alias("_F"))
     # outer generators + null filters (no inferred filters re-running the arrays)
-    i_rows = (staged.select(*corpus.keys, "_F", "_C", F.posexplode_outer("_F").alias("i", "_Fi"))
+    i_rows = (staged.select(*corpus.keys, "_F", F.transform("_F", F.size).alias("sizes"),
+                            F.posexplode_outer("_F").alias("i", "_Fi"))
               .where(F.col("i").isNotNull()))
-    ij_rows = (i_rows.select(*corpus.keys, "_C", "i", F.element_at("_Fi", 1).alias("_first"),
+    ij_rows = (i_rows.select(*corpus.keys, "sizes", "i", F.element_at("_Fi", 1).alias("_first"),
                              F.posexplode_outer("_F").alias("j", "_Fj"))
                .where(F.col("j").isNotNull()))
     out = ij_rows.select(
         *corpus.keys,
         F.col("i").cast("int").alias("i"), wl[F.col("i")].alias("term_i"),
         F.col("j").cast("int").alias("j"), wl[F.col("j")].alias("term_j"),
-        F.col("_C"), F.col("_first"), F.col("_Fj"),
+        F.col("_first"), F.size("_Fj").alias("n_j"), "sizes",
         F.posexplode_outer("_Fj").alias("k", "_pj"),
     ).where(F.col("k").isNotNull()).select(
         *corpus.keys, "i", "term_i", "j", "term_j", F.col("k").cast("int").alias("k"),
-        (F.col("_first") - F.col("_pj")).cast("int").alias("distance"),
-        (F.col("_C") / F.size("_Fj")).cast("decimal(38,0)").alias("multiplicity"),
-        F.size("_Fj").alias("_len_j"),
+        (F.col("_first") - F.col("_pj")).cast("int").alias("distance"), "n_j", "sizes",
     )
     if not expand:
-        return out.drop("_len_j")
-    # the cycled list holds P_j[k] at c = k + len(P_j) * r, r = 0 .. multiplicity-1
-    rep = out.withColumn("_r", F.explode(F.sequence(F.lit(0), F.col("multiplicity").cast("int") - 1)))
-    return rep.select(*corpus.keys, "i", "term_i", "j", "term_j",
-                      (F.col("k") + F.col("_len_j") * F.col("_r")).alias("c"), "distance")
+        return out
+    product = F.aggregate("sizes", F.lit(1).cast("long"), lambda acc, n: F.try_multiply(acc, n.cast("long")))
+    combinations = F.when(product.isNull(), F.raise_error(F.lit("too many combinations to expand"))).otherwise(product)
+    # the cycled list holds P_j[k] at c = k, k + n_j, k + 2 n_j, ... below C
+    rep = out.withColumn("_C", combinations.cast("long")).withColumn("c", F.explode(F.sequence(
+        F.col("k").cast("long"), F.col("_C") - F.col("n_j") + F.col("k"), F.col("n_j").cast("long"))))
+    return rep.select(*corpus.keys, "i", "term_i", "j", "term_j", "c", "distance")

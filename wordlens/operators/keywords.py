@@ -42,96 +42,44 @@ def profile_rows(corpus: Corpus, level: int = 0, extra: Sequence[str] = ()) -> D
     )
 
 
-#: sentences up to this length find first occurrences by a direct scan
-#: (``array_position``, at most this many steps per token); longer ones use
-#: the sort-based profile, so no sentence costs more than O(n log n) steps
-#: beyond this bound
-DIRECT_SCAN_MAX = 512
-
-
-def stat_rows(corpus: Corpus, level: int | Sequence[int] = 0) -> DataFrame:
-    """Rows feeding the keyword statistics: keys, ``n_tokens``, [``level``,] ``term, first, tf, pos``.
-
-    Each row adds ``tf`` occurrences of ``term`` at ``pos``; ``first`` marks
-    the term's first occurrence in its sentence (``pos`` is then its first
-    position).  Short sentences yield one row per token, with the first
-    occurrence found by ``array_position``; long sentences yield one row per
-    distinct term from the sort-based profile, so no sentence costs more
-    than O(n log n) beyond the direct-scan bound.  With a list of levels the
-    rows of all levels come out of the same single generator (one read of
-    the corpus) and carry a ``level`` column.  Narrow.
+def stat_rows(corpus: Corpus, level: int | Sequence[int] = 0, markers: bool = False,
+              with_eos: bool = True) -> DataFrame:
+    """Rows feeding the keyword statistics: keys, ``n_tokens``, [``level``,] ``term, fp, tf``.
+
+    One row per (sentence, distinct term) from the sort-based profile, for
+    sentences of every length: O(n log n) per sentence, narrow.  With a
+    list of levels the rows of all levels come out of one generator (one
+    read of the corpus) and carry a ``level`` column.
+
+    With ``markers`` every sentence -- an empty one too -- also yields one
+    row per level whose ``term`` is NULL, so the aggregated NULL term counts
+    the sentences in the same pass.  ``with_eos=False`` leaves the end
+    markers (not words that read the same) out.
     """
-    if isinstance(level, int):
-        return _stat_rows_one_level(corpus, level)
-    levels = list(level)
-    base = corpus.df.select(*corpus.keys, "n_tokens", *[corpus.level_array(lv).alias(f"_lv{lv}") for lv in levels])
-    short = F.col("n_tokens") <= DIRECT_SCAN_MAX
-    for lv in levels:
-        base = base.withColumn(f"_long{lv}", F.when(short, F.array().cast("array<string>"))
-                               .otherwise(F.col(f"_lv{lv}")))
-        base = with_term_profile(base, f"_long{lv}", f"_prof{lv}").drop(f"_long{lv}")
-
     multi = not isinstance(level, int)
-
-    def tag(lv: int) -> list[Column]:
-        return [F.lit(lv).alias("level")] if multi else []
-
-    def direct(lv: int) -> Column:
-        arr = f"_lv{lv}"
-        return F.transform(arr, lambda x, i: F.struct(
-            *tag(lv), x.alias("term"), (F.array_position(arr, x) == i + 1).alias("first"),
-            F.lit(1).cast("long").alias("tf"), i.alias("pos")))
-
-    def runs(lv: int) -> Column:
-        return F.transform(f"_prof{lv}", lambda e: F.struct(
-            *tag(lv), e["term"].alias("term"), F.lit(True).alias("first"),
-            e["tf"].cast("long").alias("tf"), e["fp"].alias("pos")))
-
-    items = F.when(short, F.concat(*[direct(lv) for lv in levels])).otherwise(F.concat(*[runs(lv) for lv in levels]))
-    return (base.select(*corpus.keys, "n_tokens", F.explode_outer(items).alias("_r"))
-            .where(F.col("_r").isNotNull() & F.col("_r.term").isNotNull())
-            .select(*corpus.keys, "n_tokens", *([F.col("_r.level").alias("level")] if multi else []),
-                    F.col("_r.term").alias("term"), F.col("_r.first").alias("first"),
-                    F.col("_r.tf").alias("tf"), F.col("_r.pos").cast("int").alias("pos")))
-
-
-def _stat_rows_one_level(corpus: Corpus, level: int, sentence_tf: bool = False) -> DataFrame:
-    """:func:`stat_rows` for one level: a plain ``posexplode`` of the tokens.
-
-    The first-occurrence test runs after the explode as a compiled
-    expression: short sentences carry their (bounded) token array and use
-    ``array_position``; long sentences carry a boolean array marking the
-    run starts of the sort-based profile (one byte per token, read with
-    ``get``), so no sentence pays quadratic string comparisons.
-    """
-    lv = corpus.level_array(level)
-    empty_s, empty_b = F.array().cast("array<string>"), F.array().cast("array<boolean>")
-    base = corpus.df.select(*corpus.keys, "n_tokens", lv.alias("_lv"))
-    short = F.col("n_tokens") <= DIRECT_SCAN_MAX
-    base = base.withColumn("_long", F.when(short, empty_s).otherwise(F.col("_lv")))
-    base = with_term_profile(base, "_long", "_prof")
-    # run starts of long sentences: first position -> occurrences in the sentence
-    base = base.withColumn("_starts", F.map_from_arrays(
-        F.transform("_prof", lambda e: e["fp"]), F.transform("_prof", lambda e: e["tf"])))
-    base = base.select(
-        *corpus.keys, "n_tokens", "_lv",
-        F.when(short, F.col("_lv")).otherwise(empty_s).alias("_lvs"),
-        F.when(short, F.array().cast("array<int>")).otherwise(F.transform(
-            "_lv", lambda x, i: F.coalesce(F.element_at(F.col("_starts"), i), F.lit(0)))).alias("_runs"))
-    rows = (base.select(*corpus.keys, "n_tokens", "_lvs", "_runs",
-                        F.posexplode_outer("_lv").alias("pos", "term"))
-            .where(F.col("pos").isNotNull() & F.col("term").isNotNull()))
-    is_short = F.col("n_tokens") <= DIRECT_SCAN_MAX
-    first = (F.when(is_short, F.array_position("_lvs", F.col("term")) == F.col("pos") + 1)
-             .otherwise(F.get(F.col("_runs"), F.col("pos")) > 0))
-    cols = [*corpus.keys, "n_tokens", "term", first.alias("first"),
-            F.lit(1).cast("long").alias("tf"), F.col("pos").cast("int").alias("pos")]
-    if sentence_tf:
-        # occurrences of the term in its sentence (meaningful on first-occurrence rows)
-        occ = (F.when(is_short, F.size("_lvs") - F.size(F.array_remove("_lvs", F.col("term"))))
-               .otherwise(F.get(F.col("_runs"), F.col("pos"))))
-        cols.append(occ.cast("long").alias("sentence_tf"))
-    return rows.select(*cols)
+    levels = list(level) if multi else [level]
+    arrays = corpus.level_array if with_eos else corpus.word_array
+    out = corpus.df.select(*corpus.keys, "n_tokens", *[arrays(lv).alias(f"_lv{lv}") for lv in levels])
+    for lv in levels:
+        out = with_term_profile(out, f"_lv{lv}", f"_prof{lv}")
+    tag = [F.col("_l")] if multi else []
+    profiles = []
+    for lv in levels:
+        prof = F.col(f"_prof{lv}")
+        if markers:
+            # NULL values (levels an analyser leaves empty) must not count as markers
+            prof = F.array_append(F.filter(prof, lambda e: e["term"].isNotNull()), F.struct(
+                F.lit(None).cast("string").alias("term"), F.lit(None).cast("int").alias("fp"), F.lit(0).alias("tf")))
+        profiles.append(F.struct(F.lit(lv).alias("_l"), prof.alias("_p")))
+    if multi:
+        out = out.select(*corpus.keys, "n_tokens", F.inline_outer(F.array(*profiles)))
+        out = out.select(*corpus.keys, "n_tokens", "_l", F.explode_outer("_p").alias("_p"))
+    else:
+        out = out.select(*corpus.keys, "n_tokens", F.explode_outer(profiles[0]["_p"]).alias("_p"))
+    out = out.where(F.col("_p").isNotNull()).select(
+        *corpus.keys, "n_tokens", *[c.alias("level") for c in tag], F.col("_p.term").alias("term"),
+        F.col("_p.fp").cast("int").alias("fp"), F.col("_p.tf").cast("long").alias("tf"))
+    return out if markers else out.where(F.col("term").isNotNull())
 
 
 def _packable(corpus: Corpus) -> bool:
@@ -162,11 +110,8 @@ def appearance_key(corpus: Corpus, pos: Column) -> Column:
 def term_counts(corpus: Corpus, level: int = 0) -> DataFrame:
     """A4: sentence-term counts ``(keys, term, tf)``, EOS included. No shuffle.
 
-    One row per first occurrence; short sentences count with a compiled
-    ``array_remove``, long ones read the count of the sorted run.
     """
-    rows = _stat_rows_one_level(corpus, level, sentence_tf=True).where(F.col("first"))
-    return rows.select(*corpus.keys, "term", F.col("sentence_tf").alias("tf"))
+    return profile_rows(corpus, level).select(*corpus.keys, "term", "tf")
 
 
 def global_index(df: DataFrame, order: Sequence[Column], name: str = "idx") -> DataFrame:
@@ -197,7 +142,7 @@ def global_index(df: DataFrame, order: Sequence[Column], name: str = "idx") -> D
 
 def vocabulary_index(corpus: Corpus, level: int = 0) -> DataFrame:
     """A5: ``(term, idx)``, 0-based dense index in code-point order (see :func:`global_index`)."""
-    terms = stat_rows(corpus, level).where(F.col("first")).select("term").distinct()
+    terms = profile_rows(corpus, level).select("term").distinct()
     return global_index(terms, [F.col("term").asc()], "idx").select("term", "idx")
 
 
@@ -223,42 +168,37 @@ def keyword_stats(corpus: Corpus, level: int = 0, with_first_seen: bool = False)
     return _stats(stat_rows(corpus, level), corpus, [], with_first_seen)
 
 
-def _stats(rows: DataFrame, corpus: Corpus, group: list[str], with_first_seen: bool,
-           keep_n0: bool = False) -> DataFrame:
-    """Aggregate :func:`stat_rows`-shaped rows (``term, first, tf, pos``) per term.
-
-    Profile rows (``term, fp, tf``) are accepted too: every row is then a first
-    occurrence at ``fp``.
-    """
-    if "first" not in rows.columns:
-        rows = rows.select(*[c for c in rows.columns if c != "fp"], F.lit(True).alias("first"),
-                           F.col("fp").alias("pos"))
-    first = F.col("first")
-    fp = F.when(first, F.col("pos"))
+def _stats(rows: DataFrame, corpus: Corpus, group: list[str], with_first_seen: bool) -> DataFrame:
+    """Aggregate :func:`stat_rows` per term; the NULL term, if any, counts the sentences."""
     aggs = [
-        F.count(F.when(first, F.lit(1))).alias("binary"),
+        F.count(F.lit(1)).alias("binary"),
         F.sum("tf").alias("count"),
-        F.sum(fp).alias("_sfp"),
-        F.sum(F.when(first, percent(F.col("pos"), F.col("n_tokens")))).alias("_spct"),
-        # every sentence has exactly one term at position 0: summing this over
-        # the terms counts the sentences without another pass over the corpus
-        F.count(F.when(F.col("pos") == 0, F.lit(1))).alias("_n0"),
+        F.sum("fp").alias("_sfp"),
+        F.sum(percent(F.col("fp"), F.col("n_tokens"))).alias("_spct"),
     ]
     if with_first_seen:
         # the earliest row of a term is its first occurrence
-        aggs.append(F.min(appearance_key(corpus, F.col("pos"))).alias("first_seen"))
-    stats = rows.groupBy(*group, "term").agg(*aggs)
+        aggs.append(F.min(appearance_key(corpus, F.col("fp"))).alias("first_seen"))
     cols = [
         *group, "term", "binary", "count",
-        (F.col("binary") / F.col("count")).alias("quote"),
+        F.try_divide("binary", "count").alias("quote"),
         (F.col("_sfp") / F.col("binary")).alias("pos_index"),
         (F.col("_spct") / F.col("binary")).alias("pct_index"),
     ]
-    if with_first_seen:
-        cols.append("first_seen")
-    if keep_n0:
-        cols.append("_n0")
-    return stats.select(*cols)
+    return rows.groupBy(*group, "term").agg(*aggs).select(*cols, *(["first_seen"] if with_first_seen else []))
+
+
+def _stats_and_sentences(corpus: Corpus, level: int, with_first_seen: bool = False,
+                         with_eos: bool = True) -> tuple[DataFrame, Column]:
+    """Statistics per term and the number of sentences, from one pass over the corpus.
+
+    The statistics (one row per term) are written to the reliable checkpoint
+    folder; the marker rows' count is one of its rows.
+    """
+    rows = stat_rows(corpus, level, markers=True, with_eos=with_eos)
+    stats = cut_lineage(_stats(rows, corpus, [], with_first_seen))
+    marker = stats.where(F.col("term").isNull()).select("binary").first()  # one row
+    return stats.where(F.col("term").isNotNull()), F.lit(marker[0] if marker else 0)
 
 
 def keyword_stats_levels(corpus: Corpus, levels: Sequence[int]) -> DataFrame:
@@ -273,13 +213,12 @@ def keyword_stats_levels(corpus: Corpus, levels: Sequence[int]) -> DataFrame:
 def binary_count_quote(corpus: Corpus, word: str, level: int = 0) -> DataFrame:
     """Statistics of one word; an unknown word gives no row.
 
-    The word filter runs on the exploded profile before the aggregation,
-    so only that word's rows reach the (tiny) shuffle.
+    Occurrences are counted inside each sentence; one global sum follows.
     """
-    prof = profile_rows(corpus, level).where(F.col("term") == F.lit(word))
-    return prof.groupBy("term").agg(
-        F.count(F.lit(1)).alias("binary"), F.sum("tf").alias("count")
-    ).select("term", "binary", "count", (F.col("binary") / F.col("count")).alias("quote"))
+    hits = word_occurrence(corpus, word, level)
+    total = hits.agg(F.count(F.when(F.col("tf") > 0, 1)).alias("binary"), F.sum("tf").alias("count"))
+    return total.where(F.col("binary") > 0).select(
+        F.lit(word).alias("term"), "binary", "count", (F.col("binary") / F.col("count")).alias("quote"))
 
 
 def position_index(positions: DataFrame, col: str = "positions") -> DataFrame:
@@ -328,14 +267,10 @@ def main_element(corpus: Corpus, level: int = 0, share: float = 1.0) -> DataFram
     ``binary >= share * n_sentences`` and ``count == binary``; ``share=1``
     is the reference's "binary equals the number of sentences".
     """
-    # one pass: statistics checkpointed, sentence count summed from them
-    stats = cut_lineage(_stats(stat_rows(corpus, level), corpus, [], False, keep_n0=True))
-    n = F.lit(stats.agg(F.coalesce(F.sum("_n0"), F.lit(0))).first()[0])
+    stats, n = _stats_and_sentences(corpus, level, with_eos=False)
     return (
         stats
-        .where((F.col("binary") >= n * F.lit(float(share)))
-               & (F.col("count") == F.col("binary"))
-               & (F.col("term") != F.lit("EOS")))
+        .where((F.col("binary") >= n * F.lit(float(share))) & (F.col("count") == F.col("binary")))
         .select("term", "binary", "count", "quote")
     )
 
@@ -363,10 +298,6 @@ def sort_keywords(corpus: Corpus, field: str = "binary", descending: bool = True
     return ranked.withColumn("sort_rank", F.col("sort_rank") + 1)
 
 
-#: below this threshold (percent) the report is ranked with a distributed sort
-SMALL_REPORT_MIN_PERCENT = 1.0
-
-
 def keyword_report(corpus: Corpus, percent_limit: float, level: int = 0) -> DataFrame:
     """T2, the flagship keyword report.
 
@@ -375,28 +306,18 @@ def keyword_report(corpus: Corpus, percent_limit: float, level: int = 0) -> Data
     1.. in that order.  Columns: ``rank, term, binary, count, quote,
     pos_index, pct_index``.
 
-    Plan: one aggregation builds all statistics (partial aggregation
-    map-side) and is checkpointed; the filter leaves at most ``avg_sentence_length * 100 / p``
-    terms (Σ binary over terms <= number of tokens), so the final ordering
-    and ``row_number`` run over a small, bounded frame.
+    Every sentence counts, also one that re-centring left empty.  One
+    aggregation builds all statistics (partial aggregation map-side) and is
+    checkpointed; the rows that pass are ranked by a distributed sort
+    (:func:`global_index`) whatever the threshold.
     """
-    # One pass over the corpus: the statistics (one row per term) are written
-    # to the reliable checkpoint folder, and the sentence count is summed from
-    # that small table instead of profiling the corpus a second time.
-    stats = cut_lineage(_stats(stat_rows(corpus, level), corpus, [], True, keep_n0=True))
-    n = F.lit(stats.agg(F.coalesce(F.sum("_n0"), F.lit(0))).first()[0])
+    stats, n = _stats_and_sentences(corpus, level, with_first_seen=True)
     p = float(percent_limit)
     kept = stats.where((F.col("quote") >= F.lit(p / 100.0))
                        & (F.col("binary") > n * F.lit(p) / F.lit(100.0)))
-    order = [F.col("binary").desc(), F.col("first_seen").asc()]
-    cols = ["term", "binary", "count", "quote", "pos_index", "pct_index"]
-    if p < SMALL_REPORT_MIN_PERCENT:
-        # the filter no longer bounds the result usefully: rank it distributed
-        ranked = global_index(kept, order, "_idx")
-        return ranked.select((F.col("_idx") + 1).cast("int").alias("rank"), *cols)
-    # at most avg_sentence_length * 100 / p rows: one task ranks them
-    from pyspark.sql import Window
-    return kept.select(F.row_number().over(Window.orderBy(*order)).alias("rank"), *cols)
+    ranked = global_index(kept, [F.col("binary").desc(), F.col("first_seen").asc()], "_idx")
+    return ranked.select((F.col("_idx") + 1).cast("int").alias("rank"),
+                         "term", "binary", "count", "quote", "pos_index", "pct_index")
 
 
 def keyword_drilldown(corpus: Corpus, report: DataFrame, rank: int | None = None,

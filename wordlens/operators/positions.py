@@ -33,12 +33,13 @@ def _words_literal(words: Sequence[str]):
     return F.array(*[F.lit(w) for w in words])
 
 
-def wordlist_abs(corpus: Corpus, words: Sequence[str], level: int = 0) -> DataFrame:
+def wordlist_abs(corpus: Corpus, words: Sequence[str], level: int = 0, aligned: bool = True) -> DataFrame:
     """W1 for each word of a list: ``word_no, term``, keys, ``n_tokens``, ``positions``.
 
     The word list is a literal array carried in the expression (it is a
     driver-side Python list, so its size is known); each sentence row
-    explodes into one row per word.  No join, no shuffle.
+    explodes into one row per word.  No join, no shuffle.  ``aligned=False``
+    leaves out the words a sentence does not have.
     """
     if not words:
         raise ValueError("empty word list")
@@ -47,15 +48,21 @@ def wordlist_abs(corpus: Corpus, words: Sequence[str], level: int = 0) -> DataFr
         w.alias("term"),
         F.filter(F.transform("_t", lambda x, i: F.when(x == w, i).otherwise(-1)),
                  lambda q: q >= 0).alias("positions")))
+    if not aligned:
+        per_word = F.filter(F.transform(per_word, lambda e, i: F.struct(i.alias("word_no"), e.alias("w"))),
+                            lambda e: F.size(e["w"]["positions"]) > 0)
+        return t.select(*corpus.keys, "n_tokens", F.explode_outer(per_word).alias("_w")).where(F.col("_w").isNotNull()).select(
+            F.col("_w.word_no").cast("int").alias("word_no"), F.col("_w.w.term").alias("term"),
+            *corpus.keys, "n_tokens", F.col("_w.w.positions").alias("positions"))
     return (t.select(*corpus.keys, "n_tokens", F.posexplode_outer(per_word).alias("word_no", "_w"))
             .where(F.col("word_no").isNotNull())
             .select(F.col("word_no").cast("int").alias("word_no"), F.col("_w.term").alias("term"),
                     *corpus.keys, "n_tokens", F.col("_w.positions").alias("positions")))
 
 
-def wordlist_pct(corpus: Corpus, words: Sequence[str], level: int = 0) -> DataFrame:
+def wordlist_pct(corpus: Corpus, words: Sequence[str], level: int = 0, aligned: bool = True) -> DataFrame:
     """W2 for each word of a list."""
-    p = wordlist_abs(corpus, words, level)
+    p = wordlist_abs(corpus, words, level, aligned)
     return p.withColumn("positions", percent_positions("positions", "n_tokens"))
 
 

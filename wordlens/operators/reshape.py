@@ -22,14 +22,20 @@ from wordlens.sources.corpus import Corpus
 
 
 def padded_sentences(corpus: Corpus, level: int = 0, width: int | None = None) -> DataFrame:
-    """Every sentence padded (last token repeated) or cut to ``width``.
+    """Every sentence padded to the longest one, its last token repeated.
 
-    ``width`` defaults to the longest sentence (a scalar subquery), which is
-    the reference's dense array.  Output: keys, ``n_tokens``, ``padded``.
+    Output: keys, ``n_tokens``, ``values``, ``pad_value``, ``pad_count``: the
+    dense row is ``values`` followed by ``pad_count`` times ``pad_value``, so
+    no row grows with the longest sentence.  With an explicit ``width`` the
+    rows are cut or padded to it: keys, ``n_tokens``, ``padded``.
     """
-    w = F.lit(width) if width is not None else corpus.df.agg(F.max("n_tokens")).scalar()
-    return corpus.df.select(*corpus.keys, "n_tokens",
-                            trim_pad(corpus.level_array(level), w).alias("padded"))
+    values = corpus.level_array(level)
+    if width is not None:
+        return corpus.df.select(*corpus.keys, "n_tokens", trim_pad(values, width).alias("padded"))
+    longest = corpus.df.agg(F.max("n_tokens")).scalar()
+    return corpus.df.select(*corpus.keys, "n_tokens", values.alias("values"),
+                            F.get(values, F.size(values) - 1).alias("pad_value"),
+                            (longest - F.col("n_tokens")).cast("int").alias("pad_count"))
 
 
 def axes_moved_counts(corpus: Corpus, levels: Sequence[int] = (0,)) -> DataFrame:
@@ -67,11 +73,11 @@ def axes_moved_counts(corpus: Corpus, levels: Sequence[int] = (0,)) -> DataFrame
     hist = counts.where(F.col("marker")).select("level", F.col("pos").alias("len"), "value", F.col("n").alias("c"))
     # the histogram has one row per (level, length, last value): bounded by the longest sentence
     w = Window.partitionBy("level", "value").orderBy("len")
+    longest = hist.groupBy("level").agg(F.max("len").alias("_longest"))
     steps = hist.select(
         "level", "value", "len",
         F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("cum"),
-        F.lead("len").over(w).alias("_next"),
-        F.max("len").over(Window.partitionBy("level")).alias("_longest"))
+        F.lead("len").over(w).alias("_next")).join(F.broadcast(longest), "level")  # one row per level
     pads = (steps.select("level", "value", "len", "cum", F.coalesce("_next", "_longest").alias("next_len"))
             .where(F.col("len") < F.col("next_len"))
             .select("level", "value", "cum", F.explode(F.sequence("len", F.col("next_len") - 1)).alias("pos"))
@@ -87,16 +93,12 @@ def axes_moved(corpus: Corpus, levels: Sequence[int] = (0,)) -> DataFrame:
     prefer :func:`axes_moved_counts` at scale.
     """
     longest = corpus.df.agg(F.max("n_tokens")).scalar()
-    parts = []
-    for lv in levels:
-        padded = corpus.df.select(*corpus.keys, trim_pad(corpus.level_array(lv), longest).alias("_a"))
-        parts.append(padded.select(F.lit(lv).alias("level"), *corpus.keys,
-                                   F.posexplode_outer("_a").alias("pos", "value"))
-                     .where(F.col("pos").isNotNull()))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select(F.col("pos").cast("int").alias("pos"), "level", *corpus.keys, "value")
+    padded = F.array(*[F.struct(F.lit(lv).alias("level"), trim_pad(corpus.level_array(lv), longest).alias("_a"))
+                       for lv in levels])
+    return (corpus.df.select(*corpus.keys, F.inline_outer(padded))
+            .select("level", *corpus.keys, F.posexplode_outer("_a").alias("pos", "value"))
+            .where(F.col("pos").isNotNull())
+            .select(F.col("pos").cast("int").alias("pos"), "level", *corpus.keys, "value"))
 
 
 def ragged_transpose(df: DataFrame, col: str, place_holder: Column | None = None,
@@ -105,14 +107,23 @@ def ragged_transpose(df: DataFrame, col: str, place_holder: Column | None = None
     return df.withColumn(out or col, _ragged_transpose(F.col(col), place_holder))
 
 
+def ragged_transpose_long(df: DataFrame, col: str, keys: Sequence[str]) -> DataFrame:
+    """R3 (long form): keys, ``col``, ``row``, ``value`` for every present cell.
+
+    Row ``r`` of the transpose holds the cells with ``col = r``; holes of
+    short rows are absent, so nothing of size widest x rows is built.
+    """
+    rows = (df.select(*keys, F.posexplode_outer(col).alias("row", "_cells")).where(F.col("row").isNotNull()))
+    return (rows.select(*keys, "row", F.posexplode_outer("_cells").alias("col", "value"))
+            .where(F.col("col").isNotNull())
+            .select(*keys, F.col("col").cast("int").alias("col"), F.col("row").cast("int").alias("row"), "value"))
+
+
 def rotated_sentence(corpus: Corpus, levels: Sequence[int] = (0, 1)) -> DataFrame:
     """Each sentence turned 90 degrees clockwise: per level the values in reverse order.
 
     Output (sentence form): keys, ``level``, ``values`` (last token first).
     """
-    parts = [corpus.df.select(*corpus.keys, F.lit(lv).alias("level"),
-                              F.reverse(corpus.level_array(lv)).alias("values")) for lv in levels]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    turned = F.array(*[F.struct(F.lit(lv).alias("level"), F.reverse(corpus.level_array(lv)).alias("values"))
+                       for lv in levels])
+    return corpus.df.select(*corpus.keys, F.inline_outer(turned))

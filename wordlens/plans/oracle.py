@@ -110,24 +110,43 @@ slots AS (
   UNION ALL
   SELECT 1 AS level, CAST(generate_subscripts(c1, 1) - 1 AS INTEGER) AS rel_pos, doc_id, sent_no, unnest(c1) AS value FROM cent)"""
 
-DIST = f"""
+
+
+def _dist(words: str) -> str:
+    return f"""
 pl AS (
   SELECT doc_id, sent_no,
-         [{_positions_list('t', 'w')} for w in {_words_sql()}] AS P
+         [{_positions_list('t', 'w')} for w in {words}] AS P
   FROM sent),
-cyc AS (
-  SELECT doc_id, sent_no,
-         [CASE WHEN len(x) > 0 THEN x ELSE [1000] END for x in P] AS F,
-         list_aggregate([CAST(len(x) AS HUGEINT) for x in P if len(x) > 0], 'product') AS C0
-  FROM pl),
-fi AS (SELECT doc_id, sent_no, F, coalesce(CAST(C0 AS HUGEINT), 1) AS C,
-              CAST(generate_subscripts(F, 1) - 1 AS INTEGER) AS i, unnest(F) AS Fi FROM cyc),
-fij AS (SELECT doc_id, sent_no, C, i, Fi[1] AS first_i,
+cyc AS (SELECT doc_id, sent_no, [CASE WHEN len(x) > 0 THEN x ELSE [1000] END for x in P] AS F FROM pl),
+fi AS (SELECT doc_id, sent_no, F, CAST(generate_subscripts(F, 1) - 1 AS INTEGER) AS i, unnest(F) AS Fi FROM cyc),
+fij AS (SELECT doc_id, sent_no, F, i, Fi[1] AS first_i,
                CAST(generate_subscripts(F, 1) - 1 AS INTEGER) AS j, unnest(F) AS Fj FROM fi),
-fijk AS (SELECT doc_id, sent_no, C, i, first_i, j, len(Fj) AS lj,
+fijk AS (SELECT doc_id, sent_no, F, i, first_i, j, len(Fj) AS lj,
                 CAST(generate_subscripts(Fj, 1) - 1 AS INTEGER) AS k, unnest(Fj) AS pj FROM fij)"""
 
 
+def _analysed() -> str:
+    """Analyser lines of every token, with the forms of ``params``, and fields 1, 2 and 29."""
+    stars = ",*"
+    forms = "".join(f" WHEN surface = {_lit(k)} THEN {_lit(v)}" for k, v in P.SYMBOL_FORMS.items())
+    bad = ", ".join(_lit(k) for k in ("(", "="))
+    return f"""
+feats AS (
+  SELECT *, CASE WHEN is_eos THEN NULL {forms}
+                 WHEN f01 = 'WORD' THEN 'WORD{stars * 5},"' || surface || ',x"{stars * 22}'
+                 WHEN f01 = 'NUM' THEN {_lit(P.SHORT_NUMERAL)}
+                 ELSE f01 || '{stars * 28}' END AS feats,
+         bool_or(surface IN ({bad}) AND NOT is_eos) OVER (PARTITION BY doc_id, sent_no) AS faulty
+  FROM cls),
+analysed AS (
+  SELECT *, CASE WHEN is_eos THEN 'EOS' ELSE surface || chr(9) || feats END AS line,
+         CASE WHEN is_eos THEN 'EOS' ELSE string_split(feats, ',')[1] END AS a1,
+         CASE WHEN is_eos THEN 'EOS' ELSE string_split(feats, ',')[2] END AS a2,
+         CASE WHEN is_eos THEN 'EOS' WHEN len(string_split(feats, ',')) < 29 THEN '' ELSE '*' END AS a29
+  FROM feats)"""
+
+
 ORACLE: dict[str, str] = {
     "sentences": _with("SELECT doc_id, sent_no, n_tokens FROM sent"),
     "tokens": _with("SELECT doc_id, sent_no, pos, n_tokens, is_eos, surface AS f00, f01 FROM cls"),
@@ -159,14 +178,60 @@ SELECT doc_id, sent_no, n_tokens FROM t WHERE n_tokens > 1""",
     "keyword_drilldown": _with(f"""SELECT r.rank, r.term, s.doc_id, s.sent_no,
   array_to_string([CAST(i - 1 AS INTEGER) for i in range(1, len(s.t) + 1) if s.t[i] = r.term], ',') AS positions
 FROM sent s, (SELECT rank, term FROM report WHERE rank = {P.DRILL_RANK}) r""", _corpus() + "," + REPORT),
-    "main_element": _with(f"""SELECT term, "binary", count, quote FROM stats, nsent
-WHERE "binary" >= nsent.n * {float(P.MAIN_SHARE)!r}::DOUBLE AND count = "binary" AND term <> 'EOS'"""),
+    "main_element": _with(f"""SELECT term, "binary", count, "binary" / count AS quote FROM (
+  SELECT term, count(*) AS "binary", CAST(sum(tf) AS BIGINT) AS count FROM (
+    SELECT doc_id, sent_no, surface AS term, count(*) AS tf FROM cls WHERE NOT is_eos GROUP BY ALL) GROUP BY term), nsent
+WHERE "binary" >= nsent.n * {float(P.MAIN_SHARE)!r}::DOUBLE AND "binary" = count"""),
+    "recentred_report": _with(f"""SELECT CAST(row_number() OVER (ORDER BY "binary" DESC, first_seen) AS INTEGER) AS rank,
+  term, "binary", count, quote, pos_index, pct_index
+FROM (
+  SELECT term, count(*) AS "binary", CAST(sum(tf) AS BIGINT) AS count, count(*) / sum(tf) AS quote,
+         round(sum(fp) / count(*), 6) AS pos_index,
+         round(sum(CASE WHEN n > 1 THEN fp * 100.0::DOUBLE / (n - 1) ELSE 0.0::DOUBLE END) / count(*), 6) AS pct_index,
+         min(struct_pack(d := doc_id, s := sent_no, p := fp)) AS first_seen
+  FROM (
+    SELECT doc_id, sent_no, n, value AS term, min(rel_pos) AS fp, count(*) AS tf
+    FROM (SELECT doc_id, sent_no, rel_pos, value, count(*) OVER (PARTITION BY doc_id, sent_no) AS n
+          FROM slots WHERE level = 0)
+    GROUP BY doc_id, sent_no, n, value)
+  GROUP BY term), nsent
+WHERE quote >= {P.RECENTRED_REPORT_PERCENT / 100.0!r}::DOUBLE
+  AND "binary" > nsent.n * {float(P.RECENTRED_REPORT_PERCENT)!r}::DOUBLE / 100.0::DOUBLE""",
+                              _corpus() + "," + CENTRE + "," + SLOTS),
+    "conversation_report": _with(f"""SELECT CAST(row_number() OVER (ORDER BY "binary" DESC, first_seen) AS INTEGER) AS rank,
+  term, "binary", count, quote, round(pos_index, 6) AS pos_index
+FROM (
+  SELECT term, count(*) AS "binary", CAST(sum(tf) AS BIGINT) AS count, count(*) / sum(tf) AS quote,
+         sum(fp) / count(*) AS pos_index,
+         min(struct_pack(c := conv_id, t := turn, s := sent_no, p := fp)) AS first_seen
+  FROM (SELECT conv_id, turn, sent_no, surface AS term, min(pos) AS fp, count(*) AS tf FROM tok GROUP BY ALL)
+  GROUP BY term), (SELECT count(*) AS n FROM sent) ns
+WHERE quote >= {p / 100.0!r}::DOUBLE AND "binary" > ns.n * {float(p)!r}::DOUBLE / 100.0::DOUBLE""",
+                                 _corpus("conversations", "conv_id, turn").split(",\ncls AS")[0]),
+    "word_stats": _with(f"""SELECT term, "binary", count, quote FROM stats WHERE term = {W}"""),
+    "keyword_at_least": _with(_stats_select() + f" WHERE count >= {P.FILTER_MIN_COUNT}"),
+    "language_tokens": f"""
+WITH lines AS (
+  SELECT doc_id, lang, CAST(generate_subscripts(string_split(text, chr(10)), 1) - 1 AS INTEGER) AS sent_no,
+         unnest(string_split(text, chr(10))) AS line FROM documents),
+sent AS (
+  SELECT doc_id, sent_no, list_append(
+    CASE WHEN lang IN ({", ".join(_lit(x) for x in P.PRESEGMENTED_LANGUAGES)})
+         THEN list_filter(regexp_split_to_array(line, '{UNICODE_WS}'), lambda x: x <> '')
+         ELSE regexp_extract_all(line, '{TOKEN_RE}') END, 'EOS') AS t FROM lines)
+SELECT doc_id, sent_no, CAST(generate_subscripts(t, 1) - 1 AS INTEGER) AS pos, CAST(len(t) AS INTEGER) AS n_tokens,
+       generate_subscripts(t, 1) = len(t) AS is_eos, unnest(t) AS f00
+FROM sent WHERE len(t) > 1""",
     # projections
     "level_values": _with("SELECT doc_id, sent_no, pos, f01 AS value FROM cls WHERE NOT is_eos"),
     "level_window": _with("SELECT doc_id, sent_no, pos, surface AS f00, f01, "
                           "CAST(NULL AS VARCHAR) AS f02 FROM cls WHERE NOT is_eos"),
     "level_per_sentence": _with("SELECT doc_id, sent_no, string_agg(f01, ' ' ORDER BY pos) AS line "
                                 "FROM cls GROUP BY doc_id, sent_no"),
+    "show_level": _with("SELECT doc_id, sent_no, string_agg(f01, ' ' ORDER BY pos) AS line "
+                        "FROM cls GROUP BY doc_id, sent_no"),
+    "sub_sentence_long": _with("SELECT doc_id, sent_no, pos, surface AS value FROM tok "
+                               f"WHERE pos >= {P.SUB_START} AND pos < {P.SUB_STOP}"),
     "sub_sentence": _with(f"SELECT doc_id, sent_no, array_to_string(t[{P.SUB_START + 1}:{P.SUB_STOP}], ' ') AS sub FROM sent"),
     "trim_pad": _with(f"""SELECT doc_id, sent_no, array_to_string(
   CASE WHEN len(t) >= {P.TRIM_LEN} THEN t[:{P.TRIM_LEN}]
@@ -185,7 +250,13 @@ FROM sent s, (SELECT generate_subscripts({_words_sql()}, 1) AS i, unnest({_words
   round({_pct('k.pos', 'k.n_tokens')}, 6) AS pct
 FROM tok k JOIN (SELECT generate_subscripts({_words_sql()}, 1) AS i, unnest({_words_sql()}) AS term) w
   ON k.surface = w.term"""),
+    "wordlist_hits": _with(f"""SELECT CAST(w.i - 1 AS INTEGER) AS word_no, w.term, k.doc_id, k.sent_no,
+  string_agg(CAST(k.pos AS VARCHAR), ',' ORDER BY k.pos) AS positions
+FROM tok k JOIN (SELECT generate_subscripts({_words_sql()}, 1) AS i, unnest({_words_sql()}) AS term) w
+  ON k.surface = w.term GROUP BY w.i, w.term, k.doc_id, k.sent_no"""),
+    "show_positions": _with(f"SELECT doc_id, sent_no, n_tokens, array_to_string({_positions_list('t', W)}, ',') AS positions FROM sent"),
     # alignment
+    "centre_by_positions": _centre_sql(1),
     "centre_suffix": _centre_sql(1),
     "centre_prefix": _centre_sql(0),
     "centre_reversed": _centre_sql(-1),
@@ -214,12 +285,26 @@ GROUP BY level, rel_pos, value""", _corpus() + "," + CENTRE + "," + SLOTS),
                             _corpus() + "," + CENTRE + "," + SLOTS),
     # distance
     "distance": _with("""SELECT doc_id, sent_no, i, j, k, CAST(first_i - pj AS INTEGER) AS distance,
-  CAST(C // lj AS BIGINT) AS multiplicity FROM fijk""", _corpus() + "," + DIST),
+  CAST(lj AS INTEGER) AS n_j, array_to_string([len(x) for x in F], ',') AS sizes FROM fijk""",
+                      _corpus() + "," + _dist(_words_sql())),
+    "distance_cube": _with("""SELECT doc_id, sent_no, i, j, CAST(c AS BIGINT) AS c, CAST(first_i - Fj[c % len(Fj) + 1] AS INTEGER) AS distance
+FROM (SELECT *, unnest(range(0, CAST(list_product([len(x) for x in F]) AS BIGINT))) AS c FROM fij)""",
+                           _corpus() + "," + _dist("[" + ", ".join(_lit(w) for w in P.CUBE_WORDS) + "]")),
     # reshape
-    "padded_sentences": _with("""SELECT doc_id, sent_no, CAST(m.mx AS INTEGER) AS width,
-  CAST(m.mx - n_tokens AS INTEGER) AS n_pad,
-  CASE WHEN n_tokens >= m.mx THEN t[m.mx] ELSE t[-1] END AS last_value, t[1] AS first_value
+    "padded_sentences": _with("""SELECT doc_id, sent_no, array_to_string(t, ' ') AS values, t[-1] AS pad_value,
+  CAST(m.mx - n_tokens AS INTEGER) AS pad_count
 FROM sent, (SELECT max(n_tokens) AS mx FROM sent) m"""),
+    "axes_moved_long": _with("""SELECT CAST(g.pos AS INTEGER) AS pos, 1 AS level, s.conv_id, s.turn, s.sent_no,
+  CASE WHEN g.pos >= s.n_tokens - 1 THEN 'EOS'
+       WHEN regexp_matches(s.t[g.pos + 1], '^\\p{L}') THEN 'WORD'
+       WHEN regexp_matches(s.t[g.pos + 1], '^\\p{N}') THEN 'NUM' ELSE 'PUNCT' END AS value
+FROM sent s, (SELECT unnest(range(0, max(n_tokens))) AS pos FROM sent) g""",
+                             _corpus("conversations", "conv_id, turn").split(",\ntok AS")[0]),
+    "ragged_transpose_long": f"""
+WITH r AS (
+  SELECT doc_id, CAST(generate_subscripts(string_split(text, chr(10)), 1) - 1 AS INTEGER) AS "row",
+         regexp_extract_all(unnest(string_split(text, chr(10))), '{TOKEN_RE}') AS cells FROM documents)
+SELECT doc_id, CAST(generate_subscripts(cells, 1) - 1 AS INTEGER) AS col, "row", unnest(cells) AS value FROM r""",
     "axes_moved": _with("""SELECT pos, level, value, CAST(sum(n) AS BIGINT) AS n FROM (
   SELECT pos, 0 AS level, surface AS value, count(*) AS n FROM tok GROUP BY pos, surface
   UNION ALL
@@ -237,8 +322,14 @@ FROM w""",
     "rotated_sentence": _with("""SELECT doc_id, sent_no, 0 AS level, array_to_string(list_reverse(t), ' ') AS values FROM sent
 UNION ALL
 SELECT doc_id, sent_no, 1 AS level, string_agg(f01, ' ' ORDER BY pos DESC) AS values FROM cls GROUP BY doc_id, sent_no"""),
-    "annotated_rejects": """SELECT CAST(NULL AS BIGINT) AS doc_id, CAST(NULL AS INTEGER) AS sent_no,
-  CAST(NULL AS INTEGER) AS line_no, CAST(NULL AS VARCHAR) AS raw_line, CAST(NULL AS VARCHAR) AS reason WHERE false""",
+    "annotated_rejects": _with(f"""SELECT doc_id, sent_no, pos AS line_no, line AS raw_line,
+  CASE WHEN surface = '(' THEN 'unclosed_quote' WHEN surface = '=' THEN 'unknown_type' ELSE 'sentence_rejected' END AS reason
+FROM analysed WHERE faulty""", _corpus() + "," + _analysed()),
+    "annotated_padding": _with("""SELECT level, term, count(*) AS "binary", CAST(sum(tf) AS BIGINT) AS count FROM (
+  SELECT doc_id, sent_no, 1 AS level, a1 AS term, count(*) AS tf FROM analysed WHERE NOT faulty GROUP BY ALL
+  UNION ALL SELECT doc_id, sent_no, 2 AS level, a2 AS term, count(*) AS tf FROM analysed WHERE NOT faulty GROUP BY ALL
+  UNION ALL SELECT doc_id, sent_no, 29 AS level, a29 AS term, count(*) AS tf FROM analysed WHERE NOT faulty GROUP BY ALL)
+GROUP BY level, term""", _corpus() + "," + _analysed()),
     # annotated input: the parsed classes equal the tokeniser classes (numbers carry 名詞/数詞)
     "annotated_stats": _with("""SELECT term, count(*) AS "binary", CAST(sum(tf) AS BIGINT) AS count FROM (
   SELECT doc_id, sent_no, CASE WHEN f01 = 'NUM' THEN '名詞' ELSE f01 END AS term, count(*) AS tf

@@ -17,3 +17,20 @@ FILTER_MIN_BINARY = 100
 MAIN_SHARE = 0.02
 # P3 level window
 WINDOW_START, WINDOW_STOP = 0, 3
+# T2 after W7
+RECENTRED_REPORT_PERCENT = 5
+# P9
+FILTER_MIN_COUNT = 50
+# U4: languages read as already segmented
+PRESEGMENTED_LANGUAGES = ("de", "fr")
+# W9 cube: the number of rows grows with the product of the words' occurrences
+CUBE_WORDS = ("the", "EOS")
+# analyser features: the short numeral, and forms that stand for a symbol's features
+# (padded noun, padded interjection, unclosed quote, unknown type)
+SHORT_NUMERAL = "名詞,数詞,*,*,*,*"
+SYMBOL_FORMS = {
+    "%": "名詞,普通名詞,*,*,*,*",
+    "!": "感動詞,*,*,*,*,*",
+    "(": '*,"x',
+    "=": "*,*",
+}

@@ -18,15 +18,29 @@ from wordlens.operators import align, distance, keywords, positions, project, re
 from wordlens.plans import params as P
 from wordlens.session import read_table
 from wordlens.sources import annotated
-from wordlens.sources.corpus import Corpus, build_corpus, corpus_shape, wordlist_no_eos
-from wordlens.sources.tokenizers import AnnotatedTokenizer
+from wordlens.sources.corpus import Corpus, build_corpus, build_corpus_by_language, corpus_shape, wordlist_no_eos
+from wordlens.sources.tokenizers import AnnotatedTokenizer, PresegmentedTokenizer
 
 Builder = Callable[[SparkSession, str], DataFrame]
 KEYS = ["doc_id", "sent_no"]
 
 
+#: session setting for tables stored in fewer splits than there are cores; unset: no redistribution
+INPUT_PARTITIONS = "wordlens.input.partitions"
+
+
+def input_partitions(spark: SparkSession) -> int | None:
+    value = spark.conf.get(INPUT_PARTITIONS, None)
+    return int(value) if value else None
+
+
 def documents_corpus(spark: SparkSession, sf_dir: str) -> Corpus:
-    return build_corpus(read_table(spark, sf_dir, "documents"))
+    return build_corpus(read_table(spark, sf_dir, "documents"), partitions=input_partitions(spark))
+
+
+def conversations_corpus(spark: SparkSession, sf_dir: str) -> Corpus:
+    return build_corpus(read_table(spark, sf_dir, "conversations"), "text", ("conv_id", "turn"),
+                        partitions=input_partitions(spark))
 
 
 def _r6(c: Column | str) -> Column:
@@ -51,9 +65,7 @@ def q_tokens(spark, sf_dir):
 
 
 def q_sentence_lengths(spark, sf_dir):
-    conv = read_table(spark, sf_dir, "conversations")
-    c = build_corpus(conv, "text", ("conv_id", "turn"))
-    return c.sentences()
+    return conversations_corpus(spark, sf_dir).sentences()
 
 
 def q_corpus_shape(spark, sf_dir):
@@ -71,6 +83,14 @@ def q_whitespace_sentences(spark, sf_dir):
     return c.sentences()
 
 
+def q_language_tokens(spark, sf_dir):
+    """U4: two languages read as whitespace-separated, the rest by the default strategy."""
+    registry = {lang: PresegmentedTokenizer() for lang in P.PRESEGMENTED_LANGUAGES}
+    c = build_corpus_by_language(read_table(spark, sf_dir, "documents"), registry=registry,
+                                 partitions=input_partitions(spark))
+    return c.tokens([0]).select(*KEYS, "pos", "n_tokens", "is_eos", F.col("info.f00").alias("f00"))
+
+
 # -------------------------------------------------------------- keywords
 
 
@@ -121,6 +141,28 @@ def q_keyword_report(spark, sf_dir):
                       _r6("pos_index").alias("pos_index"), _r6("pct_index").alias("pct_index"))
 
 
+def q_recentred_report(spark, sf_dir):
+    """T2 after W7: every sentence counts, also those without the word."""
+    c = align.recentred_corpus(documents_corpus(spark, sf_dir), P.WORD)
+    rep = keywords.keyword_report(c, P.RECENTRED_REPORT_PERCENT)
+    return rep.select("rank", "term", "binary", "count", "quote",
+                      _r6("pos_index").alias("pos_index"), _r6("pct_index").alias("pct_index"))
+
+
+def q_conversation_report(spark, sf_dir):
+    rep = keywords.keyword_report(conversations_corpus(spark, sf_dir), P.REPORT_PERCENT)
+    return rep.select("rank", "term", "binary", "count", "quote", _r6("pos_index").alias("pos_index"))
+
+
+def q_word_stats(spark, sf_dir):
+    return keywords.binary_count_quote(documents_corpus(spark, sf_dir), P.WORD)
+
+
+def q_keyword_at_least(spark, sf_dir):
+    stats = keywords.keyword_stats(documents_corpus(spark, sf_dir))
+    return _stats_cols(keywords.select_all_with_count(stats, "count", P.FILTER_MIN_COUNT))
+
+
 def q_keyword_drilldown(spark, sf_dir):
     c = documents_corpus(spark, sf_dir)
     rep = keywords.keyword_report(c, P.REPORT_PERCENT)
@@ -148,6 +190,15 @@ def q_level_per_sentence(spark, sf_dir):
     return d.select(*KEYS, _joined(F.col("values")).alias("line"))
 
 
+def q_show_level(spark, sf_dir):
+    return project.show_level(documents_corpus(spark, sf_dir), 1)
+
+
+def q_sub_sentence_long(spark, sf_dir):
+    tokens = documents_corpus(spark, sf_dir).level_tokens(0)
+    return project.sub_sentence_long(tokens, P.SUB_START, P.SUB_STOP).select(*KEYS, "pos", "value")
+
+
 def q_sub_sentence(spark, sf_dir):
     c = documents_corpus(spark, sf_dir)
     d = project.sub_sentence(c.level_form(0, "t"), "t", P.SUB_START, P.SUB_STOP)
@@ -192,13 +243,29 @@ def q_wordlist_pct(spark, sf_dir):
         "word_no", *KEYS, F.col("hit_no").cast("int").alias("hit_no"), _r6("pct").alias("pct"))
 
 
+def q_show_positions(spark, sf_dir):
+    d = positions.show_positions(documents_corpus(spark, sf_dir), P.WORD)
+    return d.select(*KEYS, "n_tokens", F.array_join("positions", ",").alias("positions"))
+
+
+def q_wordlist_hits(spark, sf_dir):
+    d = positions.wordlist_abs(documents_corpus(spark, sf_dir), P.WORDS, aligned=False)
+    return d.select("word_no", "term", *KEYS, F.array_join("positions", ",").alias("positions"))
+
+
 # -------------------------------------------------------------- alignment
 
 
 def _centre(spark, sf_dir, direction):
+    d = align.centre_at_word(documents_corpus(spark, sf_dir), P.WORD, direction)
+    return d.select(*KEYS, _joined(F.col("l0")).alias("centred"))
+
+
+def q_centre_by_positions(spark, sf_dir):
+    """W5 with a table of positions, as another corpus or tool may give it: a join on the key."""
     c = documents_corpus(spark, sf_dir)
     pos = positions.positions_abs(c, P.WORD).select(*KEYS, "positions")
-    d = align.centre_at_positions(c, pos, direction, levels=(0,))
+    d = align.centre_at_positions(c, pos, 1, levels=(0,))
     return d.select(*KEYS, _joined(F.col("l0")).alias("centred"))
 
 
@@ -237,8 +304,8 @@ def q_slot_frequency(spark, sf_dir):
 
 def q_element_counts(spark, sf_dir):
     c = documents_corpus(spark, sf_dir)
-    slots = align.slot_values(align.centre_word(c, P.WORD), KEYS, [0]).where(F.col("rel_pos") == 1)
-    return align.element_counts(slots, "value")
+    slot = align.centre_word(c, P.WORD).where(F.size("l0") > 1).select(F.get("l0", F.lit(1)).alias("value"))
+    return align.element_counts(slot, "value")
 
 
 # --------------------------------------------------------------- distance
@@ -246,7 +313,12 @@ def q_element_counts(spark, sf_dir):
 
 def q_distance(spark, sf_dir):
     d = distance.distance(documents_corpus(spark, sf_dir), P.WORDS)
-    return d.select(*KEYS, "i", "j", "k", "distance", F.col("multiplicity").cast("long").alias("multiplicity"))
+    return d.select(*KEYS, "i", "j", "k", "distance", "n_j", F.array_join("sizes", ",").alias("sizes"))
+
+
+def q_distance_cube(spark, sf_dir):
+    d = distance.distance(documents_corpus(spark, sf_dir), P.CUBE_WORDS, expand=True)
+    return d.select(*KEYS, "i", "j", "c", "distance")
 
 
 # ---------------------------------------------------------------- reshape
@@ -254,16 +326,26 @@ def q_distance(spark, sf_dir):
 
 def q_padded_sentences(spark, sf_dir):
     d = reshape.padded_sentences(documents_corpus(spark, sf_dir))
-    return d.select(*KEYS, F.size("padded").alias("width"),
-                    (F.size("padded") - F.col("n_tokens")).alias("n_pad"),
-                    F.element_at("padded", -1).alias("last_value"),
-                    F.element_at("padded", 1).alias("first_value"))
+    return d.select(*KEYS, _joined(F.col("values")).alias("values"), "pad_value", "pad_count")
 
 
 def q_axes_moved(spark, sf_dir):
     return reshape.axes_moved_counts(documents_corpus(spark, sf_dir), [0])
 
 
+def q_axes_moved_long(spark, sf_dir):
+    """R2 (long form) of the class level of the conversations, whose sentences are short."""
+    d = reshape.axes_moved(conversations_corpus(spark, sf_dir), [1])
+    return d.select("pos", "level", "conv_id", "turn", "sent_no", "value")
+
+
+def q_ragged_transpose_long(spark, sf_dir):
+    from wordlens.functions.tokenise import regex_tokens
+    docs = read_table(spark, sf_dir, "documents")
+    m = docs.select("doc_id", F.transform(F.split("text", "\n", -1), lambda ln: regex_tokens(ln)).alias("m"))
+    return reshape.ragged_transpose_long(m, "m", ["doc_id"])
+
+
 def q_ragged_transpose(spark, sf_dir):
     """Per document: the matrix sentence x token of surfaces, transposed to token x sentence."""
     docs = read_table(spark, sf_dir, "documents")
@@ -283,13 +365,15 @@ def q_rotated_sentence(spark, sf_dir):
 # -------------------------------------------------------- annotated input
 
 
-def derived_analyser_output(spark, sf_dir) -> DataFrame:
+def derived_analyser_output(spark, sf_dir, faults: bool = False) -> DataFrame:
     """Analyser-format strings derived from ``documents`` by Spark.
 
     Words get 29 feature fields, the 7th of them quoted with a comma inside
     (exercises the quote repair); numbers get the 6-feature short form with
     ``数詞`` as field 2 (exercises the padding rule); symbols get 29 plain
-    fields.  Field 1 is the token class.
+    fields.  Field 1 is the token class.  With ``faults`` the symbols of
+    ``params`` get the two other padded forms and the two forms that are
+    rejected.
     """
     from wordlens.functions.tokenise import token_class
     c = documents_corpus(spark, sf_dir)
@@ -298,8 +382,10 @@ def derived_analyser_output(spark, sf_dir) -> DataFrame:
         cls = token_class(x)
         plain = F.concat_ws(",", cls, *[F.lit("*")] * 28)
         quoted = F.concat_ws(",", cls, *[F.lit("*")] * 5, F.concat(F.lit('"'), x, F.lit(',x"')), *[F.lit("*")] * 22)
-        short = F.concat_ws(",", F.lit("名詞"), F.lit("数詞"), *[F.lit("*")] * 4)
-        feats = F.when(cls == "WORD", quoted).when(cls == "NUM", short).otherwise(plain)
+        feats = F.when(cls == "WORD", quoted).when(cls == "NUM", F.lit(P.SHORT_NUMERAL)).otherwise(plain)
+        if faults:
+            for symbol, form in P.SYMBOL_FORMS.items():
+                feats = F.when(x == symbol, F.lit(form)).otherwise(feats)
         return F.when(i == F.col("n_tokens") - 1, F.lit("EOS")).otherwise(F.concat(x, F.lit("\t"), feats))
 
     return c.df.select(*KEYS, F.array_join(F.transform("_tok", line), "\n").alias("analysis"))
@@ -315,10 +401,16 @@ def q_annotated_stats(spark, sf_dir):
 
 
 def q_annotated_rejects(spark, sf_dir):
-    _corpus, rejects = annotated.parse_analyser_output(derived_analyser_output(spark, sf_dir))
+    _corpus, rejects = annotated.parse_analyser_output(derived_analyser_output(spark, sf_dir, faults=True))
     return rejects
 
 
+def q_annotated_padding(spark, sf_dir):
+    """The sentences that stay beside the rejected ones: padded and end fields."""
+    corpus, _rejects = annotated.parse_analyser_output(derived_analyser_output(spark, sf_dir, faults=True))
+    return keywords.keyword_stats_levels(corpus, [1, 2, 29]).select("level", "term", "binary", "count")
+
+
 QUERIES: dict[str, Builder] = {
     # corpus
     "sentences": q_sentences,
@@ -327,6 +419,7 @@ QUERIES: dict[str, Builder] = {
     "corpus_shape": q_corpus_shape,
     "wordlist_no_eos": q_wordlist_no_eos,
     "whitespace_sentences": q_whitespace_sentences,
+    "language_tokens": q_language_tokens,
     # keywords
     "term_counts": q_term_counts,
     "vocabulary_index": q_vocabulary_index,
@@ -337,13 +430,19 @@ QUERIES: dict[str, Builder] = {
     "position_index": q_position_index,
     "position_index_pct": q_position_index_pct,
     "keyword_report": q_keyword_report,
+    "recentred_report": q_recentred_report,
+    "conversation_report": q_conversation_report,
+    "word_stats": q_word_stats,
+    "keyword_at_least": q_keyword_at_least,
     "keyword_drilldown": q_keyword_drilldown,
     "main_element": q_main_element,
     # projections
     "level_values": q_level_values,
     "level_window": q_level_window,
     "level_per_sentence": q_level_per_sentence,
+    "show_level": q_show_level,
     "sub_sentence": q_sub_sentence,
+    "sub_sentence_long": q_sub_sentence_long,
     "trim_pad": q_trim_pad,
     "map_values": q_map_values,
     # positions
@@ -351,10 +450,13 @@ QUERIES: dict[str, Builder] = {
     "positions_pct": q_positions_pct,
     "wordlist_abs": q_wordlist_abs,
     "wordlist_pct": q_wordlist_pct,
+    "wordlist_hits": q_wordlist_hits,
+    "show_positions": q_show_positions,
     # alignment
     "centre_suffix": q_centre_suffix,
     "centre_prefix": q_centre_prefix,
     "centre_reversed": q_centre_reversed,
+    "centre_by_positions": q_centre_by_positions,
     "centre_word": q_centre_word,
     "recentred_corpus": q_recentred_corpus,
     "slot_values": q_slot_values,
@@ -362,12 +464,16 @@ QUERIES: dict[str, Builder] = {
     "element_counts": q_element_counts,
     # distance
     "distance": q_distance,
+    "distance_cube": q_distance_cube,
     # reshape
     "padded_sentences": q_padded_sentences,
     "axes_moved": q_axes_moved,
+    "axes_moved_long": q_axes_moved_long,
     "ragged_transpose": q_ragged_transpose,
+    "ragged_transpose_long": q_ragged_transpose_long,
     "rotated_sentence": q_rotated_sentence,
     # annotated input
     "annotated_stats": q_annotated_stats,
     "annotated_rejects": q_annotated_rejects,
+    "annotated_padding": q_annotated_padding,
 }

@@ -28,7 +28,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordlens.functions.tokenise import EOS, N_LEVELS
+from wordlens.functions.tokenise import EOS, N_LEVELS, level_name
 from wordlens.sources.corpus import Corpus
 from wordlens.sources.tokenizers import AnnotatedTokenizer
 
@@ -37,27 +37,18 @@ SHORT_TOKEN_SIZE = 7
 PAD_IF_FIELD_2 = ("数詞", "普通名詞")
 PAD_IF_FIELD_1 = ("感動詞",)
 
-# a comma followed by an even number of double quotes up to the end of the line
-QUOTE_AWARE_COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
-# stands in for commas inside quotes while splitting (see quote_aware_split)
-PLACEHOLDER = "\u0001"
-
-
 def quote_aware_split(features: Column) -> Column:
     """Split on commas that are not inside double quotes; quotes stay in the values.
 
     Linear time: the text is cut at quotes, commas in the odd (quoted)
-    segments are swapped for a placeholder, the text is split on the
-    remaining commas and the placeholder turned back into commas.  Text
-    that already contains the placeholder uses the (quadratic) look-ahead
-    split instead, so the result is exact in every case.
+    segments are swapped for a line break, which no line contains, the text
+    is split on the remaining commas and the line breaks turned back.
     """
     segs = F.split(features, '"', -1)
     protected = F.array_join(F.transform(segs, lambda s, i: F.when(
-        i % 2 == 1, F.replace(s, F.lit(","), F.lit(PLACEHOLDER))).otherwise(s)), '"')
-    fast = F.transform(F.split(protected, ",", -1), lambda f: F.when(
-        F.instr(f, PLACEHOLDER) > 0, F.replace(f, F.lit(PLACEHOLDER), F.lit(","))).otherwise(f))
-    return F.when(F.instr(features, PLACEHOLDER) > 0, F.split(features, QUOTE_AWARE_COMMA, -1)).otherwise(fast)
+        i % 2 == 1, F.replace(s, F.lit(","), F.lit("\n"))).otherwise(s)), '"')
+    return F.transform(F.split(protected, ",", -1), lambda f: F.replace(f, F.lit("\n"), F.lit(",")))
+
 
 MODES = ("quarantine", "failfast")
 
@@ -75,9 +66,9 @@ def _count(s: Column, ch: str) -> Column:
 
 
 def parse_lines(lines: Column) -> Column:
-    """Analyser lines -> ``array<struct<raw_line, fields array<string>, reason string>>``.
+    """Analyser lines -> ``array<struct<raw_line, token struct<f00..f29, is_eos>, reason>>``.
 
-    Three chained ``transform`` stages; each reads only fields of its own
+    Chained ``transform`` stages; each reads only fields of its own
     lambda variable, so nothing (in particular the quote-aware split) is
     evaluated more than once per line.  Whether a line needs the quote
     repair is decided from its comma count, before any array is built.
@@ -99,20 +90,26 @@ def parse_lines(lines: Column) -> Column:
 
     def stage3(e):
         fixed = e["fixed"]
+        full = F.size(fixed) == N_LEVELS
+        eos = ~full & (F.get(fixed, 0) == F.lit(EOS))
         short = (F.size(fixed) == SHORT_TOKEN_SIZE) & (
             F.get(fixed, 2).isin(*PAD_IF_FIELD_2) | F.get(fixed, 1).isin(*PAD_IF_FIELD_1))
         normal = (
-            F.when(F.size(fixed) == N_LEVELS, fixed)
-            .when(F.get(fixed, 0) == F.lit(EOS), F.array_repeat(F.lit(EOS), N_LEVELS))
+            F.when(full, fixed)
+            .when(eos, F.array_repeat(F.lit(EOS), N_LEVELS))
             .when(short, F.concat(fixed, F.array_repeat(F.lit(""), N_LEVELS - SHORT_TOKEN_SIZE)))
         )
-        known = (F.size(fixed) == N_LEVELS) | (F.get(fixed, 0) == F.lit(EOS)) | short
         reason = (F.when(e["unclosed"], F.lit("unclosed_quote"))
-                  .when(~known, F.lit("unknown_type")))
-        return F.struct(e["raw_line"].alias("raw_line"),
-                        F.when(~e["unclosed"], normal).alias("fields"), reason.alias("reason"))
+                  .when(~(full | eos | short), F.lit("unknown_type")))
+        return F.struct(e["raw_line"].alias("raw_line"), normal.alias("fields"), eos.alias("is_eos"),
+                        reason.alias("reason"))
+
+    def stage4(e):
+        fields = [F.get(e["fields"], lv).alias(level_name(lv)) for lv in range(N_LEVELS)]
+        return F.struct(e["raw_line"].alias("raw_line"), F.struct(*fields, e["is_eos"].alias("is_eos")).alias("token"),
+                        e["reason"].alias("reason"))
 
-    return F.transform(F.transform(s1, stage2), stage3)
+    return F.transform(F.transform(F.transform(s1, stage2), stage3), stage4)
 
 
 def parse_analyser_output(df: DataFrame, col: str = "analysis",
@@ -120,15 +117,18 @@ def parse_analyser_output(df: DataFrame, col: str = "analysis",
                           mode: str = "quarantine") -> tuple[Corpus, DataFrame]:
     """Per-sentence analyser strings -> (corpus, rejects).
 
-    ``mode='quarantine'`` (default) drops a sentence with any bad line from
-    the corpus and lists each bad line in ``rejects``
-    (keys, ``line_no``, ``raw_line``, ``reason``); ``mode='failfast'``
-    raises at the first bad line, like the reference.
+    ``mode='quarantine'`` (default) moves a sentence with any bad line out of
+    the corpus: all its lines go to ``rejects`` (keys, ``line_no``,
+    ``raw_line``, ``reason``), the good ones with the reason
+    ``sentence_rejected``.  Every other sentence stays, also one without an
+    end marker or with nothing else; a NULL string is an empty one, whose
+    only line is rejected.  ``mode='failfast'`` raises at the first bad
+    line, like the reference.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     keys = list(keys)
-    lines = F.split(_strip(F.col(col)), "\n", -1)
+    lines = F.split(_strip(F.coalesce(F.col(col), F.lit(""))), "\n", -1)
     # parse inside a generator: "_lines" becomes an attribute, so the filters
     # below cannot be pushed under it and re-run the parser
     parsed = df.select(*keys, F.inline_outer(F.array(F.struct(parse_lines(lines).alias("_lines")))))
@@ -138,13 +138,11 @@ def parse_analyser_output(df: DataFrame, col: str = "analysis",
             F.col("_bad"), F.raise_error(F.lit("analyser line could not be normalised to 30 fields")))
             .otherwise(F.col("_bad")))
     good = parsed.where(~F.col("_bad")).select(
-        *keys, F.transform("_lines", lambda e: e["fields"]).alias("_tok"))
-    good = good.withColumn("n_tokens", F.size("_tok").cast("int")).where(F.col("n_tokens") > 1)
+        *keys, F.col("_lines")["token"].alias("_tok")).withColumn("n_tokens", F.size("_tok").cast("int"))
     rejects = (parsed.where(F.col("_bad"))
                .select(*keys, F.posexplode("_lines").alias("line_no", "_e"))
-               .where(F.col("_e.reason").isNotNull())
-               .select(*keys, F.col("line_no").cast("int").alias("line_no"),
-                       F.col("_e.raw_line").alias("raw_line"), F.col("_e.reason").alias("reason")))
+               .select(*keys, F.col("line_no").cast("int").alias("line_no"), F.col("_e.raw_line").alias("raw_line"),
+                       F.coalesce(F.col("_e.reason"), F.lit("sentence_rejected")).alias("reason")))
     return Corpus(good, tuple(keys), AnnotatedTokenizer()), rejects
 
 
@@ -173,7 +171,7 @@ def to_analyser_format(corpus: Corpus, levels: int = N_LEVELS) -> DataFrame:
     n = F.col("n_tokens")
 
     def line(e: Column, i: Column) -> Column:
-        is_eos = i == n - 1
+        is_eos = toks.is_eos(e, i, n)
         vals = [F.coalesce(toks.level_value(e, is_eos, k), F.lit("")) for k in lv]
         body = F.concat(vals[0], F.lit("\t"), F.concat_ws(",", *vals[1:]))
         return F.when(is_eos, F.lit(EOS)).otherwise(body)

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from wordlens.functions.tokenise import N_LEVELS, whitespace_units
 from wordlens.sources.tokenizers import (
     LANGUAGES,
+    LanguageTokenizer,
     RegexTokenizer,
     TokenizerStrategy,
 )
@@ -70,6 +71,10 @@ class Corpus:
         """``array<string>`` of one level for every token, EOS kept."""
         return self.tokenizer.level_array(F.col("_tok"), level)
 
+    def word_array(self, level: int = 0) -> Column:
+        """:meth:`level_array` without the end markers."""
+        return self.tokenizer.word_array(F.col("_tok"), level)
+
     def level_form(self, level: int = 0, name: str = "t", extra: Sequence[str] = ()) -> DataFrame:
         """Sentence form of one level: keys, ``n_tokens``, ``name``."""
         return self.df.select(*self.keys, "n_tokens", *extra, self.level_array(level).alias(name))
@@ -82,9 +87,10 @@ class Corpus:
         default carries all 30 (``f00`` .. ``f29``).
         """
         levels = list(range(N_LEVELS)) if levels is None else list(levels)
-        exploded = (self.df.select(*self.keys, "n_tokens", F.posexplode_outer("_tok").alias("pos", "_e"))
+        exploded = (self.df.select(*self.keys, "n_tokens", *self.tokenizer.needs,
+                                   F.posexplode_outer("_tok").alias("pos", "_e"))
                     .where(F.col("pos").isNotNull()))
-        is_eos = F.col("pos") == F.col("n_tokens") - 1
+        is_eos = self.tokenizer.is_eos(F.col("_e"), F.col("pos"), F.col("n_tokens"))
         return exploded.select(
             *self.keys,
             F.col("pos").cast("int").alias("pos"),
@@ -106,23 +112,6 @@ class Corpus:
         return self.with_df(self.df.persist())
 
 
-def spread_input(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer partitions than task slots.
-
-    A small table stored as one Parquet row group scans as a single task,
-    and tokenising is CPU work done per sentence.  Only then is the input
-    redistributed (one shuffle of the raw rows); a large table already
-    arrives in many splits and is left alone, so no shuffle is added at
-    scale.
-    """
-    if df.isStreaming:
-        return df
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
-
-
 def build_corpus(
     df: DataFrame,
     text_col: str = "text",
@@ -130,17 +119,21 @@ def build_corpus(
     splitter: str = "lines",
     tokenizer: TokenizerStrategy | None = None,
     keep_text: bool = False,
+    partitions: int | None = None,
 ) -> Corpus:
     """Text table -> :class:`Corpus`.
 
     Each document is split into sentences (``splitter``), each sentence is
     tokenised and gets an EOS token; sentences without any token are
     dropped, but ``sent_no`` keeps the piece number from before dropping.
-    Narrow: scan, ``posexplode`` and per-row expressions only.
+    Narrow: scan, generator and per-row expressions only.  ``partitions``
+    asks for a redistribution of the raw rows first, for a caller who knows
+    that the table is stored in fewer splits than the cluster has cores.
     """
     tokenizer = tokenizer or RegexTokenizer()
     split = SPLITTERS[splitter]
-    df = spread_input(df)
+    if partitions:
+        df = df.repartition(partitions)
     # Tokenise inside the sentence generator: its outputs are attributes, so
     # no later filter can be pushed below it and re-run the tokeniser
     # (outer form: Spark infers no size filter for it).
@@ -149,7 +142,7 @@ def build_corpus(
         *([line.alias("text")] if keep_text else []),
         tokenizer.prepare(line).alias("_tok"),
     ))
-    sent = df.select(*doc_keys, F.inline_outer(pieces))
+    sent = df.select(*doc_keys, *tokenizer.needs, F.inline_outer(pieces))
     sent = sent.withColumn("n_tokens", F.size("_tok").cast("int")).where(F.col("n_tokens") > 1)
     return Corpus(sent, (*doc_keys, "sent_no"), tokenizer)
 
@@ -168,33 +161,21 @@ def read_text_corpus(spark: SparkSession, path: str,
 
 def build_corpus_by_language(df: DataFrame, lang_col: str = "lang", text_col: str = "text",
                              doc_keys: Sequence[str] = ("doc_id",), splitter: str = "lines",
-                             registry: dict[str, TokenizerStrategy] | None = None) -> Corpus:
+                             registry: dict[str, TokenizerStrategy] | None = None,
+                             default: TokenizerStrategy | None = None, partitions: int | None = None) -> Corpus:
     """U4: choose the tokeniser per document from its language column.
 
-    Languages mapped to the same strategy are tokenised together; mixing
-    strategies of different element types in one corpus is refused.
+    Every document is kept: languages that are not in the registry, and a
+    NULL language, take ``default``.  One scan; each row is split and read
+    by its own strategy (see :class:`LanguageTokenizer`).
     """
-    registry = registry or LANGUAGES
-    by_strategy: dict[TokenizerStrategy, list[str]] = {}
-    for lang, strategy in registry.items():
-        by_strategy.setdefault(strategy, []).append(lang)
-    kinds = {s.element_type for s in by_strategy}
-    if len(kinds) > 1:
-        raise ValueError("one corpus needs tokenisers of one element type")
-    parts = [
-        build_corpus(df.where(F.col(lang_col).isin(langs)), text_col, doc_keys, splitter, strategy)
-        for strategy, langs in by_strategy.items()
-    ]
-    out = parts[0].df
-    for p in parts[1:]:
-        out = out.unionByName(p.df)
-    return Corpus(out, parts[0].keys, parts[0].tokenizer)
+    tokenizer = LanguageTokenizer.of(lang_col, LANGUAGES if registry is None else registry, default or RegexTokenizer())
+    return build_corpus(df, text_col, doc_keys, splitter, tokenizer, partitions=partitions)
 
 
 def wordlist_no_eos(corpus: Corpus, level: int = 0) -> DataFrame:
     """Per sentence the values of a level without EOS, in token order."""
-    arr = corpus.level_array(level)
-    return corpus.df.select(*corpus.keys, F.slice(arr, 1, F.greatest(F.size(arr) - 1, F.lit(0))).alias("words"))
+    return corpus.df.select(*corpus.keys, corpus.word_array(level).alias("words"))
 
 
 def sentence_lengths(corpus: Corpus) -> DataFrame:

@@ -9,6 +9,7 @@ expressions, so a corpus is built with narrow transformations only.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -30,6 +31,16 @@ class TokenizerStrategy:
 
     #: Spark SQL type of one element of ``_tok``
     element_type: str = "string"
+    #: columns of the sentence form that reading a level needs beside ``_tok``
+    needs: tuple[str, ...] = ()
+
+    def is_eos(self, elem: Column, pos: Column, n_tokens: Column) -> Column:
+        """Whether an exploded element is the end marker (the last one, added by ``prepare``)."""
+        return pos == n_tokens - 1
+
+    def word_array(self, tok: Column, level: int) -> Column:
+        """:meth:`level_array` without the end marker; an empty sentence stays empty."""
+        return F.slice(self.level_array(tok, level), 1, F.greatest(F.size(tok) - 1, F.lit(0)))
 
     def prepare(self, text: Column) -> Column:  # pragma: no cover - interface
         """``text`` of one sentence -> ``_tok`` array (EOS last)."""
@@ -94,24 +105,73 @@ class PresegmentedTokenizer(RegexTokenizer):
 
 @dataclass(frozen=True)
 class AnnotatedTokenizer(TokenizerStrategy):
-    """Tokens that already carry 30 analyser fields (``array<array<string>>``).
+    """Tokens that already carry 30 analyser fields (``array<struct<f00..f29, is_eos>>``).
 
-    ``prepare`` expects the per-sentence token matrix produced by
-    :func:`wordlens.sources.annotated.parse_analyser_output`.
+    ``prepare`` expects the per-sentence token array produced by
+    :func:`wordlens.sources.annotated.parse_analyser_output`.  A level is a
+    struct field, so a stored corpus is read one field at a time.
     """
 
-    element_type: str = "array<string>"
+    element_type: str = "struct"
 
     def prepare(self, text: Column) -> Column:
         return text
 
     def level_array(self, tok: Column, level: int) -> Column:
-        level_name(level)
-        return F.transform(tok, lambda t: F.get(t, level))
+        return tok[level_name(level)]
 
     def level_value(self, elem: Column, is_eos: Column, level: int) -> Column:
-        level_name(level)
-        return F.get(elem, level)
+        return elem[level_name(level)]
+
+    def is_eos(self, elem: Column, pos: Column, n_tokens: Column) -> Column:
+        return elem["is_eos"]
+
+    def word_array(self, tok: Column, level: int) -> Column:
+        return F.filter(tok, lambda t: ~t["is_eos"])[level_name(level)]
+
+
+@dataclass(frozen=True)
+class LanguageTokenizer(TokenizerStrategy):
+    """Chooses a strategy per row from a language column (U4)."""
+
+    lang_col: str = "lang"
+    #: (strategy, its languages); every other language and NULL take ``default``
+    choices: tuple[tuple[TokenizerStrategy, tuple[str, ...]], ...] = ()
+    default: TokenizerStrategy = RegexTokenizer()
+
+    @staticmethod
+    def of(lang_col: str, registry: dict[str, TokenizerStrategy], default: TokenizerStrategy) -> LanguageTokenizer:
+        by_strategy: dict[TokenizerStrategy, list[str]] = {}
+        for lang, strategy in registry.items():
+            by_strategy.setdefault(strategy, []).append(lang)
+        if len({s.element_type for s in [*by_strategy, default]}) > 1:
+            raise ValueError("one corpus needs tokenisers of one element type")
+        return LanguageTokenizer(lang_col, tuple((s, tuple(ls)) for s, ls in by_strategy.items() if s != default), default)
+
+    @property
+    def needs(self) -> tuple[str, ...]:
+        return (self.lang_col,)
+
+    def _pick(self, read: Callable[[TokenizerStrategy], Column]) -> Column:
+        out = read(self.default)
+        for strategy, langs in self.choices:
+            out = F.when(F.col(self.lang_col).isin(*langs), read(strategy)).otherwise(out)
+        return out
+
+    def prepare(self, text: Column) -> Column:
+        return self._pick(lambda s: s.prepare(text))
+
+    def level_array(self, tok: Column, level: int) -> Column:
+        return self._pick(lambda s: s.level_array(tok, level))
+
+    def word_array(self, tok: Column, level: int) -> Column:
+        return self._pick(lambda s: s.word_array(tok, level))
+
+    def level_value(self, elem: Column, is_eos: Column, level: int) -> Column:
+        return self._pick(lambda s: s.level_value(elem, is_eos, level))
+
+    def is_eos(self, elem: Column, pos: Column, n_tokens: Column) -> Column:
+        return self._pick(lambda s: s.is_eos(elem, pos, n_tokens))
 
 
 #: Language registry (U4): ``documents.lang`` -> tokeniser strategy.
@@ -124,5 +184,5 @@ LANGUAGES: dict[str, TokenizerStrategy] = {
     "es": RegexTokenizer(),
 }
 
-__all__ = ["AnnotatedTokenizer", "LANGUAGES", "LEVEL_NAMES", "PresegmentedTokenizer", "RegexTokenizer",
+__all__ = ["AnnotatedTokenizer", "LANGUAGES", "LEVEL_NAMES", "LanguageTokenizer", "PresegmentedTokenizer", "RegexTokenizer",
            "TokenizerStrategy"]

@@ -43,8 +43,8 @@ def running_keyword_stats(docs: DataFrame, text_col: str = "text",
 
 
 def start_keyword_stream(spark: SparkSession, source_dir: str, schema: StructType,
-                         query_name: str = "keyword_stats", level: int = 0,
-                         sink: str = "memory", output_mode: str = "complete",
+                         query_name: str = "keyword_stats", level: int = 0, *,
+                         sink: str, output_mode: str = "update",
                          checkpoint: str | None = None, available_now: bool = False,
                          max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the running statistics over Parquet files arriving in ``source_dir``.
