@@ -28,10 +28,12 @@ from wordlens.llm.common import ranges, ship, table, text_slices
 from wordlens.llm.tokens import BYTE_LETTERS, PieceEncoder
 
 NEVER = np.int64(1 << 40)
+#: characters of text encoded at once: the arrays of a slice's new words stay small
+SLICE_CHARS = 200_000
 
 
 class ByteBPE(PieceEncoder):
-    def __init__(self, path: str, max_entries: int = 200_000):
+    def __init__(self, path: str, max_entries: int = 100_000):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         vocab: dict[str, int] = spec["model"]["vocab"]
@@ -146,7 +148,7 @@ def encode_decode(docs: DataFrame, path: str) -> DataFrame:
         bpe = loaded(path)
         for batch in batches:
             doc_ids, texts = batch.column(0), batch.column(1).to_pylist()
-            for a, b in text_slices(texts):
+            for a, b in text_slices(texts, SLICE_CHARS):
                 ids, counts = bpe.encode(texts[a:b])
                 data = memoryview(ids.astype("<u4").tobytes())
                 upto = (4 * np.concatenate([[0], np.cumsum(counts)])).tolist()
