@@ -33,8 +33,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from functools import reduce
-from operator import xor
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -50,7 +49,7 @@ LINES = pa.schema([("_rid", pa.int64()), ("doc_id", pa.int64()), ("line", pa.int
 POSTINGS = pa.schema([("word", pa.int64()), ("h", pa.int64()), ("size", pa.int32()), ("pos", pa.int32()),
                       ("sig", pa.int64()), ("sig2", pa.int64())])
 WORDS = pa.schema([("h", pa.int64()), ("words", pa.list_(pa.int64()))])
-ALL_64 = (1 << 64) - 1
+MIX = np.uint64(0x9E3779B97F4A7C15)
 SEEN_LINES = 500_000       # hashes a task remembers so as to send a line's postings once
 
 
@@ -79,10 +78,6 @@ def least_overlap(a, b, threshold: float):
     return np.ceil(threshold / (1 + threshold) * (a + b) - 1e-9)
 
 
-def prefix_length(size: int, threshold: float) -> int:
-    return size - math.ceil(threshold * size - 1e-9) + 1
-
-
 # ---- 1: lines --------------------------------------------------------------------
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -141,8 +136,8 @@ def common_words(docs: DataFrame, common: int) -> dict[str, int]:
 # ---- 3: postings and candidates --------------------------------------------------
 
 class _WordKeys(dict):
-    """word -> one number: its count if common (else 0), its 64-bit hash, and one of 128
-    signature bits; bounded.  Numbers order words by rarity, then hash."""
+    """word -> 64-bit key; keys order words by rarity.  Common words are numbered from 0 by
+    count; all others have a hash below zero.  Bounded."""
 
     def __init__(self, common: dict[str, int]):
         super().__init__()
@@ -151,41 +146,59 @@ class _WordKeys(dict):
     def __missing__(self, word: str) -> int:
         if len(self) > 500_000:
             self.clear()
-        x = xxhash.xxh3_64_intdigest(word)
-        key = self[word] = (self.common.get(word, 0) << 192) | (x << 128) | (1 << (x & 127))
+        key = self[word] = self.common[word] if word in self.common else (xxhash.xxh3_64_intdigest(word) >> 1) - (1 << 63)
         return key
 
 
+def by_rarity(common: dict[str, int]) -> dict[str, int]:
+    """Common words and their places in the order of counts, then words."""
+    return {w: i for i, w in enumerate(sorted(common, key=lambda w: (common[w], w)))}
+
+
+def prefixes(some: list[str], keys: dict[str, int], threshold: float) -> dict[str, np.ndarray]:
+    """The prefix words of every line: ``owner`` (index of the line), ``word`` (key), ``pos``,
+    ``size`` and the line's signature: odd or even number of words with each of 128 bits."""
+    split = [line.split() for line in some]
+    counts = np.fromiter(map(len, split), np.int64, len(split))
+    key = np.fromiter(map(keys.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
+    owner = np.repeat(np.arange(len(split), dtype=np.uint16 if len(split) < 1 << 16 else np.int64), counts)
+    order = np.argsort(key)
+    order = order[np.argsort(owner[order], kind="stable")]
+    key = key[order]
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
+    key, owner = key[new], owner[new].astype(np.int64)
+    size = np.bincount(owner, minlength=len(split))
+    start = np.cumsum(size) - size
+    pos = np.arange(len(key)) - start[owner]
+    bit = (key.view(np.uint64) * MIX) >> np.uint64(57)
+    one = np.uint64(1) << (bit & np.uint64(63))
+    sig = [np.bitwise_xor.reduceat(np.where((bit < 64) == low, one, np.uint64(0)), start).view(np.int64) for low in (True, False)]
+    kept = pos < (size - np.ceil(threshold * size - 1e-9) + 1)[owner]
+    owner = owner[kept]
+    return {"owner": owner, "word": key[kept], "size": size[owner], "pos": pos[kept], "sig": sig[0][owner], "sig2": sig[1][owner]}
+
+
 def postings(docs: DataFrame, common: dict[str, int], threshold: float) -> DataFrame:
     """(word, line, size, position in the line's order of rarity, signature)."""
-    shared = docs.sparkSession.sparkContext.broadcast(common)
+    shared = docs.sparkSession.sparkContext.broadcast(by_rarity(common))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, seen = _WordKeys(shared.value), set()
         for batch in batches:
             texts = batch.column(0).to_pylist()
             for a, b in text_slices(texts):
-                word, line_, size_, pos_, sig_, sig2 = [], [], [], [], [], []
+                new = {}
                 for text in texts[a:b]:
                     for _, line in plain_lines(text):
-                        if (h := content_hash(line)) in seen:
-                            continue
-                        if len(seen) > SEEN_LINES:
-                            seen.clear()
-                        seen.add(h)
-                        ordered = sorted(map(keys.__getitem__, set(line.split())))
-                        size = len(ordered)
-                        n = prefix_length(size, threshold)
-                        word += [(x >> 128) & ALL_64 for x in ordered[:n]]
-                        line_ += [h] * n
-                        size_ += [size] * n
-                        pos_ += range(n)
-                        # odd or even number of words with each signature bit
-                        sig = reduce(xor, ordered)
-                        sig_ += [sig & ALL_64] * n
-                        sig2 += [(sig >> 64) & ALL_64] * n
-                if word:
-                    yield table(POSTINGS, word=signed(word), h=line_, size=size_, pos=pos_, sig=signed(sig_), sig2=signed(sig2))
+                        if (h := content_hash(line)) not in seen:
+                            if len(seen) > SEEN_LINES:
+                                seen.clear()
+                            seen.add(h)
+                            new[h] = line
+                if new:
+                    found = prefixes(list(new.values()), keys, threshold)
+                    yield table(POSTINGS, h=np.array(list(new), np.int64)[found.pop("owner")], **found)
 
     return ship(docs).select(F.col("text").cast("string")).mapInArrow(run, "word long, h long, size int, pos int, sig long, sig2 long")
 
@@ -372,7 +385,7 @@ def verified(sets: DataFrame, threshold: float, block_lines: int = 4096) -> Data
         out: list[tuple] = []
         frame = frame.sort_values(FIRST, kind="stable")     # so that the first match found is the earliest
         # the words of different components are told apart
-        mixed = (frame["comp"].to_numpy().view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
+        mixed = (frame["comp"].to_numpy().view(np.uint64) * MIX).view(np.int64)
         frame["words"] = [w ^ c for w, c in zip(frame["words"], mixed, strict=True)]
         p, q = frame["p"].iloc[0], frame["q"].iloc[0]
         left, right = frame[frame["own"] == p], frame[frame["own"] == q]
