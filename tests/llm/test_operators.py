@@ -333,3 +333,22 @@ def test_pipeline_small(spark, docs):
     texts = [r["text"] for r in local(rows)]
     prints = [fingerprint(t) for t in texts]
     assert all((a ^ b).bit_count() > 4 for i, a in enumerate(prints) for b in prints[:i])
+
+
+@pytest.mark.parametrize("stage", [quality.clean, line_dedup.dedup_lines, simhash.first_of_groups])
+def test_stages_number_rows_once(spark, stage):
+    rng = np.random.default_rng(6)
+    own = [" ".join(f"w{x}" for x in rng.choice(5000, 60, replace=False)) for _ in range(24)]
+    texts = [t + "\n" + own[0] if i % 3 else "too short" for i, t in enumerate(own)]
+    rows = [(i, t, "h", len(t)) for i, t in enumerate(texts)]
+    path = scratch_path(spark, "parts")
+    spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long").repartition(6).write.parquet(path)
+    name = "spark.sql.files.minPartitionNum"
+    try:
+        spark.conf.set(name, "1")
+        want = Counter(stage(spark.read.parquet(path)).collect())
+        out = stage(spark.read.parquet(path))
+        spark.conf.set(name, "6")               # as if cores joined before the rows are read again
+        assert Counter(out.collect()) == want and len(want) > 1
+    finally:
+        spark.conf.unset(name)

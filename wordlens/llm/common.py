@@ -65,14 +65,19 @@ def scratch(df: DataFrame, label: str) -> DataFrame:
 
 
 def with_row_id(df: DataFrame, name: str = "_rid") -> DataFrame:
-    """Number rows by file position, so that repeated rows stay apart.
+    """Number rows by their place in one scan, so that repeated rows stay apart.
 
-    The number is the same whenever the same table is read again in this session;
-    operators that use it twice take a table (a file scan), not a shuffled result.
+    The splits of a scan follow the cores registered at that moment, so another scan of
+    the same table may number it otherwise: the number holds for one reading only.
     """
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def numbered(df: DataFrame, label: str) -> DataFrame:
+    """``df`` with ``_rid``, written once: a number to decide by and to join on later."""
+    return scratch(with_row_id(df), label)
+
+
 def text_slices(texts: list[str | None], limit: int = BATCH_CHARS) -> Iterator[tuple[int, int]]:
     """Cut a batch into runs of rows with about ``limit`` characters each."""
     first = size = 0

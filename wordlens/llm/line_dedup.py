@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordlens.llm.common import ranges, scratch, ship, table, text_slices, with_row_id
+from wordlens.llm.common import numbered, ranges, scratch, ship, table, text_slices, with_row_id
 from wordlens.llm.components import components, local_roots
 
 LINES = pa.schema([("_rid", pa.int64()), ("doc_id", pa.int64()), ("line", pa.int32()), ("h", pa.int64())])
@@ -80,12 +80,12 @@ def least_overlap(a, b, threshold: float):
 
 # ---- 1: lines --------------------------------------------------------------------
 
-def _rows(docs: DataFrame) -> DataFrame:
-    return with_row_id(docs).select("_rid", F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def _rows(numbered_docs: DataFrame) -> DataFrame:
+    return numbered_docs.select("_rid", F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def lines(docs: DataFrame) -> DataFrame:
-    """``_rid``, ``doc_id``, ``line`` (number in the text) and ``h`` of lines with a word."""
+def lines(numbered_docs: DataFrame) -> DataFrame:
+    """Of rows with ``_rid``: ``_rid``, ``doc_id``, ``line`` (number in the text) and ``h`` of lines with a word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -96,7 +96,7 @@ def lines(docs: DataFrame) -> DataFrame:
                     r, d, n, h = zip(*out, strict=True)
                     yield table(LINES, _rid=r, doc_id=d, line=n, h=h)
 
-    return ship(_rows(docs)).mapInArrow(run, "_rid long, doc_id long, line int, h long")
+    return ship(_rows(numbered_docs)).mapInArrow(run, "_rid long, doc_id long, line int, h long")
 
 
 # ---- 2: rarity -------------------------------------------------------------------
@@ -408,6 +408,11 @@ def line_matches(docs: DataFrame, threshold: float = 0.8, common: int = 100_000)
     """One row per line with a word: ``doc_id``, ``line`` (from 0), ``class_id`` (the same
     for lines that are equal but for case and outer space), ``n_links`` (other classes that
     match), ``removed``; and ``_rid`` (see ``with_row_id``)."""
+    return matches_numbered(with_row_id(docs), threshold, common)
+
+
+def matches_numbered(docs: DataFrame, threshold: float, common: int = 100_000) -> DataFrame:
+    """``line_matches`` of rows that have their ``_rid``."""
     found = scratch(lines(docs), "lines")
     place = F.struct(F.col("doc_id").isNull().alias("f0"), F.coalesce("doc_id", F.lit(0).cast("long")).alias("f1"), F.col("_rid").alias("f2"), F.col("line").alias("f3"))
     classes = scratch(found.groupBy("h").agg(F.min(place).alias("first")), "classes")
@@ -426,8 +431,9 @@ def line_matches(docs: DataFrame, threshold: float = 0.8, common: int = 100_000)
 def dedup_lines(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """``docs`` without the later lines of every match, other columns as they are
     (``n_chars``, where there is one, counted again for changed texts)."""
-    gone = line_matches(docs, threshold).where("removed").groupBy(F.col("_rid").alias("_row")).agg(F.collect_list("line").alias("_gone"))
-    rows = with_row_id(docs).join(gone, F.col("_rid") == F.col("_row"), "left")
+    table_ = numbered(docs, "numbered")
+    gone = matches_numbered(table_, threshold).where("removed").groupBy(F.col("_rid").alias("_row")).agg(F.collect_list("line").alias("_gone"))
+    rows = table_.join(gone, F.col("_rid") == F.col("_row"), "left")
     text = F.array_join(F.expr("filter(split(text, '\n'), (l, i) -> not array_contains(_gone, i))"), "\n")
     changed = F.col("_gone").isNotNull()
     out = rows.withColumn("text", F.when(changed, text).otherwise(F.col("text")))

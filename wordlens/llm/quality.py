@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordlens.llm.common import scratch, with_row_id
+from wordlens.llm.common import numbered, scratch, with_row_id
 
 # the white space that separates words: \x20 and \x09-\x0D
 SPACE = r"[\x20\x09-\x0D]+"
@@ -32,12 +32,12 @@ SYMBOLS = "[#*$%&|<>]"
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
-def word_statistics(docs: DataFrame) -> DataFrame:
-    """``_rid``, ``doc_id``, ``_host``, the base counts, ``_hash`` of the text, and per
+def word_statistics(numbered_docs: DataFrame) -> DataFrame:
+    """Of rows with ``_rid``: ``_rid``, ``doc_id``, ``_host``, the base counts, ``_hash`` of the text, and per
     line with a word ``_lines`` (``at``: its number, ``h``: hash, ``w``: words)."""
     trimmed = F.btrim("_t", F.lit(SPACE_CHARS))
     words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE))
-    rows = with_row_id(docs).select(
+    rows = numbered_docs.select(
         "_rid", "doc_id", F.coalesce(F.col("source").cast("string"), F.lit("")).alias("_host"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_t"))
     plain = F.regexp_replace(F.regexp_replace(F.lower("_t"), "[0-9]", "0"), SPACE_IN_LINE, " ")
     rows = rows.select("_rid", "doc_id", "_host", F.xxhash64("_t").alias("_hash"), words.alias("_w"),
@@ -81,7 +81,13 @@ def judge(docs: DataFrame, line_share: float = 0.1, line_documents: int = 20, de
           least_words: int = 50, repeat_percent: int = 50) -> DataFrame:
     """One row per document: base counts, ``base_failed``, ``removed_words``, ``removed``
     (numbers of its removed lines) and ``kept``, with ``_rid`` (see ``with_row_id``)."""
-    stats = scratch(word_statistics(docs), "quality")
+    return judge_numbered(with_row_id(docs), line_share, line_documents, depleted_share, least_words, repeat_percent)
+
+
+def judge_numbered(numbered_docs: DataFrame, line_share: float = 0.1, line_documents: int = 20, depleted_share: float = 0.5,
+                   least_words: int = 50, repeat_percent: int = 50) -> DataFrame:
+    """``judge`` of rows that have their ``_rid``."""
+    stats = scratch(word_statistics(numbered_docs), "quality")
     often = frequent_lines(stats, line_share, line_documents).select(F.col("_host").alias("_of"), F.col("h").alias("_h"))
     lines = stats.select("_rid", "_host", F.explode("_lines").alias("l")).select("_rid", "_host", "l.*")
     hit = lines.join(often, (F.col("_host") == F.col("_of")) & (F.col("h") == F.col("_h")))
@@ -98,8 +104,9 @@ def judge(docs: DataFrame, line_share: float = 0.1, line_documents: int = 20, de
 def clean(docs: DataFrame, **limits) -> DataFrame:
     """The kept documents without their removed lines, all columns as they are
     (``n_chars``, where there is one, counted again for changed texts)."""
-    verdict = judge(docs, **limits).where("kept").select(F.col("_rid").alias("_kept"), "removed")
-    rows = with_row_id(docs).join(verdict, F.col("_rid") == F.col("_kept"))
+    table = numbered(docs, "numbered")
+    verdict = judge_numbered(table, **limits).where("kept").select(F.col("_rid").alias("_kept"), "removed")
+    rows = table.join(verdict, F.col("_rid") == F.col("_kept"))
     text = F.expr("array_join(filter(split(text, '\n'), (l, i) -> not array_contains(removed, i)), '\n')")
     changed = F.size("removed") > 0
     out = rows.withColumn("text", F.when(changed, text).otherwise(F.col("text")))

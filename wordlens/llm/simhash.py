@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordlens.llm.common import ranges, scratch, ship, table, text_slices, with_row_id
+from wordlens.llm.common import numbered, ranges, scratch, ship, table, text_slices, with_row_id
 from wordlens.llm.components import components, local_roots
 
 SEED = 42
@@ -85,8 +85,8 @@ def fingerprints_of(texts: list[str | None], size: int = 4) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, size: int = 4) -> DataFrame:
-    """``_rid``, ``doc_id`` and ``fp`` (64 bits as a signed integer) for every row."""
+def fingerprints(numbered_docs: DataFrame, size: int = 4) -> DataFrame:
+    """``_rid``, ``doc_id`` and ``fp`` (64 bits as a signed integer) for every row, which has its ``_rid``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -94,7 +94,7 @@ def fingerprints(docs: DataFrame, size: int = 4) -> DataFrame:
             for a, b in text_slices(texts):
                 yield table(PRINTS, _rid=rows.slice(a, b - a), doc_id=ids.slice(a, b - a), fp=fingerprints_of(texts[a:b], size).view(np.int64))
 
-    return ship(with_row_id(docs)).select("_rid", F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "_rid long, doc_id long, fp long")
+    return ship(numbered_docs).select("_rid", F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "_rid long, doc_id long, fp long")
 
 
 def close_pairs(a: np.ndarray, b: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -166,9 +166,9 @@ def links(distinct: DataFrame, radius: int, tile_rows: int = 16384) -> DataFrame
     return ship(flat).groupBy("p1", "p2", "q1", "q2").applyInPandas(compare, "a long, b long")
 
 
-def _members(docs: DataFrame, size: int, radius: int, tile_rows: int) -> tuple[DataFrame, DataFrame]:
+def _members(numbered_docs: DataFrame, size: int, radius: int, tile_rows: int) -> tuple[DataFrame, DataFrame]:
     """(``_rid``, ``doc_id``, ``fp`` of every row; ``_fp``, ``root`` of every fingerprint)."""
-    prints = scratch(fingerprints(docs, size), "prints")
+    prints = scratch(fingerprints(numbered_docs, size), "prints")
     distinct = scratch(prints.select("fp").distinct(), "distinct")
     groups = scratch(components(links(distinct, radius, tile_rows)), "groups")
     return prints, distinct.join(groups, F.col("fp") == F.col("node"), "left").select(F.col("fp").alias("_fp"), F.coalesce("root", "fp").alias("root"))
@@ -176,7 +176,7 @@ def _members(docs: DataFrame, size: int, radius: int, tile_rows: int) -> tuple[D
 
 def near_duplicates(docs: DataFrame, size: int = 4, radius: int = 4, tile_rows: int = 16384) -> DataFrame:
     """``doc_id``, ``fingerprint`` and ``component_id`` for every row of ``docs``."""
-    prints, members = _members(docs, size, radius, tile_rows)
+    prints, members = _members(with_row_id(docs), size, radius, tile_rows)
     least = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     placed = members.join(least, F.col("_fp") == F.col("fp")).select("_fp", "root", "least")
     ids = placed.groupBy(F.col("root").alias("_root")).agg(F.min("least").alias("component_id"))
@@ -188,8 +188,9 @@ def near_duplicates(docs: DataFrame, size: int = 4, radius: int = 4, tile_rows:
 def first_of_groups(docs: DataFrame, size: int = 4, radius: int = 4, tile_rows: int = 16384) -> DataFrame:
     """One row of each group of near-duplicates, all columns as they are: that with the
     smallest ``doc_id`` (null ids last, then the first row)."""
-    prints, members = _members(docs, size, radius, tile_rows)
+    table_ = numbered(docs, "numbered")
+    prints, members = _members(table_, size, radius, tile_rows)
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_rid")
     least = prints.groupBy("fp").agg(F.min(place).alias("least"))
     kept = members.join(least, F.col("_fp") == F.col("fp")).groupBy("root").agg(F.min("least").alias("first")).select(F.col("first._rid").alias("_kept"))
-    return with_row_id(docs).join(kept, F.col("_rid") == F.col("_kept"), "left_semi").select(*docs.columns)
+    return table_.join(kept, F.col("_rid") == F.col("_kept"), "left_semi").select(*docs.columns)
