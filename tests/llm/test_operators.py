@@ -142,6 +142,23 @@ def test_secret_links(spark, docs, none):
     assert local(secret_scan.redact(docs)) == local(docs) and secret_scan.secret_spans(none).count() == 0
 
 
+def test_secret_keys_of_any_length_and_scope():
+    import base64
+    for key in (*(base64.b64encode(bytes(range(n))).decode() for n in (30, 31, 32, 64)), "aB3x" * 45, "Zk9/" * 500):
+        for text in (f"client_id: acme-prod, key: {key}", f"client_id: acme-prod, key: '{key}'.", f"key={key}&client_id=acme-prod"):
+            (found,) = secret_scan.scan([text])
+            assert key in [text[a:b] for a, k, b in found if k == 3] and key not in secret_scan.redacted(text, found)
+    key = "Zk9" + "aB3x" * 6
+    text = f"login: alice42 {'word ' * 300}{key} {'word ' * 300}ssh://db.example.org"
+    assert [k for _, k, _ in secret_scan.scan([text, None])[0]] == [4, 3, 5]
+    assert secret_scan.scan([text.replace(" word", "\n\nword", 1)]) == [[]]
+    name = "name_of_some_setting_1"
+    assert secret_scan.scan([f"login: alice42 {name}=x"]) == [[]]
+    (found,) = secret_scan.scan([f"login: alice42 {name}={key}"])
+    assert [k for _, k, _ in found] == [4, 3]
+    assert secret_scan.scan(["x" * 19 + " " + "1z" * 10 ** 6]) == [[]]
+
+
 # ---- archive ---------------------------------------------------------------------
 
 def test_archive_round_trip(spark):

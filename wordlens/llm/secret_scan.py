@@ -3,21 +3,23 @@
 Strong spans (``assign``, ``access``, ``hex``) are reported wherever they occur.  Weak
 candidates are parts that mean little alone: key-like strings (``secret``), user or client
 identifiers (``identifier``) and host addresses (``endpoint``).  A scope is a paragraph
-(text between blank lines).  Within a scope, parts are joined by interval: a weak
-candidate is reported only if parts of a complementary role lie within ``reach`` characters
-of it, namely
+(text between blank lines).  Parts of one scope are joined, however far apart: a weak
+candidate is reported only if its scope has parts of a complementary role, namely
 
-* a ``secret`` near an identifier (weak or ``access``),
-* an ``identifier`` near a secret (weak, ``assign`` or ``hex``),
-* an ``endpoint`` near an identifier and a secret.
+* a ``secret`` with an identifier (weak or ``access``),
+* an ``identifier`` with a secret (weak, ``assign`` or ``hex``),
+* an ``endpoint`` with an identifier and a secret.
 
-The join sorts the parts of each role by place and looks up the nearest one on either
-side by binary search, all texts of a batch at once (each scope has its own stretch of
-places, further apart than the reach).  It never forms pairs, so a text with very many
-parts costs no more than their sort.  A scope lies in one text, hence nothing is shuffled.
+The join marks the roles that each scope holds, all texts of a batch at once.  It never
+forms pairs, so a text with very many parts costs no more than their number.  A scope lies
+in one text, hence nothing is shuffled.
+
+A key-like string has any length and takes its base64 padding along; before ``=`` and a
+further key character it is the name of an assignment, not a key.
 
 Defined cases: null and empty texts have no spans; whole texts are searched; repeated
-rows are searched each; a weak candidate that overlaps a strong span is left to that span.
+rows are searched each; a weak candidate that overlaps a strong span is left to that span;
+a part belongs to the scope that it starts in.
 """
 
 from __future__ import annotations
@@ -39,7 +41,7 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 LEAST_ASSIGNED = 6
 
 # weak candidates
-KEY_LIKE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,128}(?![A-Za-z0-9+/_=-])")
+KEY_LIKE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}+(?![A-Za-z0-9+/_-])")
 IDENTIFIER = re.compile(r"""(?:user(?:name)?|login|client_?id|account(?:_?id)?)["']?\x20*[:=]\x20*["']?([A-Za-z0-9@._+-]{3,})""", re.IGNORECASE | re.ASCII)
 ENDPOINT = re.compile(r"(?:https?|ftp|postgres(?:ql)?|mysql|redis|mongodb|amqp|ssh)://[A-Za-z0-9._~:@%/?#&=+-]+", re.IGNORECASE | re.ASCII)
 BLANK_LINE = re.compile(r"\n[\x20\x09\r]*\n\s*")
@@ -75,40 +77,26 @@ def candidates(text: str) -> list[tuple[int, int, int]]:
     return sorted(out + weak)
 
 
-def near(places: np.ndarray, ends: np.ndarray, start: np.ndarray, end: np.ndarray, reach: int) -> np.ndarray:
-    """Which intervals have one of the (sorted) intervals within ``reach``, itself apart."""
-    if not len(places):
-        return np.zeros(len(start), bool)
-    furthest = np.maximum.accumulate(ends)
-    before = np.searchsorted(places, start, side="left")           # intervals that start earlier
-    left = (before > 0) & (start - furthest[np.maximum(before - 1, 0)] <= reach)
-    after = np.searchsorted(places, start, side="right")
-    right = (after < len(places)) & (places[np.minimum(after, len(places) - 1)] - end <= reach)
-    return left | right
-
-
-def scan(texts: list[str | None], reach: int = 400) -> list[list[tuple[int, int, int]]]:
+def scan(texts: list[str | None]) -> list[list[tuple[int, int, int]]]:
     """Reported (start, kind number, end) of every text."""
     found = [candidates(t) if t else [] for t in texts]
-    flat = [(i, a, k, b) for i, own in enumerate(found) for a, k, b in own]
-    if not any(k >= STRONG for _, _, k, _ in flat):
+    flat = [(i, a, k) for i, own in enumerate(found) for a, k, _ in own]
+    if not any(k >= STRONG for _, _, k in flat):
         return found
-    owner, start, kind, end = np.array(flat, np.int64).T
-    # places on one axis: scopes lie more than the reach apart
-    shift, base = np.zeros(len(flat), np.int64), 0
+    owner, start, kind = np.array(flat, np.int64).T
+    # scopes of all texts are numbered on end
+    scope, base = np.zeros(len(flat), np.int64), 0
     first = np.searchsorted(owner, np.arange(len(texts) + 1))
     for i in np.unique(owner).tolist():
         rows = slice(first[i], first[i + 1])
         breaks = np.array([m.end() for m in BLANK_LINE.finditer(texts[i])], np.int64)
-        scope = np.searchsorted(breaks, start[rows], side="right")
-        shift[rows] = base + scope * (reach + 1)
-        base += len(texts[i]) + (len(breaks) + 1) * (reach + 1)
-    a, b = start + shift, end + shift
+        scope[rows] = base + np.searchsorted(breaks, start[rows], side="right")
+        base += len(breaks) + 1
 
     def has(kinds: tuple[int, ...]) -> np.ndarray:
-        of = np.isin(kind, kinds)
-        order = np.argsort(a[of], kind="stable")
-        return near(a[of][order], b[of][order], a, b, reach)
+        there = np.zeros(base, bool)
+        there[scope[np.isin(kind, kinds)]] = True
+        return there[scope]
 
     by_secret, by_identifier = has(SECRETS), has(IDENTIFIERS)
     keep = ((kind < STRONG) | ((kind == 3) & by_identifier) | ((kind == 4) & by_secret)
@@ -116,14 +104,14 @@ def scan(texts: list[str | None], reach: int = 400) -> list[list[tuple[int, int,
     return [[s for s, k in zip(own, keep[first[i]:first[i + 1]], strict=True) if k] for i, own in enumerate(found)]
 
 
-def secret_spans(docs: DataFrame, reach: int = 400) -> DataFrame:
+def secret_spans(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``spans`` (kind, start, end in code points, by start) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             for a, b in text_slices(texts):
-                spans = [[{"kind": KINDS[k], "start": s, "end": e} for s, k, e in own] for own in scan(texts[a:b], reach)]
+                spans = [[{"kind": KINDS[k], "start": s, "end": e} for s, k, e in own] for own in scan(texts[a:b])]
                 yield table(FOUND, doc_id=ids.slice(a, b - a), spans=spans)
 
     return ship(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, f"doc_id long, spans {SPANS_DDL}")
@@ -139,7 +127,7 @@ def redacted(text: str, spans: list[tuple[int, int, int]]) -> str:
     return "".join([*out, text[upto:]])
 
 
-def redact(docs: DataFrame, reach: int = 400) -> DataFrame:
+def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with all reported spans of ``text`` replaced, other columns as they are
     (``n_chars``, where there is one, counted again for changed texts)."""
     columns = docs.columns
@@ -150,7 +138,7 @@ def redact(docs: DataFrame, reach: int = 400) -> DataFrame:
             texts = batch.column(at).to_pylist()
             new: list[str | None] = []
             for a, b in text_slices(texts):
-                new += [redacted(t, s) if s else t for t, s in zip(texts[a:b], scan(texts[a:b], reach), strict=True)]
+                new += [redacted(t, s) if s else t for t, s in zip(texts[a:b], scan(texts[a:b]), strict=True)]
             arrays = list(batch.columns)
             arrays[at] = pa.array(new, batch.schema.field(at).type)
             if "n_chars" in columns:
