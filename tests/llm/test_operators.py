@@ -230,6 +230,41 @@ def test_quality_repeats(spark, docs):
             len(w), sum(map(len, w)), len(lines) - len(set(lines)), len(covered))
 
 
+def same_hash_windows(n):
+    """Pairs of three words each, different but with one 64-bit hash in Spark's xxhash64."""
+    mask, one, two, five = (1 << 64) - 1, 0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x27D4EB2F165667C5
+
+    def turned(x, r):
+        return (x << r | x >> 64 - r) & mask
+
+    def seed(*words):
+        h = 42
+        for w in words:
+            h = xxhash.xxh64_intdigest(w, h)
+        return h
+
+    found, i = [], 0
+    while len(found) < n:
+        i += 1
+        a, b = (f"a{i}", "y", "abcdefgh"), (f"b{i}", "y")
+        k = turned(int.from_bytes(a[2].encode(), "little") * two & mask, 31) * one & mask
+        k ^= (seed(*a[:2]) + five + 8 & mask) ^ (seed(*b) + five + 8 & mask)
+        k = turned(k * pow(one, -1, 1 << 64) & mask, 33) * pow(two, -1, 1 << 64) & mask
+        last = k.to_bytes(8, "little")
+        if all(33 <= c <= 126 for c in last):
+            found.append((" ".join(a), " ".join([*b, last.decode()])))
+            assert seed(*a) == seed(*b, last.decode())
+    return found
+
+
+def test_quality_repeats_with_equal_hashes(spark):
+    (a, b), (c, d) = same_hash_windows(2)
+    texts = [f"{a} q1 {b} q2", f"{a} q1 {b} q2 {a} q3", f"{a} q1 {b} q2 {a} q3 {b}", f"{c} q1 {d} q2 {a} q3 {b} q4 {d} q5 {c} q6 {a}", f"{a} q1 {a}"]
+    rows = spark.createDataFrame([(i, t, "h") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    got = {r["doc_id"]: r["n_repeat_words"] for r in local(quality.judge(scratch(rows, "equal")))}
+    assert got == {0: 0, 1: 6, 2: 12, 3: 18, 4: 6}
+
+
 # ---- near-duplicates -------------------------------------------------------------
 
 def fingerprint(text, size=4):

@@ -8,8 +8,8 @@ Lines in more than ``line_share`` of a host's documents, and in more than
 its words that way is rejected, as is one that fails the base rules.
 
 All of it is DataFrame and SQL functions.  Counts within a text stay in its row (a sorted
-array of window hashes packed with their positions; the hash keeps 64 bits less those of
-the word count); what is shuffled is one hash per line, summed on the map side first.
+array of window hashes and their positions, by which the words of windows with equal
+hashes are compared); what is shuffled is one hash per line, summed on the map side first.
 The statistics are written once to the shared scratch folder.
 
 Defined cases: a null text has no words and fails; a null host is a host of its own;
@@ -29,6 +29,10 @@ SPACE_IN_LINE = r"[\x20\x09\x0B-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 SYMBOLS = "[#*$%&|<>]"
 
+# windows k and {o} have the same three words
+SAME = "{o}.h = k.h and " + " and ".join(f"get(_w, {{o}}.i + {n}) = get(_w, k.i + {n})" for n in range(3))
+BEFORE, AFTER = (SAME.format(o=f"get(_keys, j {d} 1)") for d in "-+")
+
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
@@ -52,16 +56,18 @@ def word_statistics(numbered_docs: DataFrame) -> DataFrame:
         (F.size("_with_word") - F.size(F.array_distinct("_with_word"))).cast("long").alias("n_dup_lines"),
         F.expr("""filter(transform(_plain, (l, i) -> struct(i as at, xxhash64(btrim(l)) as h,
                   if(btrim(l) = '', 0, size(split(btrim(l), ' '))) as w)), x -> x.w > 0)""").alias("_lines"),
-        F.length(F.bin(F.size("_w").cast("long"))).alias("_bits"),
-        F.expr("""if(size(_w) < 3, cast(array() as array<bigint>), sort_array(slice(transform(_w, (x, i) ->
-                  shiftleft(xxhash64(x, get(_w, i + 1), get(_w, i + 2)), length(bin(cast(size(_w) as bigint)))) | cast(i as bigint)),
-                  1, greatest(0, size(_w) - 2))))""").alias("_keys"))
-    # windows whose hash a neighbour in the sorted array shares, as places in the text
+        "_w",
+        F.expr("""if(size(_w) < 3, cast(array() as array<struct<h: bigint, i: int>>), sort_array(slice(transform(_w, (x, i) ->
+                  struct(xxhash64(x, get(_w, i + 1), get(_w, i + 2)) as h, i as i)), 1, greatest(0, size(_w) - 2))))""").alias("_keys"))
+    # where different windows share a hash, those of the same words are brought together
     rows = rows.select(*(c for c in rows.columns if c != "_keys"), F.expr(
-        """sort_array(transform(filter(_keys, (k, j) ->
-             coalesce(shiftright(get(_keys, j - 1), _bits) = shiftright(k, _bits), false)
-             or coalesce(shiftright(get(_keys, j + 1), _bits) = shiftright(k, _bits), false)),
-             k -> k & (shiftleft(1L, _bits) - 1)))""").alias("_places"))
+        f"""if(exists(transform(_keys, (k, j) -> get(_keys, j - 1).h = k.h and not ({BEFORE})), x -> coalesce(x, false)),
+              transform(sort_array(transform(_keys, k -> struct(k.h as h, get(_w, k.i) as a, get(_w, k.i + 1) as b, get(_w, k.i + 2) as c, k.i as i))),
+                        k -> struct(k.h as h, k.i as i)), _keys)""").alias("_keys"))
+    # windows whose words a neighbour in the sorted array shares, as places in the text
+    rows = rows.select(*(c for c in rows.columns if c not in ("_keys", "_w")), F.expr(
+        f"""sort_array(transform(filter(_keys, (k, j) -> coalesce({BEFORE}, false) or coalesce({AFTER}, false)),
+             k -> cast(k.i as bigint)))""").alias("_places"))
     # three words from each such place, those of overlapping windows once
     covered = F.expr("""aggregate(transform(_places, (p, i) -> least(3L, coalesce(get(_places, i + 1) - p, 3L))),
                         0L, (a, x) -> a + x)""")
