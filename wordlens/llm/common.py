@@ -16,6 +16,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,7 +62,14 @@ def scratch(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._scratch_path = path
+    return back
+
+
+def drop_scratch(df: DataFrame) -> None:
+    """Remove the files of a table returned by ``scratch``; nothing may read it afterwards."""
+    _remove(df.sparkSession, df._scratch_path)
 
 
 def with_row_id(df: DataFrame, name: str = "_rid") -> DataFrame:
@@ -90,6 +98,19 @@ def text_slices(texts: list[str | None], limit: int = BATCH_CHARS) -> Iterator[t
         yield first, len(texts)
 
 
+def batch_slices(batch: pa.RecordBatch, column: int, limit: int = BATCH_CHARS) -> Iterator[pa.RecordBatch]:
+    """Cut an Arrow batch into runs of rows with about ``limit`` bytes of text each, before
+    anything is turned into Python objects; a row larger than that is alone."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+    upto = np.cumsum(sizes)
+    first = 0
+    while first < batch.num_rows:
+        done = int(upto[first - 1]) if first else 0
+        end = max(first + 1, int(np.searchsorted(upto, done + limit, "right")))
+        yield batch.slice(first, end - first)
+        first = end
+
+
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Concatenated ``start .. start+length-1`` of every pair."""
     total = int(lengths.sum())

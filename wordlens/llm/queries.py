@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordlens.llm import ann, bpe, line_dedup, packing, quality, rans, secret_scan, sharding, simhash, warc
+from wordlens.llm import ann, bpe, clusters, line_dedup, merkle, packing, quality, rans, secret_scan, sharding, simhash, toxicity, warc
 from wordlens.llm.common import scratch_path
 from wordlens.session import read_table
 
@@ -80,6 +80,18 @@ def op10_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.read(spark, path)
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.cluster(read_table(spark, sf_dir, "embeddings"), k=16, rounds=3, scale=64, width=64)
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_kd_sharding": op2_kd_sharding,
@@ -91,8 +103,45 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_token_binary": op10_token_binary,
+    "op11_toxicity": op11_toxicity,
+    "op12_centroid_clusters": op12_centroid_clusters,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
+
+
+def _kmeans_sql(rounds: int = 3) -> str:
+    """The rounds of ``op12`` one after the other, in whole numbers."""
+    def assigned(name: str, centroids: str) -> str:
+        return f"""
+{name} AS (
+  SELECT rid, c, d FROM (
+    SELECT x.rid, z.c, sum((x.x - z.x) * (x.x - z.x)) AS d, row_number() OVER (PARTITION BY x.rid ORDER BY sum((x.x - z.x) * (x.x - z.x)), z.c) AS r
+    FROM x JOIN {centroids} z USING (i) GROUP BY x.rid, z.c) WHERE r = 1)"""
+
+    def moved(name: str, centroids: str, by: str) -> str:
+        return f"""
+{name} AS (
+  SELECT z.c, z.i, coalesce(m.x, z.x) AS x FROM {centroids} z LEFT JOIN (
+    SELECT a.c, x.i, CAST(floor(CAST(sum(x.x) AS DOUBLE) / count(*)) AS BIGINT) AS x FROM {by} a JOIN x USING (rid) GROUP BY a.c, x.i) m USING (c, i))"""
+
+    steps = []
+    for k in range(rounds):
+        steps += [assigned(f"a{k}", f"c{k}"), moved(f"c{k + 1}", f"c{k}", f"a{k}")]
+    steps.append(assigned("a", f"c{rounds}"))
+    return """
+WITH v AS (
+  SELECT row_number() OVER () AS rid, vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+x AS (SELECT rid, generate_subscripts(v, 1) AS i, CAST(floor(64 * unnest(v)) AS BIGINT) AS x FROM v),
+f AS (SELECT rid, CAST(row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS INTEGER) AS c FROM v),
+c0 AS (SELECT f.c, x.i, x.x FROM f JOIN x USING (rid) WHERE f.c < 16),""" + ",".join(steps) + f""",
+h AS (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY c)
+SELECT vec_id, a.c AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM a JOIN v USING (rid) JOIN h ON a.c = h.c"""
+
+
 ORACLE: dict[str, str] = {
     "op7_quality_rules": r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(source, '') AS host, coalesce(text, '') AS t FROM documents),
