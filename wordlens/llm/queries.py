@@ -142,6 +142,61 @@ SELECT vec_id, a.c AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (
 FROM a JOIN v USING (rid) JOIN h ON a.c = h.c"""
 
 
+def _merkle_sql() -> str:
+    """The trees level by level (recursive), then every leaf's way up."""
+    def part(value: str) -> str:
+        return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(map(part, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+    def tree(name: str, leaves: str) -> str:
+        """Nodes (s, level, i, h, n) of all trees; n nodes are on the level."""
+        return f"""
+{name} AS (
+  SELECT s, 0 AS level, i, h, count(*) OVER (PARTITION BY s) AS n FROM {leaves}
+  UNION ALL
+  SELECT s, level, i, h, count(*) OVER (PARTITION BY s) AS n FROM (
+    SELECT s, level + 1 AS level, i // 3 AS i, sha256(string_agg(h, '' ORDER BY i)) AS h
+    FROM {name} WHERE n > 1 GROUP BY s, level + 1, i // 3))"""
+
+    def way(name: str, leaves: str, nodes: str) -> str:
+        """For every leaf and level the siblings before and after it."""
+        return f"""
+{name} AS (
+  SELECT a.s, a.i AS leaf, b.level, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i // CAST(pow(3, b.level) AS BIGINT)), '') AS before,
+         coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i // CAST(pow(3, b.level) AS BIGINT)), '') AS after
+  FROM {leaves} a JOIN {nodes} b ON a.s = b.s AND b.n > 1 AND b.i // 3 = a.i // CAST(pow(3, b.level + 1) AS BIGINT)
+  GROUP BY a.s, a.i, b.level)"""
+
+    # crc32 bit by bit, lowest bit first
+    crc = """(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(range(length(CAST(doc_id AS VARCHAR))), lambda k:
+      list_transform(range(8), lambda b: (CAST(ord(substr(CAST(doc_id AS VARCHAR), CAST(k + 1 AS INTEGER), 1)) AS BIGINT) >> CAST(b AS INTEGER)) & 1)))),
+      lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1))) & 1) = 1"""
+    return f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id, source, {leaf("text")} AS h,
+         CASE WHEN text IS NOT NULL AND doc_id IS NOT NULL AND {crc} THEN {leaf("replace(text, chr(10), '')")} ELSE {leaf("text")} END AS seen
+  FROM documents),
+names AS (SELECT source, row_number() OVER (ORDER BY source IS NOT NULL, encode(source)) - 1 AS s FROM (SELECT DISTINCT source FROM d)),
+l AS (
+  SELECT s, row_number() OVER (PARTITION BY s ORDER BY doc_id NULLS FIRST, h) - 1 AS i, doc_id, h, seen
+  FROM d JOIN names ON d.source IS NOT DISTINCT FROM names.source),""" + tree("t", "l") + """,
+sub AS (SELECT s AS i, h, 0 AS s FROM t WHERE n = 1),""" + tree("u", "sub") + "," + way("w", "l", "t") + "," + way("v", "sub", "u") + """,
+steps AS (
+  SELECT s, leaf, level, before, after FROM w
+  UNION ALL SELECT l.s, l.i, 1000 + v.level, v.before, v.after FROM l JOIN v ON v.leaf = l.s),
+ways AS (
+  SELECT s, leaf, list({'a': before, 'z': after} ORDER BY level) AS way, string_agg(before || after, '' ORDER BY level) AS proof FROM steps GROUP BY s, leaf),
+f AS (
+  SELECT l.s, l.doc_id, l.h AS leaf, coalesce(proof, '') AS proof,
+         CASE WHEN way IS NULL THEN l.seen ELSE list_reduce(list_prepend({'a': l.seen, 'z': ''}, way), lambda x, y: {'a': sha256(y.a || x.a || y.z), 'z': ''}).a END AS folded
+  FROM l LEFT JOIN ways ON l.s = ways.s AND l.i = ways.leaf)
+SELECT doc_id, leaf, sub.h AS subroot, (SELECT h FROM u WHERE n = 1) AS root, sha256(proof) AS proof_sha256, folded AS folded_root,
+       folded = (SELECT h FROM u WHERE n = 1) AS verified
+FROM f JOIN sub ON sub.i = f.s"""
+
+
 ORACLE: dict[str, str] = {
     "op7_quality_rules": r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(source, '') AS host, coalesce(text, '') AS t FROM documents),
@@ -191,4 +246,6 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
        CASE WHEN payload_bytes < 100 OR page_id = holder THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN payload_bytes < 100 OR page_id = holder THEN NULL ELSE holder END AS refers_to
 FROM p JOIN h USING (payload_digest)""",
+    "op12_centroid_clusters": _kmeans_sql(),
+    "op13_merkle_manifest": _merkle_sql(),
 }
