@@ -58,7 +58,7 @@ def safe_sequence(n: Column) -> Column:
         F.array().cast("array<int>"))
 
 
-def with_term_profile(df: DataFrame, arr: Column | str, out: str = "_prof") -> DataFrame:
+def with_term_profile(df: DataFrame, arr: Column | str, out: str = "_prof", positions: bool = False) -> DataFrame:
     """Add a per-sentence term profile column ``out``: ``array<struct<term, fp, tf>>``.
 
     One entry per distinct value of the sentence, in value order: ``fp`` is
@@ -66,7 +66,8 @@ def with_term_profile(df: DataFrame, arr: Column | str, out: str = "_prof") -> D
     sorting ``(value, position)`` pairs once and cutting runs with
     ``zip_with`` against the array shifted by one, so a sentence costs
     O(n log n) and the step is narrow (no shuffle).  NULL values form their
-    own run (null-safe comparison).
+    own run (null-safe comparison).  With ``positions`` an entry also has all
+    positions of its value, ascending.
 
     The work is staged over three projections on purpose: a lambda never
     reads an outer array expression (Spark would re-evaluate it for every
@@ -87,7 +88,8 @@ def with_term_profile(df: DataFrame, arr: Column | str, out: str = "_prof") -> D
     runs = F.zip_with(
         F.col(s), F.slice(F.col(s), 2, F.greatest(F.size(F.col(s)), F.lit(1))),
         lambda a, b: F.when(a["c"].isNotNull(), F.struct(
-            a["c"]["t"].alias("term"), a["c"]["p"].alias("fp"), (b["i"] - a["i"]).alias("tf"))))
+            a["c"]["t"].alias("term"), a["c"]["p"].alias("fp"), (b["i"] - a["i"]).alias("tf"),
+            *([F.slice(F.col(z), a["i"] + 1, b["i"] - a["i"])["p"].alias("positions")] if positions else []))))
     return staged.withColumn(out, F.filter(runs, lambda x: x.isNotNull())).drop(z, s)
 
 

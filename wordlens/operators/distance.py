@@ -69,3 +69,28 @@ def distance(corpus: Corpus, words: Sequence[str], level: int = 0,
     rep = out.withColumn("_C", combinations.cast("long")).withColumn("c", F.explode(F.sequence(
         F.col("k").cast("long"), F.col("_C") - F.col("n_j") + F.col("k"), F.col("n_j").cast("long"))))
     return rep.select(*corpus.keys, "i", "term_i", "j", "term_j", "c", "distance")
+
+
+def distance_cells(corpus: Corpus, words: Sequence[str], first: int, last: int, level: int = 0) -> DataFrame:
+    """The cube's cells with combination index ``first <= c < last``: keys, ``i, term_i,
+    j, term_j, c, distance`` and ``combinations`` (C as text).
+
+    A cell is read by its index, ``P_i[0] - P_j[c mod n_j]``: nothing is expanded, and the
+    range may lie anywhere below C, which may exceed any number type.  A sentence with
+    fewer combinations gives the cells that it has.
+    """
+    wl = F.array(*[F.lit(w) for w in words])
+    t = corpus.level_form(level, "_t")
+    lists = t.select(*corpus.keys, F.transform(wl, lambda w: F.filter(
+        F.transform("_t", lambda x, i: F.when(x == w, i).otherwise(-1)), lambda q: q >= 0)).alias("_P"))
+    lists = lists.select(*corpus.keys, F.transform("_P", lambda p: F.when(F.size(p) > 0, p).otherwise(F.array(F.lit(ABSENT)))).alias("_F"))
+    # min(C, last): the product stops growing where the range ends
+    upto = F.aggregate("_F", F.lit(1).cast("long"), lambda acc, p: F.least(acc * F.size(p), F.lit(last).cast("long")))
+    whole = F.aggregate("_F", F.lit(1).cast("decimal(38,0)"), lambda acc, p: F.try_multiply(acc, F.size(p).cast("decimal(10,0)")).cast("decimal(38,0)"))
+    lists = lists.select(*corpus.keys, "_F", upto.alias("_upto"), whole.cast("string").alias("combinations")).where(F.col("_upto") > first)
+    cells = lists.select(*corpus.keys, "_F", "combinations", F.explode(F.sequence(F.lit(first).cast("long"), F.col("_upto") - 1)).alias("c"))
+    pairs = cells.select(*corpus.keys, "combinations", "c", "_F", F.posexplode_outer(
+        F.transform("_F", lambda p: F.get(p, (F.col("c") % F.size(p)).cast("int")))).alias("j", "_at"))
+    rows = pairs.select(*corpus.keys, "combinations", "c", "j", "_at", F.posexplode_outer(F.transform("_F", lambda p: F.get(p, F.lit(0)))).alias("i", "_first"))
+    return rows.select(*corpus.keys, F.col("i").cast("int").alias("i"), wl[F.col("i")].alias("term_i"), F.col("j").cast("int").alias("j"),
+                       wl[F.col("j")].alias("term_j"), "c", (F.col("_first") - F.col("_at")).cast("int").alias("distance"), "combinations")

@@ -11,6 +11,7 @@ is the number of distinct terms per task, not the number of tokens.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from pyspark.sql.types import IntegralType
 from wordlens.functions.arrays import percent, positions_of, with_term_profile
 from wordlens.session import cut_lineage
 from wordlens.sources.corpus import Corpus
+from wordlens.sources.store import StoredCorpus
 
 STAT_FIELDS = ("binary", "count", "quote")
 
@@ -146,6 +148,40 @@ def vocabulary_index(corpus: Corpus, level: int = 0) -> DataFrame:
     return global_index(terms, [F.col("term").asc()], "idx").select("term", "idx")
 
 
+def term_vectors(corpus: Corpus, level: int = 0, vocabulary: DataFrame | None = None) -> DataFrame:
+    """A4 with A5: the sentence-term count matrix as sparse rows.
+
+    keys, ``n_terms`` (width of the matrix), ``indices`` (ascending places in ``vocabulary``,
+    by default :func:`vocabulary_index`) and ``counts`` of every sentence.  The dictionary
+    meets the term rows by a join on the term: it is sent to the tasks only while it has at
+    most ``SMALL_TABLE_ROWS`` rows; beyond that both sides are dealt by (term, salt), so that
+    a term which every sentence has is spread over ``SALTS`` groups.  One exchange by the
+    sentence key gathers a row; no step holds more than one sentence.
+    """
+    vocabulary = cut_lineage(vocabulary_index(corpus, level)) if vocabulary is None else vocabulary
+    n_terms = vocabulary.count()
+    rows = salted_join(profile_rows(corpus, level), vocabulary.select("term", "idx"), "term", n_terms, list(corpus.keys))
+    cells = rows.groupBy(*corpus.keys).agg(F.sort_array(F.collect_list(F.struct("idx", "tf"))).alias("_c"))
+    return cells.select(*corpus.keys, F.lit(n_terms).cast("long").alias("n_terms"), F.col("_c")["idx"].alias("indices"), F.col("_c")["tf"].alias("counts"))
+
+
+#: rows up to which a table of words is sent to every task: some tens of megabytes
+SMALL_TABLE_ROWS = 200_000
+#: groups that a hot word is spread over where the table is larger
+SALTS = 32
+
+
+def salted_join(rows: DataFrame, words: DataFrame, on: str, n_words: int, spread_by: Sequence[str]) -> DataFrame:
+    """``rows`` with the columns of ``words`` (one row per word, ``n_words`` of them)."""
+    words = words.withColumnRenamed(on, "_word")
+    if n_words <= SMALL_TABLE_ROWS:
+        return rows.join(F.broadcast(words), F.col(on) == F.col("_word")).drop("_word")
+    salted = words.withColumn("_other", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    own = F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int")
+    return (rows.withColumn("_salt", own).join(salted, (F.col(on) == F.col("_word")) & (F.col("_salt") == F.col("_other")))
+            .drop("_word", "_salt", "_other"))
+
+
 def word_occurrence(corpus: Corpus, word: str, level: int = 0) -> DataFrame:
     """Occurrences of ``word`` in every sentence, zeros kept. Narrow."""
     arr = corpus.level_array(level)
@@ -195,12 +231,22 @@ def _stats_and_sentences(corpus: Corpus, level: int, with_first_seen: bool = Fal
     The statistics (one row per term) are written to the reliable checkpoint
     folder; the marker rows' count is one of its rows.
     """
+    known = corpus.statistics(level) if with_eos else None
+    if known is not None:
+        return known, corpus.n_sentences()
     rows = stat_rows(corpus, level, markers=True, with_eos=with_eos)
     stats = cut_lineage(_stats(rows, corpus, [], with_first_seen))
     marker = stats.where(F.col("term").isNull()).select("binary").first()  # one row
     return stats.where(F.col("term").isNotNull()), F.lit(marker[0] if marker else 0)
 
 
+def store_statistics(corpus: StoredCorpus, level: int = 0) -> StoredCorpus:
+    """Write the statistics of a level beside a stored corpus: reports of any threshold, and
+    drill-downs from them, then read a table of one row per term."""
+    _stats(stat_rows(corpus, level), corpus, [], True).write.parquet(f"{corpus.path}/stats_{level:02d}")
+    return replace(corpus, stat_levels=(*corpus.stat_levels, level))
+
+
 def keyword_stats_levels(corpus: Corpus, levels: Sequence[int]) -> DataFrame:
     """A8 for several levels in one pass: ``level, term, binary, count, ...``.
 

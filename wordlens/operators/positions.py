@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordlens.functions.arrays import percent_positions, positions_of
+from wordlens.operators.keywords import salted_join
 from wordlens.sources.corpus import Corpus
+from wordlens.sources.index import term_positions
 
 
 def positions_abs(corpus: Corpus, word: str, level: int = 0) -> DataFrame:
@@ -66,6 +68,19 @@ def wordlist_pct(corpus: Corpus, words: Sequence[str], level: int = 0, aligned:
     return p.withColumn("positions", percent_positions("positions", "n_tokens"))
 
 
+def wordlist_table(corpus: Corpus, words: DataFrame, level: int = 0, in_percent: bool = False) -> DataFrame:
+    """W3/W4 for a table of words (``word_no, term``, each term once) of any length.
+
+    ``word_no, term``, keys, ``n_tokens``, ``positions`` for the words that a sentence has.
+    Every sentence is sorted into (term, positions) rows once, whatever the number of words,
+    and these rows meet the words by their term: a broadcast hash join for a table of at most
+    ``SMALL_TABLE_ROWS`` rows, a salted one beyond (:func:`keywords.salted_join`).
+    """
+    rows = salted_join(term_positions(corpus, level), words.select("word_no", "term"), "term", words.count(), corpus.keys)
+    positions = percent_positions("positions", "n_tokens") if in_percent else F.col("positions")
+    return rows.select("word_no", "term", *corpus.keys, "n_tokens", positions.alias("positions"))
+
+
 def show_positions(corpus: Corpus, word: str, level: int = 0) -> DataFrame:
     """W1 per sentence, ordered by key."""
     return positions_abs(corpus, word, level).orderBy(*corpus.keys)

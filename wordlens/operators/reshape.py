@@ -32,7 +32,7 @@ def padded_sentences(corpus: Corpus, level: int = 0, width: int | None = None) -
     values = corpus.level_array(level)
     if width is not None:
         return corpus.df.select(*corpus.keys, "n_tokens", trim_pad(values, width).alias("padded"))
-    longest = corpus.df.agg(F.max("n_tokens")).scalar()
+    longest = corpus.longest()
     return corpus.df.select(*corpus.keys, "n_tokens", values.alias("values"),
                             F.get(values, F.size(values) - 1).alias("pad_value"),
                             (longest - F.col("n_tokens")).cast("int").alias("pad_count"))

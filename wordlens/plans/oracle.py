@@ -339,3 +339,32 @@ SELECT 'f02:' || term, count(*) AS "binary", CAST(sum(tf) AS BIGINT) AS count FR
   SELECT doc_id, sent_no, CASE WHEN is_eos THEN 'EOS' WHEN f01 = 'NUM' THEN '数詞' ELSE '*' END AS term, count(*) AS tf
   FROM cls GROUP BY ALL) GROUP BY term"""),
 }
+
+# the same questions over the stored corpus and the index
+ORACLE |= {
+    "stored_padded_sentences": ORACLE["padded_sentences"],
+    "stored_drilldown": ORACLE["keyword_drilldown"],
+    "stored_centre_by_positions": ORACLE["centre_by_positions"],
+    "index_wordlist": ORACLE["wordlist_hits"],
+    "index_occurrence": ORACLE["word_occurrence"],
+    "term_vectors": _with("""SELECT doc_id, sent_no, any_value(nv.n) AS n_terms, string_agg(CAST(v.idx AS VARCHAR), ',' ORDER BY v.idx) AS indices,
+  string_agg(CAST(p.tf AS VARCHAR), ',' ORDER BY v.idx) AS counts
+FROM prof p JOIN (SELECT term, row_number() OVER (ORDER BY term) - 1 AS idx FROM stats) v USING (term), (SELECT count(*) AS n FROM stats) nv
+GROUP BY doc_id, sent_no"""),
+    "wordlist_table": _with("""SELECT w.word_no, w.term, k.doc_id, k.sent_no,
+  string_agg(CAST(k.pos AS VARCHAR), ',' ORDER BY k.pos) AS positions
+FROM tok k JOIN words w ON k.surface = w.term GROUP BY w.word_no, w.term, k.doc_id, k.sent_no""", _corpus() + f""",
+blines AS (SELECT list_append(regexp_extract_all(unnest(string_split(text, chr(10))), '{TOKEN_RE}'), 'EOS') AS t FROM benchmark),
+words AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS word_no FROM (SELECT DISTINCT unnest(t) AS term FROM blines WHERE len(t) > 1))"""),
+    "text_units": f"""
+WITH u AS (
+  SELECT doc_id // {P.FILE_DOCS} AS batch, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '{UNICODE_WS}'), lambda x: x <> '') AS units
+  FROM documents),
+s AS (SELECT batch, doc_id, generate_subscripts(units, 1) AS i, unnest(units) AS unit FROM u),
+n AS (SELECT batch, row_number() OVER (PARTITION BY batch ORDER BY doc_id, i) - 1 AS unit_no,
+             CAST(len(regexp_extract_all(unit, '{TOKEN_RE}')) + 1 AS INTEGER) AS n_tokens FROM s)
+SELECT batch, unit_no, n_tokens FROM n WHERE n_tokens > 1""",
+    "distance_cells": _with(f"""SELECT doc_id, sent_no, i, j, CAST(c AS BIGINT) AS c, CAST(first_i - Fj[c % len(Fj) + 1] AS INTEGER) AS distance
+FROM (SELECT *, unnest(range({P.CELL_FIRST}, CAST(least({P.CELL_LAST}, list_product([len(x) for x in F])) AS BIGINT))) AS c FROM fij)""",
+                            _corpus() + "," + _dist("[" + ", ".join(_lit(w) for w in P.CELL_WORDS) + "]")),
+}

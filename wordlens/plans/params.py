@@ -34,3 +34,8 @@ SYMBOL_FORMS = {
     "(": '*,"x',
     "=": "*,*",
 }
+# W9 cells: words with several occurrences and one that many lines lack, and the range of combinations
+CELL_WORDS = ("the", "of", "zzz", "and")
+CELL_FIRST, CELL_LAST = 2, 40
+# documents in one text file of the S1 query
+FILE_DOCS = 1000

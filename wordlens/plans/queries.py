@@ -16,9 +16,11 @@ from pyspark.sql import functions as F
 from wordlens.functions.arrays import percent
 from wordlens.operators import align, distance, keywords, positions, project, reshape
 from wordlens.plans import params as P
-from wordlens.session import read_table
+from wordlens.session import read_table, scratch_path
 from wordlens.sources import annotated
-from wordlens.sources.corpus import Corpus, build_corpus, build_corpus_by_language, corpus_shape, wordlist_no_eos
+from wordlens.sources.corpus import Corpus, build_corpus, build_corpus_by_language, corpus_shape, read_text_corpus, wordlist_no_eos
+from wordlens.sources.index import PositionalIndex, build_index
+from wordlens.sources.store import StoredCorpus, store_corpus, store_table
 from wordlens.sources.tokenizers import AnnotatedTokenizer, PresegmentedTokenizer
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +45,26 @@ def conversations_corpus(spark: SparkSession, sf_dir: str) -> Corpus:
                         partitions=input_partitions(spark))
 
 
+_STORED: dict[tuple[str, str], StoredCorpus] = {}
+_INDEXED: dict[tuple[str, str], PositionalIndex] = {}
+
+
+def stored_documents(spark: SparkSession, sf_dir: str) -> StoredCorpus:
+    """``documents`` tokenised and written once for all queries of this application."""
+    key = spark.sparkContext.applicationId, sf_dir
+    if key not in _STORED:
+        _STORED[key] = store_corpus(documents_corpus(spark, sf_dir), scratch_path(spark, "corpus"), levels=(0, 1))
+    return _STORED[key]
+
+
+def indexed_documents(spark: SparkSession, sf_dir: str) -> PositionalIndex:
+    """The positional index of the stored corpus, written once as well."""
+    key = spark.sparkContext.applicationId, sf_dir
+    if key not in _INDEXED:
+        _INDEXED[key] = build_index(stored_documents(spark, sf_dir), scratch_path(spark, "index"))
+    return _INDEXED[key]
+
+
 def _r6(c: Column | str) -> Column:
     return F.round(F.col(c) if isinstance(c, str) else c, 6)
 
@@ -83,6 +105,18 @@ def q_whitespace_sentences(spark, sf_dir):
     return c.sentences()
 
 
+def q_text_units(spark, sf_dir):
+    """S1 over text files: every 1,000 documents are one file, in order of their ids; units are
+    numbered over each whole file."""
+    docs = read_table(spark, sf_dir, "documents").select(
+        F.expr(f"doc_id div {P.FILE_DOCS}").alias("batch"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    path = scratch_path(spark, "texts")
+    docs.repartition("batch").sortWithinPartitions("batch", "doc_id").select("batch", "text").write.partitionBy("batch").text(path)
+    c = read_text_corpus(spark, path)
+    batch = F.regexp_extract("path", "/batch=([0-9]+)/", 1).cast("long")
+    return c.sentences().select(batch.alias("batch"), F.col("sent_no").alias("unit_no"), "n_tokens")
+
+
 def q_language_tokens(spark, sf_dir):
     """U4: two languages read as whitespace-separated, the rest by the default strategy."""
     registry = {lang: PresegmentedTokenizer() for lang in P.PRESEGMENTED_LANGUAGES}
@@ -107,6 +141,12 @@ def q_vocabulary_index(spark, sf_dir):
     return keywords.vocabulary_index(documents_corpus(spark, sf_dir))
 
 
+def q_term_vectors(spark, sf_dir):
+    v = keywords.term_vectors(stored_documents(spark, sf_dir))
+    return v.select(*KEYS, "n_terms", F.array_join(F.col("indices").cast("array<string>"), ",").alias("indices"),
+                    F.array_join(F.col("counts").cast("array<string>"), ",").alias("counts"))
+
+
 def q_word_occurrence(spark, sf_dir):
     return keywords.word_occurrence(documents_corpus(spark, sf_dir), P.WORD)
 
@@ -253,6 +293,47 @@ def q_wordlist_hits(spark, sf_dir):
     return d.select("word_no", "term", *KEYS, F.array_join("positions", ",").alias("positions"))
 
 
+def q_wordlist_table(spark, sf_dir):
+    """W3 for the words of ``benchmark``, a table of any length, against ``documents``."""
+    words = keywords.vocabulary_index(build_corpus(read_table(spark, sf_dir, "benchmark"), "text", ("item_id",)))
+    d = positions.wordlist_table(documents_corpus(spark, sf_dir), words.select(F.col("idx").alias("word_no"), "term"))
+    return d.select("word_no", "term", *KEYS, F.array_join("positions", ",").alias("positions"))
+
+
+def q_index_wordlist(spark, sf_dir):
+    d = indexed_documents(spark, sf_dir).hits(P.WORDS)
+    return d.select("word_no", "term", *KEYS, F.array_join("positions", ",").alias("positions"))
+
+
+def q_index_occurrence(spark, sf_dir):
+    return indexed_documents(spark, sf_dir).occurrence(stored_documents(spark, sf_dir).sentences(), P.WORD)
+
+
+# ----------------------------------------------------------- stored corpus
+
+
+def q_stored_padded_sentences(spark, sf_dir):
+    d = reshape.padded_sentences(stored_documents(spark, sf_dir))
+    return d.select(*KEYS, _joined(F.col("values")).alias("values"), "pad_value", "pad_count")
+
+
+def q_stored_drilldown(spark, sf_dir):
+    """T3 from stored statistics: the report is a table of one row per term, the text is read once."""
+    c = stored_documents(spark, sf_dir)
+    if 0 not in c.stat_levels:
+        c = _STORED[spark.sparkContext.applicationId, sf_dir] = keywords.store_statistics(c)
+    d = keywords.keyword_drilldown(c, keywords.keyword_report(c, P.REPORT_PERCENT), rank=P.DRILL_RANK)
+    return d.select("rank", "term", *KEYS, F.array_join("positions", ",").alias("positions"))
+
+
+def q_stored_centre_by_positions(spark, sf_dir):
+    """W5 with a table of positions in the buckets of the corpus: no exchange."""
+    c = stored_documents(spark, sf_dir)
+    pos = store_table(c, positions.positions_abs(c, P.WORD).select(*KEYS, "positions"), scratch_path(spark, "positions"))
+    d = align.centre_at_positions(c, pos, 1, levels=(0,))
+    return d.select(*KEYS, _joined(F.col("l0")).alias("centred"))
+
+
 # -------------------------------------------------------------- alignment
 
 
@@ -321,6 +402,11 @@ def q_distance_cube(spark, sf_dir):
     return d.select(*KEYS, "i", "j", "c", "distance")
 
 
+def q_distance_cells(spark, sf_dir):
+    d = distance.distance_cells(documents_corpus(spark, sf_dir), P.CELL_WORDS, P.CELL_FIRST, P.CELL_LAST)
+    return d.select(*KEYS, "i", "j", "c", "distance")
+
+
 # ---------------------------------------------------------------- reshape
 
 
@@ -380,8 +466,8 @@ def derived_analyser_output(spark, sf_dir, faults: bool = False) -> DataFrame:
 
     def line(x, i):
         cls = token_class(x)
-        plain = F.concat_ws(",", cls, *[F.lit("*")] * 28)
-        quoted = F.concat_ws(",", cls, *[F.lit("*")] * 5, F.concat(F.lit('"'), x, F.lit(',x"')), *[F.lit("*")] * 22)
+        plain = F.concat(cls, F.lit(",*" * 28))
+        quoted = F.concat(cls, F.lit(",*" * 5 + ',"'), x, F.lit(',x"' + ",*" * 22))
         feats = F.when(cls == "WORD", quoted).when(cls == "NUM", F.lit(P.SHORT_NUMERAL)).otherwise(plain)
         if faults:
             for symbol, form in P.SYMBOL_FORMS.items():
@@ -419,11 +505,13 @@ QUERIES: dict[str, Builder] = {
     "corpus_shape": q_corpus_shape,
     "wordlist_no_eos": q_wordlist_no_eos,
     "whitespace_sentences": q_whitespace_sentences,
+    "text_units": q_text_units,
     "language_tokens": q_language_tokens,
     # keywords
     "term_counts": q_term_counts,
     "vocabulary_index": q_vocabulary_index,
     "word_occurrence": q_word_occurrence,
+    "term_vectors": q_term_vectors,
     "keyword_stats": q_keyword_stats,
     "keyword_filter": q_keyword_filter,
     "keyword_sorted": q_keyword_sorted,
@@ -451,7 +539,14 @@ QUERIES: dict[str, Builder] = {
     "wordlist_abs": q_wordlist_abs,
     "wordlist_pct": q_wordlist_pct,
     "wordlist_hits": q_wordlist_hits,
+    "wordlist_table": q_wordlist_table,
+    "index_wordlist": q_index_wordlist,
+    "index_occurrence": q_index_occurrence,
     "show_positions": q_show_positions,
+    # stored corpus
+    "stored_padded_sentences": q_stored_padded_sentences,
+    "stored_drilldown": q_stored_drilldown,
+    "stored_centre_by_positions": q_stored_centre_by_positions,
     # alignment
     "centre_suffix": q_centre_suffix,
     "centre_prefix": q_centre_prefix,
@@ -465,6 +560,7 @@ QUERIES: dict[str, Builder] = {
     # distance
     "distance": q_distance,
     "distance_cube": q_distance_cube,
+    "distance_cells": q_distance_cells,
     # reshape
     "padded_sentences": q_padded_sentences,
     "axes_moved": q_axes_moved,

@@ -8,8 +8,10 @@ when none is configured (local runs and tests).
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,10 +59,44 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return scratch
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new folder in the shared scratch space; removed when the driver ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/wordlens-{label}-{uuid.uuid4().hex}"
+    atexit.register(remove_path, spark, path)
+    return path
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder wherever Spark's file systems have it."""
+    try:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    except Exception:  # the session may have ended before the interpreter
+        pass
+
+
+def scratch(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once to the shared scratch space and return the table read back.
+
+    Columns that a later step does not ask for are not read again, and a lost executor
+    costs only the tasks it ran.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._scratch_path = path
+    return back
+
+
+def drop_scratch(df: DataFrame) -> None:
+    """Remove the files of a table returned by ``scratch``; nothing may read it afterwards."""
+    remove_path(df.sparkSession, df._scratch_path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the reliable checkpoint folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` in the shared folder (survives executor loss)."""
+    return scratch(df, "cut")
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from wordlens.functions.tokenise import EOS, N_LEVELS, level_name
 from wordlens.sources.corpus import Corpus
-from wordlens.sources.tokenizers import AnnotatedTokenizer
+from wordlens.sources.tokenizers import ParsedTokenizer
 
 # The short-token rules of the reference parser.
 SHORT_TOKEN_SIZE = 7
@@ -66,7 +66,7 @@ def _count(s: Column, ch: str) -> Column:
 
 
 def parse_lines(lines: Column) -> Column:
-    """Analyser lines -> ``array<struct<raw_line, token struct<f00..f29, is_eos>, reason>>``.
+    """Analyser lines -> ``array<struct<raw_line, token struct<fields, is_eos>, reason>>``.
 
     Chained ``transform`` stages; each reads only fields of its own
     lambda variable, so nothing (in particular the quote-aware split) is
@@ -101,15 +101,10 @@ def parse_lines(lines: Column) -> Column:
         )
         reason = (F.when(e["unclosed"], F.lit("unclosed_quote"))
                   .when(~(full | eos | short), F.lit("unknown_type")))
-        return F.struct(e["raw_line"].alias("raw_line"), normal.alias("fields"), eos.alias("is_eos"),
+        return F.struct(e["raw_line"].alias("raw_line"), F.struct(normal.alias("fields"), eos.alias("is_eos")).alias("token"),
                         reason.alias("reason"))
 
-    def stage4(e):
-        fields = [F.get(e["fields"], lv).alias(level_name(lv)) for lv in range(N_LEVELS)]
-        return F.struct(e["raw_line"].alias("raw_line"), F.struct(*fields, e["is_eos"].alias("is_eos")).alias("token"),
-                        e["reason"].alias("reason"))
-
-    return F.transform(F.transform(F.transform(s1, stage2), stage3), stage4)
+    return F.transform(F.transform(s1, stage2), stage3)
 
 
 def parse_analyser_output(df: DataFrame, col: str = "analysis",
@@ -143,7 +138,7 @@ def parse_analyser_output(df: DataFrame, col: str = "analysis",
                .select(*keys, F.posexplode("_lines").alias("line_no", "_e"))
                .select(*keys, F.col("line_no").cast("int").alias("line_no"), F.col("_e.raw_line").alias("raw_line"),
                        F.coalesce(F.col("_e.reason"), F.lit("sentence_rejected")).alias("reason")))
-    return Corpus(good, tuple(keys), AnnotatedTokenizer()), rejects
+    return Corpus(good, tuple(keys), ParsedTokenizer()), rejects
 
 
 def lines_to_sentences(lines: DataFrame, keys: Sequence[str] = ("doc_id", "sent_no"),

@@ -16,10 +16,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wordlens.functions.tokenise import N_LEVELS, whitespace_units
+from wordlens.session import scratch
 from wordlens.sources.tokenizers import (
     LANGUAGES,
     LanguageTokenizer,
@@ -66,6 +67,14 @@ class Corpus:
         """Number of sentences as a scalar-subquery Column (evaluated once)."""
         return self.df.agg(F.count(F.lit(1)).alias("n")).scalar()
 
+    def longest(self) -> Column:
+        """Tokens of the longest sentence as a scalar-subquery Column (0 for none)."""
+        return self.df.agg(F.coalesce(F.max("n_tokens"), F.lit(0))).scalar()
+
+    def statistics(self, level: int) -> DataFrame | None:
+        """Keyword statistics kept beside the corpus, if any (see ``sources.store``)."""
+        return None
+
     # ------------------------------------------------------------- sentence form
     def level_array(self, level: int = 0) -> Column:
         """``array<string>`` of one level for every token, EOS kept."""
@@ -147,16 +156,42 @@ def build_corpus(
     return Corpus(sent, (*doc_keys, "sent_no"), tokenizer)
 
 
+def read_text_units(spark: SparkSession, path: str) -> DataFrame:
+    """The whitespace-separated units of text file(s): ``path``, ``unit_no``, ``unit``.
+
+    Files are read in splits, so a file of any size is spread over many tasks.  A unit never
+    crosses a line end, hence never a split.  Units are numbered over the whole file, from 0:
+    inside a task rows are numbered as they are read, so a unit's place in its split is its
+    number less the smallest of the split, and a prefix sum over the splits of a file (one
+    row each) gives the units before each split.  How a file is split follows the cores of
+    the moment, so the units are written once with their split and number and both steps
+    read that table; no text is shuffled.  Lines end with LF, CR or CR LF.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_block"),
+        F.explode_outer(whitespace_units(F.col("value"))).alias("unit")).where(F.col("unit").isNotNull())
+    units = scratch(lines.withColumn("_n", F.monotonically_increasing_id()), "units")
+    in_file = Window.partitionBy("_path").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = (units.groupBy(F.col("path").alias("_path"), F.col("_block").alias("_start"))
+              .agg(F.min("_n").alias("_from"), F.count(F.lit(1)).alias("_units"))
+              .select("_path", "_start", (F.coalesce(F.sum("_units").over(in_file), F.lit(0)) - F.col("_from")).alias("_shift")))
+    return (units.join(splits, (F.col("path") == F.col("_path")) & (F.col("_block") == F.col("_start")))
+            .select("path", (F.col("_n") + F.col("_shift")).alias("unit_no"), "unit"))
+
+
 def read_text_corpus(spark: SparkSession, path: str,
                      tokenizer: TokenizerStrategy | None = None) -> Corpus:
     """Text file(s) split on runs of Unicode whitespace into sentences.
 
     Each file is one document (key ``path``); each whitespace-separated unit
-    is one sentence, numbered in file order.
+    is one sentence, numbered in file order (``sent_no``, long); see :func:`read_text_units`.
     """
-    files = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
-    return build_corpus(files, "text", ("path",), "whitespace", tokenizer, keep_text=True)
+    tokenizer = tokenizer or RegexTokenizer()
+    units = read_text_units(spark, path)
+    sent = units.select("path", F.inline_outer(F.array(F.struct(
+        F.col("unit_no").alias("sent_no"), F.col("unit").alias("text"), tokenizer.prepare(F.col("unit")).alias("_tok")))))
+    sent = sent.withColumn("n_tokens", F.size("_tok").cast("int")).where(F.col("n_tokens") > 1)
+    return Corpus(sent, ("path", "sent_no"), tokenizer)
 
 
 def build_corpus_by_language(df: DataFrame, lang_col: str = "lang", text_col: str = "text",
