@@ -2,7 +2,7 @@ import pytest
 
 from wordlens.operators import keywords, project
 from wordlens.sources.analyser import analyse
-from wordlens.sources.annotated import lines_to_sentences, parse_analyser_output, to_analyser_format
+from wordlens.sources.annotated import lines_to_sentences, parse_analyser_output, parse_token_rows, sentence_lines, to_analyser_format
 from wordlens.sources.corpus import wordlist_no_eos
 
 F29 = ",".join(f"x{i}" for i in range(1, 30))
@@ -100,3 +100,40 @@ def test_external_analyser_stub(spark):
     corpus, rejects = analyse(df, _StubTagger)
     tok = corpus.df.first()._tok
     assert [t[0] for t in tok] == ["お", "煎", "茶", "EOS"] and rejects.count() == 0
+
+
+ODD_SENTENCES = [
+    "煎茶\t" + F29 + "\n２７３\t名詞,数詞,a,b,c,d\nfoo\t名詞,普通名詞,a,b,c,d\nbar\t感動詞,x,a,b,c,d\nEOS\n",
+    "s\t" + ",".join([*[f"x{i}" for i in range(1, 29)], '"a,b"']) + "\nEOS",                  # repaired
+    "s\t" + ",".join([*[f"x{i}" for i in range(1, 28)], '"a', 'b"']) + "\nEOS",               # 30 raw pieces: not repaired
+    "s\t" + ",".join([*[f"x{i}" for i in range(1, 26)], '"a,b"', 'x"c,d"y', "", ""]) + "\nEOS",
+    "s\t" + ",".join([f"x{i}" for i in range(1, 29)] + ['"a,b', "c"]) + "\nok\t" + F29,        # unclosed
+    "ok\t" + F29 + "\ns\tA,B,C,D,E,F\nEOS", "EOS", "", None, " \n ", "EOS\t" + F29, "EOS\tx", "EOSx", "a\tb\tc",
+    "\t".join(f"t{i}" for i in range(30)) + "\nEOS", "\t".join(["a", "b", "普通名詞", "c", "d", "e", "f"]), "\t" + F29, "a\t" + "," * 28, "a\t" + "," * 27 + '""',
+    '"q\t' + F29 + "\nEOS", '"q"\t' + F29.replace("x3", '"x,3"') + "\nEOS", 'a\t"' + F29 + '"', f"a\t{F29}\nEOS\nb\t{F29}", "x\ty\nz",
+]
+
+
+def test_rows_equal_the_array_form(spark):
+    """Both forms of the parser on every rule: tokens, rejects, statistics, all levels."""
+    df = spark.createDataFrame([(i, 0, t) for i, t in enumerate(ODD_SENTENCES)], "doc_id long, sent_no int, analysis string").repartition(3)
+    corpus, rejects = parse_analyser_output(df)
+    rows, rejected = parse_token_rows(sentence_lines(df))
+    cols = ["doc_id", "sent_no", "line_no", "raw_line", "reason"]
+    assert sorted(rejects.select(*cols).collect()) == sorted(rejected.select(*cols).collect())
+    want = {r.doc_id: [tuple(t) for t in r._tok] for r in corpus.df.collect()}
+    assert {r.doc_id: [tuple(t)[1:] for t in r._tok] for r in rows.corpus().df.collect()} == want
+    stats = {(r.level, r.term): (r.binary, r["count"], r.quote, round(r.pos_index, 9), round(r.pct_index, 9)) for r in rows.statistics().collect()}
+    other = {(r.level, r.term): (r.binary, r["count"], r.quote, round(r.pos_index, 9), round(r.pct_index, 9))
+             for r in keywords.keyword_stats_levels(corpus, list(range(30))).collect()}
+    assert stats == other
+    with pytest.raises(Exception):
+        parse_token_rows(sentence_lines(df), mode="failfast")[0].df.collect()
+
+
+def test_rows_plan(spark):
+    df = spark.createDataFrame([(0, 0, ODD_SENTENCES[0])], "doc_id long, sent_no int, analysis string")
+    rows, _ = parse_token_rows(sentence_lines(df), levels=(1, 2))
+    plan = rows.statistics()._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan and plan.count("Exchange hashpartitioning") == 2
+    assert len(rows.df.columns) == 7

@@ -21,7 +21,7 @@ from wordlens.sources import annotated
 from wordlens.sources.corpus import Corpus, build_corpus, build_corpus_by_language, corpus_shape, read_text_corpus, wordlist_no_eos
 from wordlens.sources.index import PositionalIndex, build_index
 from wordlens.sources.store import StoredCorpus, store_corpus, store_table
-from wordlens.sources.tokenizers import AnnotatedTokenizer, PresegmentedTokenizer
+from wordlens.sources.tokenizers import PresegmentedTokenizer
 
 Builder = Callable[[SparkSession, str], DataFrame]
 KEYS = ["doc_id", "sent_no"]
@@ -451,8 +451,8 @@ def q_rotated_sentence(spark, sf_dir):
 # -------------------------------------------------------- annotated input
 
 
-def derived_analyser_output(spark, sf_dir, faults: bool = False) -> DataFrame:
-    """Analyser-format strings derived from ``documents`` by Spark.
+def _analyser_line(x: Column, is_eos: Column, faults: bool) -> Column:
+    """The analyser line of a token.
 
     Words get 29 feature fields, the 7th of them quoted with a comma inside
     (exercises the quote repair); numbers get the 6-feature short form with
@@ -462,30 +462,43 @@ def derived_analyser_output(spark, sf_dir, faults: bool = False) -> DataFrame:
     rejected.
     """
     from wordlens.functions.tokenise import token_class
+    cls = token_class(x)
+    plain = F.concat(cls, F.lit(",*" * 28))
+    quoted = F.concat(cls, F.lit(",*" * 5 + ',"'), x, F.lit(',x"' + ",*" * 22))
+    feats = F.when(cls == "WORD", quoted).when(cls == "NUM", F.lit(P.SHORT_NUMERAL)).otherwise(plain)
+    if faults:
+        for symbol, form in P.SYMBOL_FORMS.items():
+            feats = F.when(x == symbol, F.lit(form)).otherwise(feats)
+    return F.when(is_eos, F.lit("EOS")).otherwise(F.concat(x, F.lit("\t"), feats))
+
+
+def derived_analyser_output(spark, sf_dir, faults: bool = False) -> DataFrame:
+    """Analyser-format strings derived from ``documents`` by Spark, one per sentence."""
     c = documents_corpus(spark, sf_dir)
+    return c.df.select(*KEYS, F.array_join(F.transform(
+        "_tok", lambda x, i: _analyser_line(x, i == F.col("n_tokens") - 1, faults)), "\n").alias("analysis"))
 
-    def line(x, i):
-        cls = token_class(x)
-        plain = F.concat(cls, F.lit(",*" * 28))
-        quoted = F.concat(cls, F.lit(",*" * 5 + ',"'), x, F.lit(',x"' + ",*" * 22))
-        feats = F.when(cls == "WORD", quoted).when(cls == "NUM", F.lit(P.SHORT_NUMERAL)).otherwise(plain)
-        if faults:
-            for symbol, form in P.SYMBOL_FORMS.items():
-                feats = F.when(x == symbol, F.lit(form)).otherwise(feats)
-        return F.when(i == F.col("n_tokens") - 1, F.lit("EOS")).otherwise(F.concat(x, F.lit("\t"), feats))
 
-    return c.df.select(*KEYS, F.array_join(F.transform("_tok", line), "\n").alias("analysis"))
+def derived_analyser_lines(spark, sf_dir, faults: bool = False) -> DataFrame:
+    """The same lines, one per row."""
+    t = documents_corpus(spark, sf_dir).level_tokens(0)
+    return t.select(*KEYS, F.col("pos").alias("line_no"), _analyser_line(F.col("value"), F.col("is_eos"), faults).alias("raw_line"))
 
 
 def q_annotated_stats(spark, sf_dir):
-    corpus, _rejects = annotated.parse_analyser_output(derived_analyser_output(spark, sf_dir))
-    assert isinstance(corpus.tokenizer, AnnotatedTokenizer)
-    stats = keywords.keyword_stats_levels(corpus, [1, 2])
-    return stats.select(
+    rows, _rejects = annotated.parse_token_rows(derived_analyser_lines(spark, sf_dir), levels=(1, 2))
+    return rows.statistics().select(
         F.when(F.col("level") == 2, F.concat(F.lit("f02:"), F.col("term"))).otherwise(F.col("term")).alias("term"),
         "binary", "count")
 
 
+def q_annotated_rows(spark, sf_dir):
+    """The rows set aside by the parser on rows, from the analyser strings."""
+    lines = annotated.sentence_lines(derived_analyser_output(spark, sf_dir, faults=True))
+    _rows, rejects = annotated.parse_token_rows(lines, levels=(1,))
+    return rejects
+
+
 def q_annotated_rejects(spark, sf_dir):
     _corpus, rejects = annotated.parse_analyser_output(derived_analyser_output(spark, sf_dir, faults=True))
     return rejects
@@ -570,6 +583,7 @@ QUERIES: dict[str, Builder] = {
     "rotated_sentence": q_rotated_sentence,
     # annotated input
     "annotated_stats": q_annotated_stats,
+    "annotated_rows": q_annotated_rows,
     "annotated_rejects": q_annotated_rejects,
     "annotated_padding": q_annotated_padding,
 }

@@ -1,5 +1,11 @@
 """Pre-annotated (analyser output) ingestion: S3(b), S6, S6a-S6d.
 
+Two forms.  ``parse_analyser_output`` keeps a sentence in one row (arrays, narrow, every level).
+``parse_token_rows`` keeps a token in one row: lines are exploded first, so that splitting and
+normalising are plain compiled expressions, only the levels asked for are built, and one
+exchange by the sentence key brings a sentence's narrow rows together to set aside those of
+rejected sentences.  It is the form for statistics over large annotated corpora.
+
 Input: one row per sentence with the analyser's output string -- one token
 per line, ``surface<TAB>f1,f2,...``, last line ``EOS``.  Output: a
 :class:`Corpus` whose tokens carry 30 string fields, plus a ``rejects``
@@ -24,13 +30,15 @@ Rules (taken from the reference parser):
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wordlens.functions.arrays import percent
 from wordlens.functions.tokenise import EOS, N_LEVELS, level_name
 from wordlens.sources.corpus import Corpus
-from wordlens.sources.tokenizers import ParsedTokenizer
+from wordlens.sources.tokenizers import AnnotatedTokenizer
 
 # The short-token rules of the reference parser.
 SHORT_TOKEN_SIZE = 7
@@ -61,12 +69,17 @@ def _strip(s: Column) -> Column:
     return F.btrim(s, F.lit(STRIP_CHARS))
 
 
+def _ones(s: Column, ch: str) -> Column:
+    """How often an ASCII character occurs; byte lengths are known without reading the text."""
+    return F.octet_length(s) - F.octet_length(F.replace(s, F.lit(ch), F.lit("")))
+
+
 def _count(s: Column, ch: str) -> Column:
     return F.length(s) - F.length(F.replace(s, F.lit(ch), F.lit("")))
 
 
 def parse_lines(lines: Column) -> Column:
-    """Analyser lines -> ``array<struct<raw_line, token struct<fields, is_eos>, reason>>``.
+    """Analyser lines -> ``array<struct<raw_line, token struct<f00..f29, is_eos>, reason>>``.
 
     Chained ``transform`` stages; each reads only fields of its own
     lambda variable, so nothing (in particular the quote-aware split) is
@@ -101,10 +114,15 @@ def parse_lines(lines: Column) -> Column:
         )
         reason = (F.when(e["unclosed"], F.lit("unclosed_quote"))
                   .when(~(full | eos | short), F.lit("unknown_type")))
-        return F.struct(e["raw_line"].alias("raw_line"), F.struct(normal.alias("fields"), eos.alias("is_eos")).alias("token"),
+        return F.struct(e["raw_line"].alias("raw_line"), normal.alias("fields"), eos.alias("is_eos"),
                         reason.alias("reason"))
 
-    return F.transform(F.transform(s1, stage2), stage3)
+    def stage4(e):
+        fields = [F.get(e["fields"], lv).alias(level_name(lv)) for lv in range(N_LEVELS)]
+        return F.struct(e["raw_line"].alias("raw_line"), F.struct(*fields, e["is_eos"].alias("is_eos")).alias("token"),
+                        e["reason"].alias("reason"))
+
+    return F.transform(F.transform(F.transform(s1, stage2), stage3), stage4)
 
 
 def parse_analyser_output(df: DataFrame, col: str = "analysis",
@@ -138,7 +156,96 @@ def parse_analyser_output(df: DataFrame, col: str = "analysis",
                .select(*keys, F.posexplode("_lines").alias("line_no", "_e"))
                .select(*keys, F.col("line_no").cast("int").alias("line_no"), F.col("_e.raw_line").alias("raw_line"),
                        F.coalesce(F.col("_e.reason"), F.lit("sentence_rejected")).alias("reason")))
-    return Corpus(good, tuple(keys), ParsedTokenizer()), rejects
+    return Corpus(good, tuple(keys), AnnotatedTokenizer()), rejects
+
+
+_QUOTED = '"[^"]*+"'
+#: one feature: runs without quote or comma, and quoted parts that may hold commas
+_FEATURE = '(?:[^",]++|"[^"]*+")*+'
+
+
+def sentence_lines(df: DataFrame, col: str = "analysis", keys: Sequence[str] = ("doc_id", "sent_no")) -> DataFrame:
+    """Analyser strings, one per sentence -> keys, ``line_no``, ``raw_line`` (S6d)."""
+    lines = F.split(_strip(F.coalesce(F.col(col), F.lit(""))), "\n", -1)
+    return df.select(*keys, F.posexplode_outer(lines).alias("line_no", "raw_line"))
+
+
+@dataclass(frozen=True)
+class TokenRows:
+    """The token form of an annotated corpus: keys, ``pos``, ``n_tokens``, ``is_eos`` and a
+    column ``fNN`` for every level of ``levels``; rows of a sentence lie in one partition."""
+
+    df: DataFrame
+    keys: tuple[str, ...]
+    levels: tuple[int, ...]
+
+    def corpus(self) -> Corpus:
+        """The sentence form of these levels; no further exchange."""
+        token = F.struct("pos", *[level_name(lv) for lv in self.levels], "is_eos")
+        return Corpus(self.df.groupBy(*self.keys).agg(F.sort_array(F.collect_list(token)).alias("_tok"))
+                      .withColumn("n_tokens", F.size("_tok").cast("int")), self.keys, AnnotatedTokenizer())
+
+    def statistics(self, levels: Sequence[int] | None = None) -> DataFrame:
+        """A8 (A7, A11, A12) of several levels: ``level, term, binary, count, quote,
+        pos_index, pct_index``.  Counting inside a sentence needs no exchange beyond the one
+        the rows have had; the sums per term are added up in the tasks first."""
+        levels = self.levels if levels is None else levels
+        values = F.array(*[F.struct(F.lit(lv).alias("level"), F.col(level_name(lv)).alias("term")) for lv in levels])
+        rows = self.df.select(*self.keys, "pos", "n_tokens", F.inline(values)).where(F.col("term").isNotNull())
+        own = rows.groupBy(*self.keys, "n_tokens", "level", "term").agg(F.min("pos").alias("fp"), F.count(F.lit(1)).alias("tf"))
+        total = own.groupBy("level", "term").agg(
+            F.count(F.lit(1)).alias("binary"), F.sum("tf").alias("count"), F.avg("fp").alias("pos_index"),
+            F.avg(percent(F.col("fp"), F.col("n_tokens"))).alias("pct_index"))
+        return total.select("level", "term", "binary", "count", F.try_divide("binary", "count").alias("quote"), "pos_index", "pct_index")
+
+
+def parse_token_rows(lines: DataFrame, keys: Sequence[str] = ("doc_id", "sent_no"), levels: Sequence[int] = tuple(range(N_LEVELS)),
+                     line_no: str = "line_no", raw_line: str = "raw_line", mode: str = "quarantine") -> tuple[TokenRows, DataFrame]:
+    """S6 on rows: analyser lines (keys, ``line_no``, ``raw_line``) -> (token rows, rejects).
+
+    The same rules, modes and rejects as :func:`parse_analyser_output`; a NULL line is an
+    empty one.  The lines of a sentence need not lie together or in order.
+    """
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}")
+    keys = list(keys)
+    line = F.coalesce(F.col(raw_line), F.lit(""))
+    rows = lines.select(*keys, F.col(line_no).cast("int").alias("pos"), line.alias("raw_line"), _ones(line, "\t").alias("_tabs"),
+                        F.substring_index(line, "\t", -1).alias("_feats"))
+    feats, two = F.col("_feats"), F.col("_tabs") == 1
+    quotes = F.when(two, _ones(feats, '"')).otherwise(F.lit(0))
+    rows = rows.select("*", F.when(two, _ones(feats, ",") + 2).otherwise(F.col("_tabs") + 1).alias("_n_raw"), quotes.alias("_quotes"))
+    # commas inside quotes do not count, unless the raw split already gives a full token
+    n = F.when((F.col("_quotes") == 0) | (F.col("_n_raw") == N_LEVELS), F.col("_n_raw")).otherwise(_ones(F.regexp_replace(feats, _QUOTED, ""), ",") + 2)
+    unclosed = (F.col("_n_raw") != N_LEVELS) & (_ones(F.col("raw_line"), '"') % 2 == 1)
+    rows = rows.select(*keys, "pos", "raw_line", "_tabs", "_feats", unclosed.alias("_unclosed"), (F.col("_n_raw") == n).alias("_raw"), n.alias("_n"))
+
+    def piece(k: int) -> Column:
+        """The k-th piece (0: surface); taken out of the line, not out of a list of all."""
+        plain = lambda text, i: F.substring_index(F.substring_index(text, ",", i), ",", -1)
+        if k == 0:
+            return F.substring_index("raw_line", "\t", 1)
+        # the regular expression is needed only where a quote comes before the piece ends
+        simple = F.col("_raw") | ~F.contains(F.substring_index(feats, ",", k), F.lit('"'))
+        within = F.when(simple, plain(feats, k)).otherwise(F.regexp_extract(feats, f"^(?:{_FEATURE},){{{k - 1}}}({_FEATURE})", 1))
+        return F.when(two, within).otherwise(F.get(F.split("raw_line", "\t", -1), F.lit(k)))
+
+    full = F.col("_n") == N_LEVELS
+    eos = ~full & (piece(0) == F.lit(EOS))
+    short = (F.col("_n") == SHORT_TOKEN_SIZE) & (piece(2).isin(*PAD_IF_FIELD_2) | piece(1).isin(*PAD_IF_FIELD_1))
+    reason = F.when(F.col("_unclosed"), F.lit("unclosed_quote")).when(~(full | eos | short), F.lit("unknown_type"))
+    if mode == "failfast":
+        reason = F.when(reason.isNotNull(), F.raise_error(F.lit("analyser line could not be normalised to 30 fields"))).otherwise(reason)
+    value = lambda lv: F.when(eos, F.lit(EOS)).when(F.col("_n") > lv, piece(lv)).otherwise(F.lit(""))
+    parsed = rows.select(*keys, "pos", "raw_line", reason.alias("reason"), F.coalesce(eos, F.lit(False)).alias("is_eos"),
+                         *[value(lv).alias(level_name(lv)) for lv in levels])
+    # rows of a sentence meet: a bounded group, and the only exchange
+    sentence = Window.partitionBy(*keys)
+    met = parsed.repartition(*keys).withColumn("_bad", F.count("reason").over(sentence)).withColumn("n_tokens", F.count(F.lit(1)).over(sentence).cast("int"))
+    good = met.where(F.col("_bad") == 0).select(*keys, "pos", "n_tokens", "is_eos", *[level_name(lv) for lv in levels])
+    rejects = met.where(F.col("_bad") > 0).select(
+        *keys, F.col("pos").alias("line_no"), "raw_line", F.coalesce("reason", F.lit("sentence_rejected")).alias("reason"))
+    return TokenRows(good, tuple(keys), tuple(levels)), rejects
 
 
 def lines_to_sentences(lines: DataFrame, keys: Sequence[str] = ("doc_id", "sent_no"),

@@ -130,28 +130,6 @@ class AnnotatedTokenizer(TokenizerStrategy):
         return F.filter(tok, lambda t: ~t["is_eos"])[level_name(level)]
 
 
-@dataclass(frozen=True)
-class ParsedTokenizer(AnnotatedTokenizer):
-    """Tokens of an analyser just parsed (``array<struct<fields array<string>, is_eos>>``).
-
-    A level is taken out of ``fields`` when it is asked for; a stored corpus has a column
-    per level instead (``sources.store``).
-    """
-
-    element_type: str = "parsed"
-
-    def level_array(self, tok: Column, level: int) -> Column:
-        level_name(level)
-        return F.transform(tok, lambda t: F.get(t["fields"], F.lit(level)))
-
-    def level_value(self, elem: Column, is_eos: Column, level: int) -> Column:
-        level_name(level)
-        return F.get(elem["fields"], F.lit(level))
-
-    def word_array(self, tok: Column, level: int) -> Column:
-        return F.transform(F.filter(tok, lambda t: ~t["is_eos"]), lambda t: F.get(t["fields"], F.lit(level)))
-
-
 @dataclass(frozen=True)
 class LanguageTokenizer(TokenizerStrategy):
     """Chooses a strategy per row from a language column (U4)."""
