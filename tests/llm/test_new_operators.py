@@ -9,8 +9,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from wordlens.llm import clusters, merkle, queries, toxicity
-from wordlens.llm.common import scratch
+from wordlens.llm import clusters, line_dedup, merkle, quality, queries, simhash, toxicity
+from wordlens.llm.common import recorded, release, scratch
 
 WORDS = "the of and lyan onst thering ea inwh hation erenti blest ouen ndst wher anth tiore".split()
 INSULTS = "idiot worthless moron pathetic".split()
@@ -232,3 +232,29 @@ def test_windows_cover_whole_texts():
     want = text.lower().encode().split()
     assert whole[:-3] == want[:-1] and b"".join(whole[-3:]) == want[-1]
     assert list(toxicity.windows(None)) == [] == list(toxicity.windows(" \n"))
+
+
+# ---- filtering operators keep other columns as they are ---------------------------
+
+@pytest.mark.parametrize("stage", [quality.clean, line_dedup.dedup_lines, simhash.first_of_groups])
+def test_columns_come_back_as_they_were(spark, stage):
+    """Columns named like working columns, and an ``n_chars`` of another integer type."""
+    text = "\n".join(" ".join(["different", *(f"{x:x}" for x in np.random.default_rng(i).integers(0, 10 ** 6, 9))]) for i in range(12))
+    rows = [(i, text.replace("different", f"w{i % 3}x"), "en", "src", len(text), 100 + i, f"r{i}", [i], i / 2, True) for i in range(6)]
+    own = "_rid long, removed string, _kept array<int>, _gone double, _row boolean"
+    docs = scratch(spark.createDataFrame(rows, f"doc_id long, text string, lang string, source string, n_chars int, {own}"), "docs")
+    out = stage(docs)
+    assert out.schema.simpleString() == docs.schema.simpleString()
+    got = local(out)
+    assert got
+    for r in got:
+        i = r["doc_id"]
+        assert (r["_rid"], r["removed"], r["_kept"], r["_gone"], r["_row"]) == (100 + i, f"r{i}", [i], i / 2, True)
+
+
+def test_release(spark, tmp_path):
+    with recorded() as paths:
+        kept = scratch(spark.range(5), "kept")
+    assert len(paths) == 1 and kept.count() == 5
+    release(spark, paths)
+    assert paths == [] and not list(__import__("pathlib").Path(kept._scratch_path.removeprefix("file:")).glob("part-*"))

@@ -11,7 +11,9 @@ import atexit
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from functools import wraps
 from pathlib import Path
 
 import numpy as np
@@ -41,10 +43,32 @@ def ship(df: DataFrame) -> DataFrame:
     return df
 
 
+_RECORDS: list[list[str]] = []
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The scratch folders made inside, for a caller who knows when they are done with."""
+    paths: list[str] = []
+    _RECORDS.append(paths)
+    try:
+        yield paths
+    finally:
+        _RECORDS.remove(paths)
+
+
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Remove scratch folders that nothing reads any more."""
+    while paths:
+        _remove(spark, paths.pop())
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new folder in the shared scratch space; removed when the driver ends."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{label}-{uuid.uuid4().hex}"
     atexit.register(_remove, spark, path)
+    for paths in _RECORDS:
+        paths.append(path)
     return path
 
 
@@ -86,6 +110,23 @@ def numbered(df: DataFrame, label: str) -> DataFrame:
     return scratch(with_row_id(df), label)
 
 
+#: columns of a document that the filtering operators read; all others only pass through
+READ = ("doc_id", "text", "source", "n_chars")
+
+
+def under_own_names(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """For an operator that returns its input's columns: those it does not read get names of
+    our own meanwhile, so that none can clash with a working column, and every column comes
+    back under its name and with its type."""
+    @wraps(operator)
+    def run(docs: DataFrame, *args, **options) -> DataFrame:
+        names = {c: c if c in READ else f"_in{i}" for i, c in enumerate(docs.columns)}
+        out = operator(docs.withColumnsRenamed(names), *args, **options)
+        return out.select(*[F.col(new).cast(docs.schema[old].dataType).alias(old) for old, new in names.items()])
+
+    return run
+
+
 def text_slices(texts: list[str | None], limit: int = BATCH_CHARS) -> Iterator[tuple[int, int]]:
     """Cut a batch into runs of rows with about ``limit`` characters each."""
     first = size = 0

@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordlens.llm.common import numbered, ranges, scratch, ship, table, text_slices, with_row_id
+from wordlens.llm.common import batch_slices, numbered, ranges, scratch, ship, table, under_own_names, with_row_id
 from wordlens.llm.components import components, local_roots
 
 LINES = pa.schema([("_rid", pa.int64()), ("doc_id", pa.int64()), ("line", pa.int32()), ("h", pa.int64())])
@@ -50,7 +50,8 @@ POSTINGS = pa.schema([("word", pa.int64()), ("h", pa.int64()), ("size", pa.int32
                       ("sig", pa.int64()), ("sig2", pa.int64())])
 WORDS = pa.schema([("h", pa.int64()), ("words", pa.list_(pa.int64()))])
 MIX = np.uint64(0x9E3779B97F4A7C15)
-SEEN_LINES = 500_000       # hashes a task remembers so as to send a line's postings once
+MOST_COUNTED = 300_000     # different words a task counts between two reports
+SEEN_LINES = 200_000       # hashes a task remembers so as to send a line's postings once
 
 
 def plain_lines(text: str | None) -> Iterator[tuple[int, str]]:
@@ -89,9 +90,9 @@ def lines(numbered_docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rids, ids, texts = (c.to_pylist() for c in batch.columns)
-            for a, b in text_slices(texts):
-                out = [(rids[i], ids[i], n, content_hash(line)) for i in range(a, b) for n, line in plain_lines(texts[i])]
+            for part in batch_slices(batch, 2):
+                out = [(rid, doc, n, content_hash(line)) for rid, doc, text in zip(*(c.to_pylist() for c in part.columns), strict=True)
+                       for n, line in plain_lines(text)]
                 if out:
                     r, d, n, h = zip(*out, strict=True)
                     yield table(LINES, _rid=r, doc_id=d, line=n, h=h)
@@ -119,10 +120,9 @@ def common_words(docs: DataFrame, common: int) -> dict[str, int]:
             return pa.RecordBatch.from_arrays([pa.array([None, *often], pa.string()), pa.array([total, *often.values()], pa.int64())], ["word", "n"])
 
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for a, b in text_slices(texts):
-                count.update(" ".join(t for t in texts[a:b] if t).lower().split())
-                if len(count) > 600_000:
+            for part in batch_slices(batch, 0):
+                count.update(" ".join(filter(None, part.column(0).to_pylist())).lower().split())
+                if len(count) > MOST_COUNTED:
                     yield flush()
         yield flush()
 
@@ -144,7 +144,7 @@ class _WordKeys(dict):
         self.common = common
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         key = self[word] = self.common[word] if word in self.common else (xxhash.xxh3_64_intdigest(word) >> 1) - (1 << 63)
         return key
@@ -186,10 +186,9 @@ def postings(docs: DataFrame, common: dict[str, int], threshold: float) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, seen = _WordKeys(shared.value), set()
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for a, b in text_slices(texts):
+            for part in batch_slices(batch, 0):
                 new = {}
-                for text in texts[a:b]:
+                for text in part.column(0).to_pylist():
                     for _, line in plain_lines(text):
                         if (h := content_hash(line)) not in seen:
                             if len(seen) > SEEN_LINES:
@@ -323,9 +322,8 @@ def fetch_words(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for a, b in text_slices(texts):
-                split = [line for t in texts[a:b] for _, line in plain_lines(t)]
+            for part in batch_slices(batch, 0):
+                split = [line for t in part.column(0).to_pylist() for _, line in plain_lines(t)]
                 hashes = np.fromiter(map(content_hash, split), np.int64, len(split))
                 place = hashes & ((1 << SKETCH_BITS) - 1)
                 passed = np.flatnonzero((bits.value[place >> 6] >> (place & 63)) & 1)
@@ -428,6 +426,7 @@ def matches_numbered(docs: DataFrame, threshold: float, common: int = 100_000) -
         "_rid", "doc_id", "line", F.col("h").alias("class_id"), "n_links", (F.col("earliest") < place).alias("removed"))
 
 
+@under_own_names
 def dedup_lines(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """``docs`` without the later lines of every match, other columns as they are
     (``n_chars``, where there is one, counted again for changed texts)."""

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordlens.llm.common import scratch, ship, table, text_slices
+from wordlens.llm.common import batch_slices, scratch, ship, table
 from wordlens.llm.tokens import encoder
 
 PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()),
@@ -43,9 +43,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = encoder(tokenizer)
         for batch in batches:
-            ids_, texts = batch.column(0), batch.column(1).to_pylist()
-            for a, b in text_slices(texts):
-                yield _cut(ids_.slice(a, b - a), *code.encode(texts[a:b]), capacity, end_id)
+            for part in batch_slices(batch, 1):
+                yield _cut(part.column(0), *code.encode(part.column(1).to_pylist()), capacity, end_id)
 
     return ship(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         run, "doc_id long, piece int, start long, length long, ids_crc32 long")

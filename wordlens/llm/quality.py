@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordlens.llm.common import numbered, scratch, with_row_id
+from wordlens.llm.common import numbered, scratch, under_own_names, with_row_id
 
 # the white space that separates words: \x20 and \x09-\x0D
 SPACE = r"[\x20\x09-\x0D]+"
@@ -107,6 +107,7 @@ def judge_numbered(numbered_docs: DataFrame, line_share: float = 0.1, line_docum
                     (~failed & (gone <= depleted_share * F.col("n_words"))).alias("kept")))
 
 
+@under_own_names
 def clean(docs: DataFrame, **limits) -> DataFrame:
     """The kept documents without their removed lines, all columns as they are
     (``n_chars``, where there is one, counted again for changed texts)."""

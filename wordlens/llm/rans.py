@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wordlens.llm.common import scratch, ship, table, text_slices
+from wordlens.llm.common import batch_slices, scratch, ship, table
 from wordlens.llm.tokens import encoder
 
 SCALE_BITS = 20
@@ -150,13 +150,12 @@ def token_ids(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
         if code.library.get_vocab_size() > 1 << 16:
             raise ValueError("the scratch table keeps ids in 16 bits")
         for batch in batches:
-            ids_, texts = batch.column(0), batch.column(1).to_pylist()
-            for a, b in text_slices(texts):
-                ids, counts = code.encode(texts[a:b])
+            for part in batch_slices(batch, 1):
+                ids, counts = code.encode(part.column(1).to_pylist())
                 ends = np.cumsum(counts)
                 data = memoryview(np.insert(ids, ends, end_id).astype("<u2").tobytes())
                 upto = np.concatenate([[0], np.cumsum(counts + 1)]) * 2
-                yield table(IDS, doc_id=ids_.slice(a, b - a),
+                yield table(IDS, doc_id=part.column(0),
                             ids=[data[p:q] for p, q in zip(upto[:-1].tolist(), upto[1:].tolist(), strict=True)])
 
     return ship(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(

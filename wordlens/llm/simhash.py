@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordlens.llm.common import numbered, ranges, scratch, ship, table, text_slices, with_row_id
+from wordlens.llm.common import numbered, ranges, scratch, ship, table, text_slices, under_own_names, with_row_id
 from wordlens.llm.components import components, local_roots
 
 SEED = 42
@@ -185,6 +185,7 @@ def near_duplicates(docs: DataFrame, size: int = 4, radius: int = 4, tile_rows:
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@under_own_names
 def first_of_groups(docs: DataFrame, size: int = 4, radius: int = 4, tile_rows: int = 16384) -> DataFrame:
     """One row of each group of near-duplicates, all columns as they are: that with the
     smallest ``doc_id`` (null ids last, then the first row)."""
