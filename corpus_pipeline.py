@@ -17,36 +17,60 @@ takes them all the same (see its operator for null, empty, long and repeated row
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
 from wordlens.llm import line_dedup, packing, quality, secret_scan, simhash
-from wordlens.llm.common import scratch
+from wordlens.llm.common import recorded, release
 from wordlens.llm.queries import WORD_TOKENIZER
-from wordlens.session import read_table
+from wordlens.session import drop_scratch, read_table, scratch
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+#: scratch folders of the stage that ran last, by application
+_BEHIND: dict[str, list[str]] = {}
 
+
+def tidy(stage: Stage) -> Stage:
+    """A stage that first removes the scratch tables of the stage before it: that one's
+    result has been written and is what this one reads."""
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release(spark, _BEHIND.pop(spark.sparkContext.applicationId, []))
+        with recorded() as made:
+            out = stage(spark, docs, sf_dir)
+        _BEHIND[spark.sparkContext.applicationId] = made
+        return out
+
+    return run_stage
+
+
+@tidy
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.clean(docs)
 
 
+@tidy
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(docs, threshold=0.8)
 
 
+@tidy
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.first_of_groups(docs, size=4, radius=4)
 
 
+@tidy
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return secret_scan.redact(docs)
 
 
+@tidy
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(docs, WORD_TOKENIZER))
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+STAGES: list[tuple[str, Stage]] = [
     ("quality rules", quality_rules),
     ("line dedup", line_dedup_stage),
     ("simhash near-dedup", near_dedup),
@@ -60,6 +84,10 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
+    before = None
     for number, (_, stage) in enumerate(STAGES):
         docs = scratch(stage(spark, docs, sf_dir), f"stage{number + 1}")
+        if before is not None:
+            drop_scratch(before)
+        before = docs
     return docs
