@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from wordlens.operators import align, distance, keywords, positions, reshape
 from wordlens.session import scratch_path
-from wordlens.sources import index as index_module
 from wordlens.sources.corpus import build_corpus, read_text_corpus, read_text_units
 from wordlens.sources.index import build_index, open_index
 from wordlens.sources.store import open_corpus, store_corpus, store_table
@@ -106,25 +105,23 @@ def test_index_reads_few_row_groups(spark):
     text = F.concat_ws(" ", *[F.concat(F.lit("w"), F.translate(F.hex(F.pmod(F.xxhash64("id", F.lit(i)), F.lit(5000))), "0123456789", "ghijklmnop")) for i in range(20)], F.lit("hot"))
     corpus = build_corpus(spark.range(8000).select(F.col("id").alias("doc_id"), text.alias("text")))
     path = scratch_path(spark, "index")
-    build_index(corpus, path, partitions=6, row_group_bytes=64 << 10)
-    files = [pq.ParquetFile(f).metadata for f in Path(path.removeprefix("file:")).glob("part-*")]
-    groups = [(f, m.row_group(g).column(0).statistics) for f, m in enumerate(files) for g in range(m.num_row_groups)]
+    build_index(corpus, path, slots=24, row_group_bytes=64 << 10)
+    files = [pq.ParquetFile(f).metadata for f in Path(path.removeprefix("file:"), "rows").glob("part-*")]
+    place = files[0].schema.names.index("term")
+    groups = [(f, m.row_group(g).column(place).statistics) for f, m in enumerate(files) for g in range(m.num_row_groups)]
     one = next(s.min for _, s in groups if s.min not in ("EOS", "hot"))
-    admitted = [f for f, s in groups if s.min <= one <= s.max]
-    assert len(groups) > 20 and len(admitted) <= 3
-    # a hot term is cut into several row groups and more than one file
-    hot = [f for f, s in groups if s.min <= "EOS" <= s.max]
-    assert len(hot) > 2
-    # and Spark reads only those: rows out of the scan
+    assert len(groups) > 60
+    # a hot term is cut into blocks in several files
+    assert len({f for f, s in groups if s.min <= "EOS" <= s.max}) > 4
+    # Spark opens the buckets of the word and reads the row groups that may have it
     lookup = open_index(spark, path).rows(one)
+    assert lookup.count() == corpus.level_tokens(0).where(F.col("value") == one).select("doc_id", "sent_no").distinct().count()
     lookup.collect()
-    plan = lookup._jdf.queryExecution().executedPlan()
-    scan = plan
+    assert re.search(r"PushedFilters: .*_slot.*term", formatted(lookup))
+    scan = lookup._jdf.queryExecution().executedPlan()
     while scan.children().size():
         scan = scan.children().head()
-    read = scan.metrics().apply("numOutputRows").value()
-    assert f"EqualTo(term,{one})" in formatted(lookup)
-    assert read < sum(m.num_rows for m in files) / 4
+    assert scan.metrics().apply("numOutputRows").value() < sum(m.num_rows for m in files) / 6
 
 
 # ---- text files ------------------------------------------------------------------

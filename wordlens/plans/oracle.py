@@ -347,7 +347,6 @@ ORACLE |= {
     "stored_centre_by_positions": ORACLE["centre_by_positions"],
     "index_wordlist": ORACLE["wordlist_hits"],
     "index_occurrence": ORACLE["word_occurrence"],
-    "annotated_rows": ORACLE["annotated_rejects"],
     "term_vectors": _with("""SELECT doc_id, sent_no, any_value(nv.n) AS n_terms, string_agg(CAST(v.idx AS VARCHAR), ',' ORDER BY v.idx) AS indices,
   string_agg(CAST(p.tf AS VARCHAR), ',' ORDER BY v.idx) AS counts
 FROM prof p JOIN (SELECT term, row_number() OVER (ORDER BY term) - 1 AS idx FROM stats) v USING (term), (SELECT count(*) AS n FROM stats) nv

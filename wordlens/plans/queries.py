@@ -58,10 +58,10 @@ def stored_documents(spark: SparkSession, sf_dir: str) -> StoredCorpus:
 
 
 def indexed_documents(spark: SparkSession, sf_dir: str) -> PositionalIndex:
-    """The positional index of the stored corpus, written once as well."""
+    """The positional index of ``documents``, written once as well."""
     key = spark.sparkContext.applicationId, sf_dir
     if key not in _INDEXED:
-        _INDEXED[key] = build_index(stored_documents(spark, sf_dir), scratch_path(spark, "index"))
+        _INDEXED[key] = build_index(documents_corpus(spark, sf_dir), scratch_path(spark, "index"))
     return _INDEXED[key]
 
 
@@ -306,7 +306,7 @@ def q_index_wordlist(spark, sf_dir):
 
 
 def q_index_occurrence(spark, sf_dir):
-    return indexed_documents(spark, sf_dir).occurrence(stored_documents(spark, sf_dir).sentences(), P.WORD)
+    return indexed_documents(spark, sf_dir).occurrence(documents_corpus(spark, sf_dir).sentences(), P.WORD)
 
 
 # ----------------------------------------------------------- stored corpus
@@ -492,13 +492,6 @@ def q_annotated_stats(spark, sf_dir):
         "binary", "count")
 
 
-def q_annotated_rows(spark, sf_dir):
-    """The rows set aside by the parser on rows, from the analyser strings."""
-    lines = annotated.sentence_lines(derived_analyser_output(spark, sf_dir, faults=True))
-    _rows, rejects = annotated.parse_token_rows(lines, levels=(1,))
-    return rejects
-
-
 def q_annotated_rejects(spark, sf_dir):
     _corpus, rejects = annotated.parse_analyser_output(derived_analyser_output(spark, sf_dir, faults=True))
     return rejects
@@ -583,7 +576,6 @@ QUERIES: dict[str, Builder] = {
     "rotated_sentence": q_rotated_sentence,
     # annotated input
     "annotated_stats": q_annotated_stats,
-    "annotated_rows": q_annotated_rows,
     "annotated_rejects": q_annotated_rejects,
     "annotated_padding": q_annotated_padding,
 }

@@ -156,6 +156,10 @@ def build_corpus(
     return Corpus(sent, (*doc_keys, "sent_no"), tokenizer)
 
 
+#: splits up to which their table is broadcast (some 100 bytes each)
+MOST_SPLITS = 200_000
+
+
 def read_text_units(spark: SparkSession, path: str) -> DataFrame:
     """The whitespace-separated units of text file(s): ``path``, ``unit_no``, ``unit``.
 
@@ -172,9 +176,12 @@ def read_text_units(spark: SparkSession, path: str) -> DataFrame:
         F.explode_outer(whitespace_units(F.col("value"))).alias("unit")).where(F.col("unit").isNotNull())
     units = scratch(lines.withColumn("_n", F.monotonically_increasing_id()), "units")
     in_file = Window.partitionBy("_path").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
-    splits = (units.groupBy(F.col("path").alias("_path"), F.col("_block").alias("_start"))
-              .agg(F.min("_n").alias("_from"), F.count(F.lit(1)).alias("_units"))
-              .select("_path", "_start", (F.coalesce(F.sum("_units").over(in_file), F.lit(0)) - F.col("_from")).alias("_shift")))
+    splits = scratch(units.groupBy(F.col("path").alias("_path"), F.col("_block").alias("_start"))
+                     .agg(F.min("_n").alias("_from"), F.count(F.lit(1)).alias("_units"))
+                     .select("_path", "_start", (F.coalesce(F.sum("_units").over(in_file), F.lit(0)) - F.col("_from")).alias("_shift")), "splits")
+    # one row per split: sent to every task while they are few, so that the units stay in place
+    if splits.count() <= MOST_SPLITS:
+        splits = F.broadcast(splits)
     return (units.join(splits, (F.col("path") == F.col("_path")) & (F.col("_block") == F.col("_start")))
             .select("path", (F.col("_n") + F.col("_shift")).alias("unit_no"), "unit"))
 

@@ -1,12 +1,12 @@
 """Positional index: term -> sentences and positions.
 
-One row per term and sentence (``term``, sentence key, ``n_tokens``, ``positions``), range
-partitioned and sorted by term and key and written with small row groups.  A lookup of a few
-terms reads the row groups whose statistics admit them and nothing else; a hot term (the end
-marker is in every sentence) is cut by the sentence key into as many partitions and row
-groups as its share of the rows asks for, so neither writing nor reading it is one task's
-work.  Building costs one range shuffle of the profile rows; Spark draws its bounds in a
-pass of its own, so the index is best built from a stored corpus.
+One row per term and sentence (``term``, sentence key, ``n_tokens``, ``positions``).  Rows are
+dealt into slots by a hash of the term and a salt from the sentence key, so a hot term (the
+end marker is in every sentence) is cut into ``SALTS`` blocks and is no one task's work, in
+writing or reading.  A slot is a bucket of the table, sorted by term and key and written with
+small row groups.  A lookup names the slots of its terms: the other buckets are not opened,
+and in those the row groups whose statistics rule the terms out are not read.  Building is
+one narrow pass and one shuffle of its rows.
 """
 
 from __future__ import annotations
@@ -14,13 +14,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordlens.functions.arrays import percent_positions, with_term_profile
 from wordlens.sources.corpus import Corpus
+from wordlens.sources.store import bucketed, ddl, open_bucketed
 
 ROW_GROUP_BYTES = 1 << 20
+#: blocks that the rows of a term are cut into
+SALTS = 8
 #: longest list of words that is looked up by a literal list; longer ones are joined
 MOST_LITERALS = 1000
 
@@ -38,12 +41,19 @@ def term_positions(corpus: Corpus, level: int = 0) -> DataFrame:
 class PositionalIndex:
     df: DataFrame
     keys: tuple[str, ...]
+    slots: int
+
+    def _of(self, words: Sequence[str]) -> DataFrame:
+        """The rows of some words."""
+        slots = self.df.sparkSession.createDataFrame([(w, s) for w in words for s in range(SALTS)], "term string, salt int").select(
+            _slot(F.col("term"), F.col("salt"), self.slots).alias("s")).distinct().collect()   # at most SALTS for each word
+        return self.df.where(F.col("_slot").isin(*[r["s"] for r in slots]) & F.col("term").isin(*words))
 
     def hits(self, words: Sequence[str] | DataFrame, in_percent: bool = False) -> DataFrame:
         """W3/W4 for the sentences that have the word: ``word_no, term``, keys, ``n_tokens``,
         ``positions``; ``words`` is a list or a table of ``word_no, term``."""
         if not isinstance(words, DataFrame):
-            found = self.df.where(F.col("term").isin(*words)) if len(words) <= MOST_LITERALS else self.df
+            found = self._of(words) if len(words) <= MOST_LITERALS else self.df
             words = self.df.sparkSession.createDataFrame(list(enumerate(words)), "word_no int, term string")
         else:
             found = self.df
@@ -52,7 +62,7 @@ class PositionalIndex:
         return out.select("word_no", "term", *self.keys, "n_tokens", positions.alias("positions"))
 
     def rows(self, word: str) -> DataFrame:
-        return self.df.where(F.col("term") == F.lit(word))
+        return self._of([word])
 
     def positions(self, sentences: DataFrame, word: str) -> DataFrame:
         """Keys, ``n_tokens``, ``positions`` of every row of ``sentences`` (``[]`` if none)."""
@@ -79,16 +89,23 @@ class PositionalIndex:
         return out.select(F.lit(rank).alias("rank"), F.lit(row["term"] if row else None).cast("string").alias("term"), *self.keys, "positions")
 
 
-def build_index(corpus: Corpus, path: str, level: int = 0, partitions: int | None = None,
+def _slot(term: Column, salt: Column, slots: int) -> Column:
+    return F.pmod(F.xxhash64(term, salt), F.lit(slots)).cast("int")
+
+
+def build_index(corpus: Corpus, path: str, level: int = 0, slots: int | None = None,
                 row_group_bytes: int = ROW_GROUP_BYTES) -> PositionalIndex:
-    """Write the index of one level and open it; ``partitions`` unset: shuffle partitions."""
-    order = ["term", *corpus.keys]
-    rows = term_positions(corpus, level).select("term", *corpus.keys, "n_tokens", "positions")
-    dealt = rows.repartitionByRange(partitions, *order) if partitions else rows.repartitionByRange(*order)
-    dealt.sortWithinPartitions(*order).write.option("parquet.block.size", row_group_bytes).parquet(path)
-    return open_index(corpus.spark, path)
+    """Write the index of one level and open it; ``slots`` unset: shuffle partitions."""
+    slots = slots or int(corpus.spark.conf.get("spark.sql.shuffle.partitions"))
+    salt = F.pmod(F.xxhash64(*corpus.keys), F.lit(SALTS)).cast("int")
+    rows = term_positions(corpus, level).select(_slot(F.col("term"), salt, slots).alias("_slot"), "term", *corpus.keys, "n_tokens", "positions")
+    df = bucketed(rows.repartition(slots, "_slot"), f"{path}/rows", ["_slot"], slots, ["term", *corpus.keys], **{"parquet.block.size": row_group_bytes})
+    info = corpus.spark.range(1).select(F.lit(slots).alias("slots"), F.array(*map(F.lit, corpus.keys)).alias("keys"), F.lit(ddl(rows)).alias("columns"))
+    info.write.parquet(f"{path}/info")
+    return PositionalIndex(df, corpus.keys, slots)
 
 
 def open_index(spark: SparkSession, path: str) -> PositionalIndex:
-    df = spark.read.parquet(path)
-    return PositionalIndex(df, tuple(c for c in df.columns if c not in ("term", "n_tokens", "positions")))
+    info = spark.read.parquet(f"{path}/info").first()   # one row
+    df = open_bucketed(spark, f"{path}/rows", info["columns"], ["_slot"], info["slots"], ["term", *info["keys"]])
+    return PositionalIndex(df, tuple(info["keys"]), info["slots"])

@@ -59,20 +59,24 @@ class StoredCorpus(Corpus):
         return super().level_array(level)
 
 
-def bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
-    """Write ``df`` in ``buckets`` buckets by ``keys`` (one shuffle) and open it."""
+def bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int, order: Sequence[str] | None = None, **options) -> DataFrame:
+    """Write ``df``, which is dealt by ``keys``, in ``buckets`` buckets by them and open it."""
     name = f"wordlens_{uuid.uuid4().hex}"
-    (df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
+    (df.write.bucketBy(buckets, *keys).sortBy(*(order or keys)).options(**options)
      .option("path", path).format("parquet").saveAsTable(name))
     return df.sparkSession.table(name)
 
 
-def open_bucketed(spark: SparkSession, path: str, columns: str, keys: Sequence[str], buckets: int) -> DataFrame:
+def ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
+def open_bucketed(spark: SparkSession, path: str, columns: str, keys: Sequence[str], buckets: int, order: Sequence[str] | None = None) -> DataFrame:
     """A bucketed table written by any session; ``columns`` is its schema as DDL."""
     name = f"wordlens_{uuid.uuid4().hex}"
-    by = ", ".join(f"`{k}`" for k in keys)
+    by, sort = (", ".join(f"`{k}`" for k in names) for names in (keys, order or keys))
     spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet OPTIONS (path '{path}') "
-              f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets} BUCKETS")
+              f"CLUSTERED BY ({by}) SORTED BY ({sort}) INTO {buckets} BUCKETS")
     return spark.table(name)
 
 
@@ -90,8 +94,10 @@ def store_corpus(corpus: Corpus, path: str, levels: Sequence[int] = (0, 1), buck
         is_eos = read.is_eos(x, i, n)
         return F.struct(*[read.level_value(x, is_eos, lv).alias(level_name(lv)) for lv in levels], is_eos.alias("is_eos"))
 
-    rows = corpus.df.select(*corpus.keys, "n_tokens", F.transform("_tok", token).alias("_tok"))
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    # what the tokeniser made travels; the levels are made of it where they are written
+    dealt = corpus.df.select(*corpus.keys, "n_tokens", "_tok", *read.needs).repartition(buckets, *corpus.keys)
+    rows = dealt.select(*corpus.keys, "n_tokens", F.transform("_tok", token).alias("_tok"))
+    columns = ddl(rows)
     tokens = bucketed(rows, f"{path}/tokens", corpus.keys, buckets)
     shape = Corpus(tokens, corpus.keys, AnnotatedTokenizer()).shape()
     shape.select("*", F.array(*map(F.lit, corpus.keys)).alias("keys"), F.array(*map(F.lit, levels)).alias("levels"),
@@ -112,4 +118,4 @@ def _opened(spark: SparkSession, path: str, tokens: DataFrame, stat_levels: Sequ
 
 def store_table(corpus: StoredCorpus, df: DataFrame, path: str) -> DataFrame:
     """Write a table of sentence keys into the buckets of ``corpus`` and open it."""
-    return bucketed(df, path, corpus.keys, corpus.info["buckets"])
+    return bucketed(df.repartition(corpus.info["buckets"], *corpus.keys), path, corpus.keys, corpus.info["buckets"])
