@@ -1,3 +1,4 @@
+# The expected distances and transposes of the nine sentences below are results that must match.
 import pytest
 from pyspark.sql import functions as F
 

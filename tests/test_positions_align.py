@@ -1,3 +1,4 @@
+# The expected positions, cuts and slot counts of the nine sentences below are results that must match.
 from pyspark.sql import functions as F
 
 from wordlens.operators import align, positions, project
