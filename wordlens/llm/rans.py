@@ -41,6 +41,7 @@ LOW = np.uint64(1 << 31)          # a state is kept in [2**31, 2**63)
 LANES = 2048
 CHECKPOINT_ROWS = 128
 BLOCK_TOKENS = 1 << 20
+PART_TOKENS = 64 * BLOCK_TOKENS
 
 IDS = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
 BLOCKS = pa.schema([
@@ -165,8 +166,12 @@ def token_ids(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(1 << 16, np.int64)
     for batch in batches:
-        for ids in batch.column(0):
-            counts += np.bincount(np.frombuffer(ids.as_buffer(), "<u2"), minlength=1 << 16)
+        # the ids of all rows of a batch lie one after the other
+        ids = batch.column(0)
+        upto = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset:ids.offset + len(ids) + 1]
+        if len(ids) and upto[-1] > upto[0]:
+            data = np.frombuffer(ids.buffers()[2], "<u2", (int(upto[-1]) - int(upto[0])) // 2, int(upto[0]))
+            counts += np.bincount(data, minlength=1 << 16)
     seen = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(counts[seen], pa.int64())], ["symbol", "count"])
 
@@ -181,7 +186,9 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, parts: in
     symbols, freqs = counts["symbol"].to_numpy(np.int64), scaled(counts["count"].to_numpy(np.int64)) if len(counts) else np.zeros(0, np.int64)
     spark.createDataFrame(list(zip(symbols.tolist(), freqs.tolist(), strict=True)), "symbol int, freq long").coalesce(1).write.parquet(f"{path}/model")
     model = spark.sparkContext.broadcast((symbols, freqs))
-    parts = parts or max(1, int(counts["count"].sum()) // (2 * BLOCK_TOKENS))
+    total = int(counts["count"].sum())
+    # large parts, so that their bounds stay few; smaller ones where that leaves cores idle
+    parts = parts or max(1, -(-total // PART_TOKENS), min(total // (2 * BLOCK_TOKENS), 2 * spark.sparkContext.defaultParallelism))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, part, offset = Model(*model.value), 0, 0
