@@ -1,6 +1,7 @@
 """Each operator against brute force, the library or an exact round trip, on small tables
 with null, empty, long and repeated texts, empty tables and clashing column names."""
 
+import hashlib
 import re
 import zlib
 from collections import Counter
@@ -159,6 +160,51 @@ def test_secret_keys_of_any_length_and_scope():
     assert secret_scan.scan(["x" * 19 + " " + "1z" * 10 ** 6]) == [[]]
 
 
+def test_secret_linking_recall_and_precision():
+    import base64
+    import uuid
+    rng = np.random.default_rng(17)
+    kinds = [lambda: base64.b64encode(rng.bytes(int(rng.integers(20, 50)))).decode(), lambda: str(uuid.UUID(bytes=rng.bytes(16))),
+             lambda: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz0123456789"), 32))]
+    keys = [kinds[i % 3]() for i in range(300)]
+    found = secret_scan.scan([f"login: bob{i} uses {k} here" for i, k in enumerate(keys)])
+    assert sum(any(c == 3 for _, c, _ in f) for f in found) >= 294
+    alone = secret_scan.scan([f"the part {k} is here" for k in keys])
+    assert not any(alone)
+    plain = ["https://example.org/blog/2024/long-article-title-here", "/usr/share/python3/site-packages/module_name",
+             "/home/user7/projects/reports-2023/final_version_2", "some-very-long-branch-name-12", "TheClassNameOfSomeModule2",
+             "https://example.org/p/aB3xZk9aB3xZk9aB3xZk9aB3x/page", "2024-11-05_release_notes_v2"]
+    assert all(k == 4 for p in plain for _, k, _ in secret_scan.scan([f"user: bob99 see {p} for more"])[0])
+    linked = "https://bob99:aB3xZk9aB3xZk9aB3xZk9@db.example.org/in"
+    assert {k for _, k, _ in secret_scan.scan([f"user: bob99 at {linked}"])[0]} == {3, 4, 5}
+
+
+def base_spans(text):
+    """The base rules of the contract, spelled out."""
+    text = text or ""
+    found = [(m.start(), 0, m.end()) for m in re.finditer(
+        r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.ASCII) if len(m[1]) >= 6]
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    return sorted(found + [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24])
+
+
+def test_op3_base_columns(spark, tmp_path):
+    rng = np.random.default_rng(23)
+    bits = ["password", "Passwd", "SECRET", "token", "api_key", "APIKEY", "'", '"', " ", "  ", ":", "=", "hunter22", "abc", "é", "\n",
+            "AKIA" + "A1" * 8, "AKIAX", "0a" * 12, "0a" * 11, "f" * 30, "😀", "x.y-z/+_=", "ſecret", "toKen"]
+    texts = ["".join(rng.choice(bits, int(rng.integers(0, 40)))) for _ in range(400)] + [None, "", "0" * 100_000, "secret=" * 2000]
+    rows = [(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r for r in local(queries.op3_secret_links(spark, str(tmp_path)))}
+    assert len(got) == len(texts)
+    for i, t in enumerate(texts):
+        base = base_spans(t)
+        names = ",".join(f"{secret_scan.KINDS[k]}:{a}:{b}" for a, k, b in base)
+        assert [got[i][f"n_{k}"] for k in secret_scan.KINDS[:3]] == [sum(x[1] == j for x in base) for j in range(3)]
+        assert got[i]["base_sha256"] == hashlib.sha256(names.encode()).hexdigest()
+        assert set(names.split(",")) <= set(got[i]["spans"].split(","))
+
+
 # ---- archive ---------------------------------------------------------------------
 
 def test_archive_round_trip(spark):
@@ -200,6 +246,25 @@ def test_nearest(spark):
     assert ann.nearest(table.limit(0), F.lit(True)).count() == 0
 
 
+def test_nearest_of_any_size(spark):
+    """Components whose squares leave the range of doubles, against exact fractions."""
+    from fractions import Fraction
+    rng = np.random.default_rng(9)
+    v = {i: (rng.normal(size=4) * 10.0 ** (200, -200, 0, 300, -160, 307)[i % 6]).tolist() for i in range(60)}
+    v |= {60: [1e308, 0.0, 0.0, 0.0], 61: [-1e308, 0.0, 0.0, 0.0], 62: v[0], 63: [5e-324, 0.0, 0.0, 0.0]}
+    table = scratch(spark.createDataFrame(list(v.items()), "vec_id long, embedding array<double>"), "vec")
+    got = {}
+    for r in local(ann.nearest(table, F.lit(True), k=5, row_group=20, query_group=30)):
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    assert set(got) == set(v)
+    for q, found in got.items():
+        square = {i: sum((Fraction(a) - Fraction(b)) ** 2 for a, b in zip(v[q], x, strict=True)) for i, x in v.items() if i != q}
+        want = sorted(square.values())[:5]
+        for (_, i, score), exact in zip(sorted(found), want, strict=True):
+            assert abs(square[i] - exact) <= exact * Fraction(1, 10 ** 12)
+            assert abs(Fraction(score) ** 2 - square[i]) <= square[i] * Fraction(1, 10 ** 12)
+
+
 # ---- quality ---------------------------------------------------------------------
 
 def test_quality_removes_frequent_lines(spark, none):

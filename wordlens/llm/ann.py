@@ -18,7 +18,8 @@ Defined cases: vectors that are null, empty, zero, or hold null or non-finite co
 take no part; vectors of different dimension are never compared; a row with the query's
 own id is not its candidate; repeated rows of a query id with one vector ask once;
 repeated candidate rows are candidates each; with fewer than ``k`` candidates all are
-returned; ties go to the smaller id.
+returned; ties go to the smaller id; finite components of any size are compared, also
+where their squares leave the range of doubles.
 """
 
 from __future__ import annotations
@@ -33,6 +34,10 @@ from pyspark.sql import functions as F
 from wordlens.llm.common import ship
 
 TILE = 1024
+#: pairs whose vectors are gathered at once
+PAIRS = 1 << 16
+#: squared distances below this are too coarse for bounds
+SMALL = 1e-290
 
 
 def usable(vector: Column) -> Column:
@@ -45,19 +50,36 @@ def usable(vector: Column) -> Column:
 def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(integers -127..127, scale, length of the scaled integers, length of the rest)."""
     scale = np.abs(x).max(1) / 127
-    codes = np.rint(x / np.maximum(scale, np.finfo(float).tiny)[:, None])
+    codes = np.clip(np.rint(x / np.maximum(scale, np.finfo(float).tiny)[:, None]), -127, 127)
     near = codes * scale[:, None]
     # int8 values; their products are summed without rounding in this type
     exact = np.float32 if x.shape[1] * 127 * 127 < 1 << 24 else np.float64
-    return codes.astype(np.int8).astype(exact), scale, np.sqrt((near ** 2).sum(1)), np.sqrt(((x - near) ** 2).sum(1))
+    with np.errstate(over="ignore", under="ignore"):
+        return codes.astype(np.int8).astype(exact), scale, np.sqrt((near ** 2).sum(1)), np.sqrt(((x - near) ** 2).sum(1))
 
 
 def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Euclidean distance of rows, summed from the first component to the last."""
-    total = np.zeros(len(a))
-    for d in range(a.shape[1]):
-        total += (a[:, d] - b[:, d]) ** 2
-    return np.sqrt(total)
+    """Euclidean distance of rows, summed from the first component to the last.
+
+    Rows whose squares would leave the range of doubles are scaled by a power of two of
+    their own first; a distance beyond that range is infinite."""
+    def length(x: np.ndarray) -> np.ndarray:
+        total = np.zeros(len(x))
+        for d in range(x.shape[1]):
+            total += x[:, d] ** 2
+        return np.sqrt(total)
+
+    with np.errstate(over="ignore", under="ignore"):
+        gap = a - b
+        largest = np.abs(gap).max(1)
+        far = (largest > 1e150) | ((largest < 1e-145) & (largest > 0))
+        out = length(np.where(far[:, None], 0.0, gap))
+        if far.any():
+            gap = a[far] * 0.25 - b[far] * 0.25
+            gap = np.where(largest[far, None] < 1, a[far] - b[far], gap)
+            shift = np.frexp(np.abs(gap).max(1))[1]
+            out[far] = np.ldexp(length(np.ldexp(gap, -shift[:, None])), shift + np.where(largest[far] < 1, 0, 2))
+    return out
 
 
 def cell(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int) -> list[tuple[int, float, int]]:
@@ -66,22 +88,29 @@ def cell(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: n
     for q0 in range(0, len(queries), TILE):
         q = queries[q0:q0 + TILE]
         q_codes, q_scale, q_near, q_rest = quantise(q)
-        q_length = (q ** 2).sum(1)
+        with np.errstate(over="ignore", under="ignore"):
+            q_length = (q ** 2).sum(1)
         limit = np.full(len(q), np.inf)
         for c0 in range(0, len(vectors), TILE):
             c = vectors[c0:c0 + TILE]
             c_codes, c_scale, c_near, c_rest = quantise(c)
-            product = (q_codes @ c_codes.T).astype(np.float64) * q_scale[:, None] * c_scale
-            error = q_near[:, None] * c_rest + q_rest[:, None] * c_near + q_rest[:, None] * c_rest
-            length = q_length[:, None] + (c ** 2).sum(1)
-            middle = length - 2 * product
-            error = 2 * error + 1e-9 * (length + 2 * np.abs(product))   # and for rounding in this arithmetic
             own = query_ids[q0:q0 + TILE, None] == ids[c0:c0 + TILE]
-            upper = np.where(own, np.inf, middle + error)
+            # bounds that leave the range of doubles say nothing: such pairs are computed
+            with np.errstate(over="ignore", under="ignore", invalid="ignore"):
+                product = (q_codes @ c_codes.T).astype(np.float64) * q_scale[:, None] * c_scale
+                error = q_near[:, None] * c_rest + q_rest[:, None] * c_near + q_rest[:, None] * c_rest
+                length = q_length[:, None] + (c ** 2).sum(1)
+                middle = length - 2 * product
+                # and for rounding in this arithmetic
+                error = 2 * error + 1e-9 * (length + 2 * np.abs(product)) + SMALL
+                sure = np.isfinite(middle) & np.isfinite(error)
+                upper = np.where(own | ~sure, np.inf, middle + error)
+                lower = np.where(sure, middle - error, -np.inf)
             if upper.shape[1] > k:
                 limit = np.minimum(limit, np.partition(upper, k - 1, axis=1)[:, k - 1])
-            near_q, near_c = np.nonzero((middle - error <= limit[:, None]) & ~own)
-            exact = distance(q[near_q], c[near_c])
+            near_q, near_c = np.nonzero((lower <= limit[:, None]) & ~own)
+            exact = np.concatenate([distance(q[near_q[i:i + PAIRS]], c[near_c[i:i + PAIRS]])
+                                    for i in range(0, max(1, len(near_q)), PAIRS)])
             for i, score, other in zip(near_q.tolist(), exact.tolist(), ids[c0 + near_c].tolist(), strict=True):
                 heap = heaps[q0 + i]
                 if len(heap) < k:
@@ -90,7 +119,7 @@ def cell(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: n
                     heapq.heapreplace(heap, (-score, -other))
             for i, heap in enumerate(heaps[q0:q0 + len(q)]):
                 if len(heap) == k:
-                    limit[i] = min(limit[i], heap[0][0] ** 2 * (1 + 1e-9))
+                    limit[i] = min(limit[i], heap[0][0] * heap[0][0] * (1 + 1e-9) + SMALL)
     return [(i, -s, -c) for i, heap in enumerate(heaps) for s, c in heap]
 
 

@@ -14,8 +14,9 @@ The join marks the roles that each scope holds, all texts of a batch at once.  I
 forms pairs, so a text with very many parts costs no more than their number.  A scope lies
 in one text, hence nothing is shuffled.
 
-A key-like string has any length and takes its base64 padding along; before ``=`` and a
-further key character it is the name of an assignment, not a key.
+A key-like string is a weak secret only if it looks random (``looks_random``): paths, slugs
+and module names are not.  Inside an address it must be a value or a password.  It has any length and takes its
+base64 padding along; before ``=`` and a further key character it is the name of an assignment, not a key.
 
 Defined cases: null and empty texts have no spans; whole texts are searched; repeated
 rows are searched each; a weak candidate that overlaps a strong span is left to that span;
@@ -44,6 +45,9 @@ LEAST_ASSIGNED = 6
 KEY_LIKE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}+(?![A-Za-z0-9+/_-])")
 IDENTIFIER = re.compile(r"""(?:user(?:name)?|login|client_?id|account(?:_?id)?)["']?\x20*[:=]\x20*["']?([A-Za-z0-9@._+-]{3,})""", re.IGNORECASE | re.ASCII)
 ENDPOINT = re.compile(r"(?:https?|ftp|postgres(?:ql)?|mysql|redis|mongodb|amqp|ssh)://[A-Za-z0-9._~:@%/?#&=+-]+", re.IGNORECASE | re.ASCII)
+CHANGE = re.compile(r"(?<=[a-z])[A-Z](?![a-z]{2})|(?<=[A-Z])[a-z](?![a-z])|(?<=[0-9])[A-Za-z]|(?<=[A-Za-z])[0-9]")
+#: least share of changes among the neighbouring characters of a weak secret
+LEAST_CHANGES = 0.2
 BLANK_LINE = re.compile(r"\n[\x20\x09\r]*\n\s*")
 
 KINDS = ["assign", "access", "hex", "secret", "identifier", "endpoint"]
@@ -54,6 +58,18 @@ FOUND = pa.schema([("doc_id", pa.int64()), ("spans", SPANS)])
 SPANS_DDL = "array<struct<kind:string,start:long,end:long>>"
 
 
+def looks_random(key: str) -> bool:
+    """Whether letters and digits change as often as in a random key.
+
+    Counted are the places inside the key's runs of letters and digits where a digit meets a
+    letter, or a small letter a capital one that begins no word: 0.4 to 0.5 of all neighbours
+    in random base64, base36 and hex, but few in words, paths, years and version numbers.
+    """
+    if not any(c.isdigit() for c in key) or not any(c.isalpha() for c in key):
+        return False
+    return len(CHANGE.findall(key)) >= LEAST_CHANGES * (len(key) - 1)
+
+
 def candidates(text: str) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of all strong spans and weak candidates, by start."""
     low = text.lower()
@@ -65,10 +81,17 @@ def candidates(text: str) -> list[tuple[int, int, int]]:
     weak = [(m.start(), 5, m.end()) for m in ENDPOINT.finditer(text)] if "://" in text else []
     if any(w in low for w in ("user", "login", "client", "account")):
         weak += [(m.start(), 4, m.end()) for m in IDENTIFIER.finditer(text)]
+    addresses = [(a, b) for a, k, b in weak if k == 5]
+    at = 0
     for m in KEY_LIKE.finditer(text):
-        part = m.group()
-        if any(c.isdigit() for c in part) and any(c.isalpha() for c in part):
-            weak.append((m.start(), 3, m.end()))
+        if not looks_random(m.group()):
+            continue
+        while at < len(addresses) and addresses[at][1] <= m.start():
+            at += 1
+        # in an address a key is a value or a password, not a part of the path
+        if at < len(addresses) and addresses[at][0] <= m.start() and text[m.start() - 1] not in "=:":
+            continue
+        weak.append((m.start(), 3, m.end()))
     if weak and strong:
         starts = np.array([a for a, _ in strong])
         reach = np.maximum.accumulate(np.array([b for _, b in strong]))
