@@ -12,6 +12,9 @@ over 16 key bits each narrow the point down, for all nodes of a level at once; a
 returns at most 2**16 sums per node and the driver sees one row per node.  All passes
 read a written table of a few narrow columns, never the texts.
 
+A row larger than the mean of what is left (at most one per shard) is taken out first and
+gets a shard of its own, so that no shard stays empty beside it.
+
 Slots are gapless in a shard without a sort of whole shards: rows are numbered within
 hash buckets of a few thousand, and buckets start after those before them.
 
@@ -56,12 +59,22 @@ def shard(rows: DataFrame, size: Column, dimensions: list[Column], shards: int,
         place = F.floor((F.coalesce(F.col(f"_p{i}"), F.lit(lo)) - lo) / spread * ((1 << POSITION_BITS) - 1)).cast("long")
         return (F.shiftleft(place, HASH_BITS) + hash_).alias(f"_k{i}")
 
-    placed = base.select("_uid", "_size", *(key(i) for i in dims), F.lit(1).cast("long").alias("_node"))
-    parts, numbers = {1: shards}, {1: 0}       # per node: its number of shards and its first one
+    # a row above the mean of what is left gets a shard of its own: at most one row per shard is looked at
+    alone, left = [], whole["bytes"] or 0
+    for r in base.select("_uid", "_size").orderBy(F.col("_size").desc(), "_uid").limit(shards).collect():
+        if shards - len(alone) < 2 or r["_size"] * (shards - len(alone)) <= left:
+            break
+        alone.append(r["_uid"])
+        left -= r["_size"]
+    others = base.where(~F.col("_uid").isin(alone)) if alone else base
+    placed = others.select("_uid", "_size", *(key(i) for i in dims), F.lit(1).cast("long").alias("_node"))
+    parts, numbers = {1: shards - len(alone)}, {1: 0}       # per node: its number of shards and its first one
     while any(k > 1 for k in parts.values()):
         placed, parts, numbers = _split(placed, parts, numbers, len(dimensions))
     leaf = _values(placed, "node long, shard int", [(n, numbers[n]) for n in parts])
     placed = placed.join(F.broadcast(leaf), F.col("_node") == F.col("node")).select("_uid", "shard")
+    if alone:
+        placed = placed.unionByName(_values(placed, "_uid long, shard int", [(u, shards - 1 - i) for i, u in enumerate(alone)]))
     # rows are numbered within buckets of a shard
     buckets = max(1, -(-whole["n"] // (shards * bucket_rows)))
     placed = placed.withColumn("_bucket", F.pmod(F.xxhash64("_uid", F.lit("slot")), F.lit(buckets)))
