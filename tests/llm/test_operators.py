@@ -124,6 +124,22 @@ def test_sharding_parts_one_value(spark):
     assert len(got) == 16 and max(got.values()) - min(got.values()) <= 4
 
 
+def test_sharding_of_very_long_rows(spark):
+    """Rows of several mean shards lie alone; the others share what is left evenly."""
+    sizes = [700_000, 300_000, 290_000] + [50 + i % 100 for i in range(20_000)]
+    table = scratch(spark.createDataFrame([(i, n, float(i % 7)) for i, n in enumerate(sizes)], "id long, size long, x double"), "long")
+    got, count = Counter(), Counter()
+    rows = local(sharding.shard(table, F.col("size"), [F.col("x"), F.log1p("size")], 16))
+    for r in rows:
+        got[r["shard"]] += r["size"]
+        count[r["shard"]] += 1
+    assert len(rows) == len(sizes) and sorted(got) == list(range(16))
+    assert sorted(got[r["shard"]] for r in rows if r["size"] > 1000) == [290_000, 300_000, 700_000]
+    rest = [got[s] for s in got if count[s] > 1]
+    assert len(rest) == 13 and max(rest) - min(rest) <= 2000
+    assert all(sorted(r["slot"] for r in rows if r["shard"] == s) == list(range(count[s])) for s in got)
+
+
 # ---- secrets ---------------------------------------------------------------------
 
 def test_secret_links(spark, docs, none):
@@ -218,16 +234,61 @@ def test_archive_round_trip(spark):
     responses = [r for r in got if r["record_type"] == "response" and r["payload_bytes"] >= 100]
     assert sorted(r["page_id"] for r in responses) == [3, 10]
     assert all(r["refers_to"] == 3 for r in got if r["record_type"] == "revisit")
+    ids = {}
     for r in got:
         head, _, block = bytes(r["record"]).partition(b"\r\n\r\n")
+        fields = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
         assert head.startswith(b"WARC/1.1\r\n") and b"\nX: y" not in head
-        length = int(re.search(rb"Content-Length: (\d+)", head)[1])
-        assert block == (bytes(r["payload"]) if r["record_type"] == "response" else b"") + b"\r\n\r\n" and len(block) == length + 4
+        assert fields["WARC-Date"] == "1970-01-01T00:00:00Z" and fields["WARC-Record-ID"] not in ids
+        ids[fields["WARC-Record-ID"]] = (r["record_type"], r["digest"])
+        assert block.endswith(b"\r\n\r\n") and len(block) == int(fields["Content-Length"]) + 4
+        http, _, body = block[:-4].partition(b"\r\n\r\n")
+        assert http.startswith(b"HTTP/1.1 200 OK\r\n") and f"Content-Length: {len(bytes(r['payload']))}".encode() in http
+        assert body == (bytes(r["payload"]) if r["record_type"] == "response" else b"")
+    for r in got:
+        refers = re.search(rb"WARC-Refers-To: (\S+)", bytes(r["record"]))
+        assert (refers is not None) == (b"WARC-Profile" in bytes(r["record"])) == (r["record_type"] == "revisit")
+        assert refers is None or ids[refers[1].decode()] == ("response", r["digest"])
     path = scratch_path(spark, "t")
     warc.write(spark.createDataFrame([], "page_id long, url string, html string"), path)
     assert warc.records(spark, path).count() == 0
 
 
+def test_archive_notices_changed_payloads(spark):
+    path = scratch_path(spark, "t")
+    warc.write(spark.createDataFrame([(1, "u", "a" * 200), (2, "v", "b" * 200)], "page_id long, url string, html string"), path)
+    changed = scratch(spark.read.parquet(path + "/payloads").withColumn("payload", F.concat("payload", F.lit(b"x"))), "changed")
+    changed.write.mode("overwrite").parquet(path + "/payloads")
+    with pytest.raises(Exception, match="does not match its address"):
+        warc.records(spark, path).collect()
+
+
+def test_files_notice_changed_blocks(spark, docs):
+    path = scratch_path(spark, "t")
+    rans.write(docs, path, queries.WORD_TOKENIZER)
+    blocks = spark.read.parquet(path + "/blocks")
+    scratch(blocks.withColumn("crc32", F.col("crc32") + 1), "changed").write.mode("overwrite").parquet(path + "/blocks")
+    with pytest.raises(Exception, match="checksum differs"):
+        rans.read(spark, path).collect()
+
+
+def test_op5_revisits(spark, tmp_path):
+    rng = np.random.default_rng(31)
+    bodies = ["<p>" + "é" * n for n in (48, 49, 60, 97, 98, 500)] + ["", None, "x" * 99, "x" * 100]
+    pages = [(int(i), f"u{i}", bodies[int(rng.integers(len(bodies)))]) for i in rng.permutation(200)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    first = {}
+    for i, _, html in sorted(pages, key=lambda p: p[0]):
+        first.setdefault(html or "", i)
+    got = {r["page_id"]: r for r in local(queries.op5_warc_archive(spark, str(tmp_path)))}
+    assert len(got) == len(pages)
+    for i, _, html in pages:
+        data = (html or "").encode()
+        again = len(data) >= 100 and first[html or ""] != i
+        assert (got[i]["payload_bytes"], got[i]["payload_digest"], got[i]["record_type"], got[i]["refers_to"]) == (
+            len(data), hashlib.sha256(data).hexdigest(), "revisit" if again else "response", first[html] if again else None)
+
+
 # ---- vectors ---------------------------------------------------------------------
 
 def test_nearest(spark):

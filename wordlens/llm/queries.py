@@ -55,7 +55,7 @@ def op5_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     refers = F.nullif(warc.field("WARC-Refers-To"), F.lit(""))
     return warc.records(spark, path).select(
         "page_id", "payload_bytes", F.col("digest").alias("payload_digest"), warc.field("WARC-Type").alias("record_type"),
-        F.regexp_extract(refers, "^<urn:page:(.*)>$", 1).cast("long").alias("refers_to"))
+        F.regexp_extract(refers, r"^<urn:page:(-?\d+):", 1).cast("long").alias("refers_to"))
 
 
 def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

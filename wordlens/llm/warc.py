@@ -7,9 +7,13 @@ Layout of an archive folder:
 ``records/``   ``page_id``, ``header`` (the exact bytes of the record's header block with
                its blank line), ``digest``, ``record_type``, ``refers_to``, ``content_length``.
 
-A WARC record is its header, its block and two line ends.  The block of a ``response`` is
-the payload; that of a ``revisit`` (a payload of at least ``min_revisit`` bytes that a page
-with a smaller id holds too) is empty, and its header names the page it refers to.
+A WARC record is its header, its block and two line ends.  The block is an HTTP message: a
+head that the payload's length determines, and in a ``response`` the payload.  A ``revisit``
+(a payload of at least ``min_revisit`` bytes that a page with a smaller id holds too) has the
+head alone; its header names the profile and the record it refers to.  The table holds no
+time of capture: ``WARC-Date`` is the ``date`` given for the whole archive.  A record's id is
+made of the page id, a digest of its address and payload, and the number of its copy, so it
+is there for a null page id and differs between repeated rows.
 ``records`` rebuilds the exact records by a join on the digest, after every stored
 payload's SHA-256 has been computed again and compared with its address.
 
@@ -27,6 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 EOL = "\r\n"
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"  # fixed by the format
 
 
 def _pages(pages: DataFrame) -> DataFrame:
@@ -35,25 +40,34 @@ def _pages(pages: DataFrame) -> DataFrame:
                         F.sha2(payload, 256).alias("digest"), F.octet_length(payload).cast("long").alias("payload_bytes"))
 
 
-def header(record_type: Column, url: Column, page_id: Column, refers_to: Column, digest: Column, length: Column, payload_bytes: Column) -> Column:
-    """The header block of a record, from its version line to its blank line."""
+def http_head(payload_bytes: Column) -> Column:
+    """The HTTP head of a page's block."""
+    return F.concat(F.lit(f"HTTP/1.1 200 OK{EOL}Content-Type: text/html; charset=utf-8{EOL}Content-Length: "),
+                    payload_bytes.cast("string"), F.lit(EOL + EOL)).cast("binary")
+
+
+def record_id(page_id: Column, url: Column, digest: Column, copy: Column) -> Column:
+    of = F.substring(F.sha2(F.concat_ws("\n", digest, url).cast("binary"), 256), 1, 32)
+    return F.concat(F.lit("<urn:page:"), F.coalesce(page_id.cast("string"), F.lit("none")), F.lit(":"), of, F.lit(":"), copy.cast("string"), F.lit(">"))
+
+
+def header(record_type: Column, url: Column, own_id: Column, refers_to: Column, digest: Column, length: Column, payload_bytes: Column,
+           date: str) -> Column:
+    """The header block of a record, from its version line to its blank line; ``refers_to``
+    is the id of a revisit's response."""
     def line(name: str, value: Column) -> Column:
         return F.concat(F.lit(name + ": "), value, F.lit(EOL))
 
-    def record_id(number: Column) -> Column:
-        return F.concat(F.lit("<urn:page:"), number.cast("string"), F.lit(">"))
-
     clean = F.coalesce(F.regexp_replace(url, "[\r\n]+", " "), F.lit(""))  # a header line holds no line end
     return F.concat(
-        F.lit("WARC/1.1" + EOL), line("WARC-Type", record_type),
-        F.when(page_id.isNotNull(), line("WARC-Record-ID", record_id(page_id))).otherwise(""),
+        F.lit("WARC/1.1" + EOL), line("WARC-Type", record_type), line("WARC-Record-ID", own_id), line("WARC-Date", F.lit(date)),
         line("WARC-Target-URI", clean), line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), digest)),
-        F.when(refers_to.isNotNull(), line("WARC-Refers-To", record_id(refers_to))).otherwise(""),
-        line("X-Payload-Bytes", payload_bytes.cast("string")), line("Content-Type", F.lit("text/html; charset=utf-8")),
+        F.when(record_type == "revisit", F.concat(line("WARC-Profile", F.lit(PROFILE)), line("WARC-Refers-To", refers_to))).otherwise(""),
+        line("X-Payload-Bytes", payload_bytes.cast("string")), line("Content-Type", F.lit("application/http; msgtype=response")),
         line("Content-Length", length.cast("string")), F.lit(EOL)).cast("binary")
 
 
-def write(pages: DataFrame, path: str, min_revisit: int = 100) -> None:
+def write(pages: DataFrame, path: str, min_revisit: int = 100, date: str = "1970-01-01T00:00:00Z") -> None:
     """Archive ``pages`` (``page_id``, ``url``, ``html``) in the folder ``path``."""
     spark = pages.sparkSession
     rows = _pages(pages)
@@ -66,10 +80,14 @@ def write(pages: DataFrame, path: str, min_revisit: int = 100) -> None:
     response = (F.col("payload_bytes") < min_revisit) | holds
     kind = F.when(response, "response").otherwise("revisit")
     refers = F.when(~response, F.col("holder"))
-    length = F.when(response, F.col("payload_bytes")).otherwise(F.lit(0).cast("long"))
-    (each.select("page_id", "digest", kind.alias("record_type"), refers.alias("refers_to"), length.alias("content_length"), "url", "payload_bytes")
+    length = F.octet_length(http_head(F.col("payload_bytes"))) + F.when(response, F.col("payload_bytes")).otherwise(F.lit(0).cast("long"))
+    own_id = record_id(F.col("page_id"), F.col("url"), F.col("digest"), F.col("copy"))
+    first_id = record_id(F.col("holder"), F.col("holder_url"), F.col("digest"), F.lit(1))
+    (each.select("page_id", "digest", kind.alias("record_type"), refers.alias("refers_to"), length.alias("content_length"), "url", "payload_bytes",
+                 own_id.alias("own_id"), first_id.alias("first_id"))
      .select("page_id", "digest", "record_type", "refers_to", "content_length",
-             header(F.col("record_type"), F.col("url"), F.col("page_id"), F.col("refers_to"), F.col("digest"), F.col("content_length"), F.col("payload_bytes")).alias("header"))
+             header(F.col("record_type"), F.col("url"), F.col("own_id"), F.col("first_id"), F.col("digest"), F.col("content_length"),
+                    F.col("payload_bytes"), date).alias("header"))
      .write.option("compression", "zstd").parquet(f"{path}/records"))
     # the bytes, of the first holder; one key for the join and for leaving out repeated
     # rows, so that payloads are shuffled once
@@ -92,7 +110,7 @@ def stored_payloads(spark: SparkSession, path: str) -> DataFrame:
 
 def records(spark: SparkSession, path: str) -> DataFrame:
     """Every record rebuilt: its fields, and ``record`` with its exact bytes."""
-    block = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b""))
+    block = F.concat(http_head(F.col("payload_bytes")), F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b"")))
     end = F.lit((EOL + EOL).encode())
     return spark.read.parquet(f"{path}/records").join(stored_payloads(spark, path), "digest").withColumn(
         "record", F.concat("header", block, end))
