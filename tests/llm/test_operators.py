@@ -101,6 +101,62 @@ def test_packing_any_rows(spark):
         packing.pack(spark.createDataFrame([(101,)], "length long"), capacity=100).collect()
 
 
+def triples(rng, bins, capacity=1000):
+    """Lengths cut from full bins, three of each: the least number of bins is known."""
+    out = []
+    for _ in range(bins):
+        a = int(rng.integers(380, 490))
+        b = int(rng.integers(250, (capacity - a) // 2))
+        out += [a, b, capacity - a - b]
+    return out
+
+
+def best_fit_bins(size, capacity):
+    first = packing.Grouping(size, capacity, [])
+    first.best_fit(list(range(len(size))))
+    return len(first.bins)
+
+
+@pytest.mark.parametrize("bins", [20, 40, 83])
+def test_evolution_beats_best_fit(bins):
+    size = triples(np.random.default_rng(bins), bins)
+    plain = best_fit_bins(size, 1000)
+    started = packing.evolve(size, 1000, [], [0], 8, 0)     # the first groupings only
+    grown = packing.evolve(size, 1000, [], [0], 8, 20)
+    assert sorted(i for b in grown.bins for i in b) == list(range(len(size)))
+    assert max(sum(size[i] for i in b) for b in grown.bins) <= 1000 and grown.load == [sum(size[i] for i in b) for b in grown.bins]
+    assert len(started.bins) >= plain - 1 and len(grown.bins) <= plain - 3 and len(grown.bins) <= 1.1 * bins
+
+
+def test_crossover_keeps_every_item_once():
+    rng = np.random.default_rng(8)
+    size = rng.integers(1, 400, 300).tolist()
+    for _ in range(30):
+        parents = []
+        for _ in range(2):
+            g = packing.Grouping(size, 1000, [])
+            for part in np.array_split(rng.permutation(300), 5):
+                g.best_fit(part.tolist())
+            parents.append(g)
+        child = packing.crossover(*parents, rng)
+        assert sorted(i for b in child.bins for i in b) == list(range(300)) and max(child.load) <= 1000
+        whole = {tuple(sorted(b)) for b in parents[0].bins}
+        assert any(tuple(sorted(b)) in whole for b in child.bins)
+
+
+def test_elites_migrate_between_islands(spark):
+    """A grouping that one island was given is on its neighbour one epoch later, so the
+    packing of a table is not worse than the best of its islands alone."""
+    size = triples(np.random.default_rng(5), 40)
+    items = scratch(spark.createDataFrame([(x,) for x in size], "length long"), "items")
+    used = {}
+    for islands, epochs in ((1, 1), (3, 3)):
+        got = local(packing.pack(items, capacity=1000, islands=islands, epochs=epochs, generations=6))
+        assert sorted(r["length"] for r in got) == sorted(size)
+        used[islands] = check_packed(got, 1000)
+    assert used[3] <= used[1] < best_fit_bins(size, 1000) and used[3] <= 43
+
+
 # ---- sharding --------------------------------------------------------------------
 
 @pytest.mark.parametrize("shards", [1, 3, 16])

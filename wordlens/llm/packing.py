@@ -8,7 +8,8 @@ How ``pack`` works on Spark.  Rows are dealt by hash into blocks of about
 task do not depend on the size of the table.  Each block is solved on several
 *islands*: an island keeps a small population of groupings (bin numbers), and a child
 takes whole well-filled bins of one parent, drops the other parent's bins that hold any
-of the same documents, and best-fits the displaced ones.  Between epochs the elite of
+of the same documents, lets displaced ones take the place of held ones where that fills a
+bin better, and best-fits what is left.  Between epochs the elite of
 each island moves to the next island of its block (a grouped join on row number).  The
 best grouping of a block stays; the rows of its bins below ``keep_fill`` are dealt anew
 with those of other blocks, and what the last round leaves is kept as it is.
@@ -92,6 +93,41 @@ class Grouping:
             if free > size[i]:
                 insort(room, (free - size[i], b))
 
+    def exchange(self, items: list[int]) -> list[int]:
+        """Let one or two of the displaced items take the place of one or two items of a bin
+        where that fills the bin better (at most one exchange a bin); what is displaced then
+        is returned."""
+        size, out = self.size, sorted(items, key=self.size.__getitem__)
+        for k, held in enumerate(self.bins):
+            if len(out) < 2 or self.load[k] == self.capacity:
+                continue
+            free = self.capacity - self.load[k]
+            lengths = np.array([size[i] for i in out])
+            best = (0, (), ())                      # gain, places in the bin, places in ``out``
+            n = len(held)
+            for places in [(a,) for a in range(n)] + [(a, b) for a in range(n) for b in range(a)] * (n <= 8):
+                gone = sum(size[held[a]] for a in places)
+                room = free + gone
+                one = int(np.searchsorted(lengths, room, "right")) - 1
+                if one >= 0 and int(lengths[one]) - gone > best[0]:
+                    best = (int(lengths[one]) - gone, places, (one,))
+                # for every item the longest other one before it that still fits beside it
+                other = np.minimum(np.searchsorted(lengths, room - lengths, "right"), np.arange(len(out))) - 1
+                both = np.where(other >= 0, lengths + lengths[other], -1)
+                both[both > room] = -1
+                two = int(both.argmax())
+                if both[two] - gone > best[0]:
+                    best = (int(both[two]) - gone, places, (two, int(other[two])))
+                if best[0] == free:
+                    break
+            if best[0] > 0:
+                gain, places, come = best
+                back = [held[a] for a in places]
+                self.bins[k] = [i for a, i in enumerate(held) if a not in places] + [out[c] for c in come]
+                self.load[k] += gain
+                out = sorted([i for c, i in enumerate(out) if c not in come] + back, key=size.__getitem__)
+        return out
+
     def fitness(self) -> tuple[int, float]:
         """Fewer bins first; then fill gathered in few bins."""
         return -len(self.bins), sum((x / self.capacity) ** 2 for x in self.load)
@@ -114,13 +150,17 @@ def crossover(a: Grouping, b: Grouping, rng: np.random.Generator) -> Grouping:
     worst = set(np.argsort([sum(b.size[i] for i in x) for x in rest])[: 1 + len(rest) // 20].tolist()) if rest else set()
     displaced += [i for k in worst for i in rest[k]]
     child = Grouping(a.size, a.capacity, [list(x) for x in taken] + [list(x) for k, x in enumerate(rest) if k not in worst])
-    child.best_fit(displaced)
+    child.best_fit(child.exchange(displaced))
     return child
 
 
 def evolve(size: list[int], capacity: int, elites: list[list[list[int]]], seed: list[int],
            population: int, generations: int) -> Grouping:
-    """The best grouping an island finds, from best fit and the elites given."""
+    """The best grouping an island finds, from best fit and the elites given.
+
+    It stops when the number of bins has reached its bound, or after ``generations``
+    children in a row that bettered nothing; never after more than ten times as many.
+    """
     rng = np.random.default_rng(seed)
     least = -(-sum(size) // capacity)
     pool = [Grouping(size, capacity, x) for x in elites]
@@ -135,12 +175,16 @@ def evolve(size: list[int], capacity: int, elites: list[list[list[int]]], seed:
             mixed.best_fit(order[i:i + max(1, len(order) // 3)])
         pool.append(mixed)
     pool.sort(key=Grouping.fitness, reverse=True)
-    for _ in range(generations):
-        if len(pool[0].bins) <= least:
+    idle = 0
+    for _ in range(10 * generations):
+        if len(pool[0].bins) <= least or idle >= generations:
             break
         a, b = rng.choice(len(pool), 2, replace=False)
         child = crossover(pool[min(a, b)], pool[max(a, b)], rng)
-        if child.fitness() > pool[-1].fitness():
+        idle += 1
+        fit = child.fitness()
+        if fit > pool[-1].fitness() and all(fit != other.fitness() for other in pool):
+            idle = 0 if fit > pool[0].fitness() else idle
             pool[-1] = child
             pool.sort(key=Grouping.fitness, reverse=True)
     return pool[0]
@@ -155,7 +199,7 @@ def _bins(numbers: np.ndarray) -> list[list[int]]:
 # ---- all blocks ------------------------------------------------------------------
 
 def pack(items: DataFrame, capacity: int = 4096, block_rows: int = 4096, islands: int = 2, epochs: int = 2,
-         population: int = 4, generations: int = 12, rounds: int = 3, keep_fill: float = 0.995) -> DataFrame:
+         population: int = 8, generations: int = 20, rounds: int = 3, keep_fill: float = 0.995) -> DataFrame:
     """``items`` with ``sequence_id`` and ``offset`` (gapless from 0 in a sequence)."""
     clash = {"sequence_id", "offset"} & set(items.columns)
     own = {c: f"_in{i}" for i, c in enumerate(items.columns)}
