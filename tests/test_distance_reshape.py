@@ -108,3 +108,42 @@ def test_rotated_sentence(nine):
     rows = reshape.rotated_sentence(nine, [0, 1]).where("doc_id = 0").orderBy("level").collect()
     assert rows[0]["values"][0] == "EOS" and rows[0]["values"][1] == "。" and rows[0]["values"][-1] == "これ"
     assert rows[1]["values"][0] == "EOS"
+
+
+def test_intervals_equal_the_padded_axes(spark):
+    import random
+    from collections import Counter
+
+    from wordlens.operators import reshape
+    from wordlens.sources.corpus import build_corpus
+
+    rng = random.Random(5)
+    texts = ["\n".join(" ".join(rng.choice(["a", "a", "b", "7", "."]) for _ in range(rng.randint(0, 12))) for _ in range(4)) for _ in range(30)]
+    c = build_corpus(spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None, ""])], "doc_id long, text string"))
+    rows = reshape.axes_moved_intervals(c, [0, 1])
+    spread = Counter()
+    for r in rows.collect():
+        for pos in range(r["start"], r["stop"]):
+            spread[pos, r["level"], r["doc_id"], r["sent_no"], r["value"]] += 1
+    want = Counter((r["pos"], r["level"], r["doc_id"], r["sent_no"], r["value"]) for r in reshape.axes_moved(c, [0, 1]).collect())
+    assert spread == want
+    counted = {}
+    for r in reshape.interval_counts(rows).collect():
+        counted |= {(pos, r["level"], r["value"]): r["n"] for pos in range(r["start"], r["stop"])}
+    assert counted == {(r["pos"], r["level"], r["value"]): r["n"] for r in reshape.axes_moved_counts(c, [0, 1]).collect()}
+    at = {(r["level"], r["doc_id"], r["sent_no"]): r["value"] for r in reshape.slot(rows, 9).collect()}
+    assert at == {k[1:4]: k[4] for k in want if k[0] == 9}
+    assert reshape.axes_moved_intervals(c.with_df(c.df.limit(0)), [0]).count() == 0
+
+
+def test_interval_plan_reads_the_texts_once_and_pads_no_rows(spark):
+    from wordlens.operators import reshape
+    from wordlens.sources.corpus import build_corpus
+
+    long = "x " * 5000
+    c = build_corpus(spark.createDataFrame([(i, "a b" if i else long) for i in range(200)], "doc_id long, text string"))
+    rows = reshape.axes_moved_intervals(c, [0])
+    assert rows.count() == 199 * 3 + 2            # a run of 5000 equal tokens is one row
+    assert rows.agg({"stop": "max"}).first()[0] == 5001
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "regexp_extract_all" not in plan       # what is read again is the written table

@@ -1,7 +1,10 @@
 import os
 import tempfile
 
+import pytest
+
 from wordlens.operators import align, keywords
+from wordlens.sources.annotated import AnalyserTextTokenizer
 from wordlens.sources.corpus import build_corpus, build_corpus_by_language, read_text_corpus, wordlist_no_eos
 from wordlens.sources.tokenizers import PresegmentedTokenizer, RegexTokenizer
 
@@ -45,3 +48,30 @@ def test_conversation_keys_use_struct_first_seen(spark):
     rows = keywords.sort_keywords(c, "binary").orderBy("sort_rank").collect()
     # a and c and EOS tie on binary 2..3; first appearance orders ties: (0,5) before (1,0)
     assert [r.term for r in rows] == ["EOS", "c", "a", "b"]
+
+
+def test_mixed_strategies_in_one_corpus(spark):
+    analysed = "\n".join([annotated_line("日本"), annotated_line("12", "数詞"), "EOS", annotated_line("EOS"), "EOS", "bad\tline", "EOS", "EOS"])
+    rows = [(1, "ja", analysed), (2, "en", "Two words\nEOS 3"), (3, None, "x"), (4, "ja", None), (5, "en", None), (6, "ja", "")]
+    c = build_corpus_by_language(spark.createDataFrame(rows, "doc_id long, lang string, text string"),
+                                 registry={"ja": AnalyserTextTokenizer()}, splitters={"ja": "analysed"}, levels=(0, 1, 2))
+    got = {}
+    for r in c.tokens([0, 1, 2]).orderBy("doc_id", "sent_no", "pos").collect():
+        got.setdefault((r["doc_id"], r["sent_no"]), []).append((r["info"]["f00"], r["info"]["f01"], r["info"]["f02"], r["is_eos"]))
+    end = ("EOS", "EOS", "EOS", True)
+    assert got == {
+        (1, 0): [("日本", "名詞", "一般", False), ("12", "名詞", "数詞", False), end],
+        (1, 1): [("EOS", "名詞", "一般", False), end],
+        (2, 0): [("Two", "WORD", None, False), ("words", "WORD", None, False), end],
+        (2, 1): [("EOS", "WORD", None, False), ("3", "NUM", None, False), end],
+        (3, 0): [("x", "WORD", None, False), end]}
+    words = {(r["doc_id"], r["sent_no"]): r["words"] for r in wordlist_no_eos(c).collect()}
+    assert words[1, 1] == ["EOS"] and words[1, 0] == ["日本", "12"] and words[2, 1] == ["EOS", "3"]
+    strict = build_corpus_by_language(c.spark.createDataFrame(rows, "doc_id long, lang string, text string"),
+                                      registry={"ja": AnalyserTextTokenizer("failfast")}, splitters={"ja": "analysed"}, levels=(0,))
+    with pytest.raises(Exception, match="could not be normalised"):
+        strict.df.collect()
+
+
+def annotated_line(surface, kind="一般"):
+    return surface + "\t" + ",".join(["名詞", kind] + ["*"] * 27)

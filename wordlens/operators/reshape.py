@@ -101,6 +101,51 @@ def axes_moved(corpus: Corpus, levels: Sequence[int] = (0,)) -> DataFrame:
             .select(F.col("pos").cast("int").alias("pos"), "level", *corpus.keys, "value"))
 
 
+def axes_moved_intervals(corpus: Corpus, levels: Sequence[int] = (0,)) -> DataFrame:
+    """R2 as intervals: ``level``, keys, ``start``, ``stop``, ``value``: the sentence has
+    ``value`` at every position of ``[start, stop)``.
+
+    A row stands for a run of equal values; the last one reaches to the longest sentence, so
+    padding costs no rows.  The sentences are tokenised once and written as narrow arrays:
+    the width is read from their lengths.  Empty sentences have no rows.
+    """
+    arrays = cut_lineage(corpus.df.select(*corpus.keys, "n_tokens", *[corpus.level_array(lv).alias(f"_a{lv}") for lv in levels]))
+    width = arrays.agg(F.max("n_tokens")).scalar()
+
+    def starts(lv: int) -> Column:
+        a = F.col(f"_a{lv}")
+        places = F.when(F.size(a) > 0, F.sequence(F.lit(0), F.size(a) - 1)).otherwise(F.array().cast("array<int>"))
+        return F.filter(places, lambda i: (i == 0) | ~F.get(a, i).eqNullSafe(F.get(a, i - 1)))
+
+    cut = arrays.select(*corpus.keys, F.inline_outer(F.array(*[
+        F.struct(F.lit(lv).alias("level"), F.col(f"_a{lv}").alias("_a"), starts(lv).alias("_s")) for lv in levels])))
+    runs = F.transform("_s", lambda s, k: F.struct(s.alias("start"), F.get(F.col("_s"), k + 1).alias("stop"), F.get(F.col("_a"), s).alias("value")))
+    rows = cut.select("level", *corpus.keys, F.explode_outer(runs).alias("_r")).where(F.col("_r").isNotNull())
+    return rows.select("level", *corpus.keys, "_r.start", F.coalesce("_r.stop", width.cast("int")).alias("stop"), "_r.value")
+
+
+def slot(intervals: DataFrame, pos: int) -> DataFrame:
+    """R2: the values of all sentences at one position, from :func:`axes_moved_intervals`."""
+    return intervals.where((F.col("start") <= pos) & (F.col("stop") > pos)).drop("start", "stop")
+
+
+def interval_counts(intervals: DataFrame) -> DataFrame:
+    """R2 with A9: ``level``, ``start``, ``stop``, ``value``, ``n``: how many sentences have
+    ``value`` at each position of ``[start, stop)``; ranges without it are left out.
+
+    Every interval adds one at its start and takes one away at its stop; the sums per place
+    are added up in the tasks first, and the running sum goes over the places of one value
+    (at most the longest sentence), never over its sentences.
+    """
+    steps = intervals.select("level", "value", F.inline(F.array(
+        F.struct(F.col("start").alias("start"), F.lit(1).alias("_d")), F.struct(F.col("stop").alias("start"), F.lit(-1).alias("_d")))))
+    sums = steps.groupBy("level", "value", "start").agg(F.sum("_d").alias("_d")).where(F.col("_d") != 0)
+    along = Window.partitionBy("level", "value").orderBy("start")
+    return (sums.select("level", "value", "start", F.lead("start").over(along).alias("stop"),
+                        F.sum("_d").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("n"))
+            .where(F.col("n") > 0).select("level", "start", "stop", "value", "n"))
+
+
 def ragged_transpose(df: DataFrame, col: str, place_holder: Column | None = None,
                      out: str | None = None) -> DataFrame:
     """Transpose a ragged ``array<array<T>>`` column row by row."""

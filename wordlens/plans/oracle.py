@@ -340,6 +340,28 @@ SELECT 'f02:' || term, count(*) AS "binary", CAST(sum(tf) AS BIGINT) AS count FR
   FROM cls GROUP BY ALL) GROUP BY term"""),
 }
 
+_WIDTH = "(SELECT CAST(max(n_tokens) AS INTEGER) FROM sent)"
+
+ORACLE |= {
+    "mixed_language_tokens": _with(f"""SELECT doc_id, sent_no, pos, n_tokens, is_eos, surface AS f00,
+  CASE WHEN lang = '{P.ANALYSED_LANGUAGE}' AND f01 = 'NUM' THEN '名詞' ELSE f01 END AS f01,
+  CASE WHEN is_eos THEN 'EOS' WHEN lang = '{P.ANALYSED_LANGUAGE}' THEN CASE WHEN f01 = 'NUM' THEN '数詞' ELSE '*' END END AS f02
+FROM cls JOIN (SELECT doc_id, lang FROM documents) USING (doc_id)"""),
+    "axes_moved_intervals": _with(f"""SELECT 1 AS level, doc_id, sent_no, start,
+  coalesce(lead(start) OVER (PARTITION BY doc_id, sent_no ORDER BY start), {_WIDTH}) AS stop, value
+FROM (SELECT doc_id, sent_no, pos AS start, f01 AS value,
+        lag(f01) OVER (PARTITION BY doc_id, sent_no ORDER BY pos) AS before FROM cls)
+WHERE value IS DISTINCT FROM before"""),
+    "axes_moved_interval_counts": _with(f"""SELECT 0 AS level, start, stop, value, n FROM (
+  SELECT value, start, lead(start) OVER (PARTITION BY value ORDER BY start) AS stop,
+         CAST(sum(d) OVER (PARTITION BY value ORDER BY start ROWS UNBOUNDED PRECEDING) AS BIGINT) AS n
+  FROM (SELECT value, start, sum(d) AS d FROM (
+      SELECT surface AS value, pos AS start, 1 AS d FROM cls
+      UNION ALL SELECT surface, CASE WHEN is_eos THEN {_WIDTH} ELSE pos + 1 END, -1 FROM cls)
+    GROUP BY value, start HAVING sum(d) <> 0))
+WHERE n > 0"""),
+}
+
 # the same questions over the stored corpus and the index
 ORACLE |= {
     "stored_padded_sentences": ORACLE["padded_sentences"],

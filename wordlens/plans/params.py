@@ -23,6 +23,8 @@ RECENTRED_REPORT_PERCENT = 5
 FILTER_MIN_COUNT = 50
 # U4: languages read as already segmented
 PRESEGMENTED_LANGUAGES = ("de", "fr")
+# U4 mixed: the language that comes as analyser output
+ANALYSED_LANGUAGE = "es"
 # W9 cube: the number of rows grows with the product of the words' occurrences
 CUBE_WORDS = ("the", "EOS")
 # analyser features: the short numeral, and forms that stand for a symbol's features

@@ -21,7 +21,7 @@ from wordlens.sources import annotated
 from wordlens.sources.corpus import Corpus, build_corpus, build_corpus_by_language, corpus_shape, read_text_corpus, wordlist_no_eos
 from wordlens.sources.index import PositionalIndex, build_index
 from wordlens.sources.store import StoredCorpus, store_corpus, store_table
-from wordlens.sources.tokenizers import PresegmentedTokenizer
+from wordlens.sources.tokenizers import PresegmentedTokenizer, RegexTokenizer
 
 Builder = Callable[[SparkSession, str], DataFrame]
 KEYS = ["doc_id", "sent_no"]
@@ -125,6 +125,18 @@ def q_language_tokens(spark, sf_dir):
     return c.tokens([0]).select(*KEYS, "pos", "n_tokens", "is_eos", F.col("info.f00").alias("f00"))
 
 
+def q_mixed_language_tokens(spark, sf_dir):
+    """U4: one language comes as analyser output (derived by Spark), the others as plain text."""
+    docs = read_table(spark, sf_dir, "documents")
+    analysed = F.array_join(F.transform(F.split("text", "\n", -1), lambda line: F.array_join(F.transform(
+        F.array(RegexTokenizer().prepare(line)), lambda t: F.transform(t, lambda x, i: _analyser_line(x, i == F.size(t) - 1, False)))[0], "\n")), "\n")
+    own = F.col("lang") == P.ANALYSED_LANGUAGE
+    c = build_corpus_by_language(docs.withColumn("text", F.when(own, analysed).otherwise(F.col("text"))),
+                                 registry={P.ANALYSED_LANGUAGE: annotated.AnalyserTextTokenizer()},
+                                 splitters={P.ANALYSED_LANGUAGE: "analysed"}, levels=(0, 1, 2), partitions=input_partitions(spark))
+    return c.tokens([0, 1, 2]).select(*KEYS, "pos", "n_tokens", "is_eos", "info.f00", "info.f01", "info.f02")
+
+
 # -------------------------------------------------------------- keywords
 
 
@@ -425,6 +437,16 @@ def q_axes_moved_long(spark, sf_dir):
     return d.select("pos", "level", "conv_id", "turn", "sent_no", "value")
 
 
+def q_axes_moved_intervals(spark, sf_dir):
+    """R2 as intervals: the class level of every document."""
+    return reshape.axes_moved_intervals(documents_corpus(spark, sf_dir), [1])
+
+
+def q_axes_moved_interval_counts(spark, sf_dir):
+    """R2 with A9 from intervals: sentences by surface and range of positions."""
+    return reshape.interval_counts(reshape.axes_moved_intervals(documents_corpus(spark, sf_dir), [0]))
+
+
 def q_ragged_transpose_long(spark, sf_dir):
     from wordlens.functions.tokenise import regex_tokens
     docs = read_table(spark, sf_dir, "documents")
@@ -513,6 +535,7 @@ QUERIES: dict[str, Builder] = {
     "whitespace_sentences": q_whitespace_sentences,
     "text_units": q_text_units,
     "language_tokens": q_language_tokens,
+    "mixed_language_tokens": q_mixed_language_tokens,
     # keywords
     "term_counts": q_term_counts,
     "vocabulary_index": q_vocabulary_index,
@@ -571,6 +594,8 @@ QUERIES: dict[str, Builder] = {
     "padded_sentences": q_padded_sentences,
     "axes_moved": q_axes_moved,
     "axes_moved_long": q_axes_moved_long,
+    "axes_moved_intervals": q_axes_moved_intervals,
+    "axes_moved_interval_counts": q_axes_moved_interval_counts,
     "ragged_transpose": q_ragged_transpose,
     "ragged_transpose_long": q_ragged_transpose_long,
     "rotated_sentence": q_rotated_sentence,

@@ -159,6 +159,31 @@ def parse_analyser_output(df: DataFrame, col: str = "analysis",
     return Corpus(good, tuple(keys), AnnotatedTokenizer()), rejects
 
 
+@dataclass(frozen=True)
+class AnalyserTextTokenizer(AnnotatedTokenizer):
+    """Analyser output as the text of a sentence, to stand beside other strategies in one
+    corpus.  A sentence with a line that cannot be normalised is left out (see
+    :func:`parse_analyser_output` for its rejects); ``failfast`` raises instead."""
+
+    mode: str = "quarantine"
+
+    def __post_init__(self) -> None:
+        if self.mode not in MODES:
+            raise ValueError(f"mode must be one of {MODES}")
+
+    def prepare(self, text: Column) -> Column:
+        def faulty(e: Column) -> Column:
+            there = e["reason"].isNotNull()
+            if self.mode == "failfast":
+                stop = F.raise_error(F.concat(F.lit("analyser line could not be normalised to 30 fields: "), e["raw_line"]))
+                return F.when(there, stop).otherwise(there)
+            return there
+
+        # parsed once: the lines are bound to a name before they are looked at twice
+        return F.transform(F.array(parse_lines(F.split(_strip(text), "\n", -1))), lambda lines: F.when(
+            ~F.exists(lines, faulty), F.transform(lines, lambda e: e["token"])))[0]
+
+
 _QUOTED = '"[^"]*+"'
 #: one feature: runs without quote or comma, and quoted parts that may hold commas
 _FEATURE = '(?:[^",]++|"[^"]*+")*+'

@@ -13,7 +13,7 @@ with ``sent_no`` the 0-based piece number inside its document.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -33,6 +33,8 @@ SPLITTERS = {
     "lines": lambda text: F.split(text, "\n", -1),
     "whitespace": whitespace_units,
     "none": lambda text: F.array(text),
+    # analyser output of many sentences: one piece up to and with each line EOS
+    "analysed": lambda text: F.split(text, r"(?md)(?<=^EOS)\n", -1),
 }
 
 
@@ -125,7 +127,7 @@ def build_corpus(
     df: DataFrame,
     text_col: str = "text",
     doc_keys: Sequence[str] = ("doc_id",),
-    splitter: str = "lines",
+    splitter: str | Callable[[Column], Column] = "lines",
     tokenizer: TokenizerStrategy | None = None,
     keep_text: bool = False,
     partitions: int | None = None,
@@ -140,7 +142,7 @@ def build_corpus(
     that the table is stored in fewer splits than the cluster has cores.
     """
     tokenizer = tokenizer or RegexTokenizer()
-    split = SPLITTERS[splitter]
+    split = splitter if callable(splitter) else SPLITTERS[splitter]
     if partitions:
         df = df.repartition(partitions)
     # Tokenise inside the sentence generator: its outputs are attributes, so
@@ -204,15 +206,27 @@ def read_text_corpus(spark: SparkSession, path: str,
 def build_corpus_by_language(df: DataFrame, lang_col: str = "lang", text_col: str = "text",
                              doc_keys: Sequence[str] = ("doc_id",), splitter: str = "lines",
                              registry: dict[str, TokenizerStrategy] | None = None,
-                             default: TokenizerStrategy | None = None, partitions: int | None = None) -> Corpus:
+                             default: TokenizerStrategy | None = None, partitions: int | None = None,
+                             splitters: dict[str, str] | None = None, levels: Sequence[int] = tuple(range(N_LEVELS))) -> Corpus:
     """U4: choose the tokeniser per document from its language column.
 
     Every document is kept: languages that are not in the registry, and a
     NULL language, take ``default``.  One scan; each row is split and read
-    by its own strategy (see :class:`LanguageTokenizer`).
+    by its own strategy (see :class:`LanguageTokenizer`).  ``splitters`` names
+    languages whose texts are split into sentences in another way than
+    ``splitter``, such as ``analysed`` for analyser output.  Where analysed and
+    other strategies meet, tokens carry the fields of ``levels`` (see
+    :class:`MixedTokenizer`).
     """
-    tokenizer = LanguageTokenizer.of(lang_col, LANGUAGES if registry is None else registry, default or RegexTokenizer())
-    return build_corpus(df, text_col, doc_keys, splitter, tokenizer, partitions=partitions)
+    tokenizer = LanguageTokenizer.of(lang_col, LANGUAGES if registry is None else registry, default or RegexTokenizer(), levels)
+
+    def split(text: Column) -> Column:
+        out = SPLITTERS[splitter](text)
+        for lang, other in (splitters or {}).items():
+            out = F.when(F.col(lang_col) == lang, SPLITTERS[other](text)).otherwise(out)
+        return out
+
+    return build_corpus(df, text_col, doc_keys, split, tokenizer, partitions=partitions)
 
 
 def wordlist_no_eos(corpus: Corpus, level: int = 0) -> DataFrame:

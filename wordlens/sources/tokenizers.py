@@ -9,8 +9,9 @@ expressions, so a corpus is built with narrow transformations only.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from typing import ClassVar
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -30,7 +31,7 @@ class TokenizerStrategy:
     """Interface; see :class:`RegexTokenizer` and :class:`AnnotatedTokenizer`."""
 
     #: Spark SQL type of one element of ``_tok``
-    element_type: str = "string"
+    element_type: ClassVar[str] = "string"
     #: columns of the sentence form that reading a level needs beside ``_tok``
     needs: tuple[str, ...] = ()
 
@@ -54,6 +55,18 @@ class TokenizerStrategy:
         """One exploded ``_tok`` element -> its value at ``level``."""
         raise NotImplementedError
 
+    def token_structs(self, tok: Column, levels: Sequence[int]) -> Column:
+        """``_tok`` as ``array<struct<fNN of levels, is_eos>>``, the form that all strategies share."""
+        def all_of(t: Column) -> Column:
+            def one(x: Column, i: Column) -> Column:
+                is_eos = self.is_eos(x, i, F.size(t))
+                return F.struct(*[self.level_value(x, is_eos, lv).alias(level_name(lv)) for lv in levels], is_eos.alias("is_eos"))
+
+            return F.transform(t, one)
+
+        # bound to a name first, so that the tokeniser runs once and not for every token
+        return F.transform(F.array(tok), all_of)[0]
+
     def info(self, elem: Column, is_eos: Column, levels: list[int] | None = None) -> Column:
         levels = list(range(N_LEVELS)) if levels is None else levels
         return F.struct(*[self.level_value(elem, is_eos, lv).alias(level_name(lv)) for lv in levels])
@@ -67,7 +80,7 @@ class RegexTokenizer(TokenizerStrategy):
     and the end marker carries ``EOS`` on every level.
     """
 
-    element_type: str = "string"
+    element_type: ClassVar[str] = "string"
 
     def prepare(self, text: Column) -> Column:
         return with_eos(regex_tokens(text))
@@ -112,7 +125,7 @@ class AnnotatedTokenizer(TokenizerStrategy):
     struct field, so a stored corpus is read one field at a time.
     """
 
-    element_type: str = "struct"
+    element_type: ClassVar[str] = "struct"
 
     def prepare(self, text: Column) -> Column:
         return text
@@ -140,13 +153,15 @@ class LanguageTokenizer(TokenizerStrategy):
     default: TokenizerStrategy = RegexTokenizer()
 
     @staticmethod
-    def of(lang_col: str, registry: dict[str, TokenizerStrategy], default: TokenizerStrategy) -> LanguageTokenizer:
+    def of(lang_col: str, registry: dict[str, TokenizerStrategy], default: TokenizerStrategy,
+           levels: Sequence[int] = tuple(range(N_LEVELS))) -> LanguageTokenizer | MixedTokenizer:
         by_strategy: dict[TokenizerStrategy, list[str]] = {}
         for lang, strategy in registry.items():
             by_strategy.setdefault(strategy, []).append(lang)
+        choices = tuple((s, tuple(ls)) for s, ls in by_strategy.items() if s != default)
         if len({s.element_type for s in [*by_strategy, default]}) > 1:
-            raise ValueError("one corpus needs tokenisers of one element type")
-        return LanguageTokenizer(lang_col, tuple((s, tuple(ls)) for s, ls in by_strategy.items() if s != default), default)
+            return MixedTokenizer(lang_col=lang_col, choices=choices, default=default, levels=tuple(levels))
+        return LanguageTokenizer(lang_col, choices, default)
 
     @property
     def needs(self) -> tuple[str, ...]:
@@ -174,6 +189,28 @@ class LanguageTokenizer(TokenizerStrategy):
         return self._pick(lambda s: s.is_eos(elem, pos, n_tokens))
 
 
+@dataclass(frozen=True)
+class MixedTokenizer(AnnotatedTokenizer):
+    """Strategies of different element types in one corpus (U4): every token becomes the
+    struct that analysed tokens have, with the fields of ``levels``, when its row is read;
+    from then on no operator needs to know which strategy read it."""
+
+    lang_col: str = "lang"
+    choices: tuple[tuple[TokenizerStrategy, tuple[str, ...]], ...] = ()
+    default: TokenizerStrategy = RegexTokenizer()
+    levels: tuple[int, ...] = tuple(range(N_LEVELS))
+
+    @property
+    def needs(self) -> tuple[str, ...]:
+        return (self.lang_col,)
+
+    def prepare(self, text: Column) -> Column:
+        out = self.default.token_structs(self.default.prepare(text), self.levels)
+        for strategy, langs in self.choices:
+            out = F.when(F.col(self.lang_col).isin(*langs), strategy.token_structs(strategy.prepare(text), self.levels)).otherwise(out)
+        return out
+
+
 #: Language registry (U4): ``documents.lang`` -> tokeniser strategy.
 #: Japanese needs an external analyser (see ``sources.analyser``) or
 #: pre-annotated input; the regex strategy is the default for the rest.
@@ -184,5 +221,5 @@ LANGUAGES: dict[str, TokenizerStrategy] = {
     "es": RegexTokenizer(),
 }
 
-__all__ = ["AnnotatedTokenizer", "LANGUAGES", "LEVEL_NAMES", "LanguageTokenizer", "PresegmentedTokenizer", "RegexTokenizer",
+__all__ = ["AnnotatedTokenizer", "LANGUAGES", "LEVEL_NAMES", "LanguageTokenizer", "MixedTokenizer", "PresegmentedTokenizer", "RegexTokenizer",
            "TokenizerStrategy"]
