@@ -207,3 +207,18 @@ def test_salted_words_never_pass_through_the_driver(spark):
     got = keywords.salted_join(rows, words, "term", keywords.SMALL_TABLE_ROWS + 1, ["doc_id"])
     assert sorted((r["doc_id"], r["idx"]) for r in got.collect()) == [(i, i % 7) for i in range(50)]
     assert "Broadcast" not in formatted(got)
+
+
+def test_index_lookup_and_slots(spark):
+    texts = spark.range(0, 40, 1, 20).select(F.col("id").alias("doc_id"), F.concat(F.lit("the cat w"), "id").alias("text"))
+    corpus = build_corpus(texts)
+    index = build_index(corpus, scratch_path(spark, "index"))
+    assert index.slots == 20 * 16                       # more splits, more slots of the same size
+    hits = index.hits(["the", "cat", "the"])
+    assert hits.count() == 120 and " Exchange" not in formatted(hits)   # hot words stay where they are
+
+
+def test_distance_cells_look_at_the_tokens_once(spark):
+    corpus = build_corpus(spark.createDataFrame([(0, "a b a c b a b")], "doc_id long, text string"))
+    plan = formatted(distance.distance_cells(corpus, ["a", "b", "x"], 1, 4))
+    assert plan.count("transform(_t") == 1 and "transform(_tok" not in plan

@@ -18,12 +18,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordlens.functions.arrays import percent_positions, with_term_profile
+from wordlens.operators import keywords
 from wordlens.sources.corpus import Corpus
 from wordlens.sources.store import bucketed, ddl, open_bucketed
 
 ROW_GROUP_BYTES = 1 << 20
 #: blocks that the rows of a term are cut into
 SALTS = 8
+#: slots for each split that the corpus is read in, so that the task that sorts a slot stays as
+#: small however large the corpus is
+SLOTS_PER_SPLIT = 16
 #: longest list of words that is looked up by a literal list; longer ones are joined
 MOST_LITERALS = 1000
 
@@ -53,11 +57,12 @@ class PositionalIndex:
         """W3/W4 for the sentences that have the word: ``word_no, term``, keys, ``n_tokens``,
         ``positions``; ``words`` is a list or a table of ``word_no, term``."""
         if not isinstance(words, DataFrame):
-            found = self._of(words) if len(words) <= MOST_LITERALS else self.df
+            found, n_words = self._of(words) if len(words) <= MOST_LITERALS else self.df, len(words)
             words = self.df.sparkSession.createDataFrame(list(enumerate(words)), "word_no int, term string")
         else:
-            found = self.df
-        out = found.join(words.select("word_no", F.col("term").alias("_word")), F.col("term") == F.col("_word"))
+            found, n_words = self.df, words.count()
+        # the rows of a few words are not dealt by them: all of a hot word would be one task's
+        out = keywords.salted_join(found, words.select("word_no", "term"), "term", n_words, self.keys)
         positions = percent_positions("positions", "n_tokens") if in_percent else F.col("positions")
         return out.select("word_no", "term", *self.keys, "n_tokens", positions.alias("positions"))
 
@@ -95,8 +100,9 @@ def _slot(term: Column, salt: Column, slots: int) -> Column:
 
 def build_index(corpus: Corpus, path: str, level: int = 0, slots: int | None = None,
                 row_group_bytes: int = ROW_GROUP_BYTES) -> PositionalIndex:
-    """Write the index of one level and open it; ``slots`` unset: shuffle partitions."""
-    slots = slots or int(corpus.spark.conf.get("spark.sql.shuffle.partitions"))
+    """Write the index of one level and open it; ``slots`` unset: ``SLOTS_PER_SPLIT`` for each
+    split of the corpus, the session's shuffle partitions at least."""
+    slots = slots or max(int(corpus.spark.conf.get("spark.sql.shuffle.partitions")), SLOTS_PER_SPLIT * corpus.df.rdd.getNumPartitions())
     salt = F.pmod(F.xxhash64(*corpus.keys), F.lit(SALTS)).cast("int")
     rows = term_positions(corpus, level).select(_slot(F.col("term"), salt, slots).alias("_slot"), "term", *corpus.keys, "n_tokens", "positions")
     df = bucketed(rows.repartition(slots, "_slot"), f"{path}/rows", ["_slot"], slots, ["term", *corpus.keys], **{"parquet.block.size": row_group_bytes})
