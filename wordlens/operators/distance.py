@@ -81,16 +81,24 @@ def distance_cells(corpus: Corpus, words: Sequence[str], first: int, last: int,
     """
     wl = F.array(*[F.lit(w) for w in words])
     t = corpus.level_form(level, "_t")
-    lists = t.select(*corpus.keys, F.transform(wl, lambda w: F.filter(
-        F.transform("_t", lambda x, i: F.when(x == w, i).otherwise(-1)), lambda q: q >= 0)).alias("_P"))
-    lists = lists.select(*corpus.keys, F.transform("_P", lambda p: F.when(F.size(p) > 0, p).otherwise(F.array(F.lit(ABSENT)))).alias("_F"))
+    # one look at every token; the words are told apart among the few that are of the list.  Each
+    # step stands inside a generator, so that no later filter is pushed below it and makes it anew
+    hits = F.array_compact(F.transform("_t", lambda x, i: F.when(x.isin(*words), F.struct(x.alias("w"), i.alias("p")))))
+    lists = t.select(*corpus.keys, F.inline_outer(F.array(F.struct(hits.alias("_h")))))
+    own = F.transform(wl, lambda w: F.filter("_h", lambda e: e["w"] == w)["p"])
+    lists = lists.select(*corpus.keys, F.inline_outer(F.array(F.struct(
+        F.transform(own, lambda p: F.when(F.size(p) > 0, p).otherwise(F.array(F.lit(ABSENT)))).alias("_F")))))
     # min(C, last): the product stops growing where the range ends
     upto = F.aggregate("_F", F.lit(1).cast("long"), lambda acc, p: F.least(acc * F.size(p), F.lit(last).cast("long")))
     whole = F.aggregate("_F", F.lit(1).cast("decimal(38,0)"), lambda acc, p: F.try_multiply(acc, F.size(p).cast("decimal(10,0)")).cast("decimal(38,0)"))
-    lists = lists.select(*corpus.keys, "_F", upto.alias("_upto"), whole.cast("string").alias("combinations")).where(F.col("_upto") > first)
-    cells = lists.select(*corpus.keys, "_F", "combinations", F.explode(F.sequence(F.lit(first).cast("long"), F.col("_upto") - 1)).alias("c"))
-    pairs = cells.select(*corpus.keys, "combinations", "c", "_F", F.posexplode_outer(
-        F.transform("_F", lambda p: F.get(p, (F.col("c") % F.size(p)).cast("int")))).alias("j", "_at"))
-    rows = pairs.select(*corpus.keys, "combinations", "c", "j", "_at", F.posexplode_outer(F.transform("_F", lambda p: F.get(p, F.lit(0)))).alias("i", "_first"))
+    lists = lists.select(*corpus.keys, "_F", upto.alias("_upto"), whole.cast("string").alias("combinations"))
+    # the asked places of every list are read inside the sentence, so that no row carries the lists
+    span = F.when(F.col("_upto") > first, F.sequence(F.lit(first).cast("long"), F.col("_upto") - 1))
+    lists = lists.select(*corpus.keys, "combinations", F.transform("_F", lambda p: F.get(p, F.lit(0))).alias("_firsts"),
+                         F.transform("_F", lambda p: F.transform(span, lambda c: F.get(p, (c % F.size(p)).cast("int")))).alias("_ats"))
+    cells = lists.select(*corpus.keys, "combinations", "_firsts", F.posexplode_outer("_ats").alias("j", "_at"))
+    pairs = cells.select(*corpus.keys, "combinations", "_firsts", "j", F.posexplode_outer("_at").alias("_k", "_at")).where(F.col("_k").isNotNull())
+    rows = pairs.select(*corpus.keys, "combinations", "j", "_at", (F.col("_k").cast("long") + F.lit(first).cast("long")).alias("c"),
+                        F.posexplode_outer("_firsts").alias("i", "_first"))
     return rows.select(*corpus.keys, F.col("i").cast("int").alias("i"), wl[F.col("i")].alias("term_i"), F.col("j").cast("int").alias("j"),
                        wl[F.col("j")].alias("term_j"), "c", (F.col("_first") - F.col("_at")).cast("int").alias("distance"), "combinations")
