@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordlens.functions.arrays import percent
+from wordlens.functions.tokenise import PUNCT, WORD
 from wordlens.operators import align, distance, keywords, positions, project, reshape
 from wordlens.plans import params as P
 from wordlens.session import read_table, scratch_path
@@ -483,11 +484,10 @@ def _analyser_line(x: Column, is_eos: Column, faults: bool) -> Column:
     ``params`` get the two other padded forms and the two forms that are
     rejected.
     """
-    from wordlens.functions.tokenise import token_class
-    cls = token_class(x)
-    plain = F.concat(cls, F.lit(",*" * 28))
-    quoted = F.concat(cls, F.lit(",*" * 5 + ',"'), x, F.lit(',x"' + ",*" * 22))
-    feats = F.when(cls == "WORD", quoted).when(cls == "NUM", F.lit(P.SHORT_NUMERAL)).otherwise(plain)
+    # the class that token_class gives, looked at once
+    fields = lambda cls: F.lit(cls + ",*" * 28)
+    quoted = F.concat(F.lit(WORD + ",*" * 5 + ',"'), x, F.lit(',x"' + ",*" * 22))
+    feats = F.when(x.rlike(r"^\p{L}"), quoted).when(x.rlike(r"^\p{N}"), F.lit(P.SHORT_NUMERAL)).otherwise(fields(PUNCT))
     if faults:
         for symbol, form in P.SYMBOL_FORMS.items():
             feats = F.when(x == symbol, F.lit(form)).otherwise(feats)
@@ -521,7 +521,7 @@ def q_annotated_rejects(spark, sf_dir):
 
 def q_annotated_padding(spark, sf_dir):
     """The sentences that stay beside the rejected ones: padded and end fields."""
-    corpus, _rejects = annotated.parse_analyser_output(derived_analyser_output(spark, sf_dir, faults=True))
+    corpus, _rejects = annotated.parse_analyser_output(derived_analyser_output(spark, sf_dir, faults=True), levels=(1, 2, 29))
     return keywords.keyword_stats_levels(corpus, [1, 2, 29]).select("level", "term", "binary", "count")
 
 

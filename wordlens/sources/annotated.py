@@ -29,7 +29,8 @@ Rules (taken from the reference parser):
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -45,19 +46,6 @@ SHORT_TOKEN_SIZE = 7
 PAD_IF_FIELD_2 = ("数詞", "普通名詞")
 PAD_IF_FIELD_1 = ("感動詞",)
 
-def quote_aware_split(features: Column) -> Column:
-    """Split on commas that are not inside double quotes; quotes stay in the values.
-
-    Linear time: the text is cut at quotes, commas in the odd (quoted)
-    segments are swapped for a line break, which no line contains, the text
-    is split on the remaining commas and the line breaks turned back.
-    """
-    segs = F.split(features, '"', -1)
-    protected = F.array_join(F.transform(segs, lambda s, i: F.when(
-        i % 2 == 1, F.replace(s, F.lit(","), F.lit("\n"))).otherwise(s)), '"')
-    return F.transform(F.split(protected, ",", -1), lambda f: F.replace(f, F.lit("\n"), F.lit(",")))
-
-
 MODES = ("quarantine", "failfast")
 
 
@@ -74,60 +62,96 @@ def _ones(s: Column, ch: str) -> Column:
     return F.octet_length(s) - F.octet_length(F.replace(s, F.lit(ch), F.lit("")))
 
 
-def _count(s: Column, ch: str) -> Column:
-    return F.length(s) - F.length(F.replace(s, F.lit(ch), F.lit("")))
-
+def _line_form(levels: Sequence[int], alone: bool) -> tuple[str, str]:
+    """The rules above as one regular expression for a line break and a valid line, and the text that
+    replaces them: for the end marker and each of ``levels`` a tab and its value (the marker's own
+    value is empty for other tokens).  A line that cannot be normalised does not match and keeps its
+    line break.  ``alone``: the text is one line (which may hold breaks of its own).
 
-def parse_lines(lines: Column) -> Column:
-    """Analyser lines -> ``array<struct<raw_line, token struct<f00..f29, is_eos>, reason>>``.
-
-    Chained ``transform`` stages; each reads only fields of its own
-    lambda variable, so nothing (in particular the quote-aware split) is
-    evaluated more than once per line.  Whether a line needs the quote
-    repair is decided from its comma count, before any array is built.
+    Every repetition is possessive, so a line is read in linear time and without recursion.
     """
-    s1 = F.transform(lines, lambda ln: F.struct(ln.alias("raw_line"), F.split(ln, "\t", -1).alias("tab")))
-
-    def stage2(e):
-        tab, line = e["tab"], e["raw_line"]
-        two = F.size(tab) == 2
-        surface, feats = F.get(tab, 0), F.get(tab, 1)
-        n_raw = F.when(two, _count(feats, ",") + 2).otherwise(F.size(tab))
-        fixed = (
-            F.when(~two, tab)
-            .when(n_raw == N_LEVELS, F.concat(F.array(surface), F.split(feats, ",", -1)))
-            .otherwise(F.concat(F.array(surface), quote_aware_split(feats)))
-        )
-        unclosed = (n_raw != N_LEVELS) & (_count(line, '"') % 2 == 1)
-        return F.struct(line.alias("raw_line"), fixed.alias("fixed"), unclosed.alias("unclosed"))
-
-    def stage3(e):
-        fixed = e["fixed"]
-        full = F.size(fixed) == N_LEVELS
-        eos = ~full & (F.get(fixed, 0) == F.lit(EOS))
-        short = (F.size(fixed) == SHORT_TOKEN_SIZE) & (
-            F.get(fixed, 2).isin(*PAD_IF_FIELD_2) | F.get(fixed, 1).isin(*PAD_IF_FIELD_1))
-        normal = (
-            F.when(full, fixed)
-            .when(eos, F.array_repeat(F.lit(EOS), N_LEVELS))
-            .when(short, F.concat(fixed, F.array_repeat(F.lit(""), N_LEVELS - SHORT_TOKEN_SIZE)))
-        )
-        reason = (F.when(e["unclosed"], F.lit("unclosed_quote"))
-                  .when(~(full | eos | short), F.lit("unknown_type")))
-        return F.struct(e["raw_line"].alias("raw_line"), normal.alias("fields"), eos.alias("is_eos"),
-                        reason.alias("reason"))
-
-    def stage4(e):
-        fields = [F.get(e["fields"], lv).alias(level_name(lv)) for lv in range(N_LEVELS)]
-        return F.struct(e["raw_line"].alias("raw_line"), F.struct(*fields, e["is_eos"].alias("is_eos")).alias("token"),
-                        e["reason"].alias("reason"))
-
-    return F.transform(F.transform(F.transform(s1, stage2), stage3), stage4)
+    nl, end = ("", r"\z") if alone else (r"\n", r"(?=\n|\z)")
+    piece, raw = rf"[^\t{nl}]*+", rf"[^,\t{nl}]*+"
+    # commas inside quotes are no split points; an open quote reaches to the end
+    quoted = rf'(?:[^",\t{nl}]++|"[^"\t{nl}]*+(?:"|{end}))*+'
+    even = rf'(?=[^"{nl}]*+(?:"[^"{nl}]*+"[^"{nl}]*+)*+{end})'
+    groups: dict[int, list[int]] = {lv: [1] for lv in levels}   # the first group is the end marker
+    made = 1
+
+    def token(forms: Sequence[str], seps: Sequence[str]) -> str:
+        """Pieces of the given forms and what follows each, the asked ones captured."""
+        nonlocal made
+        out = ""
+        k = 0
+        while k < len(forms):
+            if k in groups:
+                made += 1
+                groups[k].append(made)
+                out += f"({forms[k]}){seps[k]}"
+                k += 1
+                continue
+            n = 1
+            while k + n < len(forms) and k + n not in groups and (forms[k + n], seps[k + n]) == (forms[k], seps[k]):
+                n += 1
+            out += f"(?:{forms[k]}{seps[k]}){{{n}}}+"
+            k += n
+        return out
+
+    by_comma, by_tab = ["\\t"] + [","] * (N_LEVELS - 2) + [""], ["\\t"] * (N_LEVELS - 1) + [""]
+    short = SHORT_TOKEN_SIZE
+    of_1, of_2 = "|".join(map(re.escape, PAD_IF_FIELD_1)), "|".join(map(re.escape, PAD_IF_FIELD_2))
+    eos = rf"({EOS})(?:\t[^{nl}]*+)?+" if nl else rf"({EOS})(?:\t(?s:.*+))?+"
+    first, forms = f"{even}{eos}", []
+    forms.append(token([piece] + [raw] * (N_LEVELS - 1), by_comma))
+    forms.append(token([piece] * N_LEVELS, by_tab))
+    forms.append(even + token([piece] + [quoted] * (N_LEVELS - 1), by_comma))
+    # full tokens come first, whatever they start with
+    full = len(forms)
+    for sep, one in ((",", quoted), ("\\t", piece)):
+        seps = ["\\t"] + [sep] * (short - 2) + [""]
+        padded = rf"(?={piece}\t(?:(?:{of_1}){sep}|{one}{sep}(?:{of_2}){sep}))"
+        forms.append(even + padded + token([piece] + [one] * (short - 1), seps))
+    # the end marker has the first group, so it is written first, but only where no full token is
+    plain = "|".join(f"(?:{re.sub(CAPTURE, '(?:', f)}){end}" for f in forms[:full])
+    line = "|".join([rf"(?={EOS}(?:\t|{end}))(?!{plain}){first}", *forms])
+    values = "".join("\t" + "".join(f"${g}" for g in groups[lv]) for lv in levels)
+    return rf"{chr(92) + 'A' if alone else ''}\n(?:{line}){end}", f"\t$1{values}"
+
+
+#: an opening bracket of a capturing group
+CAPTURE = r"(?<!\\)\((?!\?)"
+
+
+def _values(text: Column, levels: Sequence[int], alone: bool = False) -> Column:
+    """A tab, the end marker or nothing, and a tab and a value for each level, line after line; a line
+    that cannot be normalised is left as it is, after a line break."""
+    form, values = _line_form(levels, alone)
+    return F.regexp_replace(F.concat(F.lit("\n"), text), F.lit(form), F.lit(values))
+
+
+def _faulty(text: Column, alone: bool = False) -> Column:
+    """Whether a line of ``text`` cannot be normalised."""
+    form, _ = _line_form((), alone)
+    start, line = form.split(r"\n", 1)
+    return F.concat(F.lit("\n"), text).rlike(rf"{start}\n(?!{line})")
+
+
+def _reason(line: Column) -> Column:
+    """Why a line cannot be normalised; NULL if it can.  (Raw splits of 30 pieces always can.)"""
+    return F.when(_faulty(line, alone=True), F.when(_ones(line, '"') % 2 == 1, F.lit("unclosed_quote")).otherwise(F.lit("unknown_type")))
+
+
+def _tokens(values: Column, levels: Sequence[int]) -> Column:
+    """:func:`_values` of a sentence without faults, cut at its tabs -> ``array<struct<fNN, is_eos>>``."""
+    width = len(levels) + 1
+    starts = F.sequence(F.lit(1), F.size(values) - width, F.lit(width))
+    return F.transform(starts, lambda i: F.struct(
+        *[F.get(values, i + k).alias(level_name(lv)) for k, lv in enumerate(levels, 1)], (F.get(values, i) != "").alias("is_eos")))
 
 
 def parse_analyser_output(df: DataFrame, col: str = "analysis",
                           keys: Sequence[str] = ("doc_id", "sent_no"),
-                          mode: str = "quarantine") -> tuple[Corpus, DataFrame]:
+                          mode: str = "quarantine", levels: Sequence[int] = tuple(range(N_LEVELS))) -> tuple[Corpus, DataFrame]:
     """Per-sentence analyser strings -> (corpus, rejects).
 
     ``mode='quarantine'`` (default) moves a sentence with any bad line out of
@@ -136,26 +160,25 @@ def parse_analyser_output(df: DataFrame, col: str = "analysis",
     ``sentence_rejected``.  Every other sentence stays, also one without an
     end marker or with nothing else; a NULL string is an empty one, whose
     only line is rejected.  ``mode='failfast'`` raises at the first bad
-    line, like the reference.
+    line, like the reference.  Tokens carry the fields of ``levels``.
+
+    A sentence is read by one compiled expression; only rejected ones are cut into lines.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    keys = list(keys)
-    lines = F.split(_strip(F.coalesce(F.col(col), F.lit(""))), "\n", -1)
-    # parse inside a generator: "_lines" becomes an attribute, so the filters
-    # below cannot be pushed under it and re-run the parser
-    parsed = df.select(*keys, F.inline_outer(F.array(F.struct(parse_lines(lines).alias("_lines")))))
-    parsed = parsed.withColumn("_bad", F.exists("_lines", lambda e: e["reason"].isNotNull()))
+    keys, levels = list(keys), list(levels)
+    # the text and what is made of it become attributes of a generator, so the filters
+    # below cannot be pushed under it and make it again
+    texts = df.select(*keys, F.inline_outer(F.array(F.struct(_strip(F.coalesce(F.col(col), F.lit(""))).alias("_text")))))
+    values = texts.select(*keys, F.inline_outer(F.array(F.struct(_values(F.col("_text"), levels).alias("_values")))))
+    bad = F.contains("_values", F.lit("\n"))
     if mode == "failfast":
-        parsed = parsed.withColumn("_bad", F.when(
-            F.col("_bad"), F.raise_error(F.lit("analyser line could not be normalised to 30 fields")))
-            .otherwise(F.col("_bad")))
-    good = parsed.where(~F.col("_bad")).select(
-        *keys, F.col("_lines")["token"].alias("_tok")).withColumn("n_tokens", F.size("_tok").cast("int"))
-    rejects = (parsed.where(F.col("_bad"))
-               .select(*keys, F.posexplode("_lines").alias("line_no", "_e"))
-               .select(*keys, F.col("line_no").cast("int").alias("line_no"), F.col("_e.raw_line").alias("raw_line"),
-                       F.coalesce(F.col("_e.reason"), F.lit("sentence_rejected")).alias("reason")))
+        bad = F.when(bad, F.raise_error(F.lit("analyser line could not be normalised to 30 fields"))).otherwise(bad)
+    good = (values.where(~bad).select(*keys, F.inline_outer(F.array(F.struct(F.split("_values", "\t", -1).alias("_v")))))
+            .select(*keys, _tokens(F.col("_v"), levels).alias("_tok"), F.expr(f"cast((size(_v) - 1) div {len(levels) + 1} as int)").alias("n_tokens")))
+    rejects = (texts.where(_faulty(F.col("_text"))).select(*keys, F.posexplode_outer(F.split("_text", "\n", -1)).alias("line_no", "raw_line"))
+               .select(*keys, F.col("line_no").cast("int").alias("line_no"), "raw_line",
+                       F.coalesce(_reason(F.col("raw_line")), F.lit("sentence_rejected")).alias("reason")))
     return Corpus(good, tuple(keys), AnnotatedTokenizer()), rejects
 
 
@@ -172,21 +195,23 @@ class AnalyserTextTokenizer(AnnotatedTokenizer):
             raise ValueError(f"mode must be one of {MODES}")
 
     def prepare(self, text: Column) -> Column:
-        def faulty(e: Column) -> Column:
-            there = e["reason"].isNotNull()
+        return self.structs(text, range(N_LEVELS))
+
+    def structs(self, text: Column, levels: Sequence[int]) -> Column:
+        def read(values: Column) -> Column:
+            bad = F.contains(values, F.lit("\n"))
             if self.mode == "failfast":
-                stop = F.raise_error(F.concat(F.lit("analyser line could not be normalised to 30 fields: "), e["raw_line"]))
-                return F.when(there, stop).otherwise(there)
-            return there
+                line = F.regexp_extract(values, r"\n([^\n]*)", 1)
+                bad = F.when(bad, F.raise_error(F.concat(F.lit("analyser line could not be normalised to 30 fields: "), line))).otherwise(bad)
+            return F.when(~bad, _bound(F.split(values, "\t", -1), lambda v: _tokens(v, levels)))
 
-        # parsed once: the lines are bound to a name before they are looked at twice
-        return F.transform(F.array(parse_lines(F.split(_strip(text), "\n", -1))), lambda lines: F.when(
-            ~F.exists(lines, faulty), F.transform(lines, lambda e: e["token"])))[0]
+        # read once, by the levels that are asked for
+        return _bound(_values(_strip(text), list(levels)), read)
 
 
-_QUOTED = '"[^"]*+"'
-#: one feature: runs without quote or comma, and quoted parts that may hold commas
-_FEATURE = '(?:[^",]++|"[^"]*+")*+'
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, the value being made once."""
+    return F.transform(F.array(value), use)[0]
 
 
 def sentence_lines(df: DataFrame, col: str = "analysis", keys: Sequence[str] = ("doc_id", "sent_no")) -> DataFrame:
@@ -203,6 +228,8 @@ class TokenRows:
     df: DataFrame
     keys: tuple[str, ...]
     levels: tuple[int, ...]
+    #: the rows as they were read: those of rejected sentences are in it, ``_bad`` at the faulty lines
+    read: DataFrame | None = None
 
     def corpus(self) -> Corpus:
         """The sentence form of these levels; no further exchange."""
@@ -212,12 +239,18 @@ class TokenRows:
 
     def statistics(self, levels: Sequence[int] | None = None) -> DataFrame:
         """A8 (A7, A11, A12) of several levels: ``level, term, binary, count, quote,
-        pos_index, pct_index``.  Counting inside a sentence needs no exchange beyond the one
-        the rows have had; the sums per term are added up in the tasks first."""
+        pos_index, pct_index``.  A sentence's rows meet by one exchange and are counted by term;
+        rejected sentences are set aside among these counts, not among the rows.  The sums per
+        term are added up in the tasks first."""
         levels = self.levels if levels is None else levels
         values = F.array(*[F.struct(F.lit(lv).alias("level"), F.col(level_name(lv)).alias("term")) for lv in levels])
-        rows = self.df.select(*self.keys, "pos", "n_tokens", F.inline(values)).where(F.col("term").isNotNull())
-        own = rows.groupBy(*self.keys, "n_tokens", "level", "term").agg(F.min("pos").alias("fp"), F.count(F.lit(1)).alias("tf"))
+        rows = self.df.withColumn("_bad", F.lit(False)) if self.read is None else self.read.repartition(*self.keys)
+        own = rows.select(*self.keys, "pos", "_bad", F.inline(values)).groupBy(*self.keys, "level", "term").agg(
+            F.min("pos").alias("fp"), F.count(F.lit(1)).alias("tf"), F.max("_bad").alias("_bad"))
+        sentence = Window.partitionBy(*self.keys)
+        own = (own.withColumn("_rejected", F.max("_bad").over(sentence))
+               .withColumn("n_tokens", (F.sum("tf").over(sentence) / len(levels)).cast("int"))   # a token has a row at each level
+               .where(~F.col("_rejected") & F.col("term").isNotNull()))
         total = own.groupBy("level", "term").agg(
             F.count(F.lit(1)).alias("binary"), F.sum("tf").alias("count"), F.avg("fp").alias("pos_index"),
             F.avg(percent(F.col("fp"), F.col("n_tokens"))).alias("pct_index"))
@@ -235,42 +268,24 @@ def parse_token_rows(lines: DataFrame, keys: Sequence[str] = ("doc_id", "sent_no
         raise ValueError(f"mode must be one of {MODES}")
     keys = list(keys)
     line = F.coalesce(F.col(raw_line), F.lit(""))
-    rows = lines.select(*keys, F.col(line_no).cast("int").alias("pos"), line.alias("raw_line"), _ones(line, "\t").alias("_tabs"),
-                        F.substring_index(line, "\t", -1).alias("_feats"))
-    feats, two = F.col("_feats"), F.col("_tabs") == 1
-    quotes = F.when(two, _ones(feats, '"')).otherwise(F.lit(0))
-    rows = rows.select("*", F.when(two, _ones(feats, ",") + 2).otherwise(F.col("_tabs") + 1).alias("_n_raw"), quotes.alias("_quotes"))
-    # commas inside quotes do not count, unless the raw split already gives a full token
-    n = F.when((F.col("_quotes") == 0) | (F.col("_n_raw") == N_LEVELS), F.col("_n_raw")).otherwise(_ones(F.regexp_replace(feats, _QUOTED, ""), ",") + 2)
-    unclosed = (F.col("_n_raw") != N_LEVELS) & (_ones(F.col("raw_line"), '"') % 2 == 1)
-    rows = rows.select(*keys, "pos", "raw_line", "_tabs", "_feats", unclosed.alias("_unclosed"), (F.col("_n_raw") == n).alias("_raw"), n.alias("_n"))
-
-    def piece(k: int) -> Column:
-        """The k-th piece (0: surface); taken out of the line, not out of a list of all."""
-        plain = lambda text, i: F.substring_index(F.substring_index(text, ",", i), ",", -1)
-        if k == 0:
-            return F.substring_index("raw_line", "\t", 1)
-        # the regular expression is needed only where a quote comes before the piece ends
-        simple = F.col("_raw") | ~F.contains(F.substring_index(feats, ",", k), F.lit('"'))
-        within = F.when(simple, plain(feats, k)).otherwise(F.regexp_extract(feats, f"^(?:{_FEATURE},){{{k - 1}}}({_FEATURE})", 1))
-        return F.when(two, within).otherwise(F.get(F.split("raw_line", "\t", -1), F.lit(k)))
-
-    full = F.col("_n") == N_LEVELS
-    eos = ~full & (piece(0) == F.lit(EOS))
-    short = (F.col("_n") == SHORT_TOKEN_SIZE) & (piece(2).isin(*PAD_IF_FIELD_2) | piece(1).isin(*PAD_IF_FIELD_1))
-    reason = F.when(F.col("_unclosed"), F.lit("unclosed_quote")).when(~(full | eos | short), F.lit("unknown_type"))
+    values = _values(line, list(levels), alone=True)
+    rows = lines.select(*keys, F.col(line_no).cast("int").alias("pos"), line.alias("raw_line"), values.alias("_values"))
+    bad = F.startswith("_values", F.lit("\n"))
+    rows = rows.select(*keys, "pos", "raw_line", bad.alias("_bad"), F.when(~bad, F.split("_values", "\t", -1)).alias("_v"))
+    reason = F.when(F.col("_bad"), F.when(_ones(F.col("raw_line"), '"') % 2 == 1, F.lit("unclosed_quote")).otherwise(F.lit("unknown_type")))
     if mode == "failfast":
-        reason = F.when(reason.isNotNull(), F.raise_error(F.lit("analyser line could not be normalised to 30 fields"))).otherwise(reason)
-    value = lambda lv: F.when(eos, F.lit(EOS)).when(F.col("_n") > lv, piece(lv)).otherwise(F.lit(""))
-    parsed = rows.select(*keys, "pos", "raw_line", reason.alias("reason"), F.coalesce(eos, F.lit(False)).alias("is_eos"),
-                         *[value(lv).alias(level_name(lv)) for lv in levels])
+        stop = F.raise_error(F.lit("analyser line could not be normalised to 30 fields"))
+        reason = F.when(F.col("_bad"), stop).otherwise(reason)
+        rows = rows.withColumn("_bad", F.when(F.col("_bad"), stop.cast("boolean")).otherwise(F.lit(False)))
+    parsed = rows.select(*keys, "pos", "raw_line", "_bad", reason.alias("reason"), F.coalesce(F.get("_v", F.lit(1)) != "", F.lit(False)).alias("is_eos"),
+                         *[F.get("_v", F.lit(k)).alias(level_name(lv)) for k, lv in enumerate(levels, 2)])
     # rows of a sentence meet: a bounded group, and the only exchange
     sentence = Window.partitionBy(*keys)
-    met = parsed.repartition(*keys).withColumn("_bad", F.count("reason").over(sentence)).withColumn("n_tokens", F.count(F.lit(1)).over(sentence).cast("int"))
+    met = parsed.drop("_bad").repartition(*keys).withColumn("_bad", F.count("reason").over(sentence)).withColumn("n_tokens", F.count(F.lit(1)).over(sentence).cast("int"))
     good = met.where(F.col("_bad") == 0).select(*keys, "pos", "n_tokens", "is_eos", *[level_name(lv) for lv in levels])
     rejects = met.where(F.col("_bad") > 0).select(
         *keys, F.col("pos").alias("line_no"), "raw_line", F.coalesce("reason", F.lit("sentence_rejected")).alias("reason"))
-    return TokenRows(good, tuple(keys), tuple(levels)), rejects
+    return TokenRows(good, tuple(keys), tuple(levels), parsed.drop("raw_line", "reason")), rejects
 
 
 def lines_to_sentences(lines: DataFrame, keys: Sequence[str] = ("doc_id", "sent_no"),

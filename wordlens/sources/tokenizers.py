@@ -55,6 +55,10 @@ class TokenizerStrategy:
         """One exploded ``_tok`` element -> its value at ``level``."""
         raise NotImplementedError
 
+    def structs(self, text: Column, levels: Sequence[int]) -> Column:
+        """``text`` of one sentence -> its :meth:`token_structs`."""
+        return self.token_structs(self.prepare(text), levels)
+
     def token_structs(self, tok: Column, levels: Sequence[int]) -> Column:
         """``_tok`` as ``array<struct<fNN of levels, is_eos>>``, the form that all strategies share."""
         def all_of(t: Column) -> Column:
@@ -205,9 +209,9 @@ class MixedTokenizer(AnnotatedTokenizer):
         return (self.lang_col,)
 
     def prepare(self, text: Column) -> Column:
-        out = self.default.token_structs(self.default.prepare(text), self.levels)
+        out = self.default.structs(text, self.levels)
         for strategy, langs in self.choices:
-            out = F.when(F.col(self.lang_col).isin(*langs), strategy.token_structs(strategy.prepare(text), self.levels)).otherwise(out)
+            out = F.when(F.col(self.lang_col).isin(*langs), strategy.structs(text, self.levels)).otherwise(out)
         return out
 
 
