@@ -68,33 +68,28 @@ def _line_form(levels: Sequence[int], alone: bool) -> tuple[str, str]:
     value is empty for other tokens).  A line that cannot be normalised does not match and keeps its
     line break.  ``alone``: the text is one line (which may hold breaks of its own).
 
-    Every repetition is possessive, so a line is read in linear time and without recursion.
+    Repeated groups are possessive, so a line is read in linear time and without recursion.
     """
     nl, end = ("", r"\z") if alone else (r"\n", r"(?=\n|\z)")
-    piece, raw = rf"[^\t{nl}]*+", rf"[^,\t{nl}]*+"
+    # a character class is never followed by one of its own characters: "*" is as good as "*+", and faster
+    piece, raw = rf"[^\t{nl}]*", rf"[^,\t{nl}]*"
     # commas inside quotes are no split points; an open quote reaches to the end
-    quoted = rf'(?:[^",\t{nl}]++|"[^"\t{nl}]*+(?:"|{end}))*+'
+    quoted = rf'[^",\t{nl}]*(?:"[^"\t{nl}]*+(?:"|{end})[^",\t{nl}]*+)*+'
+    closed = rf'[^",\t{nl}]*(?:"[^"\t{nl}]*"[^",\t{nl}]*+)*+'
     even = rf'(?=[^"{nl}]*+(?:"[^"{nl}]*+"[^"{nl}]*+)*+{end})'
-    groups: dict[int, list[int]] = {lv: [1] for lv in levels}   # the first group is the end marker
-    made = 1
+    groups: dict[int, list[int]] = {lv: [] for lv in levels}   # numbered in the order of the text
+    made = 0
 
     def token(forms: Sequence[str], seps: Sequence[str]) -> str:
         """Pieces of the given forms and what follows each, the asked ones captured."""
         nonlocal made
         out = ""
-        k = 0
-        while k < len(forms):
+        for k, (form, sep) in enumerate(zip(forms, seps, strict=True)):   # written out: a counted group takes half as long again
             if k in groups:
                 made += 1
                 groups[k].append(made)
-                out += f"({forms[k]}){seps[k]}"
-                k += 1
-                continue
-            n = 1
-            while k + n < len(forms) and k + n not in groups and (forms[k + n], seps[k + n]) == (forms[k], seps[k]):
-                n += 1
-            out += f"(?:{forms[k]}{seps[k]}){{{n}}}+"
-            k += n
+                form = f"({form})"
+            out += form + sep
         return out
 
     by_comma, by_tab = ["\\t"] + [","] * (N_LEVELS - 2) + [""], ["\\t"] * (N_LEVELS - 1) + [""]
@@ -102,6 +97,15 @@ def _line_form(levels: Sequence[int], alone: bool) -> tuple[str, str]:
     of_1, of_2 = "|".join(map(re.escape, PAD_IF_FIELD_1)), "|".join(map(re.escape, PAD_IF_FIELD_2))
     eos = rf"({EOS})(?:\t[^{nl}]*+)?+" if nl else rf"({EOS})(?:\t(?s:.*+))?+"
     first, forms = f"{even}{eos}", []
+    # the common form: no quote in the surface, every quote closed.  Where commas outside quotes give a
+    # full token, those inside either are none or forbid the raw split, so this split is the right one
+    unquoted, bare = rf'[^"\t{nl}]*', rf'[^",\t{nl}]*'
+    common = token([unquoted] + [closed] * (N_LEVELS - 1), by_comma) + end
+    made += 1
+    marker = made
+    # and the common padded one, without quotes
+    padded = rf"(?={unquoted}\t(?:(?:{of_1}),|{bare},(?:{of_2}),))"
+    common_short = padded + token([unquoted] + [bare] * (short - 1), by_comma[: short - 1] + [""]) + end
     forms.append(token([piece] + [raw] * (N_LEVELS - 1), by_comma))
     forms.append(token([piece] * N_LEVELS, by_tab))
     forms.append(even + token([piece] + [quoted] * (N_LEVELS - 1), by_comma))
@@ -111,11 +115,11 @@ def _line_form(levels: Sequence[int], alone: bool) -> tuple[str, str]:
         seps = ["\\t"] + [sep] * (short - 2) + [""]
         padded = rf"(?={piece}\t(?:(?:{of_1}){sep}|{one}{sep}(?:{of_2}){sep}))"
         forms.append(even + padded + token([piece] + [one] * (short - 1), seps))
-    # the end marker has the first group, so it is written first, but only where no full token is
-    plain = "|".join(f"(?:{re.sub(CAPTURE, '(?:', f)}){end}" for f in forms[:full])
-    line = "|".join([rf"(?={EOS}(?:\t|{end}))(?!{plain}){first}", *forms])
-    values = "".join("\t" + "".join(f"${g}" for g in groups[lv]) for lv in levels)
-    return rf"{chr(92) + 'A' if alone else ''}\n(?:{line}){end}", f"\t$1{values}"
+    # the end marker comes before the padded forms, but only where no full token is
+    plain = rf"(?={EOS}{end})|(?!" + "|".join(f"(?:{re.sub(CAPTURE, '(?:', f)}){end}" for f in forms[:full]) + ")"
+    line = "|".join([common, rf"(?={EOS}(?:\t|{end}))(?:{plain}){first}", common_short, *forms])
+    values = "".join("\t" + "".join(f"${g}" for g in [marker, *groups[lv]]) for lv in levels)
+    return rf"{chr(92) + 'A' if alone else ''}\n(?:{line}){end}", f"\t${marker}{values}"
 
 
 #: an opening bracket of a capturing group
