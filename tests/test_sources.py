@@ -75,3 +75,10 @@ def test_mixed_strategies_in_one_corpus(spark):
 
 def annotated_line(surface, kind="一般"):
     return surface + "\t" + ",".join(["名詞", kind] + ["*"] * 27)
+
+
+def test_mixed_corpus_reads_the_asked_levels_only(spark):
+    df = spark.createDataFrame([(0, "ja", "a\t" + ",".join("x" * 29) + "\nEOS"), (1, "en", "b c")], "doc_id long, lang string, text string")
+    c = build_corpus_by_language(df, registry={"ja": AnalyserTextTokenizer()}, splitters={"ja": "analysed"}, levels=(0, 2))
+    assert [[t["f00"] for t in r["_tok"]] for r in c.df.orderBy("doc_id").collect()] == [["a", "EOS"], ["b", "c", "EOS"]]
+    assert "f29" not in c.df._jdf.queryExecution().executedPlan().toString()
