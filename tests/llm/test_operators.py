@@ -530,6 +530,46 @@ def test_window_and_blocks_equal_brute_force():
         assert found.tolist() == want
 
 
+def test_words_are_split_and_told_apart_by_the_column():
+    spaces = [chr(c) for c in range(0x3001) if chr(c).isspace()]
+    texts = [x for x in ODD if x] + ["a".join(spaces) + "b", "x" * 65 + " " + "x" * 66 + " " + "é" * 70_000 + " x", "ab ba a b " * 9000, "  ", ""]
+    counts, index, words = line_dedup.split_words(texts)
+    split = [t.split() for t in texts]
+    assert counts.tolist() == [len(x) for x in split]
+    of = {}
+    for word, key in zip([w for x in split for w in x], words[index].tolist(), strict=True):
+        assert of.setdefault(word, key) == key
+    assert len(set(of.values())) == len(of) == len(np.unique(index))
+    alone = {w: int(line_dedup.split_words([w])[2][0]) for w in of}
+    assert alone == of                                  # whatever stands beside it
+
+
+def test_prefix_of_rarest_words():
+    rng = np.random.default_rng(3)
+    lines = [" ".join(rng.choice(WORDS, int(rng.integers(1, 30)))) + f" {i % 7}" for i in range(50)]
+    counts, index, words = line_dedup.split_words(lines)
+    often = {int(w): int(n) for w, n in zip(words, np.bincount(index)) if n > 20}
+    rare = line_dedup.by_rarity(often)
+    found = line_dedup.prefixes(lines, rare, 0.8)
+    key = dict(zip([w for x in lines for w in x.split()], line_dedup.word_keys(words, rare)[index].tolist(), strict=True))
+    for i, line in enumerate(lines):
+        want = sorted(key[w] for w in set(line.split()))
+        mine = found["owner"] == i
+        assert found["word"][mine].tolist() == want[:len(want) - -(-8 * len(want) // 10) + 1]
+        assert set(found["size"][mine].tolist()) == {len(want)}
+
+
+def test_window_takes_sizes_that_do_not_fit_the_number():
+    big = line_dedup.MOST_SIZE
+    rows = lambda *sizes: np.array([[100 + s % 97 for s in sizes], sizes, [0] * len(sizes), [0] * len(sizes), [0] * len(sizes)], np.int64)
+    window = line_dedup.Window(0.8)
+    window.meet(rows(big - 5))
+    a, b = window.meet(rows(2 * big, big + 9))          # not in order: both have the number of MOST_SIZE
+    assert {*a.tolist(), *b.tolist()} == {100 + s % 97 for s in (big - 5, big + 9)}
+    a, b = window.meet(rows(big + 8, 2 * big + 1))
+    assert {*a.tolist(), *b.tolist()} == {100 + s % 97 for s in (big - 5, big + 9, 2 * big, big + 8, 2 * big + 1)}
+
+
 # ---- binary format ---------------------------------------------------------------
 
 @pytest.mark.parametrize("n", [0, 1, 2047, 2048, 2049, 600_000])

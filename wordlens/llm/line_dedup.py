@@ -10,8 +10,10 @@ Jobs
    the tasks: by that share there are at most ``common`` of them.  All other words are
    rarer; among themselves they are ordered by hash.
 3. *Postings*: each task cuts its new lines to their prefix (the rarest words; a match of
-   ``t`` shares one of the first ``|x| - ceil(t |x|) + 1``) and sends (word, line, size,
-   position, signature).  Postings meet by word, ordered by size; a task streams through
+   ``t`` shares one of the first ``|x| - ceil(t |x|) + 1``) and sends (word and size in one
+   number, line, size and position in one, signature).  Postings meet by word, ordered by
+   size: a sort by one number.  Words are split, told apart and hashed by the column, not
+   one by one in Python; a task streams through
    them, holds only the sizes that the length filter still admits, and applies the length
    filter, the positional filter (words after the shared one bound the overlap) and a bound
    from 128-bit signatures.  It returns star edges of candidate lines, not pairs.
@@ -31,13 +33,12 @@ documents of their own; a null document id comes after all others.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,12 +47,12 @@ from wordlens.llm.common import batch_slices, numbered, ranges, scratch, ship, t
 from wordlens.llm.components import components, local_roots
 
 LINES = pa.schema([("_rid", pa.int64()), ("doc_id", pa.int64()), ("line", pa.int32()), ("h", pa.int64())])
-POSTINGS = pa.schema([("word", pa.int64()), ("h", pa.int64()), ("size", pa.int32()), ("pos", pa.int32()),
-                      ("sig", pa.int64()), ("sig2", pa.int64())])
+POSTINGS = pa.schema([("word", pa.int64()), ("h", pa.int64()), ("place", pa.int64()), ("sig", pa.int64()), ("sig2", pa.int64())])
 WORDS = pa.schema([("h", pa.int64()), ("words", pa.list_(pa.int64()))])
 MIX = np.uint64(0x9E3779B97F4A7C15)
 MOST_COUNTED = 300_000     # different words a task counts between two reports
 SEEN_LINES = 200_000       # hashes a task remembers so as to send a line's postings once
+MOST_PAIRS = 1_000_000     # candidate pairs held before they are cut to star edges
 
 
 def plain_lines(text: str | None) -> Iterator[tuple[int, str]]:
@@ -102,89 +103,146 @@ def lines(numbered_docs: DataFrame) -> DataFrame:
 
 # ---- 2: rarity -------------------------------------------------------------------
 
-def common_words(docs: DataFrame, common: int) -> dict[str, int]:
-    """Counts of the words with a share of at least 1/common: at most ``common`` words.
+SHORT = 64                 # bytes of the words that are hashed together
+CHUNK = 1 << 16            # bytes of words hashed at once
+BASE = 0x9E3779B97F4A7C13  # odd, so it has an inverse modulo 2**64
+_POWERS, _INVERSES = (np.cumprod(np.array([1] + [x] * CHUNK, np.uint64)) for x in (BASE, pow(BASE, -1, 1 << 64)))
+_LETTERS = np.array([xxhash.xxh3_64_intdigest(bytes([i])) for i in range(256)], np.uint64)
+
+
+def split_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number of words of every text (split as ``str.split`` does), the index of every word
+    among the different ones, and the hashes of those."""
+    split = pc.utf8_split_whitespace(pa.array(texts, pa.large_string()))
+    counts = np.diff(split.offsets.to_numpy())
+    coded = split.flatten().dictionary_encode()
+    index, different = coded.indices.to_numpy(), coded.dictionary
+    if (void := pc.index(different, pa.scalar("", different.type)).as_py()) >= 0:     # around outer space
+        owner = np.repeat(np.arange(len(texts)), counts)[index != void]
+        counts, index = np.bincount(owner, minlength=len(texts)), index[index != void]
+    return counts, index, hashes(different)
+
+
+def hashes(words: pa.LargeStringArray) -> np.ndarray:
+    """A 64-bit hash of every word: a polynomial of random numbers for its bytes, from sums
+    over the bytes of all words; words longer than ``SHORT`` bytes one by one."""
+    at = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
+    letters = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+    out = np.zeros(len(words), np.uint64)
+    first = 0
+    while first < len(words):
+        end = max(first + 1, int(np.searchsorted(at, at[first] + CHUNK, "right")) - 1)
+        place = at[first:end + 1] - at[first]
+        if place[-1] <= CHUNK:     # else one long word
+            sums = np.zeros(int(place[-1]) + 1, np.uint64)
+            np.cumsum(_LETTERS[letters[at[first]:at[end]]] * _POWERS[:place[-1]], out=sums[1:])
+            out[first:end] = (sums[place[1:]] - sums[place[:-1]]) * _INVERSES[place[:-1]]
+        first = end
+    out = (out ^ (out >> np.uint64(32))) * MIX
+    for i in np.flatnonzero(np.diff(at) > SHORT).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(words[i].as_py())
+    return (out ^ (out >> np.uint64(29))).view(np.int64)
+
+
+def common_words(docs: DataFrame, common: int) -> dict[int, int]:
+    """Counts of the words (by hash) with a share of at least 1/common: at most ``common`` words.
 
     A task reports the words that have that share in what it read since its last report,
     so counts lack less than 1/common of all words and the report of a task is bounded.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count: Counter[str] = Counter()
+        words, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+        def merged(more: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+            key = np.concatenate([words, *(w for w, _ in more)])
+            n = np.concatenate([counts, *(n for _, n in more)])
+            order = np.argsort(key)
+            key = key[order]
+            new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[:len(key)])
+            return key[new], np.add.reduceat(n[order], new) if len(new) else n
 
         def flush() -> pa.RecordBatch:
-            total = count.total()
-            often = {w: n for w, n in count.items() if n * common >= total}
-            count.clear()
+            total = int(counts.sum())
+            often = counts * common >= total
             # the row without a word has the number of words read
-            return pa.RecordBatch.from_arrays([pa.array([None, *often], pa.string()), pa.array([total, *often.values()], pa.int64())], ["word", "n"])
+            return pa.RecordBatch.from_arrays([pa.array([None, *words[often].tolist()], pa.int64()),
+                                               pa.array([total, *counts[often].tolist()], pa.int64())], ["word", "n"])
 
+        waiting: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
             for part in batch_slices(batch, 0):
-                count.update(" ".join(filter(None, part.column(0).to_pylist())).lower().split())
-                if len(count) > MOST_COUNTED:
-                    yield flush()
+                _, index, word = split_words([" ".join(filter(None, part.column(0).to_pylist())).lower()])
+                waiting.append((word, np.bincount(index, minlength=len(word))))
+                if sum(len(w) for w, _ in waiting) > MOST_COUNTED:
+                    words, counts = merged(waiting)
+                    waiting.clear()
+                    if len(words) > MOST_COUNTED:
+                        yield flush()
+                        words, counts = words[:0], counts[:0]
+        words, counts = merged(waiting)
         yield flush()
 
-    counts = scratch(ship(docs).select(F.col("text").cast("string")).mapInArrow(run, "word string, n long")
-                     .groupBy("word").agg(F.sum("n").alias("n")), "words")
-    total = (counts.where(F.col("word").isNull()).first() or {"n": 0})["n"]
-    often = counts.where(F.col("word").isNotNull() & (F.col("n") * common >= total))
+    counted = scratch(ship(docs).select(F.col("text").cast("string")).mapInArrow(run, "word long, n long")
+                      .groupBy("word").agg(F.sum("n").alias("n")), "words")
+    total = (counted.where(F.col("word").isNull()).first() or {"n": 0})["n"]
+    often = counted.where(F.col("word").isNotNull() & (F.col("n") * common >= total))
     return dict(often.toPandas().itertuples(index=False, name=None))
 
 
 # ---- 3: postings and candidates --------------------------------------------------
 
-class _WordKeys(dict):
-    """word -> 64-bit key; keys order words by rarity.  Common words are numbered from 0 by
-    count; all others have a hash below zero.  Bounded."""
+SIZE_BITS = 24             # low bits of a posting's number: the size, up to MOST_SIZE
+MOST_SIZE = (1 << SIZE_BITS) - 1
 
-    def __init__(self, common: dict[str, int]):
-        super().__init__()
-        self.common = common
 
-    def __missing__(self, word: str) -> int:
-        if len(self) > 200_000:
-            self.clear()
-        key = self[word] = self.common[word] if word in self.common else (xxhash.xxh3_64_intdigest(word) >> 1) - (1 << 63)
-        return key
+def by_rarity(common: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the common words, ascending, and their keys: places in the order of counts,
+    then hashes, above the bits of a size."""
+    place = {w: i for i, w in enumerate(sorted(common, key=lambda w: (common[w], w)))}
+    words = sorted(common)
+    return np.array(words, np.int64), np.array([place[w] for w in words], np.int64) << SIZE_BITS
 
 
-def by_rarity(common: dict[str, int]) -> dict[str, int]:
-    """Common words and their places in the order of counts, then words."""
-    return {w: i for i, w in enumerate(sorted(common, key=lambda w: (common[w], w)))}
+def word_keys(words: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """64-bit keys that order words by rarity: common ones by their place, all others, rarer,
+    by a hash below zero."""
+    keys = (words.view(np.uint64) >> np.uint64(1)).view(np.int64) - (1 << 62) - (1 << 62)
+    if len(common[0]):
+        at = np.minimum(np.searchsorted(common[0], words), len(common[0]) - 1)
+        keys = np.where(common[0][at] == words, common[1][at], keys)
+    return keys
 
 
-def prefixes(some: list[str], keys: dict[str, int], threshold: float) -> dict[str, np.ndarray]:
+def prefixes(some: list[str], common: tuple[np.ndarray, np.ndarray], threshold: float) -> dict[str, np.ndarray]:
     """The prefix words of every line: ``owner`` (index of the line), ``word`` (key), ``pos``,
     ``size`` and the line's signature: odd or even number of words with each of 128 bits."""
-    split = [line.split() for line in some]
-    counts = np.fromiter(map(len, split), np.int64, len(split))
-    key = np.fromiter(map(keys.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
-    owner = np.repeat(np.arange(len(split), dtype=np.uint16 if len(split) < 1 << 16 else np.int64), counts)
-    order = np.argsort(key)
-    order = order[np.argsort(owner[order], kind="stable")]
-    key = key[order]
-    new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
-    key, owner = key[new], owner[new].astype(np.int64)
-    size = np.bincount(owner, minlength=len(split))
+    counts, index, words = split_words(some)
+    key, rank = np.unique(word_keys(words, common), return_inverse=True)
+    at = np.sort((np.repeat(np.arange(len(some)), counts) << 32) | rank[index])      # by line, then rarity
+    at = at[np.concatenate([[True], at[1:] != at[:-1]])]
+    owner, rank = at >> 32, at & 0xFFFFFFFF
+    size = np.bincount(owner, minlength=len(some))
     start = np.cumsum(size) - size
-    pos = np.arange(len(key)) - start[owner]
+    pos = np.arange(len(at)) - start[owner]
     bit = (key.view(np.uint64) * MIX) >> np.uint64(57)
     one = np.uint64(1) << (bit & np.uint64(63))
-    sig = [np.bitwise_xor.reduceat(np.where((bit < 64) == low, one, np.uint64(0)), start).view(np.int64) for low in (True, False)]
+    sig = [np.bitwise_xor.reduceat(np.where((bit < 64) == low, one, np.uint64(0))[rank], start).view(np.int64) for low in (True, False)]
     kept = pos < (size - np.ceil(threshold * size - 1e-9) + 1)[owner]
     owner = owner[kept]
-    return {"owner": owner, "word": key[kept], "size": size[owner], "pos": pos[kept], "sig": sig[0][owner], "sig2": sig[1][owner]}
+    return {"owner": owner, "word": key[rank[kept]], "size": size[owner], "pos": pos[kept], "sig": sig[0][owner], "sig2": sig[1][owner]}
+
 
+def postings(docs: DataFrame, common: dict[int, int], threshold: float) -> DataFrame:
+    """``word`` (key, its low bits replaced by the line's size), ``h`` (line), ``place`` (size
+    and position in the line's order of rarity) and the signature.
 
-def postings(docs: DataFrame, common: dict[str, int], threshold: float) -> DataFrame:
-    """(word, line, size, position in the line's order of rarity, signature)."""
+    Words that share the other bits of a key meet too; that adds candidates at most.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(by_rarity(common))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, seen = _WordKeys(shared.value), set()
+        seen: set[int] = set()
         for batch in batches:
             for part in batch_slices(batch, 0):
                 new = {}
@@ -196,10 +254,11 @@ def postings(docs: DataFrame, common: dict[str, int], threshold: float) -> DataF
                             seen.add(h)
                             new[h] = line
                 if new:
-                    found = prefixes(list(new.values()), keys, threshold)
-                    yield table(POSTINGS, h=np.array(list(new), np.int64)[found.pop("owner")], **found)
+                    found = prefixes(list(new.values()), shared.value, threshold)
+                    yield table(POSTINGS, h=np.array(list(new), np.int64)[found["owner"]], place=found["size"] << 32 | found["pos"],
+                                word=found["word"] & ~MOST_SIZE | np.minimum(found["size"], MOST_SIZE), sig=found["sig"], sig2=found["sig2"])
 
-    return ship(docs).select(F.col("text").cast("string")).mapInArrow(run, "word long, h long, size int, pos int, sig long, sig2 long")
+    return ship(docs).select(F.col("text").cast("string")).mapInArrow(run, "word long, h long, place long, sig long, sig2 long")
 
 
 def admitted(x: tuple, y: tuple, threshold: float) -> np.ndarray:
@@ -225,6 +284,7 @@ def small_groups(words: np.ndarray, rows: np.ndarray, threshold: float) -> tuple
     with the one ``d`` places before it, for every d until no row has one that is in its
     group and long enough."""
     a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    found = 0
     columns = list(rows)
     size = columns[1]
     x = np.arange(len(words))
@@ -236,6 +296,9 @@ def small_groups(words: np.ndarray, rows: np.ndarray, threshold: float) -> tuple
         a.append(columns[0][ok])
         b.append(columns[0][ok - d])
         d += 1
+        if (found := found + len(ok)) > MOST_PAIRS:
+            a, b = ([part] for part in stars(np.concatenate(a), np.concatenate(b)))
+            found = 0
     return np.concatenate(a), np.concatenate(b)
 
 
@@ -248,12 +311,14 @@ class Window:
 
     def meet(self, new: np.ndarray, block: int = 512) -> tuple[np.ndarray, np.ndarray]:
         """Candidate pairs of the new rows with those held and with each other, as star edges."""
-        held = self.rows[:, self._fitting(self.rows[1], int(new[1, 0])):]
+        held = self.rows[:, self._fitting(self.rows[1], min(int(new[1].min()), MOST_SIZE)):]
         both = np.concatenate([held, new], axis=1)
+        first = held.shape[1]
+        if both[1].max() > MOST_SIZE:     # their sizes do not sort them
+            first, both = 0, both[:, np.argsort(both[1], kind="stable")]
         ids, inverse = np.unique(both[0], return_inverse=True)
         root = np.arange(len(ids))
-        first, end = held.shape[1], both.shape[1]
-        for s in range(first, end, block):
+        for s in range(first, both.shape[1], block):
             part = both[:, s:s + block, None]
             size = part[1]
             for o in range(self._fitting(both[1], int(size[0, 0])), s + len(size), 4 * block):
@@ -263,7 +328,7 @@ class Window:
                 x, y = root[inverse[s + x]], root[inverse[o + y]]
                 if (x != y).any():
                     root = local_roots(x[x != y], y[x != y], len(ids))[root]
-        self.rows = both[:, self._fitting(both[1], int(both[1, -1])):]
+        self.rows = both[:, self._fitting(both[1], min(int(both[1, -1]), MOST_SIZE)):]
         moved = np.flatnonzero(root != np.arange(len(ids)))
         return ids[moved], ids[root[moved]]
 
@@ -272,18 +337,30 @@ class Window:
         return int(np.searchsorted(sizes, math.ceil(self.threshold * size - 1e-9)))
 
 
-def candidates(posted: DataFrame, threshold: float, most: int = 64) -> DataFrame:
+def joined(batches: Iterator[pa.RecordBatch], rows: int = 50_000) -> Iterator[list[np.ndarray]]:
+    """The columns of several batches at once, so that short groups share a pass."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= rows:
+            yield [np.concatenate([b.column(i).to_numpy() for b in held]) for i in range(batch.num_columns)]
+            held.clear()
+    if sum(b.num_rows for b in held):
+        yield [np.concatenate([b.column(i).to_numpy() for b in held]) for i in range(held[0].num_columns)]
+
+
+def candidates(posted: DataFrame, threshold: float, most: int = 512) -> DataFrame:
     """Star edges (``a``, ``b``) between the lines that pass the filters."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         word, window = None, Window(threshold)
-        for batch in batches:
-            words = batch.column(0).to_numpy()
-            rows = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(1, 6)])
+        for words, h, place, sig, sig2 in joined(batches):
+            words = words >> SIZE_BITS
+            rows = np.stack([h, place >> 32, place & 0xFFFFFFFF, sig, sig2])
             starts = np.concatenate([[0], np.flatnonzero(np.diff(words)) + 1])
             sizes = np.diff(np.concatenate([starts, [len(words)]]))
             # words whose rows may go on in another batch, or have many rows, go through a window
-            alone = sizes > most
+            alone = (sizes > most) | (np.maximum.reduceat(rows[1], starts) > MOST_SIZE)
             alone[[0, -1]] = True
             short = np.repeat(~alone & (sizes > 1), sizes)
             pairs = [small_groups(words[short], rows[:, short], threshold)]
@@ -294,7 +371,7 @@ def candidates(posted: DataFrame, threshold: float, most: int = 64) -> DataFrame
             a, b = stars(*(np.concatenate(x) for x in zip(*pairs, strict=True)))
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    dealt = posted.repartition("word").sortWithinPartitions("word", "size")
+    dealt = posted.repartition(F.shiftright("word", SIZE_BITS)).sortWithinPartitions("word")
     return ship(dealt).mapInArrow(run, "a long, b long")
 
 
