@@ -61,36 +61,35 @@ def safe_sequence(n: Column) -> Column:
 def with_term_profile(df: DataFrame, arr: Column | str, out: str = "_prof", positions: bool = False) -> DataFrame:
     """Add a per-sentence term profile column ``out``: ``array<struct<term, fp, tf>>``.
 
+    One entry per distinct value of the sentence, in value order: ``fp`` is
     One entry per distinct value of the sentence, in value order: ``fp`` is
     its first 0-based position, ``tf`` its number of occurrences.  Built by
-    sorting ``(value, position)`` pairs once and cutting runs with
-    ``zip_with`` against the array shifted by one, so a sentence costs
-    O(n log n) and the step is narrow (no shuffle).  NULL values form their
-    own run (null-safe comparison).  With ``positions`` an entry also has all
+    sorting ``(value, position)`` pairs once and cutting runs at the places
+    where the value is not the one before, so a sentence costs O(n log n) and
+    the step is narrow (no shuffle).  NULL values form their own run
+    (null-safe comparison).  With ``positions`` an entry also has all
     positions of its value, ascending.
 
-    The work is staged over three projections on purpose: a lambda never
-    reads an outer array expression (Spark would re-evaluate it for every
-    element), and every staged array is read twice by the next step, which
-    keeps the optimizer from inlining it.
+    The work is staged over three projections on purpose: a lambda reads an
+    outer array only as a column (Spark would re-evaluate an expression for
+    every element), and every staged array is read twice by the next step,
+    which keeps the optimizer from inlining it.
     """
     z, s = "_wl_sorted", "_wl_starts"
     # sort_array orders the (value, position) structs natively (no comparator
     # lambda); NULL values sort first and still form one run
     staged = df.withColumn(
         z, F.sort_array(F.transform(_c(arr), lambda x, i: F.struct(x.alias("t"), i.alias("p")))))
-    # cur/prev pairs; the extra last pair (cur NULL) is a sentinel closing the last run
-    pairs = F.zip_with(F.col(z), F.array_prepend(F.col(z), F.lit(None)),
-                       lambda c, q: F.struct(c.alias("c"), q.alias("q")))
-    marked = F.transform(pairs, lambda e, i: F.struct(e["c"].alias("c"), e["q"].alias("q"), i.alias("i")))
-    staged = staged.withColumn(s, F.filter(
-        marked, lambda e: e["c"].isNull() | e["q"].isNull() | ~e["c"]["t"].eqNullSafe(e["q"]["t"])))
-    runs = F.zip_with(
-        F.col(s), F.slice(F.col(s), 2, F.greatest(F.size(F.col(s)), F.lit(1))),
-        lambda a, b: F.when(a["c"].isNotNull(), F.struct(
-            a["c"]["t"].alias("term"), a["c"]["p"].alias("fp"), (b["i"] - a["i"]).alias("tf"),
-            *([F.slice(F.col(z), a["i"] + 1, b["i"] - a["i"])["p"].alias("positions")] if positions else []))))
-    return staged.withColumn(out, F.filter(runs, lambda x: x.isNotNull())).drop(z, s)
+    at = F.col(z)
+    staged = staged.withColumn(s, F.when(at.isNotNull(), F.filter(safe_sequence(F.size(at)), lambda i: (
+        (i == 0) | ~F.get(at, i)["t"].eqNullSafe(F.get(at, i - 1)["t"])))))
+
+    def run(i: Column, k: Column) -> Column:
+        tf = F.coalesce(F.get(F.col(s), k + 1), F.size(at)) - i
+        return F.struct(F.get(at, i)["t"].alias("term"), F.get(at, i)["p"].alias("fp"), tf.alias("tf"),
+                        *([F.slice(at, i + 1, tf)["p"].alias("positions")] if positions else []))
+
+    return staged.withColumn(out, F.transform(s, run)).drop(z, s)
 
 
 def trim_pad(arr: Column | str, n: Column | int) -> Column:

@@ -36,9 +36,18 @@ def with_eos(tokens: Column) -> Column:
 
 
 def token_class(surface: Column) -> Column:
-    """Level-1 class of a surface produced by :data:`TOKEN_PATTERN`."""
+    """Level-1 class of a surface produced by :data:`TOKEN_PATTERN`.
+
+    ASCII is told by comparing bytes; only other first characters need the regular expressions.
+    """
+    def first(low: str, beyond: str) -> Column:
+        return (surface >= low) & (surface < beyond)
+
     return (
-        F.when(surface.rlike(r"^\p{L}"), F.lit(WORD))
+        F.when(first("a", "{") | first("A", "["), F.lit(WORD))
+        .when(first("0", ":"), F.lit(NUM))
+        .when(surface < "\x80", F.lit(PUNCT))
+        .when(surface.rlike(r"^\p{L}"), F.lit(WORD))
         .when(surface.rlike(r"^\p{N}"), F.lit(NUM))
         .otherwise(F.lit(PUNCT))
     )

@@ -43,6 +43,8 @@ class Corpus:
     df: DataFrame
     keys: tuple[str, ...]
     tokenizer: TokenizerStrategy = field(default_factory=RegexTokenizer)
+    #: the same sentences as they were read: keys, ``text`` and what the tokeniser needs
+    raw: DataFrame | None = field(default=None, kw_only=True)
 
     # ------------------------------------------------------------------ shape
     @property
@@ -148,14 +150,27 @@ def build_corpus(
     # Tokenise inside the sentence generator: its outputs are attributes, so
     # no later filter can be pushed below it and re-run the tokeniser
     # (outer form: Spark infers no size filter for it).
-    pieces = F.transform(split(F.col(text_col)), lambda line, i: F.struct(
-        i.cast("int").alias("sent_no"),
-        *([line.alias("text")] if keep_text else []),
-        tokenizer.prepare(line).alias("_tok"),
-    ))
-    sent = df.select(*doc_keys, *tokenizer.needs, F.inline_outer(pieces))
-    sent = sent.withColumn("n_tokens", F.size("_tok").cast("int")).where(F.col("n_tokens") > 1)
-    return Corpus(sent, (*doc_keys, "sent_no"), tokenizer)
+    def pieces(text: bool, tokens: bool) -> Column:
+        return F.transform(split(F.col(text_col)), lambda line, i: F.struct(
+            i.cast("int").alias("sent_no"),
+            *([line.alias("text")] if text else []),
+            *([tokenizer.prepare(line).alias("_tok")] if tokens else []),
+        ))
+
+    sent = df.select(*doc_keys, *tokenizer.needs, F.inline_outer(pieces(keep_text, True)))
+    raw = df.select(*doc_keys, *tokenizer.needs, F.inline_outer(pieces(True, False))).where(F.col("text").isNotNull())
+    return Corpus(counted(sent), (*doc_keys, "sent_no"), tokenizer, raw=raw)
+
+
+def counted(sent: DataFrame) -> DataFrame:
+    """Rows with ``_tok``: their ``n_tokens``, without those that have the end marker alone."""
+    return sent.withColumn("n_tokens", F.size("_tok").cast("int")).where(F.col("n_tokens") > 1)
+
+
+def read_raw(raw: DataFrame, keys: Sequence[str], tokenizer: TokenizerStrategy) -> DataFrame:
+    """The sentence form of ``Corpus.raw``, in its order."""
+    tok = F.inline_outer(F.array(F.struct(tokenizer.prepare(F.col("text")).alias("_tok"))))
+    return counted(raw.select(*keys, *tokenizer.needs, tok))
 
 
 #: splits up to which their table is broadcast (some 100 bytes each)

@@ -9,6 +9,10 @@ Layout of a store, all Parquet:
               store (``keys``, ``levels``, ``buckets``, ``columns``).
 ``stats_NN/`` keyword statistics of level NN, one row per term (optional).
 
+What is dealt to the buckets and sorted there is the sentences' text, where the corpus has it
+(``Corpus.raw``): they are tokenised on the way into the files, so that no token is shuffled,
+sorted or spilled.
+
 Tables that are bucketed alike meet without an exchange: ``store_table`` writes any table of
 sentence keys (positions for W5, say) into the same buckets.  The full key decides the
 bucket, so that the sentences of one huge document lie in many of them.
@@ -17,14 +21,15 @@ bucket, so that the sentences of one huge document lie in many of them.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from wordlens.functions.tokenise import level_name
-from wordlens.sources.corpus import Corpus
+from wordlens.sources.corpus import Corpus, read_raw
 from wordlens.sources.tokenizers import AnnotatedTokenizer
 
 
@@ -67,6 +72,19 @@ def bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int, order:
     return df.sparkSession.table(name)
 
 
+@contextmanager
+def rows_in_place(spark: SparkSession) -> Iterator[None]:
+    """Bucketed tables written inside are not sorted by the writer: a task keeps a file open
+    (one more bucket would make it sort), rows stay in the order they have."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "1")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def ddl(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
@@ -94,11 +112,19 @@ def store_corpus(corpus: Corpus, path: str, levels: Sequence[int] = (0, 1), buck
         is_eos = read.is_eos(x, i, n)
         return F.struct(*[read.level_value(x, is_eos, lv).alias(level_name(lv)) for lv in levels], is_eos.alias("is_eos"))
 
-    # what the tokeniser made travels; the levels are made of it where they are written
-    dealt = corpus.df.select(*corpus.keys, "n_tokens", "_tok", *read.needs).repartition(buckets, *corpus.keys)
-    rows = dealt.select(*corpus.keys, "n_tokens", F.transform("_tok", token).alias("_tok"))
+    def dealt(rows: DataFrame) -> DataFrame:
+        return rows.repartition(buckets, *corpus.keys).sortWithinPartitions(*corpus.keys)
+
+    # the text travels, or what the tokeniser made; the levels are made of it where they are written
+    if corpus.raw is not None:
+        rows = read_raw(dealt(corpus.raw), corpus.keys, read)
+    else:
+        rows = dealt(corpus.df.select(*corpus.keys, "n_tokens", "_tok", *read.needs))
+    rows = rows.select(*corpus.keys, "n_tokens", F.transform("_tok", token).alias("_tok"))
     columns = ddl(rows)
-    tokens = bucketed(rows, f"{path}/tokens", corpus.keys, buckets)
+    with rows_in_place(spark):
+        rows.write.bucketBy(buckets, *corpus.keys).option("path", f"{path}/tokens").format("parquet").saveAsTable(f"wordlens_{uuid.uuid4().hex}")
+    tokens = open_bucketed(spark, f"{path}/tokens", columns, corpus.keys, buckets)
     shape = Corpus(tokens, corpus.keys, AnnotatedTokenizer()).shape()
     shape.select("*", F.array(*map(F.lit, corpus.keys)).alias("keys"), F.array(*map(F.lit, levels)).alias("levels"),
                  F.lit(buckets).alias("buckets"), F.lit(columns).alias("columns")).write.parquet(f"{path}/shape")
