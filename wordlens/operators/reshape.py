@@ -133,13 +133,16 @@ def interval_counts(intervals: DataFrame) -> DataFrame:
     """R2 with A9: ``level``, ``start``, ``stop``, ``value``, ``n``: how many sentences have
     ``value`` at each position of ``[start, stop)``; ranges without it are left out.
 
-    Every interval adds one at its start and takes one away at its stop; the sums per place
-    are added up in the tasks first, and the running sum goes over the places of one value
-    (at most the longest sentence), never over its sentences.
+    Equal intervals are counted first, in the tasks that read them; each of them, not every
+    sentence, adds its count at its start and takes it away at its stop.  These steps are
+    exchanged once, by value: their sums per place and the running sum over the places of one
+    value (at most the longest sentence) follow where they lie.
     """
-    steps = intervals.select("level", "value", F.inline(F.array(
-        F.struct(F.col("start").alias("start"), F.lit(1).alias("_d")), F.struct(F.col("stop").alias("start"), F.lit(-1).alias("_d")))))
-    sums = steps.groupBy("level", "value", "start").agg(F.sum("_d").alias("_d")).where(F.col("_d") != 0)
+    equal = intervals.groupBy("level", "value", "start", "stop").agg(F.count(F.lit(1)).alias("_n"))
+    steps = equal.select("level", "value", F.inline(F.array(
+        F.struct(F.col("start").alias("start"), F.col("_n").alias("_d")), F.struct(F.col("stop").alias("start"), (-F.col("_n")).alias("_d")))))
+    sums = (steps.repartition("level", "value").groupBy("level", "value", "start").agg(F.sum("_d").alias("_d"))
+            .where(F.col("_d") != 0))
     along = Window.partitionBy("level", "value").orderBy("start")
     return (sums.select("level", "value", "start", F.lead("start").over(along).alias("stop"),
                         F.sum("_d").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("n"))
