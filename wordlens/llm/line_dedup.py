@@ -6,9 +6,10 @@ row, line number), whether or not the earlier one stays.
 
 Jobs
 1. *Lines*: number, place and 64-bit content hash of every line with a word (narrow rows).
-2. *Rarity*: words that make up at least 1/``common`` of all words are counted and sent to
-   the tasks: by that share there are at most ``common`` of them.  All other words are
-   rarer; among themselves they are ordered by hash.
+2. *Rarity*: words that make up at least 1/(``FINER`` ``common``) of all words are counted and
+   sent to the tasks: by that share there are at most ``FINER`` ``common`` of them.  All other
+   words are rarer; among themselves they are ordered by hash.  Any order of words gives the
+   same matches; the finer it is, the fewer lines meet in vain.
 3. *Postings*: each task cuts its new lines to their prefix (the rarest words; a match of
    ``t`` shares one of the first ``|x| - ceil(t |x|) + 1``) and sends (word and size in one
    number, line, size and position in one, signature).  Postings meet by word, ordered by
@@ -52,6 +53,7 @@ WORDS = pa.schema([("h", pa.int64()), ("words", pa.list_(pa.int64()))])
 MIX = np.uint64(0x9E3779B97F4A7C15)
 MOST_COUNTED = 300_000     # different words a task counts between two reports
 SEEN_LINES = 200_000       # hashes a task remembers so as to send a line's postings once
+FINER = 5                  # part of 1/common down to which words are ordered by count
 MOST_PAIRS = 1_000_000     # candidate pairs held before they are cut to star edges
 
 
@@ -491,7 +493,7 @@ def matches_numbered(docs: DataFrame, threshold: float, common: int = 100_000) -
     found = scratch(lines(docs), "lines")
     place = F.struct(F.col("doc_id").isNull().alias("f0"), F.coalesce("doc_id", F.lit(0).cast("long")).alias("f1"), F.col("_rid").alias("f2"), F.col("line").alias("f3"))
     classes = scratch(found.groupBy("h").agg(F.min(place).alias("first")), "classes")
-    edges = candidates(postings(docs, common_words(docs, common), threshold), threshold)
+    edges = candidates(postings(docs, common_words(docs, FINER * common), threshold), threshold)
     groups = scratch(components(edges), "candidates")
     some = classes.join(groups, F.col("h") == F.col("node")).select("h", F.col("root").alias("comp"), "first.*")
     sets = fetch_words(docs, some)
