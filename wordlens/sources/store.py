@@ -10,8 +10,7 @@ Layout of a store, all Parquet:
 ``stats_NN/`` keyword statistics of level NN, one row per term (optional).
 
 What is dealt to the buckets and sorted there is the sentences' text, where the corpus has it
-(``Corpus.raw``): they are tokenised on the way into the files, so that no token is shuffled,
-sorted or spilled.
+(``Corpus.raw``): they are tokenised on the way into the files, so that no token is shuffled.
 
 Tables that are bucketed alike meet without an exchange: ``store_table`` writes any table of
 sentence keys (positions for W5, say) into the same buckets.  The full key decides the
