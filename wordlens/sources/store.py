@@ -105,11 +105,9 @@ def store_corpus(corpus: Corpus, path: str, levels: Sequence[int] = (0, 1), buck
     spark = corpus.spark
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     read = corpus.tokenizer
-    n = F.col("n_tokens")
-
-    def token(x: Column, i: Column) -> Column:
-        is_eos = read.is_eos(x, i, n)
-        return F.struct(*[read.level_value(x, is_eos, lv).alias(level_name(lv)) for lv in levels], is_eos.alias("is_eos"))
+    # the levels are made sentence by sentence and laid side by side, no token is built alone
+    tok = F.col("_tok")
+    fields = [*[read.level_array(tok, lv).alias(level_name(lv)) for lv in levels], read.eos_array(tok).alias("is_eos")]
 
     def dealt(rows: DataFrame) -> DataFrame:
         return rows.repartition(buckets, *corpus.keys).sortWithinPartitions(*corpus.keys)
@@ -119,7 +117,7 @@ def store_corpus(corpus: Corpus, path: str, levels: Sequence[int] = (0, 1), buck
         rows = read_raw(dealt(corpus.raw), corpus.keys, read)
     else:
         rows = dealt(corpus.df.select(*corpus.keys, "n_tokens", "_tok", *read.needs))
-    rows = rows.select(*corpus.keys, "n_tokens", F.transform("_tok", token).alias("_tok"))
+    rows = rows.select(*corpus.keys, "n_tokens", F.arrays_zip(*fields).alias("_tok"))
     columns = ddl(rows)
     with rows_in_place(spark):
         rows.write.bucketBy(buckets, *corpus.keys).option("path", f"{path}/tokens").format("parquet").saveAsTable(f"wordlens_{uuid.uuid4().hex}")

@@ -39,6 +39,10 @@ class TokenizerStrategy:
         """Whether an exploded element is the end marker (the last one, added by ``prepare``)."""
         return pos == n_tokens - 1
 
+    def eos_array(self, tok: Column) -> Column:
+        """:meth:`is_eos` of every element of ``_tok``: ``array<boolean>``."""
+        return F.slice(F.array_append(F.array_repeat(F.lit(False), F.size(tok) - 1), F.lit(True)), 1, F.size(tok))
+
     def word_array(self, tok: Column, level: int) -> Column:
         """:meth:`level_array` without the end marker; an empty sentence stays empty."""
         return F.slice(self.level_array(tok, level), 1, F.greatest(F.size(tok) - 1, F.lit(0)))
@@ -95,8 +99,9 @@ class RegexTokenizer(TokenizerStrategy):
             return tok
         last = F.size(tok) - 1
         if level == 1:
-            return F.transform(
-                tok, lambda x, i: F.when(i == last, F.lit(EOS)).otherwise(token_class(x)))
+            # the marker is put there once, not asked for at every token
+            words = F.slice(tok, 1, F.greatest(last, F.lit(0)))
+            return F.slice(with_eos(F.transform(words, token_class)), 1, F.size(tok))
         return F.transform(
             tok, lambda x, i: F.when(i == last, F.lit(EOS)).otherwise(F.lit(None).cast("string")))
 
@@ -143,6 +148,9 @@ class AnnotatedTokenizer(TokenizerStrategy):
     def is_eos(self, elem: Column, pos: Column, n_tokens: Column) -> Column:
         return elem["is_eos"]
 
+    def eos_array(self, tok: Column) -> Column:
+        return tok["is_eos"]
+
     def word_array(self, tok: Column, level: int) -> Column:
         return F.filter(tok, lambda t: ~t["is_eos"])[level_name(level)]
 
@@ -192,6 +200,9 @@ class LanguageTokenizer(TokenizerStrategy):
     def is_eos(self, elem: Column, pos: Column, n_tokens: Column) -> Column:
         return self._pick(lambda s: s.is_eos(elem, pos, n_tokens))
 
+    def eos_array(self, tok: Column) -> Column:
+        return self._pick(lambda s: s.eos_array(tok))
+
 
 @dataclass(frozen=True)
 class MixedTokenizer(AnnotatedTokenizer):
