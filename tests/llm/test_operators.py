@@ -522,6 +522,36 @@ def test_line_matches(spark, docs, none):
     assert line_dedup.line_matches(none).count() == 0
 
 
+def test_lines_and_their_words_are_read_in_one_pass(spark, docs, none):
+    """op9: one pass gives the places of all lines and the counts of the frequent words."""
+    table = docs.withColumn("_rid", F.monotonically_increasing_id())
+    rows = local(table)
+    found, often = line_dedup.lines_and_words(table, 500)
+    plain = [(r["_rid"], r["doc_id"], n, x.strip().lower()) for r in rows for n, x in enumerate((r["text"] or "").split("\n")) if x.split()]
+    got = Counter((r["_rid"], r["doc_id"], r["line"], r["h"]) for r in local(found))
+    assert got == Counter((rid, doc, n, line_dedup.content_hash(x)) for rid, doc, n, x in plain) and got
+    words = Counter(w for x in {x for *_, x in plain} for w in x.split())
+    code = dict(zip(words, line_dedup.split_words([" ".join(words)])[2].tolist(), strict=True))
+    most = Counter(w for *_, x in plain for w in x.split())     # tasks may count a line each
+    frequent = {w for w, n in words.items() if n * 250 >= most.total()}
+    assert {code[w] for w in frequent} <= set(often) <= set(code.values()) and len(often) <= 500 and frequent
+    assert all(words[w] - most.total() / 500 < often[code[w]] <= most[w] for w in frequent)
+    lines, often = line_dedup.lines_and_words(none.withColumn("_rid", F.monotonically_increasing_id()), 50)
+    assert lines.count() == 0 and not often
+    sets = line_dedup.word_sets(["b a b", "x", " a  é "]).to_pylist()
+    digest = lambda w: line_dedup.content_hash(w) ^ -1 << 63
+    assert sets == [sorted(map(digest, x.split())) for x in ("a b", "x", "a é")]
+
+
+def test_shared_words_are_counted_in_bounded_steps(monkeypatch):
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 30, int(rng.integers(1, 12)))) for _ in range(60)]
+    whole = [(i, found.tolist()) for i, found in line_dedup.matches(sets, sets, 0.5)]
+    for most in (1, 100, 5000):
+        monkeypatch.setattr(line_dedup, "MOST_CELLS", most)
+        assert [(i, found.tolist()) for i, found in line_dedup.matches(sets, sets, 0.5)] == whole
+
+
 def test_window_and_blocks_equal_brute_force():
     rng = np.random.default_rng(4)
     sets = [np.unique(rng.integers(0, 40, int(rng.integers(3, 12)))) for _ in range(200)]

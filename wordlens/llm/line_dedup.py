@@ -6,7 +6,8 @@ row, line number), whether or not the earlier one stays.
 
 Jobs
 1. *Lines*: number, place and 64-bit content hash of every line with a word (narrow rows).
-2. *Rarity*: words that make up at least 1/(``FINER`` ``common``) of all words are counted and
+2. *Rarity*: words that make up at least 1/(``FINER`` ``common``) of all words are counted, in
+   the pass that reads the lines, and
    sent to the tasks: by that share there are at most ``FINER`` ``common`` of them.  All other
    words are rarer; among themselves they are ordered by hash.  Any order of words gives the
    same matches; the finer it is, the fewer lines meet in vain.
@@ -47,7 +48,7 @@ from pyspark.sql import functions as F
 from wordlens.llm.common import batch_slices, numbered, ranges, scratch, ship, table, under_own_names, with_row_id
 from wordlens.llm.components import components, local_roots
 
-LINES = pa.schema([("_rid", pa.int64()), ("doc_id", pa.int64()), ("line", pa.int32()), ("h", pa.int64())])
+LINES = pa.schema([("_rid", pa.int64()), ("doc_id", pa.int64()), ("line", pa.int32()), ("h", pa.int64()), ("n", pa.int64())])
 POSTINGS = pa.schema([("word", pa.int64()), ("h", pa.int64()), ("place", pa.int64()), ("sig", pa.int64()), ("sig2", pa.int64())])
 WORDS = pa.schema([("h", pa.int64()), ("words", pa.list_(pa.int64()))])
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -55,6 +56,7 @@ MOST_COUNTED = 300_000     # different words a task counts between two reports
 SEEN_LINES = 200_000       # hashes a task remembers so as to send a line's postings once
 FINER = 5                  # part of 1/common down to which words are ordered by count
 MOST_PAIRS = 1_000_000     # candidate pairs held before they are cut to star edges
+MOST_CELLS = 1 << 20       # pairs of lines, and shared words of pairs, counted at once
 
 
 def plain_lines(text: str | None) -> Iterator[tuple[int, str]]:
@@ -68,13 +70,28 @@ def content_hash(line: str) -> int:
     return xxhash.xxh3_64_intdigest(line) - (1 << 63)
 
 
-def signed(numbers: list[int]) -> np.ndarray:
-    return np.array(numbers, np.uint64).view(np.int64)
+def content_hashes(some: list[str]) -> np.ndarray:
+    """``content_hash`` of every line."""
+    digests = np.fromiter(map(xxhash.xxh3_64_intdigest, some), np.uint64, len(some))
+    return (digests ^ np.uint64(1 << 63)).view(np.int64)
 
 
-def word_hashes(words: list[str]) -> np.ndarray:
-    """The set of a line's words as sorted 64-bit hashes."""
-    return np.unique(signed([xxhash.xxh3_64_intdigest(w) for w in set(words)]))
+def word_sets(some: list[str]) -> pa.ListArray:
+    """The set of every line's words as sorted 64-bit hashes; each different word is hashed once."""
+    counts, index, different = coded_words(some)
+    words = different.to_pylist()
+    key, rank = np.unique(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)).view(np.int64), return_inverse=True)
+    owner, rank = distinct(counts, rank[index])
+    ends = np.cumsum(np.bincount(owner, minlength=len(some)))
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(key[rank]))
+
+
+def distinct(counts: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Owner and rank of the different words of every text, in that order; ``rank`` holds the
+    ranks of all words, ``counts`` of them for every text."""
+    at = np.sort((np.repeat(np.arange(len(counts)), counts) << 32) | rank)
+    at = at[np.concatenate([[True], at[1:] != at[:-1]])[:len(at)]]
+    return at >> 32, at & 0xFFFFFFFF
 
 
 def least_overlap(a, b, threshold: float):
@@ -82,28 +99,7 @@ def least_overlap(a, b, threshold: float):
     return np.ceil(threshold / (1 + threshold) * (a + b) - 1e-9)
 
 
-# ---- 1: lines --------------------------------------------------------------------
-
-def _rows(numbered_docs: DataFrame) -> DataFrame:
-    return numbered_docs.select("_rid", F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-
-
-def lines(numbered_docs: DataFrame) -> DataFrame:
-    """Of rows with ``_rid``: ``_rid``, ``doc_id``, ``line`` (number in the text) and ``h`` of lines with a word."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in batch_slices(batch, 2):
-                out = [(rid, doc, n, content_hash(line)) for rid, doc, text in zip(*(c.to_pylist() for c in part.columns), strict=True)
-                       for n, line in plain_lines(text)]
-                if out:
-                    r, d, n, h = zip(*out, strict=True)
-                    yield table(LINES, _rid=r, doc_id=d, line=n, h=h)
-
-    return ship(_rows(numbered_docs)).mapInArrow(run, "_rid long, doc_id long, line int, h long")
-
-
-# ---- 2: rarity -------------------------------------------------------------------
+# ---- 1 and 2: lines and rarity -------------------------------------------------------------------
 
 SHORT = 64                 # bytes of the words that are hashed together
 CHUNK = 1 << 16            # bytes of words hashed at once
@@ -115,6 +111,12 @@ _LETTERS = np.array([xxhash.xxh3_64_intdigest(bytes([i])) for i in range(256)],
 def split_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Number of words of every text (split as ``str.split`` does), the index of every word
     among the different ones, and the hashes of those."""
+    counts, index, different = coded_words(texts)
+    return counts, index, hashes(different)
+
+
+def coded_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, pa.LargeStringArray]:
+    """``split_words`` with the different words themselves."""
     split = pc.utf8_split_whitespace(pa.array(texts, pa.large_string()))
     counts = np.diff(split.offsets.to_numpy())
     coded = split.flatten().dictionary_encode()
@@ -122,7 +124,7 @@ def split_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if (void := pc.index(different, pa.scalar("", different.type)).as_py()) >= 0:     # around outer space
         owner = np.repeat(np.arange(len(texts)), counts)[index != void]
         counts, index = np.bincount(owner, minlength=len(texts)), index[index != void]
-    return counts, index, hashes(different)
+    return counts, index, different
 
 
 def hashes(words: pa.LargeStringArray) -> np.ndarray:
@@ -146,8 +148,11 @@ def hashes(words: pa.LargeStringArray) -> np.ndarray:
     return (out ^ (out >> np.uint64(29))).view(np.int64)
 
 
-def common_words(docs: DataFrame, common: int) -> dict[int, int]:
-    """Counts of the words (by hash) with a share of at least 1/common: at most ``common`` words.
+def lines_and_words(numbered_docs: DataFrame, common: int) -> tuple[DataFrame, dict[int, int]]:
+    """Of rows with ``_rid``, in one pass over the texts: a written table of ``_rid``, ``doc_id``,
+    ``line`` (number in the text) and ``h`` of lines with a word; and the counts of the words
+    (by hash) with a share of at least 1/common: at most ``common`` words.  A line that a task
+    has just read is not counted again: only different lines have postings.
 
     A task reports the words that have that share in what it read since its last report,
     so counts lack less than 1/common of all words and the report of a task is bounded.
@@ -168,13 +173,29 @@ def common_words(docs: DataFrame, common: int) -> dict[int, int]:
             total = int(counts.sum())
             often = counts * common >= total
             # the row without a word has the number of words read
-            return pa.RecordBatch.from_arrays([pa.array([None, *words[often].tolist()], pa.int64()),
-                                               pa.array([total, *counts[often].tolist()], pa.int64())], ["word", "n"])
+            word = pa.array(np.concatenate([[0], words[often]]), mask=np.arange(often.sum() + 1) == 0)
+            long, short = pa.nulls(len(word), pa.int64()), pa.nulls(len(word), pa.int32())
+            return table(LINES, _rid=long, doc_id=long, line=short, h=word, n=np.concatenate([[total], counts[often]]))
 
+        seen: set[int] = set()
         waiting: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
-            for part in batch_slices(batch, 0):
-                _, index, word = split_words([" ".join(filter(None, part.column(0).to_pylist())).lower()])
+            for part in batch_slices(batch, 2):
+                split = [list(plain_lines(text)) for text in part.column(2).to_pylist()]
+                some = [line for of_text in split for _, line in of_text]
+                if not some:
+                    continue
+                hashed = content_hashes(some)
+                owner = pa.array(np.repeat(np.arange(len(split)), [len(of_text) for of_text in split]))
+                yield table(LINES, _rid=part.column(0).take(owner), doc_id=part.column(1).take(owner),
+                            line=[n for of_text in split for n, _ in of_text], h=hashed, n=pa.nulls(len(some), pa.int64()))
+                new = {h: line for h, line in zip(hashed.tolist(), some, strict=True) if h not in seen}
+                if len(seen) > SEEN_LINES:
+                    seen.clear()
+                seen.update(new)
+                if not new:
+                    continue
+                _, index, word = split_words(list(new.values()))
                 waiting.append((word, np.bincount(index, minlength=len(word))))
                 if sum(len(w) for w, _ in waiting) > MOST_COUNTED:
                     words, counts = merged(waiting)
@@ -185,11 +206,12 @@ def common_words(docs: DataFrame, common: int) -> dict[int, int]:
         words, counts = merged(waiting)
         yield flush()
 
-    counted = scratch(ship(docs).select(F.col("text").cast("string")).mapInArrow(run, "word long, n long")
-                      .groupBy("word").agg(F.sum("n").alias("n")), "words")
-    total = (counted.where(F.col("word").isNull()).first() or {"n": 0})["n"]
-    often = counted.where(F.col("word").isNotNull() & (F.col("n") * common >= total))
-    return dict(often.toPandas().itertuples(index=False, name=None))
+    rows = numbered_docs.select("_rid", F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    read = scratch(ship(rows).mapInArrow(run, "_rid long, doc_id long, line int, h long, n long"), "lines")
+    counted = scratch(read.where(F.col("n").isNotNull()).groupBy("h").agg(F.sum("n").alias("n")), "words")
+    total = (counted.where(F.col("h").isNull()).first() or {"n": 0})["n"]
+    often = counted.where(F.col("h").isNotNull() & (F.col("n") * common >= total))
+    return read.where(F.col("n").isNull()).drop("n"), dict(often.toPandas().itertuples(index=False, name=None))
 
 
 # ---- 3: postings and candidates --------------------------------------------------
@@ -221,12 +243,10 @@ def prefixes(some: list[str], common: tuple[np.ndarray, np.ndarray], threshold:
     ``size`` and the line's signature: odd or even number of words with each of 128 bits."""
     counts, index, words = split_words(some)
     key, rank = np.unique(word_keys(words, common), return_inverse=True)
-    at = np.sort((np.repeat(np.arange(len(some)), counts) << 32) | rank[index])      # by line, then rarity
-    at = at[np.concatenate([[True], at[1:] != at[:-1]])]
-    owner, rank = at >> 32, at & 0xFFFFFFFF
+    owner, rank = distinct(counts, rank[index])      # by line, then rarity
     size = np.bincount(owner, minlength=len(some))
     start = np.cumsum(size) - size
-    pos = np.arange(len(at)) - start[owner]
+    pos = np.arange(len(owner)) - start[owner]
     bit = (key.view(np.uint64) * MIX) >> np.uint64(57)
     one = np.uint64(1) << (bit & np.uint64(63))
     sig = [np.bitwise_xor.reduceat(np.where((bit < 64) == low, one, np.uint64(0))[rank], start).view(np.int64) for low in (True, False)]
@@ -403,19 +423,18 @@ def fetch_words(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         for batch in batches:
             for part in batch_slices(batch, 0):
                 split = [line for t in part.column(0).to_pylist() for _, line in plain_lines(t)]
-                hashes = np.fromiter(map(content_hash, split), np.int64, len(split))
-                place = hashes & ((1 << SKETCH_BITS) - 1)
+                hashed = content_hashes(split)
+                place = hashed & ((1 << SKETCH_BITS) - 1)
                 passed = np.flatnonzero((bits.value[place >> 6] >> (place & 63)) & 1)
                 out = {}
-                for i in passed.tolist():
-                    h = int(hashes[i])
+                for i, h in zip(passed.tolist(), hashed[passed].tolist(), strict=True):
                     if h not in seen:
                         if len(seen) > SEEN_LINES:
                             seen.clear()
                         seen.add(h)
-                        out[h] = word_hashes(split[i].split())
+                        out[h] = split[i]
                 if out:
-                    yield table(WORDS, h=list(out), words=list(out.values()))
+                    yield table(WORDS, h=list(out), words=word_sets(list(out.values())))
 
     some = ship(docs).select(F.col("text").cast("string")).mapInArrow(run, "h long, words array<long>")
     # a line may come from many tasks: one row of it stays
@@ -433,13 +452,23 @@ def matches(a: list[np.ndarray], b: list[np.ndarray], threshold: float) -> Itera
     there = vocabulary[at] == flat
     # owners of every word of every set, set by set
     starts, lengths = upto[at], np.where(there, upto[at + 1] - upto[at], 0)
-    ends = np.cumsum([len(x) for x in a])
-    begin = 0
-    for i, end in enumerate(ends.tolist()):
-        shared = np.bincount(owner[ranges(starts[begin:end], lengths[begin:end])], minlength=len(b))
+    sizes = np.array([len(x) for x in a])
+    words = np.concatenate([[0], np.cumsum(sizes)])      # where the words of a set begin
+    met = np.concatenate([[0], np.cumsum(lengths)])[words]
+    first = 0
+    while first < len(a):      # several sets at once, within MOST_CELLS
+        end = min(len(a), first + max(1, MOST_CELLS // len(b)), max(first + 1, int(np.searchsorted(met, met[first] + MOST_CELLS, "right")) - 1))
+        own = slice(words[first], words[end])
+        row = np.repeat(np.arange(end - first) * len(b), met[first + 1:end + 1] - met[first:end])
+        shared = np.bincount(row + owner[ranges(starts[own], lengths[own])], minlength=(end - first) * len(b))
         some = np.flatnonzero(shared)
-        yield i, some[shared[some] >= least_overlap(end - begin, size[some], threshold)]
-        begin = end
+        i, j = np.divmod(some, len(b))
+        enough = shared[some] >= least_overlap(sizes[first + i], size[j], threshold)
+        i, j = i[enough], j[enough]
+        upto_row = np.searchsorted(i, np.arange(end - first + 1)).tolist()
+        for k in range(end - first):
+            yield first + k, j[upto_row[k]:upto_row[k + 1]]
+        first = end
 
 
 FIRST = ["f0", "f1", "f2", "f3"]     # no id, id, row, line: the order of lines
@@ -490,10 +519,10 @@ def line_matches(docs: DataFrame, threshold: float = 0.8, common: int = 100_000)
 
 def matches_numbered(docs: DataFrame, threshold: float, common: int = 100_000) -> DataFrame:
     """``line_matches`` of rows that have their ``_rid``."""
-    found = scratch(lines(docs), "lines")
+    found, often = lines_and_words(docs, FINER * common)
     place = F.struct(F.col("doc_id").isNull().alias("f0"), F.coalesce("doc_id", F.lit(0).cast("long")).alias("f1"), F.col("_rid").alias("f2"), F.col("line").alias("f3"))
     classes = scratch(found.groupBy("h").agg(F.min(place).alias("first")), "classes")
-    edges = candidates(postings(docs, common_words(docs, FINER * common), threshold), threshold)
+    edges = candidates(postings(docs, often, threshold), threshold)
     groups = scratch(components(edges), "candidates")
     some = classes.join(groups, F.col("h") == F.col("node")).select("h", F.col("root").alias("comp"), "first.*")
     sets = fetch_words(docs, some)
