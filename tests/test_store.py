@@ -1,6 +1,7 @@
 """Stored corpus, positional index, split text files, word tables, term vectors, cube cells."""
 
 import re
+import time
 from collections import Counter, defaultdict
 from pathlib import Path
 
@@ -8,12 +9,14 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from wordlens.functions import wordcodes
 from wordlens.functions.tokenise import token_class
 from wordlens.operators import align, distance, keywords, positions, reshape
 from wordlens.session import scratch_path
-from wordlens.sources.corpus import build_corpus, read_raw, read_text_corpus, read_text_units
+from wordlens.sources.corpus import Corpus, build_corpus, read_raw, read_text_corpus, read_text_units
 from wordlens.sources.index import build_index, open_index
 from wordlens.sources.store import open_corpus, store_corpus, store_table
+from wordlens.sources.tokenizers import AnnotatedTokenizer
 
 
 def formatted(df) -> str:
@@ -245,3 +248,63 @@ def test_classes_by_bytes_are_those_of_the_pattern(spark):
     for tail in ("", "z", "é"):
         rows = chars.select(F.concat("c", F.lit(tail)).alias("c"))
         assert rows.count() == 0x30ff and rows.where(token_class(F.col("c")) != want).count() == 0
+
+
+def shuffle_files(spark) -> set[str]:
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_")}
+
+
+def test_disk_of_term_vectors(spark, plain, monkeypatch):
+    """Cells do not travel with their words, and what travelled is gone when its table is written."""
+    monkeypatch.setattr(keywords, "SMALL_TABLE_ROWS", 1)
+    before = shuffle_files(spark)
+    stored = store_corpus(plain, scratch_path(spark, "store"), buckets=3)
+    vectors = keywords.term_vectors(stored)
+    until = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < until:   # they are removed in the background
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before
+    plan = formatted(vectors)
+    travels = re.findall(r"\) Exchange\n(?:Input|Output) *\[\d+\]: \[(.*)\]", plan)
+    assert len(travels) == 2 and "term" not in " ".join(travels)
+    words = keywords.coded_sentences(stored)[1]
+    assert words.count() == words.select("_group", "term").distinct().count()
+
+
+@pytest.mark.parametrize("cells, n_words", [(1, 10 ** 6), (10 ** 6, 3), (10 ** 6, 10 ** 6)])
+def test_term_vectors_across_groups(spark, monkeypatch, cells, n_words):
+    """Groups and slices of a few tokens; NULL is no word, other keys, a vocabulary that lacks words."""
+    for name, value in (("GROUP_CELLS", cells), ("GROUP_WORDS", n_words), ("SLICE_TOKENS", 5), ("WORDS_A_ROW", 2)):
+        monkeypatch.setattr(wordcodes, name, value)
+    texts = [["b", None, "a", "b"], [], [None, None], ["c"] * 400, [f"w{i % 17}" for i in range(300)], ["d", "a", "\U0001f600", "\uffff", ""], None] * 3
+    rows = [(f"k{i}", i % 4, t and [(x, False) for x in t] if t is not None else None) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "path string, sent_no int, _tok array<struct<f00 string, is_eos boolean>>").repartition(2)
+    corpus = Corpus(df.withColumn("n_tokens", F.size("_tok")), ("path", "sent_no"), AnnotatedTokenizer())
+
+    def want(index):
+        count = {(k, n): Counter(index[x] for x, _ in t or [] if x in index) for k, n, t in rows}
+        return {k: (sorted(c), [c[i] for i in sorted(c)]) for k, c in count.items() if c}
+
+    def got(vectors):
+        return {(r["path"], r["sent_no"]): (r["indices"], r["counts"]) for r in vectors.collect()}
+
+    words = sorted({x for t in texts for x in t or [] if x is not None}, key=lambda x: x.encode())
+    index = {x: i for i, x in enumerate(words)}
+    vectors = keywords.term_vectors(corpus)
+    assert got(vectors) == want(index) and {r["n_terms"] for r in vectors.select("n_terms").collect()} == {len(index)}
+    some = {"a": 7, "w3": 5, "c": 2 ** 40}
+    own = spark.createDataFrame(list(some.items()), "term string, idx long")
+    assert got(keywords.term_vectors(corpus, vocabulary=own)) == want(some)
+    assert got(keywords.term_vectors(corpus, vocabulary=own.where("term = 'none'"))) == {}
+
+
+def test_many_words_in_a_bucket(spark):
+    """The words of a bucket are written once, also where they pass a megabyte."""
+    word = lambda i: F.substring(F.translate(F.sha2((F.col("id") * 100 + i % 100).cast("string"), 256), "0123456789", "ghijklmnop"), 1, 12)
+    texts = spark.range(1500).select(F.col("id").alias("doc_id"), F.array_join(F.transform(F.sequence(F.lit(0), F.lit(299)), word), " ").alias("text"))
+    stored = store_corpus(build_corpus(texts), scratch_path(spark, "store"), buckets=1)
+    for file in Path(stored.path.removeprefix("file:")).glob("tokens/*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        column = {meta.row_group(0).column(i).path_in_schema: meta.row_group(0).column(i) for i in range(meta.num_columns)}["_tok.list.element.f00"]
+        assert "PLAIN" not in column.encodings and column.total_uncompressed_size > 1 << 20

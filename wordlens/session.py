@@ -12,6 +12,8 @@ import atexit
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -75,7 +77,23 @@ def remove_path(spark: SparkSession, path: str) -> None:
         pass
 
 
-def scratch(df: DataFrame, label: str) -> DataFrame:
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a table written inside go as soon as it is written; else they stay until
+    the driver happens to collect its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
+def scratch(df: DataFrame, label: str, **options: str) -> DataFrame:
     """Write ``df`` once to the shared scratch space and return the table read back.
 
     Columns that a later step does not ask for are not read again, and a lost executor
@@ -83,7 +101,7 @@ def scratch(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back._scratch_path = path
     return back

@@ -28,10 +28,15 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from wordlens.functions.tokenise import level_name
+from wordlens.session import shuffles_dropped
 from wordlens.sources.corpus import Corpus, read_raw
 from wordlens.sources.tokenizers import AnnotatedTokenizer
 
 
+#: a bucket's tokens are numbers of its words: a file has room for the words of its bucket
+TOKENS_OPTIONS = {"compression": "zstd", "parquet.dictionary.page.size": str(8 << 20)}
+
+
 @dataclass(frozen=True)
 class StoredCorpus(Corpus):
     """A corpus on storage: its shape is known and its statistics may be."""
@@ -119,8 +124,9 @@ def store_corpus(corpus: Corpus, path: str, levels: Sequence[int] = (0, 1), buck
         rows = dealt(corpus.df.select(*corpus.keys, "n_tokens", "_tok", *read.needs))
     rows = rows.select(*corpus.keys, "n_tokens", F.arrays_zip(*fields).alias("_tok"))
     columns = ddl(rows)
-    with rows_in_place(spark):
-        rows.write.bucketBy(buckets, *corpus.keys).option("path", f"{path}/tokens").format("parquet").saveAsTable(f"wordlens_{uuid.uuid4().hex}")
+    with rows_in_place(spark), shuffles_dropped(spark):
+        (rows.write.bucketBy(buckets, *corpus.keys).options(**TOKENS_OPTIONS).option("path", f"{path}/tokens")
+         .format("parquet").saveAsTable(f"wordlens_{uuid.uuid4().hex}"))
     tokens = open_bucketed(spark, f"{path}/tokens", columns, corpus.keys, buckets)
     shape = Corpus(tokens, corpus.keys, AnnotatedTokenizer()).shape()
     shape.select("*", F.array(*map(F.lit, corpus.keys)).alias("keys"), F.array(*map(F.lit, levels)).alias("levels"),
