@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator, Sequence
 SLICE_TOKENS = 500_000
 #: a group ends with the slice that brings it to so many cells or so many words
 GROUP_CELLS = 2_000_000
-GROUP_WORDS = 250_000
+GROUP_WORDS = 500_000
 #: words of one row of a dictionary
 WORDS_A_ROW = 4096
 
